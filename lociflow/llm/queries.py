@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lociflow.llm import mixing, quality, secrets
+from lociflow.llm import mixing, quality, secrets, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup(_documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 OP1_SQL = r"""
 WITH s AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -67,5 +73,5 @@ WITH s AS (
 SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(size, part - seen)))::BIGINT AS taken FROM c
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op3_secrets, op7_quality)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op3_secrets, op7_quality, op10_substring_dedup)}
 SQL: dict[str, str] = {"op1_mixing": OP1_SQL}
