@@ -135,10 +135,15 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(m[: len(m) - (w - have)], m[w - have :]) if have < w else m
 
 
+#: Minimisers are compared without so many low bits of their hashes; the place takes those.
+LOW_BITS = 26
+
+
 def window_runs(roll: Rolling, ends: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Groups the windows of ``window`` tokens of each document by their minimiser.
 
-    The minimiser of a window is its gram of ``gram`` tokens with the least hash, the leftmost of equals. It
+    The minimiser of a window is its gram of ``gram`` tokens with the least hash (but for its low bits), the
+    leftmost of equals. It
     depends on the window's content alone, so equal windows have equal minimisers at equal offsets wherever
     they stand. Consecutive windows with one minimiser form a run.
 
@@ -147,7 +152,7 @@ def window_runs(roll: Rolling, ends: np.ndarray, window: int, gram: int) -> tupl
     none = np.zeros(0, np.int64)
     h = roll.grams(gram)
     spread = window - gram + 1
-    low = np.uint64(max(1, int(len(h)).bit_length()))
+    low = np.uint64(max(LOW_BITS, len(h).bit_length()))
     key = ((h >> low) << low) | np.arange(len(h), dtype=np.uint64)
     best = sliding_min(key, spread)
     last = ends[1:] - window

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.llm import mixing, quality, secrets, substring_dedup
+from lociflow.llm import mixing, quality, secret_scan, substring_dedup, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,8 +22,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(_documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(_documents(spark, sf_dir))
+    return secret_scan.scan(_documents(spark, sf_dir))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,5 +78,5 @@ WITH s AS (
 SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(size, part - seen)))::BIGINT AS taken FROM c
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op3_secrets, op7_quality, op10_substring_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_secrets, op7_quality, op10_substring_dedup)}
 SQL: dict[str, str] = {"op1_mixing": OP1_SQL}
