@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.llm import mixing, quality, secret_scan, substring_dedup, suffix_dedup
+from lociflow.llm import jaccard, mixing, quality, secret_scan, substring_dedup, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_documents(spark, sf_dir))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_documents(spark, sf_dir))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality(_documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -78,5 +82,5 @@ WITH s AS (
 SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(size, part - seen)))::BIGINT AS taken FROM c
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_secrets, op7_quality, op10_substring_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_secrets, op4_jaccard_join, op7_quality, op10_substring_dedup)}
 SQL: dict[str, str] = {"op1_mixing": OP1_SQL}
