@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.llm import jaccard, mixing, quality, secret_scan, substring_dedup, suffix_dedup
+from lociflow.llm import jaccard, mixing, neighbours, quality, secret_scan, shards, spm, substring_dedup, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,11 +35,27 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_documents(spark, sf_dir))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as the compacted table holds it: sizes, digest, and whether its shard is a merged one. Files
+    of 16 MB keep several tiers busy at the scale of the tests."""
+    out = shards.compacted(_documents(spark, sf_dir), target_bytes=16 << 20)
+    return out.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), "lang", "source", "n_chars")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality(_documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece counts, the digest of the ids, and the digest of the text that they decode to."""
+    return spm.encode(_documents(spark, sf_dir), digest=True)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.dedup(_documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -82,5 +98,9 @@ WITH s AS (
 SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(size, part - seen)))::BIGINT AS taken FROM c
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_secrets, op4_jaccard_join, op7_quality, op10_substring_dedup)}
-SQL: dict[str, str] = {"op1_mixing": OP1_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_secrets, op4_jaccard_join, op5_neighbours, op6_sharding, op7_quality, op8_sentencepiece, op10_substring_dedup)}
+OP6_SQL = """
+SELECT doc_id, strlen(text)::BIGINT AS n_bytes, sha256(text) AS text_sha256, lang, source, n_chars FROM documents
+"""
+
+SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op6_sharding": OP6_SQL}
