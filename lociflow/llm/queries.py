@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.llm import jaccard, mixing, neighbours, quality, secret_scan, shards, spm, substring_dedup, suffix_dedup
+from lociflow.llm import jaccard, mixing, neighbours, pii, quality, secret_scan, shards, spm, substring_dedup, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.encode(_documents(spark, sf_dir), digest=True)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_documents(spark, sf_dir))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.dedup(_documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -98,7 +102,7 @@ WITH s AS (
 SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(size, part - seen)))::BIGINT AS taken FROM c
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_secrets, op4_jaccard_join, op5_neighbours, op6_sharding, op7_quality, op8_sentencepiece, op10_substring_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_secrets, op4_jaccard_join, op5_neighbours, op6_sharding, op7_quality, op8_sentencepiece, op9_pii, op10_substring_dedup)}
 OP6_SQL = """
 SELECT doc_id, strlen(text)::BIGINT AS n_bytes, sha256(text) AS text_sha256, lang, source, n_chars FROM documents
 """
