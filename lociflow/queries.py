@@ -377,7 +377,7 @@ _EFFECTS = {f: 0.25 * (i + 1) for i, f in enumerate(_FEATURES)}
 
 def _combo_sql() -> str:
     n = len(_MUTABLE)
-    d = [f"(id // {3 ** (n - 1 - i)}) % 3" for i in range(n)]
+    d = [f"((id // {3 ** (n - 1 - i)}) % 3)" for i in range(n)]
     own = [_BASE[f] for f in _MUTABLE]
     target = sum(g * 3 ** (n - 1 - i) for i, g in enumerate(own))
     changed = [f"({x} <> {o})" for x, o in zip(d, own, strict=True)]
