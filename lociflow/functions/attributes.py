@@ -25,7 +25,7 @@ def attributes(c: Column) -> Column:
         values = F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"])
         filled = F.filter(values, lambda v: v != "")
         parts = F.array_sort(F.array_distinct(F.filter(F.flatten(F.transform(filled, lambda v: F.split(v, ","))), lambda v: v != "")))
-        return F.when(F.size(filled) == 0, "").when(F.size(filled) == 1, filled[0]).otherwise(F.array_join(parts, ","))
+        return F.when(F.size(filled) == 0, "").when(F.size(filled) == 1, F.get(filled, F.lit(0))).otherwise(F.array_join(parts, ","))
 
     keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
     made = F.map_from_arrays(keys, F.transform(keys, merged))

@@ -23,7 +23,7 @@ def melt(sheet: DataFrame, trait: str, sample: str = "sample") -> DataFrame:
         raise ValueError(f"no column of trait {trait}")
     long = sheet.select(sample, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).unpivot(sample, [F.col(f"`{c}`") for c in columns], "__name", "value")
     part = F.split("__name", "_")
-    return long.where(F.col("value").isNotNull() & ~F.isnan("value")).select(F.col(sample).alias("sample"), part[0].alias("trait"), part[1].alias("year"), part[2].alias("location"), "value")
+    return long.where(F.col("value").isNotNull() & ~F.isnan("value")).select(F.col(sample).alias("sample"), F.get(part, F.lit(0)).alias("trait"), F.get(part, F.lit(1)).alias("year"), F.get(part, F.lit(2)).alias("location"), "value")
 
 
 def location_means(rows: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def records(lines: DataFrame) -> DataFrame:
     fields go; so do the sequence lines after ##FASTA, as they have one field."""
     parts = F.split(strip(F.col("value")), "\t")
     rows = lines.where(~strip(F.col("value")).startswith("#")).select(parts.alias("p")).where(F.size("p") == len(FIELDS))
-    return rows.select(*[F.col("p")[i].alias(f) for i, f in enumerate(FIELDS)])
+    return rows.select(*[F.get("p", F.lit(i)).alias(f) for i, f in enumerate(FIELDS)])
 
 
 def features(rows: DataFrame, wanted: str | Sequence[str]) -> DataFrame:

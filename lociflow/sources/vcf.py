@@ -28,20 +28,20 @@ def samples(spark: SparkSession, path: str) -> list[str]:
 
 
 def _alts(f: Column) -> Column:
-    return F.filter(F.split(F.upper(f[4]), ","), lambda a: (a != ".") & (a != ""))
+    return F.filter(F.split(F.upper(F.get(f, F.lit(4))), ","), lambda a: (a != ".") & (a != ""))
 
 
 def first_alt(rows: DataFrame) -> DataFrame:
     """ord, chrom, pos, ref, alt with the first alternative allele, empty if there is none."""
     f = F.col("f")
-    out = rows.select("ord", standard_chrom(f[0]).alias("chrom"), f[1].cast("long").alias("pos"), F.upper(f[3]).alias("ref"), F.coalesce(F.get(_alts(f), 0), F.lit("")).alias("alt"))
+    out = rows.select("ord", standard_chrom(F.get(f, F.lit(0))).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("pos"), F.upper(F.get(f, F.lit(3))).alias("ref"), F.coalesce(F.get(_alts(f), F.lit(0)), F.lit("")).alias("alt"))
     return out.where(F.col("chrom").isNotNull())
 
 
 def all_alts(rows: DataFrame) -> DataFrame:
     """ord, chrom, pos, ref, alt with a row for each alternative allele; no row at all is an error."""
     f = F.col("f")
-    out = rows.select("ord", standard_chrom(f[0]).alias("chrom"), f[1].cast("long").alias("pos"), F.upper(f[3]).alias("ref"), F.explode(_alts(f)).alias("alt")).where(F.col("chrom").isNotNull())
+    out = rows.select("ord", standard_chrom(F.get(f, F.lit(0))).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("pos"), F.upper(F.get(f, F.lit(3))).alias("ref"), F.explode(_alts(f)).alias("alt")).where(F.col("chrom").isNotNull())
     if out.isEmpty():
         raise ValueError("no variant with an alternative allele on a numbered chromosome")
     return out
@@ -51,9 +51,9 @@ def calls(rows: DataFrame, names: list[str]) -> DataFrame:
     """ord, chrom, pos, sample, gt of every sample; gt is the GT part by the record's own FORMAT, ``./.`` if it
     has none."""
     f = F.col("f")
-    place = F.array_position(F.split(f[8], ":"), "GT")
+    place = F.array_position(F.split(F.get(f, F.lit(8)), ":"), "GT")
     own = F.posexplode(F.slice(f, FIXED + 1, len(names)))
-    out = rows.where(F.size("f") > FIXED).select("ord", standard_chrom(f[0]).alias("chrom"), f[1].cast("long").alias("pos"), place.cast("int").alias("place"), own.alias("i", "cell")).where(F.col("chrom").isNotNull())
+    out = rows.where(F.size("f") > FIXED).select("ord", standard_chrom(F.get(f, F.lit(0))).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("pos"), place.cast("int").alias("place"), own.alias("i", "cell")).where(F.col("chrom").isNotNull())
     gt = F.when(F.col("place") > 0, F.try_element_at(F.split("cell", ":"), F.col("place")))
     name = F.array(*map(F.lit, names))
     return out.select("ord", "chrom", "pos", F.element_at(name, F.col("i") + 1).alias("sample"), F.coalesce(gt, F.lit("./.")).alias("gt"))
