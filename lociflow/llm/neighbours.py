@@ -26,7 +26,7 @@ from lociflow.llm._stage import staged
 from lociflow.llm._text import require
 
 #: The sample that partitions and classifier are fitted on has at most so many rows, those of the least hashes.
-FIT_ROWS = 6000
+FIT_ROWS = 4000
 PARTS = 16
 GRAPH_NEIGHBOURS = 10
 HIDDEN = 64
@@ -61,10 +61,15 @@ def usable(column: str, dim: int | None = None) -> Column:
 
 def exact_neighbours(queries: np.ndarray, rows: np.ndarray, k: int, skip: np.ndarray | None = None) -> np.ndarray:
     """Row numbers of each query's k nearest; ``skip[i]`` is the row that query i leaves out."""
-    d = (queries**2).sum(1)[:, None] + (rows**2).sum(1)[None] - 2 * queries @ rows.T
-    if skip is not None:
-        d[np.arange(len(queries)), skip] = np.inf
-    return np.argsort(d, axis=1, kind="stable")[:, :k]
+    out = []
+    for i in range(0, len(queries), 512):
+        q = queries[i : i + 512]
+        d = (q**2).sum(1)[:, None] + (rows**2).sum(1)[None] - 2 * q @ rows.T
+        if skip is not None:
+            d[np.arange(len(q)), skip[i : i + 512]] = np.inf
+        near = np.argpartition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k]
+        out.append(np.take_along_axis(near, np.argsort(np.take_along_axis(d, near, 1), axis=1, kind="stable"), 1))
+    return np.concatenate(out)
 
 
 def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 20, slack: float = 1.05) -> np.ndarray:
@@ -79,7 +84,7 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 2
         nearest = np.minimum(nearest, ((x - x[centres[-1]]) ** 2).sum(1))
     c = x[centres]
     for _ in range(8):
-        d = ((x[:, None] - c[None]) ** 2).sum(-1) if n * parts * x.shape[1] < 5e7 else (x**2).sum(1)[:, None] + (c**2).sum(1)[None] - 2 * x @ c.T
+        d = (x**2).sum(1)[:, None] + (c**2).sum(1)[None] - 2 * x @ c.T
         own = d.argmin(1)
         c = np.stack([x[own == p].mean(0) if (own == p).any() else c[p] for p in range(parts)])
     label = np.full(n, -1)
