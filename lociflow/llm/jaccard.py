@@ -8,13 +8,14 @@ the hash of their tokens; a segment may also be indexed with each one of its tok
 for two, since it shows a single difference as well. For each band a cost model picks how many segments there
 are and whether they carry one-deletion neighbourhoods.
 
-Empty segments tell nothing. Where a set has too few others, it is indexed again over many more segments, and at
-last token by token; as one well-covered side suffices, only such sets need to meet there.
+Empty segments tell nothing, and one well-covered side of a pair suffices. Sets that share an entry are
+candidates: all pairs of a small group, pairs with the least member of a larger one. The larger group's entry is
+then lost to its members. Sets that are left with too few entries, by empty segments or by lost entries, also join
+each other by prefix filtering, rarest tokens first, but only across the components found so far: a group of
+thousands of near copies costs nothing more, and no link between components is lost.
 
-Sets that share an entry are candidates: all pairs of a small group, pairs with the least member of a larger one.
-Candidates are verified on the full sets. The members of larger groups also join each other by prefix filtering,
-rarest tokens first, but only across the components found so far, so that a group of thousands of near copies
-costs nothing more and no link between components is lost.
+A bitmap of each set, in which every token flips one bit, bounds the difference of a pair from below and drops
+most chance candidates; the others are verified on the full sets.
 
 Edge cases: a null or empty text has an empty set and links with nothing; a text with fewer than n words has its
 whole sequence as its only token; a null doc_id counts as larger than any other; repeated rows link; an empty
@@ -31,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lociflow.llm import _anchors as anchors
 from lociflow.llm._components import components
@@ -48,10 +50,11 @@ BLOCK_ROWS = 1_500_000
 
 
 def bands(most: int = 1 << 40) -> np.ndarray:
-    """Least sizes of the bands; a set of one band can only link with the same band or its neighbours."""
+    """Least sizes of the bands; a set of one band can only link with the same band or its neighbours. Wide bands
+    spare most sets their second indexing; small sets have narrow ones, as their few segments must fit."""
     out = [1]
     while out[-1] < most:
-        out.append(max(out[-1] + 1, 4 * (out[-1] - 1) // 3 + 1))
+        out.append(2 * out[-1] if out[-1] >= 16 else max(out[-1] + 1, 4 * (out[-1] - 1) // 3 + 1))
     return np.array(out, np.int64)
 
 
@@ -88,6 +91,7 @@ def allocation(band: int) -> tuple[int, bool]:
     """Segments of a band and whether they carry one-deletion neighbourhoods: the cheapest allocation that
     covers all sets of the band and of the next."""
     lo, mid, hi = (int(x) for x in BANDS[band : band + 3])
+    hi = min(hi, 4 * (mid - 1) // 3 + 1)  # larger sets of the next band have no partner in this one
     sizes = [(lo, differing(lo)), (mid - 1, differing(mid - 1)), (mid, differing(mid, mid - 1)), (hi - 1, differing(hi - 1, mid - 1))]
     best: tuple[float, int, bool] | None = None
     for deletion in (False, True):
@@ -114,59 +118,78 @@ def shingle_sets(texts: list[bytes], hashes: WordHashes, n: int = N) -> list[np.
 
 def set_hash(tokens: np.ndarray) -> int:
     h = int((mix(tokens + np.uint64(0xA5A5)).sum(dtype=np.uint64) + np.uint64(len(tokens))).item())
+    h &= ~1  # even: the last bit of an index entry tells the role
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
 _ODD = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
-def signatures(sets: list[np.ndarray], node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index entries (hash, node) of non-empty sets."""
+def signatures(sets: list[np.ndarray], node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Index entries (hash, node + role) of non-empty sets, and for each set and role its (node + role, spare):
+    how many entries may be lost before the others no longer suffice. Nodes are even; role 1 is that towards
+    partners of the band below."""
     size = np.array([len(s) for s in sets], np.int64)
     toks = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     of = np.repeat(np.arange(len(sets)), size)
     own = np.searchsorted(BANDS, size, "right") - 1
-    sigs, nodes = [], []
-    for role in (0, 1):  # with partners that are no smaller; with those of the band below
+    t = mix(toks + _ODD[0])
+    value = mix(t * _ODD[0])
+    sigs, nodes, holders, spares = [], [], [], []
+    for role in (0, 1):
         band = own - role
         limit = np.where(role, BANDS[own] - 1, 4 * size // 3)
-        live = (band >= 0) & (4 * limit >= 3 * size)
+        live = np.flatnonzero((band >= 0) & (4 * limit >= 3 * size))
+        if not len(live):
+            continue
         needed = (size + np.minimum(4 * size // 3, limit)) // 7 + 1
-        for level in range(3):
-            if not live.any():
-                break
-            tag = ((band * 4 + level + 1).astype(np.uint64) * _ODD[1])[of]
-            if level == 2:
-                take = live[of]
-                sigs.append(mix(toks[take] * _ODD[0] + tag[take]))
-                nodes.append(node[of[take]])
-                break
-            plan = {int(b): allocation(int(b)) for b in np.unique(band[live])}
-            m = np.array([plan[int(b)][0] if ok else 0 for b, ok in zip(band, live, strict=True)], np.int64) * (8 if level else 1)
-            deletion = np.array([bool(ok and plan[int(b)][1]) for b, ok in zip(band, live, strict=True)])
-            take = np.flatnonzero(live[of])
-            r = of[take]
-            t = mix(toks[take] + _ODD[level])
-            seg = (((t >> np.uint64(32)) * m[r].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-            base = np.cumsum(m) - m
-            key = base[r] + seg
-            total = int(m.sum())
-            sums = np.zeros(total, np.uint64)
-            value = mix(t * _ODD[0])
-            np.add.at(sums, key, value)
-            count = np.bincount(key, minlength=total)
-            holder = np.repeat(np.arange(len(sets)), m)
-            place = (np.arange(total) - base[holder]).astype(np.uint64) * _ODD[2] + (band * 4 + level + 1).astype(np.uint64)[holder] * _ODD[1]
-            full = np.flatnonzero(count)
-            sigs.append(mix(sums[full] + place[full]))
-            nodes.append(node[holder[full]])
-            less = np.flatnonzero(deletion[r] & (count[key] > 1))
-            if len(less):
-                sigs.append(mix(sums[key[less]] - value[less] + place[key[less]]))
-                nodes.append(node[r[less]])
-            gain = np.bincount(holder, np.where(deletion[holder], np.minimum(count, 2), np.minimum(count, 1)), len(sets))
-            live &= gain < needed
-    return (np.concatenate(sigs), np.concatenate(nodes)) if sigs else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        plan = {int(b): allocation(int(b)) for b in np.unique(band[live])}
+        m, deletion = np.zeros(len(sets), np.int64), np.zeros(len(sets), bool)
+        m[live] = [plan[int(b)][0] for b in band[live]]
+        deletion[live] = [plan[int(b)][1] for b in band[live]]
+        take = np.flatnonzero(m[of])
+        r = of[take]
+        base = np.cumsum(m) - m
+        key = base[r] + (((t[take] >> np.uint64(32)) * m[r].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        total = int(m.sum())
+        sums = np.zeros(total, np.uint64)
+        np.add.at(sums, key, value[take])
+        count = np.bincount(key, minlength=total)
+        holder = np.repeat(np.arange(len(sets)), m)
+        place = (np.arange(total) - base[holder]).astype(np.uint64) * _ODD[2] + (band + 1).astype(np.uint64)[holder] * _ODD[1]
+        full = np.flatnonzero(count)
+        sigs.append(mix(sums[full] + place[full]))
+        nodes.append(node[holder[full]] + role)
+        less = np.flatnonzero(deletion[r] & (count[key] > 1))
+        if len(less):
+            sigs.append(mix(sums[key[less]] - value[take[less]] + place[key[less]]))
+            nodes.append(node[r[less]] + role)
+        gain = np.bincount(holder, np.where(deletion[holder], np.minimum(count, 2), np.minimum(count, 1)), len(sets)).astype(np.int64)
+        spare = gain - needed
+        holders.append(node[live] + role)
+        # An entry of a segment with deletions may stand for two.
+        spares.append(np.where(deletion, spare // 2, spare)[live])
+    if not sigs:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(sigs), np.concatenate(nodes), np.concatenate(holders), np.concatenate(spares)
+
+
+def bitmap(tokens: np.ndarray) -> bytes:
+    """Parity bitmap of about two bits for each token, a power of two in length and at least 64."""
+    size = max(64, 1 << int(2 * len(tokens)).bit_length())
+    bits = np.bincount((mix(tokens ^ _ODD[2]) >> np.uint64(16)).astype(np.int64) & (size - 1), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """Tokens in which two sets differ at least; the longer bitmap folds onto the shorter."""
+    x, y = (np.frombuffer(t, np.uint64) for t in (a, b))
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        else:
+            y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _members(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -174,22 +197,24 @@ def _members(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBat
     for part, texts in small_batches(batches):
         sets = shingle_sets(texts, hashes, n)
         rid, th = (part.column(part.schema.get_field_index(c)) for c in ("rid", "th"))
-        yield pa.RecordBatch.from_arrays([rid, th, pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())], ["rid", "th", "n", "node"])
+        yield pa.RecordBatch.from_arrays([rid, th, pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()), pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())], ["rid", "th", "n", "node", "bits"])
 
 
 def _entries(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, ...]] = []
 
     def send() -> pa.RecordBatch:
-        sig, node = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        sig, node, holder, spare = (np.concatenate([h[i] for h in held]) for i in range(4))
         held.clear()
         by = (sig >> np.uint64(20)) % np.uint64(buckets)
         o = np.argsort(by, kind="stable")
         cut = np.searchsorted(by[o], np.arange(buckets + 1))
         full = np.flatnonzero(np.diff(cut))
         blocks = [sig[o[cut[b] : cut[b + 1]]].tobytes() + node[o[cut[b] : cut[b + 1]]].tobytes() for b in full]
-        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "block"])
+        spares = [b""] * len(full)
+        spares[0] = holder.tobytes() + spare.tobytes()
+        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blocks, pa.binary()), pa.array(spares, pa.binary())], ["bucket", "block", "spares"])
 
     for _, texts in small_batches(batches):
         distinct = {set_hash(s): s for s in shingle_sets(texts, hashes, n) if len(s)}
@@ -202,48 +227,79 @@ def _entries(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterato
         yield send()
 
 
+#: Kinds of rows of the candidate table: a pair; entries that a set may lose; entries that it has lost.
+PAIR, SPARE, LOST = 0, 1, 2
+
+
+def _halves(blocks: list[bytes], first: type) -> tuple[np.ndarray, np.ndarray]:
+    a = [np.frombuffer(x, first, len(x) // 16) for x in blocks]
+    b = [np.frombuffer(x, np.int64, len(x) // 16, len(x) // 2) for x in blocks]
+    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, first), np.zeros(0, np.int64))
+
+
+def _distinct(*keys: np.ndarray) -> list[np.ndarray]:
+    o = np.lexsort(keys[::-1])
+    keys = tuple(k[o] for k in keys)
+    keep = anchors.groups(*keys)
+    return [k[keep] for k in keys]
+
+
 def _candidates(batches: Iterator[pa.RecordBatch], all_pairs: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of sets that share an entry; (a, a) says that a belongs to a large group."""
-    sig, node = [], []
+    """Rows (kind, a, b): pairs of sets that share an entry; spare and lost entries b of a set and role a. The
+    entries of a larger group are lost to its members, as they give only pairs with its least member."""
+    blocks, spares = [], []
     for b in batches:
-        for x in b.column(1).to_pylist():
-            half = len(x) // 2
-            sig.append(np.frombuffer(x, np.uint64, half // 8))
-            node.append(np.frombuffer(x, np.int64, half // 8, half))
-    if not sig:
-        return
-    s, v = np.concatenate(sig), np.concatenate(node)
-    del sig, node
+        blocks += b.column(1).to_pylist()
+        spares += [x for x in b.column(2).to_pylist() if x]
+    out = [(SPARE, *_distinct(*_halves(spares, np.int64)))] if spares else []
+    s, v = _halves(blocks, np.uint64)
+    del blocks
     o = np.argsort(s)
     s, v = s[o], v[o]
     same = np.zeros(len(s) + 1, bool)
-    np.equal(s[1:], s[:-1], out=same[1:-1])
-    dup = same[1:] | same[:-1]
-    s, v = s[dup], v[dup]
-    o = np.lexsort((v, s))
-    s, v = s[o], v[o]
-    keep = anchors.groups(s, v)
-    s, v = s[keep], v[keep]
-    if not len(s):
-        return
-    new = anchors.groups(s)
-    g = np.cumsum(new) - 1
-    size = np.bincount(g)[g]
-    first = v[np.flatnonzero(new)][g]
-    small = size <= all_pairs
-    a, b = [first[~new]], [v[~new]]
-    for k in range(1, all_pairs):
-        i = np.flatnonzero(small[:-k] & (g[k:] == g[:-k])) if len(g) > k else np.zeros(0, np.int64)
-        a.append(v[i])
-        b.append(v[i + k])
-    large = np.unique(v[~small])
-    a, b = np.concatenate([*a, large]), np.concatenate([*b, large])
-    o = np.lexsort((b, a))
-    a, b = a[o], b[o]
-    keep = anchors.groups(a, b)
-    a, b = a[keep], b[keep]
-    for i in range(0, len(a), 500_000):
-        yield pa.RecordBatch.from_arrays([pa.array(a[i : i + 500_000]), pa.array(b[i : i + 500_000])], ["a", "b"])
+    np.equal(s[1:], s[:-1], out=same[1:-1]) if len(s) else None
+    dup = (same[1:] | same[:-1])[: len(s)]
+    if dup.any():
+        s, v = _distinct(s[dup], v[dup])
+        new = anchors.groups(s)
+        g = np.cumsum(new) - 1
+        size = np.bincount(g)[g]
+        v, entry = v & ~np.int64(1), v
+        first = v[np.flatnonzero(new)][g]
+        small = size <= all_pairs
+        a, b = [first[~new]], [v[~new]]
+        left = np.flatnonzero(small)
+        for k in range(1, all_pairs):
+            i = left[left + k < len(g)]
+            i = i[g[i + k] == g[i]]
+            if not len(i):
+                break
+            a.append(v[i])
+            b.append(v[i + k])
+        a, b = np.concatenate(a), np.concatenate(b)
+        ok = a != b
+        out.append((PAIR, *_distinct(np.minimum(a, b)[ok], np.maximum(a, b)[ok])))
+        out.append((LOST, *np.unique(entry[~small], return_counts=True)))
+    for kind, a, b in out:
+        for i in range(0, len(a), 500_000):
+            x = a[i : i + 500_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(b[i : i + 500_000])], ["kind", "a", "b"])
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b, n, m, x, y = (batch.column(i).to_pylist() for i in range(6))
+        keep = [i for i in range(len(a)) if 4 * min(n[i], m[i]) >= 3 * max(n[i], m[i]) and 7 * least_difference(x[i], y[i]) <= n[i] + m[i]]
+        if keep:
+            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"])
+
+
+def near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs that bitmaps and sizes do not rule out."""
+    small = pairs.hint("shuffle_hash")
+    one = nodes.join(small.withColumnRenamed("a", "node"), "node").select(F.col("node").alias("a"), "b", F.col("n").alias("n1"), F.col("bits").alias("bits1"))
+    both = one.join(nodes.withColumnRenamed("node", "b"), "b").select("a", "b", "n1", "n", "bits1", "bits")
+    return both.mapInArrow(_near, "a long, b long")
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -294,18 +350,37 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += n
 
 
+MARKS = 8
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A parity bitmap of fixed length for each set, as columns of 64 bits."""
+    for b in batches:
+        node, tokens = (b.column(i).to_pylist() for i in range(2))
+        rows = []
+        for t in tokens:
+            bits = np.bincount((mix(np.frombuffer(t, np.uint64) ^ _ODD[1]) >> np.uint64(16)).astype(np.int64) & (64 * MARKS - 1), minlength=64 * MARKS) & 1
+            rows.append(np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64))
+        m = np.array(rows, np.int64).reshape(len(node), MARKS)
+        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), *[pa.array(m[:, k]) for k in range(MARKS)]], ["node", *[f"m{k}" for k in range(MARKS)]])
+
+
 def prefix_pairs(sets: DataFrame) -> DataFrame:
-    """Pairs of sets of different components that share one of their rarest tokens: an exact filter. From
-    (node, comp, tokens)."""
+    """Pairs of sets of different components that share one of their rarest tokens, early enough: an exact filter.
+    From (node, comp, tokens). Where the first token that two ordered sets share stands at places i and j, no more
+    than that token and what follows it in either set is shared; and two sets differ in no fewer tokens than their
+    parity bitmaps in bits. Both bounds stand in the join's condition, so what fails them is never a row."""
     rows = sets.select("node", "comp", "tokens").mapInArrow(_explode, "node long, comp long, n long, token long")
     df = rows.groupBy("token").agg(F.count("*").alias("df"))
     ranked = rows.join(df, "token").groupBy("node", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order"))
-    prefix = ranked.select("node", "comp", "n", F.explode(F.slice("order", 1, F.col("n").cast("int") - F.ceil(F.col("n") * 3 / 4).cast("int") + 1)).alias("x")).select("node", "comp", "n", "x.token")
-    prefix = staged(prefix, "prefix")
+    prefix = ranked.select("node", "comp", "n", F.posexplode(F.slice("order", 1, F.col("n").cast("int") - F.ceil(F.col("n") * 3 / 4).cast("int") + 1)).alias("i", "x")).select("node", "comp", "n", "i", "x.token")
+    marks = sets.select("node", "tokens").mapInArrow(_marks, "node long, " + ", ".join(f"m{k} long" for k in range(MARKS)))
+    prefix = staged(prefix.join(marks, "node"), "prefix")
     across = prefix.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
     left = prefix.join(across, "token", "left_semi")
-    right = left.select("token", F.col("node").alias("node2"), F.col("comp").alias("comp2"), F.col("n").alias("n2"))
-    met = left.join(right, "token").where("node < node2 AND comp <> comp2 AND 4 * n >= 3 * n2 AND 4 * n2 >= 3 * n")
+    right = left.select("token", F.col("node").alias("node2"), F.col("comp").alias("comp2"), F.col("n").alias("n2"), F.col("i").alias("i2"), *[F.col(f"m{k}").alias(f"o{k}") for k in range(MARKS)])
+    differ = " + ".join(f"bit_count(m{k} ^ o{k})" for k in range(MARKS))
+    met = left.join(right, "token").where(f"node < node2 AND comp <> comp2 AND 4 * n >= 3 * n2 AND 4 * n2 >= 3 * n AND 7 * least(n - i, n2 - i2) >= 3 * (n + n2) AND 7 * ({differ}) <= n + n2")
     return met.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
 
@@ -315,21 +390,40 @@ def join(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL_PA
         raise ValueError("the partition scheme covers similarities of 75 percent and more")
     rows = anchors.keyed(docs)
     buckets = 4 * shuffle_partitions(docs.sparkSession)
-    members = staged(rows.mapInArrow(lambda it: _members(it, n), "rid long, th int, n long, node long"), "members")
-    found = rows.select("text").mapInArrow(lambda it: _entries(it, n, buckets), "bucket int, block binary").repartition("bucket").select("bucket", "block")
-    found = staged(found.mapInArrow(lambda it: _candidates(it, all_pairs), "a long, b long").distinct(), "candidates")
-    pairs = found.where("a < b")
-    nodes = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
-    least = members.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("rid", "th")).alias("at")).join(nodes, "node").select("node", "at.rid", "at.th")
+    members = staged(rows.mapInArrow(lambda it: _members(it, n), "rid long, th int, n long, node long, bits binary"), "members")
+    nodes = members.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("rid", "th", "n", "bits")).alias("at")).select("node", "at.rid", "at.th", "at.n", "at.bits")
+    nodes = staged(nodes, "nodes")
+    found = rows.select("text").mapInArrow(lambda it: _entries(it, n, buckets), "bucket int, block binary, spares binary").repartition("bucket").select("bucket", "block", "spares")
+    found = staged(found.mapInArrow(lambda it: _candidates(it, all_pairs), "kind int, a long, b long"), "candidates")
+    pairs = staged(near(found.where(F.col("kind") == PAIR).select("a", "b").distinct(), nodes), "pairs")
+    # The same text in several tasks gives the same spare entries: the least is the number.
+    spare = found.where(F.col("kind") == SPARE).groupBy("a").agg(F.min("b").alias("spare"))
+    lost = found.where(F.col("kind") == LOST).groupBy("a").agg(F.sum("b").alias("lost"))
+    crowd = spare.join(lost, "a", "left").where(F.col("spare") < F.coalesce("lost", F.lit(0))).select(F.col("a").bitwiseAND(F.lit(-2)).alias("node")).distinct()
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(crowd).distinct()
+    least = nodes.join(wanted, "node").select("node", "rid", "th")
     sets = staged(anchors.with_texts(rows, least, "inner").select("node", "text").mapInArrow(lambda it: _sets(it, n), "node long, tokens binary"), "sets", "none")
     links = staged(verify(pairs, sets, percent), "links")
     roots = staged(components(links), "roots")
-    crowd = found.where("a = b").select(F.col("a").alias("node")).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))
-    more = verify(prefix_pairs(sets.join(crowd.hint("shuffle_hash"), "node")).join(pairs, ["a", "b"], "left_anti"), sets, percent)
-    roots = staged(components(links.unionByName(more)), "roots")
+    crowd = crowd.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))
+    more = near(prefix_pairs(sets.join(crowd.hint("shuffle_hash"), "node")).join(pairs, ["a", "b"], "left_anti"), nodes)
+    roots = staged(components(links.unionByName(verify(staged(more, "more"), sets, percent))), "roots")
     named = members.join(roots, "node", "left").select("rid", "n", F.coalesce("root", "node").alias("root"))
     named = staged(named, "named")
     first = named.where("root IS NOT NULL").groupBy("root").agg(F.min("rid").alias("first"))
     out = named.join(first, "root", "left").select("rid", "n", F.coalesce("first", "rid").alias("first"))
     real = lambda c: F.when(F.col(c) != anchors.NO_ID, F.col(c))
     return out.select(real("rid").alias("doc_id"), F.col("n").alias("n_shingles"), real("first").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, n: int = N, percent: int = 75) -> DataFrame:
+    """The documents, with all their columns, that are the least of their group; of repeated rows with that id one
+    stays. Documents without an id stay unless their group has a document with one."""
+    found = join(docs, n, percent)
+    least = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
+    kept = docs.join(least.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__id")))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    once = kept.where((F.col("__n") == 1) | F.col("__id").isNull()).select(*names)
+    again = kept.where((F.col("__n") > 1) & F.col("__id").isNotNull())
+    first = again.withColumn("__k", F.row_number().over(Window.partitionBy("__id").orderBy(F.xxhash64("text")))).where("__k = 1").select(*names)
+    return once.unionByName(first)
