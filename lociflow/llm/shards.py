@@ -211,6 +211,8 @@ def compacted(docs: DataFrame, arrivals: int = 8, target_bytes: int = TARGET_BYT
     table.compact()
     table.vacuum()
     live = sorted(table.shards(), key=lambda s: s.path)
+    if not live:
+        return docs.limit(0).select("*", F.lit(0).alias("shard"), F.lit(0).alias("level"), F.lit(0).cast("long").alias("shard_rows"))
     # One row for each shard; as many as the table has files, joined by size.
     names = spark.createDataFrame([(s.path.rpartition("/data/")[2], i, s.level, s.rows) for i, s in enumerate(live)], "path string, shard int, level int, shard_rows long")
     rows = table.read(schema=docs.schema).withColumn("__path", F.substring_index("_metadata.file_path", "/data/", -1))

@@ -6,7 +6,8 @@ all words of one length advance together: hashes of their substrings probe the s
 vectorised maximum over the pieces that end at a position stores a back-pointer. Known words are looked up.
 
 The segmentation is that of the unigram algorithm: the greatest sum of scores, of equal ones the one whose last
-piece starts first. For a model of the unigram type this is the library's own encoding. For one of the BPE type,
+piece starts first; sums are in double precision. For a model of the unigram type this is the library's own
+encoding, but for what that loses by summing whole texts in single precision. For one of the BPE type,
 whose scores are merge ranks, it is a valid encoding over the same pieces that may differ from the merge order;
 it decodes to the same text. Characters without a piece become byte pieces, or the unknown piece.
 
@@ -20,11 +21,12 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lociflow.llm._text import require, small_batches
 
@@ -222,12 +224,12 @@ class Encoder:
             at = np.minimum(np.searchsorted(m.key, h.ravel()), len(m.key) - 1).reshape(h.shape)
             hit = m.key[at] == h
             ids = np.where(hit, m.id[at], -1)
-            s = np.where(hit, m.score[ids], np.float32(-np.inf))
+            s = np.where(hit, m.score[ids].astype(np.float64), -np.inf)
             if length == 1:
                 ids, s = np.where(hit, ids, m.unknown), np.where(hit, s, m.unknown_score)
             piece.append(ids)
-            score.append(s.astype(np.float32))
-        best = np.zeros((n, size + 1), np.float32)
+            score.append(s)
+        best = np.zeros((n, size + 1))
         back = np.zeros((n, size + 1), np.int32)
         for j in range(1, size + 1):
             lengths = range(min(j, longest), 0, -1)
@@ -266,12 +268,15 @@ def decode(model: Model, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
     return [t[1:] if model.prefix and t[:1] == b" " else t for t in out]
 
 
-def encode(docs: DataFrame, path: str = MODEL, digest: bool = False) -> DataFrame:
-    """doc_id, n_pieces and ids (array of int), or with ``digest`` the SHA-256 of the ids as 32-bit little-endian
-    numbers and of the text decoded from them. The model is read once for each Python worker task from the bytes
+def encode(docs: DataFrame, path: str = MODEL, digest: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, the columns to keep, n_pieces and ids (array of int), or with ``digest`` the SHA-256 of the ids as
+    32-bit little-endian numbers and of the text decoded from them. The model is read once for each Python worker task from the bytes
     that travel with it; the file need only be on the driver."""
-    require(docs, "doc_id", "text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    require(docs, "doc_id", "text", *keep)
+    if set(keep) & {"doc_id", "text", "n_pieces", "ids"}:
+        raise ValueError("a column to keep clashes with the result")
+    front = ["doc_id", *keep]
+    kind = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in front)
     with open(path, "rb") as f:
         data = f.read()
     Model(data)  # a model that is not supported fails here
@@ -281,17 +286,17 @@ def encode(docs: DataFrame, path: str = MODEL, digest: bool = False) -> DataFram
         encoder = Encoder(model)
         for part, texts in small_batches(batches):
             ids, ends = encoder.encode(texts)
-            doc = part.column(part.schema.get_field_index("doc_id"))
+            own = [part.column(part.schema.get_field_index(c)) for c in front]
             count = pa.array(np.diff(ends), pa.int64())
             if digest:
                 raw = [hashlib.sha256(ids[a:b].astype("<i4").tobytes()).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
                 back = [hashlib.sha256(t).hexdigest() for t in decode(model, ids, ends)]
-                yield pa.RecordBatch.from_arrays([doc, count, pa.array(raw, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_pieces", "ids_sha256", "decoded_sha256"])
+                yield pa.RecordBatch.from_arrays([*own, count, pa.array(raw, pa.string()), pa.array(back, pa.string())], [*front, "n_pieces", "ids_sha256", "decoded_sha256"])
             else:
-                yield pa.RecordBatch.from_arrays([doc, count, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))], ["doc_id", "n_pieces", "ids"])
+                yield pa.RecordBatch.from_arrays([*own, count, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))], [*front, "n_pieces", "ids"])
 
     extra = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>"
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_pieces long, {extra}")
+    return docs.select(*[F.col(f"`{c}`") for c in front], "text").mapInArrow(run, f"{kind}, n_pieces long, {extra}")
 
 
 def decoded(encoded: DataFrame, path: str = MODEL) -> DataFrame:
