@@ -36,13 +36,11 @@ def stab(points: DataFrame, intervals: DataFrame, chrom: str = "chrom", pos: str
         return placed.join(listed, hit).drop("__levels", "__level", "__bin", "__chrom")
     if how not in ("left", "left_semi"):
         raise ValueError(f"how must be inner, left or left_semi, not {how}")
-    # A point has one row for each level here, so what keeps points is settled on the points themselves.
-    key = points.withColumn("__row", F.monotonically_increasing_id())
-    matched = stab(key, intervals, chrom, pos, start, end, width)
+    # What holds a point depends on its place alone, so it is settled once for each place.
+    hits = stab(points.select(chrom, pos).distinct(), intervals, chrom, pos, start, end, width)
     if how == "left_semi":
-        return key.join(matched.select("__row").distinct(), "__row", "left_semi").drop("__row")
-    extra = [c for c in intervals.columns if c != chrom]
-    return key.join(matched.select("__row", *extra), "__row", "left").drop("__row")
+        return points.join(hits.select(chrom, pos).distinct(), [chrom, pos], "left_semi")
+    return points.join(hits, [chrom, pos], "left")
 
 
 def stab_values(points: DataFrame, intervals: DataFrame, value: str, out: str, keys: list[str], **columns) -> DataFrame:
