@@ -107,4 +107,67 @@ OP6_SQL = """
 SELECT doc_id, strlen(text)::BIGINT AS n_bytes, sha256(text) AS text_sha256, lang, source, n_chars FROM documents
 """
 
-SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op6_sharding": OP6_SQL}
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS k FROM d
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), x AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM x JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 75 * (na.n + nb.n - common)
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
+"""
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), p AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, w FROM d
+), g AS (
+  SELECT doc_id, i, CASE WHEN i + 7 <= len(w) THEN md5_number(array_to_string(w[i:i + 7], ' ')) END AS k8, CASE WHEN i + 9 <= len(w) THEN md5_number(array_to_string(w[i:i + 9], ' ')) END AS k10, CASE WHEN i + 150 <= len(w) THEN md5_number(array_to_string(w[i:i + 150], ' ')) END AS k151 FROM p
+), c AS (
+  SELECT doc_id, i, (k8 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, k8) > 1)::INT AS r8, (k10 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, k10) > 1)::INT AS r10, (k151 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, k151) > 1)::INT AS r151 FROM g
+), v AS (
+  SELECT doc_id, r151, max(r8) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS c8, max(r10) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS c10 FROM c
+), o AS (
+  SELECT doc_id, sum(c8) AS n8, sum(c10) AS n10, max(r151) AS long FROM v GROUP BY doc_id
+), l AS (
+  SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d
+), m AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0)::BIGINT AS word_chars,
+         (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n8, 0)::BIGINT AS n_repeat_words, coalesce(n10, 0) AS n10, coalesce(long, 0) AS long
+  FROM d LEFT JOIN o USING (doc_id) JOIN l USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 4 * n10 > n_words OR long = 1) AS kept
+FROM m
+"""
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), p AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d
+), g AS (
+  SELECT doc_id, i, w[i] AS word, CASE WHEN i + 12 <= len(w) THEN array_to_string(w[i:i + 12], ' ') END AS k FROM p
+), f AS (
+  SELECT k, min(doc_id) AS least FROM g WHERE k IS NOT NULL GROUP BY k
+), m AS (
+  SELECT g.doc_id, g.i, g.word,
+         max(CASE WHEN f.least < g.doc_id THEN 1 ELSE 0 END) OVER (PARTITION BY g.doc_id ORDER BY g.i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+  FROM g LEFT JOIN f USING (k)
+), o AS (
+  SELECT doc_id, count(*) AS n_words, sum(gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (gone = 0), '') AS kept FROM m GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN o USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_jaccard_join": OP4_SQL, "op6_sharding": OP6_SQL, "op7_quality": OP7_SQL, "op10_substring_dedup": OP10_SQL}
