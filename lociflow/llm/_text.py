@@ -62,7 +62,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text", most: i
 class WordHashes(dict):
     """Word to its 64-bit hash; forgets when it has grown to a fixed number of words."""
 
-    MOST = 500_000
+    MOST = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:

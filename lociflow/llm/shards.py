@@ -201,19 +201,24 @@ class ShardTable:
 
 def compacted(docs: DataFrame, arrivals: int = 8, target_bytes: int = TARGET_BYTES, fan_in: int = FAN_IN) -> DataFrame:
     """Appends docs in so many arrivals, by a hash of doc_id, compacts the table and reads its newest version:
-    all columns, and for each row the shard that holds it and that shard's level and rows."""
+    all columns, and for each row the shard that holds it and that shard's level and rows (shard, level,
+    shard_rows; a name that docs has gets underscores appended)."""
     require(docs, "doc_id")
     spark = docs.sparkSession
-    if clash := {"shard", "level", "shard_rows"} & set(docs.columns):
-        raise ValueError(f"columns clash with the result: {', '.join(sorted(clash))}")
+    taken = {c.lower() for c in docs.columns}
+
+    def free(name: str) -> str:
+        return name if name.lower() not in taken else free(f"{name}_")
+
+    arrival, place, shard, level, rows_in = map(free, ("__arrival", "__path", "shard", "level", "shard_rows"))
     table = ShardTable(spark, new_path(spark, "shards"), target_bytes, fan_in)
-    table.append(docs.withColumn("__arrival", F.pmod(F.xxhash64("doc_id"), F.lit(arrivals)).cast("int")), "__arrival")
+    table.append(docs.withColumn(arrival, F.pmod(F.xxhash64("doc_id"), F.lit(arrivals)).cast("int")), arrival)
     table.compact()
     table.vacuum()
     live = sorted(table.shards(), key=lambda s: s.path)
     if not live:
-        return docs.limit(0).select("*", F.lit(0).alias("shard"), F.lit(0).alias("level"), F.lit(0).cast("long").alias("shard_rows"))
+        return docs.limit(0).select("*", F.lit(0).alias(shard), F.lit(0).alias(level), F.lit(0).cast("long").alias(rows_in))
     # One row for each shard; as many as the table has files, joined by size.
-    names = spark.createDataFrame([(s.path.rpartition("/data/")[2], i, s.level, s.rows) for i, s in enumerate(live)], "path string, shard int, level int, shard_rows long")
-    rows = table.read(schema=docs.schema).withColumn("__path", F.substring_index("_metadata.file_path", "/data/", -1))
-    return rows.join(names, F.col("__path") == F.col("path"), "left").drop("__path", "path")
+    names = spark.createDataFrame([(s.path.rpartition("/data/")[2], i, s.level, s.rows) for i, s in enumerate(live)], f"{place}_of string, {shard} int, {level} int, {rows_in} long")
+    rows = table.read(schema=docs.schema).withColumn(place, F.substring_index("_metadata.file_path", "/data/", -1))
+    return rows.join(names, F.col(place) == F.col(f"{place}_of"), "left").drop(place, f"{place}_of")

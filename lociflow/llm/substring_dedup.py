@@ -144,25 +144,22 @@ def _settle(e: dict[str, np.ndarray], split: int = anchors.SPLIT) -> dict[str, n
     return joined | {"value": anchors.pack(joined["start"], joined["count"], joined["kind"])}
 
 
-def _passages(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """The words of the runs that are to be compared."""
+def _passages(batches: Iterator[pa.RecordBatch], window: int, singly: bool) -> Iterator[pa.RecordBatch]:
+    """The words of the runs that are to be compared; with ``singly`` those of each of their windows."""
     hashes = WordHashes()
     for part, texts in small_batches(batches):
         cols = [part.column(part.schema.get_field_index(c)).to_pylist() for c in ("rid", "th", "asked")]
         rows: list[tuple] = []
         for rid, th, asked, text in zip(*cols, texts, strict=True):
             toks = np.fromiter(map(hashes.__getitem__, text.split()), np.uint64)
-            start, count, kind = anchors.unpack(np.array([a["value"] for a in asked], np.int64))
-            for s, c, k, a in zip(start.tolist(), count.tolist(), kind.tolist(), asked, strict=True):
-                if k == anchors.COMPARE:
-                    rows.append((a["gram"], rid, th, s, c, toks[s : s + c - 1 + window].tobytes()))
+            start, count, _ = anchors.unpack(np.array([a["value"] for a in asked], np.int64))
+            for s, c, a in zip(start.tolist(), count.tolist(), asked, strict=True):
+                if singly:
+                    rows += [(a["gram"], rid, th, w, 1, toks[w : w + window].tobytes()) for w in range(s, s + c)]
                 else:
-                    for w in range(s, s + c):
-                        body = toks[w : w + window]
-                        own = int(np.bitwise_xor.reduce(body * np.arange(1, 2 * window, 2, dtype=np.uint64)))
-                        rows.append((own - (1 << 64) if own >= 1 << 63 else own, rid, th, w, 1, body.tobytes()))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["shard", "rid", "th", "start", "count", "tokens"])
+                    rows.append((a["gram"], rid, th, s, c, toks[s : s + c - 1 + window].tobytes()))
+        for i in range(0, len(rows), 20_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 20_000], strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["shard", "rid", "th", "start", "count", "tokens"])
 
 
 def _match(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -244,10 +241,20 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
         return lambda texts: hashes.flat([t.split() for t in texts])
 
     found = staged(anchors.settle(anchors.index(rows, tokens, window, gram, _combine), lambda e: _settle(e, split)), "windows")
-    asked = found.where(anchors.kind() != anchors.REMOVE).groupBy("rid", "th").agg(F.collect_list(F.struct("value", "gram")).alias("asked"))
-    passages = anchors.with_texts(rows, asked, "inner").mapInArrow(lambda it: _passages(it, window), "shard long, rid long, th int, start long, count int, tokens binary")
-    matched = passages.repartition("shard").sortWithinPartitions("shard").mapInArrow(lambda it: _match(it, window), "rid long, th int, value long")
+    schema = "shard long, rid long, th int, start long, count int, tokens binary"
+
+    def passages(kind: int) -> DataFrame:
+        asked = found.where(anchors.kind() == kind).groupBy("rid", "th").agg(F.collect_list(F.struct("value", "gram")).alias("asked"))
+        return anchors.with_texts(rows, asked, "inner").mapInArrow(lambda it: _passages(it, window, kind == anchors.SINGLY), schema)
+
+    matched = passages(anchors.COMPARE).repartition("shard").sortWithinPartitions("shard").mapInArrow(lambda it: _match(it, window), "rid long, th int, value long")
     gone = found.where(anchors.kind() == anchors.REMOVE).select("rid", "th", "value").unionByName(matched)
+    if not found.where(anchors.kind() == anchors.SINGLY).isEmpty():
+        # Windows around a minimiser with too many texts for one shard: an aggregation, combined before its shuffle.
+        single = staged(passages(anchors.SINGLY), "single-windows")
+        least = single.groupBy("tokens").agg(F.min("rid").alias("least"))
+        later = single.join(least, "tokens").where(F.col("rid") > F.col("least"))
+        gone = gone.unionByName(later.select("rid", "th", (F.shiftleft(F.col("start"), 24) + (1 << 4) + anchors.REMOVE).alias("value")))
     full = anchors.with_texts(rows, anchors.per_document(gone, "gone"), "left")
     full = full.select(F.when(F.col("rid") != anchors.NO_ID, F.col("rid")).alias("doc_id"), "text", "gone")
     return full.mapInArrow(lambda it: _cut(it, window), "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")

@@ -46,3 +46,9 @@ def test_compacted_keeps_every_row(spark):
     assert multiset(tuple(r)[:8] for r in got) == multiset(rows)
     assert all(r.shard is not None and r.shard_rows > 0 for r in got)
     assert shards.compacted(frame(spark, [])).count() == 0
+
+
+def test_clashing_names(spark):
+    docs = frame(spark, documents(3)).withColumnRenamed("n_words", "shard").withColumnRenamed("rid", "level_")
+    out = shards.compacted(docs, arrivals=2)
+    assert out.columns == [*docs.columns, "shard_", "level", "shard_rows"] and out.where("shard_ IS NULL").count() == 0
