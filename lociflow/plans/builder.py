@@ -45,7 +45,7 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     effect = stages.run("all_site_variant_effects", lambda: effects.variant_effects(single, windows_genome, c.k, embed))
     csv("all_site_variant_effect", sites.in_order(effect.select("chrom", "pos", "site_id", "var_effect")))
 
-    found = gff.intervals(gff.merged(gff.read(spark, c.gff3_path, c.gff3_feature)) if c.use_gffutils else gff.read(spark, c.gff3_path, c.gff3_feature))
+    found = gff.intervals(gff.merged(gff.read_cached(spark, c.gff3_path, c.gff3_feature, f"{c.outdir}/annotation")) if c.use_gffutils else gff.read(spark, c.gff3_path, c.gff3_feature))
     wanted = tables.first_column(tables.text_table(spark, c.gene_list_path), "gene_id") if c.gene_list_path else None
     in_gene = stages.run("gene_sites", lambda: sites.gene_subset(sites.map_to_genes(chosen, sites.extend_genes(found, c.ext_len)), wanted))
     if in_gene.isEmpty():

@@ -65,6 +65,8 @@ def run(spark: SparkSession, c: ClassifierConfig) -> dict:
     kept = spark.read.parquet(f"{c.outdir}/variant_sequences.parquet")
     sinks.save_csv(labels.class_counts(kept, "variant_type").orderBy("variant_type"), f"{c.outdir}/label_distribution.tsv", "\t")
     rows, task, names = labels.prepare_labels(kept, "variant_type", c.task_type, c.positive_class)
+    sinks.save_csv(kept, f"{c.outdir}/variant_sequences.tsv", "\t")
+    sinks.save_csv(rows.select("site_id", "variant_type", F.col("y").alias("label_id")), f"{c.outdir}/labels.tsv", "\t")
     table = feature_rows(kept, CachedEmbedder(c.embedder, f"{c.outdir}/embeddings", **(c.embedder_options or {})), c.feature_type)
     table.join(rows.select("site_id", "y"), "site_id").write.mode("overwrite").parquet(f"{c.outdir}/features.parquet")
     data = spark.read.parquet(f"{c.outdir}/features.parquet")
@@ -80,6 +82,7 @@ def run(spark: SparkSession, c: ClassifierConfig) -> dict:
         predicted, folds = models.cross_validate(data, "site_id", c.model_type, task, len(names), c.folds, c.seed, **options)
         folds.write.mode("overwrite").parquet(f"{c.outdir}/fold_metrics.parquet")
         folds = spark.read.parquet(f"{c.outdir}/fold_metrics.parquet")
+        sinks.save_csv(folds.orderBy("fold"), f"{c.outdir}/fold_metrics.tsv", "\t")
         summary["metrics"] = {r["metric"]: {"mean": r["mean"], "std": r["std"]} for r in metrics.fold_summary(folds, [x for x in folds.columns if x != "fold"]).collect()}
     predicted.write.mode("overwrite").parquet(f"{c.outdir}/predictions.parquet")
     predicted = spark.read.parquet(f"{c.outdir}/predictions.parquet")
@@ -87,7 +90,7 @@ def run(spark: SparkSession, c: ClassifierConfig) -> dict:
     ids = spark.createDataFrame([(i,) for i in range(len(names))], "label int")
     sinks.save_csv(metrics.confusion_matrix(predicted, ids).orderBy("label_true", "label_pred"), f"{c.outdir}/confusion_matrix.tsv", "\t")
     report = [r.asDict() for r in metrics.class_report(predicted).collect()]
-    sinks.save_json({"report": sinks.report_text(report, names)}, f"{c.outdir}/classification_report.json")
+    sinks.save_text(sinks.report_text(report, names), f"{c.outdir}/classification_report.txt")
     if mode == "holdout" and task == "binary":
         summary["curves"] = sinks.plot_curves(metrics.roc_points(predicted), metrics.pr_points(predicted), c.outdir)
     sinks.save_json(summary, f"{c.outdir}/metrics.json")

@@ -61,6 +61,8 @@ def run(spark: SparkSession, c: SimulatorConfig, predict: Predict | None = None)
     rows = simulate.combinations(spark, base, c.sample_id, features, mutable, effects).unionByName(simulate.observed(genotype, features, effects, c.sample_id))
     # A group for each place the sample was grown at: a handful of rows.
     scored = predict(rows.crossJoin(F.broadcast(groups)), features)
+    own.join(F.broadcast(groups.select("group_id", "location_label", *locations)), locations).write.mode("overwrite").partitionBy("group_id").parquet(f"{c.outdir}/observed_rows.parquet")
+    sinks.try_parquet(rows, f"{c.outdir}/prediction_features.parquet")
     ranked = simulate.rank_predictions(scored.drop("features"), c.rank_order == "desc").select("group_id", "location_label", "row_count", "actual_value_mean", *simulate.META, "predicted_phenotype", "rank")
     ranked.write.mode("overwrite").partitionBy("group_id").parquet(f"{c.outdir}/ranking.parquet")
     ranked = spark.read.parquet(f"{c.outdir}/ranking.parquet")

@@ -39,6 +39,19 @@ def read(spark: SparkSession, path: str, wanted: str | Sequence[str] = "gene") -
     return features(records(spark.read.text(path)), wanted)
 
 
+def read_cached(spark: SparkSession, path: str, wanted: str | Sequence[str] = "gene", cache: str | None = None, force_rebuild: bool = False) -> DataFrame:
+    """read from a Parquet copy of the records, by default beside the file, that is made anew when the file has
+    changed or is asked to."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    copy = f"{cache or path + '.records'}/{status.getLen()}-{status.getModificationTime()}"
+    done = jvm.org.apache.hadoop.fs.Path(f"{copy}/_SUCCESS")
+    if force_rebuild or not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        records(spark.read.text(path)).write.mode("overwrite").parquet(copy)
+    return features(spark.read.parquet(copy), wanted)
+
+
 def merged(rows: DataFrame) -> DataFrame:
     """features with those of one id and type as one: the outermost bounds and the first of the other labels, as
     a feature database keeps them. Features without an id stay as they are."""

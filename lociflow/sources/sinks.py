@@ -75,6 +75,11 @@ def save_json(content: Mapping, path: str) -> None:
     Path(path).write_text(json.dumps(content, indent=2, ensure_ascii=False, default=str))
 
 
+def save_text(content: str, path: str) -> None:
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(content, encoding="utf-8")
+
+
 def report_text(report: Sequence[Mapping], names: Sequence[str]) -> str:
     """Precision, recall, F1 and support of each class as text."""
     width = max([5, *map(len, names)])

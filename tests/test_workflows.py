@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lociflow.embed import registry
 from lociflow.embed.cache import CachedEmbedder
-from lociflow.plans import builder, classifier, simulator
+from lociflow.plans import builder, classifier, phenotypes, simulator
 from lociflow.sources import config, fasta, gff, tables, vcf
 
 SEQ = {"chr1": "".join(random.Random(1).choices("ACGT", k=400)), "chr_2": "".join(random.Random(2).choices("acgt", k=300))}
@@ -142,3 +142,19 @@ def test_site_table_names(spark):
     assert [tuple(r) for r in tables.site_table(df).collect()] == [("Chr1", 5, "A", "G", "t")]
     with pytest.raises(Exception, match="whole position"):
         tables.site_table(df.withColumn("Pos", F.lit("5.5"))).collect()
+
+
+def test_annotation_copy_follows_the_file(spark, tmp_path):
+    f = tmp_path / "a.gff"
+    f.write_text("c1\tx\tgene\t1\t9\t.\t+\t.\tID=g;Name=n\nc1\tx\tgene\t5\t20\t.\t+\t.\tID=g\n")
+    rows = gff.merged(gff.read_cached(spark, str(f))).collect()
+    assert [(r.id, r.start, r.end) for r in rows] == [("g", 1, 20)]
+    f.write_text("c1\tx\tgene\t3\t4\t.\t+\t.\tID=h\n")
+    assert [r.id for r in gff.read_cached(spark, str(f)).collect()] == ["h"]
+
+
+def test_phenotype_tables(spark, tmp_path):
+    sheet = spark.createDataFrame([("a", 1.0, 2.0)], "sample string, SPY_2019_x double, TGW_2019_y double")
+    out = phenotypes.run(sheet, str(tmp_path), ["SPY", "TGW"], "1")
+    got = tables.phenotypes(tables.text_table(spark, out["SPY"])).drop("ord").first()
+    assert out["SPY"].endswith("SPY_1.csv") and tuple(got) == ("a", 1.0, 1)
