@@ -9,8 +9,8 @@ have equal minimisers at equal offsets. Three rounds settle each run:
    each text is asked for its tokens.
 3. *Compare.* The tokens asked for are compared window by window by the operator's own structure.
 
-A minimiser with more than ``SPLIT`` different texts is asked for single windows, which an aggregation compares
-(combined before its shuffle), so that no task gathers them. A document is known by its id and a hash of its text, so repeated ids keep apart; a null id
+A minimiser with more than ``SPLIT`` different texts is asked for single windows, dealt by window or compared by an
+aggregation, so that no task gathers them. A document is known by its id and a hash of its text, so repeated ids keep apart; a null id
 stands for the largest number.
 """
 
