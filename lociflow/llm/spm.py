@@ -97,6 +97,9 @@ class Model:
         key = np.array([_hash_text(p) for p, _ in words], np.uint64)
         o = np.argsort(key)
         self.key, self.id = key[o], np.array([i for _, i in words])[o]
+        #: Which top bits of a hash any key has: most substrings are no piece and are told so without a search.
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[self.key >> np.uint64(44)] = True
         if (self.key[1:] == self.key[:-1]).any():
             raise ValueError("two pieces share a hash")
         #: Whether no piece reaches from a word into the next one's space, or across a line feed.
@@ -130,6 +133,17 @@ def load(path: str = MODEL) -> Model:
         return Model(f.read())
 
 
+class _Spaced(dict):
+    """Numbers of words by what follows their single space."""
+
+    def __init__(self, number) -> None:
+        self.number = number
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = self.number(b" " + word)
+        return n
+
+
 class Encoder:
     """Encodes texts; remembers the pieces of words."""
 
@@ -139,7 +153,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.words: dict[bytes, int] = {}
-        self.spaced: dict[bytes, int] = {}
+        self.spaced = _Spaced(self._number)
         self.ids = np.zeros(0, np.int32)
         self.ends = np.zeros(1, np.int64)
         self.new: list[bytes] = []
@@ -161,7 +175,7 @@ class Encoder:
         if not self.model.by_word:
             return [self._number(text)]
         out: list[int] = []
-        spaced, number = self.spaced, self._number
+        spaced, number = self.spaced.__getitem__, self._number
         for i, line in enumerate(text.split(b"\n")):
             if i:
                 out.append(number(b"\n"))
@@ -171,11 +185,7 @@ class Encoder:
             parts = line.split(b" ")
             if parts[0]:
                 out.append(number(parts[0]))
-            for w in parts[1:]:
-                n = spaced.get(w)
-                if n is None:
-                    n = spaced[w] = number(b" " + w)
-                out.append(n)
+            out += map(spaced, parts[1:])
         return out
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -199,21 +209,24 @@ class Encoder:
         if not self.new:
             return
         words = [w.decode("utf-8", "replace").replace(" ", SPACE) for w in self.new]
-        found: list[list[int]] = [[]] * len(words)
         by_size: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             by_size.setdefault(len(w), []).append(i)
+        row, ids = [], []
         for size, members in by_size.items():
             step = max(1, MOST_CELLS // (size * min(size, self.model.longest)))
             for a in range(0, len(members), step):
-                for i, ids in zip(members[a : a + step], self.viterbi([words[i] for i in members[a : a + step]]), strict=True):
-                    found[i] = ids
-        self.ids = np.concatenate([self.ids, np.array([x for f in found for x in f], np.int32)])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(f) for f in found])])
+                part = members[a : a + step]
+                r, x = self.viterbi([words[i] for i in part])
+                row.append(np.array(part)[r])
+                ids.append(x)
+        row, ids = np.concatenate(row), np.concatenate(ids)
+        self.ids = np.concatenate([self.ids, ids[np.argsort(row, kind="stable")].astype(np.int32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.bincount(row, minlength=len(words)))])
         self.new = []
 
-    def viterbi(self, words: list[str]) -> list[list[int]]:
-        """Best pieces of words of one length."""
+    def viterbi(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Best pieces of words of one length: word numbers and piece ids, word by word in order."""
         m, n, size = self.model, len(words), len(words[0])
         code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size).astype(np.uint64) + np.uint64(1)
         longest = min(size, m.longest)
@@ -221,39 +234,45 @@ class Encoder:
         h = np.zeros((n, size), np.uint64)
         for length in range(1, longest + 1):
             h = h[:, : size - length + 1] * _BASE + code[:, length - 1 :]
-            at = np.minimum(np.searchsorted(m.key, h.ravel()), len(m.key) - 1).reshape(h.shape)
-            hit = m.key[at] == h
-            ids = np.where(hit, m.id[at], -1)
-            s = np.where(hit, m.score[ids].astype(np.float64), -np.inf)
-            if length == 1:
-                ids, s = np.where(hit, ids, m.unknown), np.where(hit, s, m.unknown_score)
+            ids = np.full(h.shape, m.unknown if length == 1 else -1)
+            s = np.full(h.shape, float(m.unknown_score) if length == 1 else -np.inf)
+            some = np.nonzero(m.maybe[h >> np.uint64(44)])
+            probe = h[some]
+            at = np.minimum(np.searchsorted(m.key, probe), len(m.key) - 1)
+            hit = m.key[at] == probe
+            some, at = tuple(x[hit] for x in some), at[hit]
+            ids[some] = m.id[at]
+            s[some] = m.score[m.id[at]]
             piece.append(ids)
             score.append(s)
         best = np.zeros((n, size + 1))
         back = np.zeros((n, size + 1), np.int32)
         for j in range(1, size + 1):
-            lengths = range(min(j, longest), 0, -1)
-            ways = np.stack([best[:, j - k] + score[k - 1][:, j - k] for k in lengths])
+            # From the longest piece down: the maximum takes the first of equals.
+            ways = np.stack([best[:, j - k] + score[k - 1][:, j - k] for k in range(min(j, longest), 0, -1)])
             pick = ways.argmax(0)
             best[:, j] = ways[pick, np.arange(n)]
             back[:, j] = min(j, longest) - pick
-        rows: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        at = np.full(n, size)
-        live = np.arange(n)
+        flat = np.concatenate([p.ravel() for p in piece])
+        offset = np.cumsum([0, *(p.size for p in piece)])
+        row, start, ids = [], [], []
+        at, live = np.full(n, size), np.arange(n)
         while len(live):
-            k = back[live, at[live]]
+            k = back[live, at[live]].astype(np.int64)
             at[live] -= k
-            for r, a, b in zip(live.tolist(), at[live].tolist(), k.tolist(), strict=True):
-                rows[r].append((a, b))
+            row.append(live)
+            start.append(at[live])
+            ids.append(flat[offset[k - 1] + live * (size - k + 1) + at[live]])
             live = live[at[live] > 0]
-        out = []
-        for r, word in enumerate(words):
-            ids: list[int] = []
-            for a, k in reversed(rows[r]):
-                i = int(piece[k - 1][r, a])
-                ids += [int(m.bytes_[b]) for b in word[a].encode("utf-8", "surrogatepass")] if i == m.unknown and m.fallback else [i]
-            out.append(ids)
-        return out
+        row, start, ids = np.concatenate(row), np.concatenate(start), np.concatenate(ids)
+        o = np.lexsort((start, row))
+        row, start, ids = row[o], start[o], ids[o]
+        if m.fallback and (ids == m.unknown).any():
+            # An unknown character gives way to the pieces of its bytes.
+            raw = [[int(m.bytes_[b]) for b in words[r][a].encode("utf-8", "surrogatepass")] if i == m.unknown else [i] for r, a, i in zip(row.tolist(), start.tolist(), ids.tolist(), strict=True)]
+            row = np.repeat(row, [len(x) for x in raw])
+            ids = np.array([i for x in raw for i in x])
+        return row, ids
 
 
 def decode(model: Model, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
