@@ -33,6 +33,8 @@ FAN_IN = 4
 TIER = 4
 #: Merges that the driver submits at a time; each is a job of its own.
 AT_ONCE = 8
+#: Shards up to which their list is sent to every task.
+MOST_BROADCAST = 20_000
 
 
 @dataclass(frozen=True)
@@ -218,7 +220,8 @@ def compacted(docs: DataFrame, arrivals: int = 8, target_bytes: int = TARGET_BYT
     live = sorted(table.shards(), key=lambda s: s.path)
     if not live:
         return docs.limit(0).select("*", F.lit(0).alias(shard), F.lit(0).alias(level), F.lit(0).cast("long").alias(rows_in))
-    # One row for each shard; as many as the table has files, joined by size.
+    # One row for each shard; their number is known here, and a few thousand may go to every task.
     names = spark.createDataFrame([(s.path.rpartition("/data/")[2], i, s.level, s.rows) for i, s in enumerate(live)], f"{place}_of string, {shard} int, {level} int, {rows_in} long")
     rows = table.read(schema=docs.schema).withColumn(place, F.substring_index("_metadata.file_path", "/data/", -1))
+    names = F.broadcast(names) if len(live) <= MOST_BROADCAST else names
     return rows.join(names, F.col(place) == F.col(f"{place}_of"), "left").drop(place, f"{place}_of")
