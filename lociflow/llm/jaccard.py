@@ -384,13 +384,23 @@ def prefix_pairs(sets: DataFrame) -> DataFrame:
     return met.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
 
+def _one_text(rows: DataFrame, least: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, text), one row for each node: its row (rid, th) may stand in the table more than once. Only such rows
+    are shuffled to drop the others; most tables have none."""
+    again = staged(members.where("node IS NOT NULL").groupBy("rid", "th").count().where("count > 1").select("rid", "th"), "again")
+    if again.isEmpty():
+        return anchors.with_texts(rows, least, "inner").select("node", "text")
+    once, several = (anchors.with_texts(rows, least.join(again, ["rid", "th"], how), "inner").select("node", "text") for how in ("left_anti", "left_semi"))
+    return once.unionByName(several.dropDuplicates(["node"]))
+
+
 def join(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL_PAIRS) -> DataFrame:
     """doc_id, n_shingles, component_id: the least doc_id that links reach from the document."""
     if percent < 75:
         raise ValueError("the partition scheme covers similarities of 75 percent and more")
-    rows = anchors.keyed(docs)
+    rows = anchors.keyed(docs).withColumn("th", F.xxhash64("text"))  # 32 bits are few for the texts of all null ids
     buckets = 4 * shuffle_partitions(docs.sparkSession)
-    members = staged(rows.mapInArrow(lambda it: _members(it, n), "rid long, th int, n long, node long, bits binary"), "members")
+    members = staged(rows.mapInArrow(lambda it: _members(it, n), "rid long, th long, n long, node long, bits binary"), "members")
     nodes = members.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("rid", "th", "n", "bits")).alias("at")).select("node", "at.rid", "at.th", "at.n", "at.bits")
     nodes = staged(nodes, "nodes")
     found = rows.select("text").mapInArrow(lambda it: _entries(it, n, buckets), "bucket int, block binary, spares binary").repartition("bucket").select("bucket", "block", "spares")
@@ -402,7 +412,7 @@ def join(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL_PA
     crowd = spare.join(lost, "a", "left").where(F.col("spare") < F.coalesce("lost", F.lit(0))).select(F.col("a").bitwiseAND(F.lit(-2)).alias("node")).distinct()
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(crowd).distinct()
     least = nodes.join(wanted, "node").select("node", "rid", "th")
-    sets = staged(anchors.with_texts(rows, least, "inner").select("node", "text").mapInArrow(lambda it: _sets(it, n), "node long, tokens binary"), "sets", "none")
+    sets = staged(_one_text(rows, least, members).mapInArrow(lambda it: _sets(it, n), "node long, tokens binary"), "sets", "none")
     links = staged(verify(pairs, sets, percent), "links")
     roots = staged(components(links), "roots")
     crowd = crowd.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))

@@ -112,6 +112,21 @@ def test_near_copies_of_one_text(spark):
     assert multiset(jaccard.join(frame(spark, rows), all_pairs=4).collect()) == linked(rows)
 
 
+def test_repeated_rows_give_one_set(spark, monkeypatch):
+    """Prefix filtering counts the tokens of a set's rows, so it must see each set once."""
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for k in range(40):
+        w = list(base)
+        w[(k * 5) % 200] = f"c{k}"
+        rows += [(k if k % 3 else None, " ".join(w), *[None] * 6)] * (1 + k % 4)
+    seen = []
+    real = jaccard.prefix_pairs
+    monkeypatch.setattr(jaccard, "prefix_pairs", lambda sets: (seen.extend(r.node for r in sets.select("node").collect()), real(sets))[1])
+    assert multiset(jaccard.join(frame(spark, rows), all_pairs=4).collect()) == linked(rows)
+    assert seen and len(seen) == len(set(seen))
+
+
 def test_keep_one(spark):
     rows = documents(4)
     want = {c for _, _, c in linked(rows)}
