@@ -394,8 +394,9 @@ def _one_text(rows: DataFrame, least: DataFrame, members: DataFrame) -> DataFram
     return once.unionByName(several.dropDuplicates(["node"]))
 
 
-def join(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL_PAIRS) -> DataFrame:
-    """doc_id, n_shingles, component_id: the least doc_id that links reach from the document."""
+def grouped(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL_PAIRS) -> DataFrame:
+    """rid, th, n, root: of each row its key (a null id is NO_ID; the text's hash), the size of its set and its group,
+    which is null for an empty set."""
     if percent < 75:
         raise ValueError("the partition scheme covers similarities of 75 percent and more")
     rows = anchors.keyed(docs).withColumn("th", F.xxhash64("text"))  # 32 bits are few for the texts of all null ids
@@ -418,8 +419,13 @@ def join(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL_PA
     crowd = crowd.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))
     more = near(prefix_pairs(sets.join(crowd.hint("shuffle_hash"), "node")).join(pairs, ["a", "b"], "left_anti"), nodes)
     roots = staged(components(links.unionByName(verify(staged(more, "more"), sets, percent))), "roots")
-    named = members.join(roots, "node", "left").select("rid", "n", F.coalesce("root", "node").alias("root"))
-    named = staged(named, "named")
+    named = members.join(roots, "node", "left").select("rid", "th", "n", F.coalesce("root", "node").alias("root"))
+    return staged(named, "named")
+
+
+def join(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL_PAIRS) -> DataFrame:
+    """doc_id, n_shingles, component_id: the least doc_id that links reach from the document."""
+    named = grouped(docs, n, percent, all_pairs)
     first = named.where("root IS NOT NULL").groupBy("root").agg(F.min("rid").alias("first"))
     out = named.join(first, "root", "left").select("rid", "n", F.coalesce("first", "rid").alias("first"))
     real = lambda c: F.when(F.col(c) != anchors.NO_ID, F.col(c))
@@ -427,13 +433,16 @@ def join(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL_PA
 
 
 def keep_one(docs: DataFrame, n: int = N, percent: int = 75) -> DataFrame:
-    """The documents, with all their columns, that are the least of their group; of repeated rows with that id one
-    stays. Documents without an id stay unless their group has a document with one."""
-    found = join(docs, n, percent)
-    least = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
-    kept = docs.join(least.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__id")))
+    """The documents, with all their columns, that are the least of their group by id and then by the text's hash: one
+    for each group, without an id only if the whole group has none. An empty set is a group of its own; its repeated
+    rows with an id count once."""
+    texts = grouped(docs, n, percent).groupBy("rid", "th").agg(F.first("root").alias("root"), F.count("*").alias("k"))
+    least = texts.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("rid", "th", "k")).alias("at")).select("at.*")
+    alone = texts.where("root IS NULL").select("rid", "th", F.when(F.col("rid") == anchors.NO_ID, F.lit(1)).otherwise(F.col("k")).alias("k"))
+    least = least.unionByName(alone).select(*[F.col(c).alias(f"__{c}") for c in ("rid", "th", "k")])
+    rid = F.coalesce(F.col("doc_id").cast("long"), F.lit(anchors.NO_ID))
+    kept = docs.join(least.hint("shuffle_hash"), (rid == F.col("__rid")) & (F.xxhash64("text") == F.col("__th")))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    once = kept.where((F.col("__n") == 1) | F.col("__id").isNull()).select(*names)
-    again = kept.where((F.col("__n") > 1) & F.col("__id").isNotNull())
-    first = again.withColumn("__k", F.row_number().over(Window.partitionBy("__id").orderBy(F.xxhash64("text")))).where("__k = 1").select(*names)
+    once = kept.where("__k = 1").select(*names)
+    first = kept.where("__k > 1").withColumn("__i", F.row_number().over(Window.partitionBy("__rid", "__th").orderBy("__k"))).where("__i = 1").select(*names)
     return once.unionByName(first)

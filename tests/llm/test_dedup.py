@@ -135,6 +135,15 @@ def test_keep_one(spark):
     assert sorted(ids) == sorted(c for c in want if c is not None)
 
 
+def test_keep_one_of_each_group(spark):
+    """Texts of one id in several groups, a near copy under the same id, groups without any id."""
+    say = lambda k, end="": " ".join(f"g{k}w{i}" for i in range(60)) + end
+    rows = [(1, say(0)), (1, say(1)), (1, say(1, " x")), (2, say(1, " y")), (3, say(2)), (3, say(2)), (None, say(2)), (None, say(3)), (None, say(3)), (None, say(3, " z")), (None, say(4)), (4, ""), (4, ""), (None, ""), (None, "")]
+    kept = jaccard.keep_one(frame(spark, [(*r, *[None] * 6) for r in rows])).collect()
+    assert sorted((r.text.split()[0][:2], r.doc_id or 0) for r in kept if r.text) == [("g0", 1), ("g1", 1), ("g2", 3), ("g3", 0), ("g4", 0)]
+    assert sorted(r.doc_id or 0 for r in kept if not r.text) == [0, 0, 4]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, 101), (101, 102), (102, 100), (50, 50)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
