@@ -1,6 +1,6 @@
 import pytest
 
-from lociflow.llm import shards
+from lociflow.llm import queries, shards
 from tests.llm.data import documents, frame, multiset
 
 
@@ -52,3 +52,18 @@ def test_clashing_names(spark):
     docs = frame(spark, documents(3)).withColumnRenamed("n_words", "shard").withColumnRenamed("rid", "level_")
     out = shards.compacted(docs, arrivals=2)
     assert out.columns == [*docs.columns, "shard_", "level", "shard_rows"] and out.where("shard_ IS NULL").count() == 0
+
+
+def test_rows_name_the_shards_of_the_manifest(spark, tmp_path, monkeypatch):
+    """The registered query's table, with the production target: each row stands in the shard that it names."""
+    docs = frame(spark, documents(3))
+    docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    made, real = [], shards.compacted
+    monkeypatch.setattr(shards, "new_path", lambda spark, name: f"file://{tmp_path}/t")
+    monkeypatch.setattr(shards, "compacted", lambda *a, **k: made.append((k.get("target_bytes", shards.TARGET_BYTES), real(*a, **k))) or made[-1][1])
+    assert queries.op6_sharding(spark, str(tmp_path)).count() == docs.count()
+    (target, out), live = made[0], sorted(table(spark, tmp_path).shards(), key=lambda x: x.path)
+    assert target == 128 << 20
+    got = out.groupBy("shard", "level", "shard_rows").count().collect()
+    assert sorted(tuple(r) for r in got) == [(i, x.level, x.rows, x.rows) for i, x in enumerate(live)]
+    assert max(x.level for x in live) > 0
