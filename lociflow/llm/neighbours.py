@@ -2,8 +2,8 @@
 
 A neighbour graph over a bounded sample is cut into balanced parts with few edges between them, and a small
 network learns to tell a vector's part from the vector. Every row is indexed under its most probable part; a query
-goes to the several parts that are most probable for it, as many as the sample needs for its recall, and all rows
-found there are ranked by their exact distance. Parts are searched in blocks of rows and queries, so neither a
+goes to the several parts that are most probable for it, as many as the sample needs for its recall and as its k
+neighbours need for room, and all rows found there are ranked by their exact distance. Parts are searched in blocks of rows and queries, so neither a
 part of any size nor a vector that a third of the table repeats gathers in one task.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those
@@ -178,6 +178,16 @@ def _route(batches: Iterator[pa.RecordBatch], router: Router, depth: int) -> Ite
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(router.parts(_matrix(b.column(1)))[:, :depth].tolist(), pa.list_(pa.int32()))], ["id", "vec", "parts"])
 
 
+def _ask(batches: Iterator[pa.RecordBatch], router: Router, depth: int, size: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    """As _route, from (id, vec, own): a route goes on until its parts hold k rows besides the query's own."""
+    for b in batches:
+        if len(b):
+            order = router.parts(_matrix(b.column(1)))
+            own = b.column(2).to_numpy(zero_copy_only=False)
+            enough = (np.cumsum(size[order], 1) < (own + k)[:, None]).sum(1) + 1
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([o[:n] for o, n in zip(order.tolist(), np.maximum(enough, depth).tolist(), strict=True)], pa.list_(pa.int32()))], ["id", "vec", "parts"])
+
+
 def _block(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
     """Ranks a block of rows for a block of queries: candidates by matrix product, then exact distances."""
     rows = [np.concatenate([c.to_numpy(zero_copy_only=False) for c in t.column("id").chunks]) if len(t) else np.zeros(0, np.int64) for t in (left, right)]
@@ -204,7 +214,8 @@ def _block(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
 
 def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", parts: int = PARTS, probes: int | None = None, seed: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: of each query row its k nearest other rows that the route finds. ``probes``
-    overrides how many parts a query visits; with all of them the search is exact."""
+    overrides how many parts a query visits; with all of them the search is exact. Where these hold fewer than k other
+    rows, the query visits further ones."""
     require(rows, id_col, vec_col)
     spark = rows.sparkSession
     clean = rows.where(usable(vec_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"), is_query.alias("asks"))
@@ -215,7 +226,12 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id
     routed = clean.where(F.size("vec") == router.dim)
     schema = "id long, vec array<double>, parts array<int>"
     index = staged(routed.select("id", "vec").mapInArrow(lambda it: _route(it, router, 1), schema).select("id", "vec", F.col("parts")[0].alias("part")), "index")
-    asked = routed.where("asks").select("id", "vec").mapInArrow(lambda it: _route(it, router, depth), schema).select("id", "vec", F.explode("parts").alias("part"))
+    size = np.zeros(router.b2.shape[0], np.int64)
+    for r in index.groupBy("part").count().collect():
+        size[r["part"]] = r["count"]
+    repeated = index.groupBy("id").agg(F.count("*").alias("own")).where("own > 1")
+    asks = routed.where("asks").select("id", "vec").join(repeated, "id", "left").select("id", "vec", F.coalesce("own", F.lit(1)).alias("own"))
+    asked = asks.mapInArrow(lambda it: _ask(it, router, depth, size, k), schema).select("id", "vec", F.explode("parts").alias("part"))
     asked = staged(asked, "asked")
     # Blocks of each part; the table has as many rows as there are parts.
     n_rows = index.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("row_blocks"))

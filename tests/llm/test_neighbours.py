@@ -53,6 +53,22 @@ def test_few_rows(spark):
     assert neighbours.search(spark.createDataFrame(BAD[:5], SCHEMA), F.col("vec_id") == 0).count() == 0
 
 
+def test_routes_go_on_where_parts_are_small(spark, monkeypatch):
+    """The first part of two holds fewer than k other rows than the query's."""
+    w1, w2 = np.zeros((2, 1)), np.array([[5.0, -5.0]])
+    w1[0, 0] = 1.0
+    monkeypatch.setattr(neighbours, "fit", lambda *a: neighbours.Router(np.zeros(2), np.ones(2), w1, np.zeros(1), w2, np.zeros(2), 1, 2))
+    for small in (4, 10):
+        rows = [(i, [1.0 if i < small else -1.0, float(i)]) for i in range(40)]
+        got = neighbours.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0).orderBy("rank").collect()
+        want = brute(rows, lambda i: i == 0)[0]
+        assert [(r["rank"], r.vec_id, r.score) for r in got] == [(i + 1, *f) for i, f in enumerate(want)]
+    # Rows of the query's own id are no candidates: 11 rows of the part leave 8.
+    rows += [(0, [1.0, 0.5])] * 2
+    got = neighbours.search(spark.createDataFrame([(i, [1.0 if i < 9 else -1.0, v[1]]) for i, v in rows], SCHEMA), (F.col("vec_id") == 0) & (F.col("embedding")[1] == 0)).collect()
+    assert len(got) == 10 and {r.vec_id for r in got} > set(range(1, 9))
+
+
 def test_parts_are_balanced():
     x = np.array([r[1] for r in vectors(1200)], float)[400:]
     label = neighbours.balanced_parts(x, neighbours.exact_neighbours(x, x, 10, np.arange(len(x))), 8)
