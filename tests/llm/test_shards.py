@@ -1,4 +1,7 @@
+from itertools import accumulate
+
 import pytest
+from pyspark.sql import functions as F
 
 from lociflow.llm import queries, shards
 from tests.llm.data import documents, frame, multiset
@@ -51,7 +54,7 @@ def test_compacted_keeps_every_row(spark):
 def test_clashing_names(spark):
     docs = frame(spark, documents(3)).withColumnRenamed("n_words", "shard").withColumnRenamed("rid", "level_")
     out = shards.compacted(docs, arrivals=2)
-    assert out.columns == [*docs.columns, "shard_", "level", "shard_rows"] and out.where("shard_ IS NULL").count() == 0
+    assert out.columns == [*docs.columns, "shard_", "level", "shard_rows", "n_shards"] and out.where("shard_ IS NULL").count() == 0
 
 
 def test_rows_name_the_shards_of_the_manifest(spark, tmp_path, monkeypatch):
@@ -67,3 +70,79 @@ def test_rows_name_the_shards_of_the_manifest(spark, tmp_path, monkeypatch):
     got = out.groupBy("shard", "level", "shard_rows").count().collect()
     assert sorted(tuple(r) for r in got) == [(i, x.level, x.rows, x.rows) for i, x in enumerate(live)]
     assert max(x.level for x in live) > 0
+
+
+def test_each_arrival_is_a_version(spark, tmp_path):
+    t = table(spark, tmp_path, target_bytes=1 << 20, fan_in=3)
+    rows = documents(4)
+    docs = frame(spark, rows).coalesce(1).withColumn("day", F.pmod(F.hash("doc_id"), F.lit(3)))
+    assert t.append(docs, "day") == 3 and t.version() == 3
+    assert [t.read(v).count() for v in (1, 2, 3)] == list(accumulate(n for _, n in sorted(docs.groupBy("day").count().collect())))
+    assert multiset(t.read().collect()) == multiset(rows)
+
+
+def test_runs_are_tasks_of_one_job(spark, tmp_path):
+    """Two tiers: each run becomes one file, and the rows of the manifest are those of the files."""
+    t = table(spark, tmp_path, target_bytes=1 << 30, fan_in=2)
+    for i in range(6):
+        docs = spark.range(10 if i < 3 else 200_000).withColumn("v", F.rand(i))
+        t.append(docs.coalesce(1))
+    runs = t.plan(t.shards())
+    assert [len(r) for r in runs] == [3, 3]
+    t.compact()
+    assert sorted(s.rows for s in t.shards()) == [30, 600_000] and {s.level for s in t.shards()} == {1}
+    t.compact(everything=True)
+    assert [(s.rows, s.level) for s in t.shards()] == [(600_030, 2)] and t.read().count() == 600_030
+
+
+def test_without_compaction_the_query_differs(spark, tmp_path, monkeypatch):
+    docs = frame(spark, documents(3)).select("doc_id", "text", "lang", "source", "n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    made = queries.op6_sharding(spark, str(tmp_path)).select("merged", "n_shards", "shard_rows").distinct().collect()
+    assert [tuple(r) for r in made] == [(True, 1, docs.count())]
+    monkeypatch.setattr(shards.ShardTable, "compact", lambda self, **_: self.version())
+    assert queries.op6_sharding(spark, str(tmp_path)).where("merged OR n_shards = 1").count() == 0
+
+
+def test_vacuum_spares_a_writer_that_has_not_committed(spark, tmp_path, monkeypatch):
+    t, other = table(spark, tmp_path), table(spark, tmp_path)
+    t.append(frame(spark, documents(1, 20)).coalesce(1))
+    commit = shards.ShardTable._commit
+    monkeypatch.setattr(shards.ShardTable, "_commit", lambda self, *a: (other.vacuum(), commit(self, *a))[1])
+    t.append(frame(spark, documents(2, 20)).coalesce(1))
+    assert t.read().count() == len(documents(1, 20)) + len(documents(2, 20))
+    folder = t._begin()
+    frame(spark, documents(2, 20)).coalesce(1).write.parquet(folder)
+    assert t.vacuum() == 0 and t.vacuum(expires_s=0) == 1
+
+
+def test_a_late_append_is_committed_upon_the_other(spark, tmp_path, monkeypatch):
+    t, other = table(spark, tmp_path), table(spark, tmp_path)
+    commit, first = shards.ShardTable._commit, []
+
+    def late(self, *a):
+        if self is t and not first:
+            first.append(1)
+            other.append(frame(spark, documents(2, 20)).coalesce(1))
+        return commit(self, *a)
+
+    monkeypatch.setattr(shards.ShardTable, "_commit", late)
+    assert t.append(frame(spark, documents(1, 20)).coalesce(1)) == 2
+    assert t.read().count() == len(documents(1, 20)) + len(documents(2, 20))
+
+
+def test_a_merge_of_removed_shards_is_dropped(spark, tmp_path, monkeypatch):
+    t, other = table(spark, tmp_path, fan_in=2), table(spark, tmp_path, fan_in=2)
+    for s in range(3):
+        t.append(frame(spark, documents(s, 20)).coalesce(1))
+    merge, first = shards.ShardTable._merge, []
+
+    def late(self, *a):
+        if self is t and not first:
+            first.append(1)
+            other.compact(everything=True)
+        return merge(self, *a)
+
+    monkeypatch.setattr(shards.ShardTable, "_merge", late)
+    t.compact(everything=True)
+    assert t.read().count() == sum(len(documents(s, 20)) for s in range(3))
