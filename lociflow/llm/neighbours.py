@@ -3,12 +3,15 @@
 A neighbour graph over a bounded sample is cut into balanced parts with few edges between them, and a small
 network learns to tell a vector's part from the vector. Every row is indexed under its most probable part; a query
 goes to the several parts that are most probable for it, as many as the sample needs for its recall and as its k
-neighbours need for room, and all rows found there are ranked by their exact distance. Parts are searched in blocks of rows and queries, so neither a
-part of any size nor a vector that a third of the table repeats gathers in one task.
+neighbours need for room, and all rows found there are ranked by their exact distance. Parts are searched in blocks of
+rows and queries, so neither a part of any size nor a vector that a third of the table repeats gathers in one task.
+There are more parts the more rows there are, up to what the sample can tell apart.
 
-Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those
-of another length than most; ties go to the smaller id; repeated rows are separate candidates, but for a query's
-own id; an empty table gives an empty result; other columns are not read.
+Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take no part; vectors of another
+length than most are searched among those of their own length, all of them; components of any finite size are ranked
+rightly, as all arithmetic is on scaled numbers; ties go to the smaller id; repeated rows are separate candidates, but
+for those of a query's own id; repeated query rows of one id and vector are one query, those of one id and different
+vectors one each; an empty table gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,16 +21,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lociflow.llm._stage import staged
-from lociflow.llm._text import require
+from lociflow.llm._text import in_batches, require
 
 #: The sample that partitions and classifier are fitted on has at most so many rows, those of the least hashes.
 FIT_ROWS = 4000
-PARTS = 16
+#: Parts at least, and rows for which there is one part more; a part needs 4 * k rows of the sample.
+PARTS, PART_ROWS = 16, 8192
 GRAPH_NEIGHBOURS = 10
 HIDDEN = 64
 #: Recall on the sample for which parts are added to a query's route.
@@ -37,7 +42,8 @@ BLOCK_ROWS, BLOCK_QUERIES = 16_384, 2_048
 
 @dataclass
 class Router:
-    """The classifier, how many parts a query visits, and the vectors' length."""
+    """The classifier, how many parts a query visits, the vectors' length, and the binary exponent that their
+    components are scaled by."""
 
     mean: np.ndarray
     scale: np.ndarray
@@ -47,10 +53,12 @@ class Router:
     b2: np.ndarray
     probes: int
     dim: int
+    exponent: int = 0
 
     def parts(self, x: np.ndarray) -> np.ndarray:
         """Parts of each vector, the most probable first."""
-        h = np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1)
+        z = np.clip((np.ldexp(x, -self.exponent) - self.mean) / self.scale, -1e9, 1e9)
+        h = np.tanh(z @ self.w1 + self.b1)
         return np.argsort(-(h @ self.w2 + self.b2), axis=1, kind="stable")
 
 
@@ -59,6 +67,19 @@ def usable(column: str, dim: int | None = None) -> Column:
     return F.coalesce(ok if dim is None else ok & (F.size(column) == dim), F.lit(False))
 
 
+def exponent(*arrays: np.ndarray) -> int:
+    """Of the largest component: scaled by it, squares neither overflow nor vanish. Scaling by powers of two is exact."""
+    return int(np.frexp(max(float(np.abs(x).max(initial=0.0)) for x in arrays))[1])
+
+
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distance of each row of x from y, in double precision whatever the size of the components."""
+    e = exponent(x, y)
+    d = np.ldexp(x, -e) - np.ldexp(y, -e)
+    own = np.frexp(np.abs(d).max(1, initial=0.0))[1]
+    return np.ldexp(np.sqrt((np.ldexp(d, -own[:, None]) ** 2).sum(1)), own + e)
+
+
 def exact_neighbours(queries: np.ndarray, rows: np.ndarray, k: int, skip: np.ndarray | None = None) -> np.ndarray:
     """Row numbers of each query's k nearest; ``skip[i]`` is the row that query i leaves out."""
     out = []
@@ -137,27 +158,30 @@ def train(x: np.ndarray, target: np.ndarray, seed: int, steps: int = 600, rate:
     return tuple(p)
 
 
-def fit(vectors: DataFrame, parts: int = PARTS, k: int = 10, seed: int = 5, fit_rows: int = FIT_ROWS) -> Router | None:
-    """From (id, vec) of usable vectors. None if there are none. Distinct vectors of the sample are used, so one
-    that many rows repeat does not fill a part."""
+def fit(vectors: DataFrame, parts: int | None = None, k: int = 10, seed: int = 5, fit_rows: int = FIT_ROWS) -> Router | None:
+    """From (id, vec) of usable vectors; None if there are none. By default there is a part for every ``PART_ROWS``
+    rows, and ``PARTS`` at least. Distinct vectors of the sample are used, so one that many rows repeat does not fill
+    a part."""
     lengths = vectors.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
     if not lengths:
         return None
     dim = int(lengths[0]["dim"])
+    parts = parts or max(PARTS, int(lengths[0]["count"]) // PART_ROWS)
     rows = vectors.where(F.size("vec") == dim).orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(fit_rows).select("vec").collect()
     x = np.unique(np.array([r[0] for r in rows], np.float64), axis=0)
-    n = len(x)
+    n, e = len(x), exponent(x)
+    x = np.ldexp(x, -e)
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
     parts = max(1, min(parts, n // (4 * k)))
     if parts == 1:
-        return Router(mean, scale, np.zeros((dim, HIDDEN)), np.zeros(HIDDEN), np.zeros((HIDDEN, 1)), np.zeros(1), 1, dim)
+        return Router(mean, scale, np.zeros((dim, HIDDEN)), np.zeros(HIDDEN), np.zeros((HIDDEN, 1)), np.zeros(1), 1, dim, e)
     graph = exact_neighbours(x, x, min(GRAPH_NEIGHBOURS, n - 1), np.arange(n))
     label = balanced_parts(x, graph, parts)
     soft = np.zeros((n, parts))
     np.add.at(soft, (np.arange(n), label), graph.shape[1])
     np.add.at(soft, (np.repeat(np.arange(n), graph.shape[1]), label[graph.ravel()]), 1)
-    router = Router(mean, scale, *train((x - mean) / scale, soft / soft.sum(1, keepdims=True), seed), parts, dim)
-    order = router.parts(x)
+    router = Router(mean, scale, *train((x - mean) / scale, soft / soft.sum(1, keepdims=True), seed), parts, dim, e)
+    order = router.parts(np.ldexp(x, e))
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.broadcast_to(np.arange(parts), order.shape), 1)
     # How far down a vector's route its neighbours' parts stand.
@@ -172,29 +196,46 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 0))
 
 
-def _route(batches: Iterator[pa.RecordBatch], router: Router, depth: int) -> Iterator[pa.RecordBatch]:
+def _by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Rows whose vectors (second column) have one length, and that length."""
     for b in batches:
-        if len(b):
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(router.parts(_matrix(b.column(1)))[:, :depth].tolist(), pa.list_(pa.int32()))], ["id", "vec", "parts"])
+        size = pc.list_value_length(b.column(1)).to_numpy(zero_copy_only=False)
+        for dim in np.unique(size).tolist():
+            yield dim, b if (size == dim).all() else b.filter(pa.array(size == dim))
+
+
+def _route(batches: Iterator[pa.RecordBatch], router: Router) -> Iterator[pa.RecordBatch]:
+    """Each row's part; rows of another length are a part of their own, numbered by that length below 0."""
+    for dim, b in _by_length(batches):
+        part = router.parts(_matrix(b.column(1)))[:, 0].astype(np.int32) if dim == router.dim else np.full(len(b), -dim, np.int32)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(part)], ["id", "vec", "part"])
 
 
 def _ask(batches: Iterator[pa.RecordBatch], router: Router, depth: int, size: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
-    """As _route, from (id, vec, own): a route goes on until its parts hold k rows besides the query's own."""
-    for b in batches:
-        if len(b):
+    """The parts that each query (id, vec, own) visits: ``depth``, and more until they hold k rows besides the query's
+    own."""
+    for dim, b in _by_length(batches):
+        if dim == router.dim:
             order = router.parts(_matrix(b.column(1)))
             own = b.column(2).to_numpy(zero_copy_only=False)
             enough = (np.cumsum(size[order], 1) < (own + k)[:, None]).sum(1) + 1
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([o[:n] for o, n in zip(order.tolist(), np.maximum(enough, depth).tolist(), strict=True)], pa.list_(pa.int32()))], ["id", "vec", "parts"])
+            parts = [o[:n] for o, n in zip(order.tolist(), np.maximum(enough, depth).tolist(), strict=True)]
+        else:
+            parts = [[-dim]] * len(b)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(parts, pa.list_(pa.int32()))], ["id", "vec", "parts"])
 
 
 def _block(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
-    """Ranks a block of rows for a block of queries: candidates by matrix product, then exact distances."""
+    """Ranks a block of rows for a block of queries: candidates by matrix product, then exact distances. ``ask`` tells
+    the queries of one id apart."""
     rows = [np.concatenate([c.to_numpy(zero_copy_only=False) for c in t.column("id").chunks]) if len(t) else np.zeros(0, np.int64) for t in (left, right)]
     q_id, x_id = rows
-    out: list[list] = [[], [], []]
+    out: list[list] = [[], [], [], []]
     if len(q_id) and len(x_id):
-        q, x = (_matrix(t.column("vec").combine_chunks()) for t in (left, right))
+        ask = left.column("ask").to_pylist()
+        raw_q, raw_x = (_matrix(t.column("vec").combine_chunks()) for t in (left, right))
+        e = exponent(raw_q, raw_x)
+        q, x = np.ldexp(raw_q, -e), np.ldexp(raw_x, -e)
         xx = (x**2).sum(1)
         for i in range(0, len(q), 256):
             part = q[i : i + 256]
@@ -204,15 +245,17 @@ def _block(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
             margin = 1e-9 * ((part**2).sum(1) + xx.max()) + kth
             for j in range(len(part)):
                 c = np.flatnonzero((d[j] <= margin[j]) & (d[j] < np.inf))
-                s = np.sqrt(((x[c] - part[j]) ** 2).sum(1))
+                s = distances(raw_x[c], raw_q[i + j])
                 best = np.lexsort((x_id[c], s))[:k]
                 out[0] += [q_id[i + j]] * len(best)
-                out[1] += x_id[c[best]].tolist()
-                out[2] += s[best].tolist()
-    return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["query_id", "vec_id", "score"])
+                out[1] += [ask[i + j]] * len(best)
+                out[2] += x_id[c[best]].tolist()
+                out[3] += s[best].tolist()
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+    return pa.table([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["query_id", "ask", "vec_id", "score"])
 
 
-def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", parts: int = PARTS, probes: int | None = None, seed: int = 5) -> DataFrame:
+def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", parts: int | None = None, probes: int | None = None, seed: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: of each query row its k nearest other rows that the route finds. ``probes``
     overrides how many parts a query visits; with all of them the search is exact. Where these hold fewer than k other
     rows, the query visits further ones."""
@@ -223,23 +266,23 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id
     if router is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     depth = min(probes or router.probes, router.b2.shape[0])
-    routed = clean.where(F.size("vec") == router.dim)
-    schema = "id long, vec array<double>, parts array<int>"
-    index = staged(routed.select("id", "vec").mapInArrow(lambda it: _route(it, router, 1), schema).select("id", "vec", F.col("parts")[0].alias("part")), "index")
+    index = staged(clean.select("id", "vec").transform(in_batches, lambda it: _route(it, router), "id long, vec array<double>, part int"), "index")
     size = np.zeros(router.b2.shape[0], np.int64)
-    for r in index.groupBy("part").count().collect():
+    for r in index.where("part >= 0").groupBy("part").count().collect():  # a row for each learned part
         size[r["part"]] = r["count"]
     repeated = index.groupBy("id").agg(F.count("*").alias("own")).where("own > 1")
-    asks = routed.where("asks").select("id", "vec").join(repeated, "id", "left").select("id", "vec", F.coalesce("own", F.lit(1)).alias("own"))
-    asked = asks.mapInArrow(lambda it: _ask(it, router, depth, size, k), schema).select("id", "vec", F.explode("parts").alias("part"))
+    asks = clean.where("asks").select("id", "vec").distinct().join(repeated, "id", "left").select("id", "vec", F.coalesce("own", F.lit(1)).alias("own"))
+    asked = asks.transform(in_batches, lambda it: _ask(it, router, depth, size, k), "id long, vec array<double>, parts array<int>")
+    asked = asked.select("id", "vec", F.xxhash64("vec").alias("ask"), F.explode("parts").alias("part"))
     asked = staged(asked, "asked")
-    # Blocks of each part; the table has as many rows as there are parts.
+    # Blocks of each part: at most FIT_ROWS / (4 * k) learned parts, and one for each other length of vectors.
     n_rows = index.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("row_blocks"))
     n_asked = asked.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("query_blocks"))
     blocks = F.broadcast(n_rows.join(n_asked, "part").select("part", "row_blocks", "query_blocks"))
     left = asked.join(blocks, "part").withColumn("qb", F.pmod(F.xxhash64("id", F.lit(1)), "query_blocks").cast("int")).withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)))
     right = index.join(blocks, "part").withColumn("rb", F.pmod(F.xxhash64("id", F.lit(2)), "row_blocks").cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
     keys = ["part", "rb", "qb"]
-    found = left.select(*keys, "id", "vec").groupBy(*keys).cogroup(right.select(*keys, "id", "vec").groupBy(*keys)).applyInArrow(lambda a, b: _block(a, b, k), "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    found = left.select(*keys, "id", "ask", "vec").groupBy(*keys).cogroup(right.select(*keys, "id", "vec").groupBy(*keys))
+    found = found.applyInArrow(lambda a, b: _block(a, b, k), "query_id long, ask long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id", "ask").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

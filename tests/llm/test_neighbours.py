@@ -73,3 +73,47 @@ def test_parts_are_balanced():
     x = np.array([r[1] for r in vectors(1200)], float)[400:]
     label = neighbours.balanced_parts(x, neighbours.exact_neighbours(x, x, 10, np.arange(len(x))), 8)
     assert np.bincount(label, minlength=8).max() <= np.ceil(len(x) / 8 * 1.05)
+
+
+def found(spark, rows, is_query, **options):
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), is_query, **options)
+    return [tuple(r) for r in got.orderBy("query_id", "rank").collect()]
+
+
+def test_repeated_queries(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(30)]
+    once = found(spark, rows, F.col("vec_id") == 0)
+    assert found(spark, rows + rows[:1] * 3, F.col("vec_id") == 0) == once and len(once) == 10
+    both = found(spark, [*rows, (0, [29.0, 1.0])], F.col("vec_id") == 0)
+    assert sorted(v for _, _, v, _ in both) == sorted([*range(1, 11), *range(20, 30)])
+
+
+def test_components_of_any_size(spark):
+    for unit in (1e200, 1e-200, 1e307):
+        rows = [(i, [i * unit, unit]) for i in range(1, 17)]
+        got = found(spark, rows, F.col("vec_id") == 1)
+        assert [v for _, _, v, _ in got] == list(range(2, 12))
+        assert np.allclose([s / unit for *_, s in got], range(1, 11))
+    rows = [(i, [i * 1e-200, 1e-200]) for i in range(1, 40)] + [(100 + i, [1e200 * i, 1e200]) for i in range(1, 40)]
+    assert [v for _, _, v, _ in found(spark, rows, F.col("vec_id") == 1)] == list(range(2, 12))
+
+
+def test_other_lengths_are_searched_among_their_own(spark):
+    rows = [(i, [float(i), 1.0, 2.0]) for i in range(50)] + [(100 + i, [float(i), 1.0]) for i in range(5)]
+    got = found(spark, rows, F.col("vec_id").isin(0, 100))
+    assert [v for q, _, v, _ in got if q == 0] == list(range(1, 11)) and [v for q, _, v, _ in got if q == 100] == [101, 102, 103, 104]
+
+
+def test_clustered_vectors_prune(spark, monkeypatch):
+    """Recall of 0.9 from under half of the rows."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(64, 16))[rng.integers(0, 64, 6000)] * 4 + rng.normal(size=(6000, 16)) * 0.5
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    seen, real = [], neighbours.fit
+    monkeypatch.setattr(neighbours, "fit", lambda *a: seen.append(real(*a)) or seen[-1])
+    got = found(spark, rows, F.col("vec_id") % 50 == 0)
+    assert seen[0].probes < 0.5 * len(seen[0].b2)
+    d = ((x[::50, None] - x[None]) ** 2).sum(2)
+    d[np.arange(len(d)), np.arange(0, 6000, 50)] = np.inf
+    near = {(q * 50, v) for q, row in enumerate(np.argsort(d, 1)[:, :10].tolist()) for v in row}
+    assert len({(q, v) for q, _, v, _ in got} & near) >= 0.9 * len(near)
