@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -58,6 +59,25 @@ def drop_stage(df: DataFrame) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets the shuffle files of finished jobs go. Spark deletes them once the driver's garbage is collected, which on
+    its own may be half an hour later; till then every stage of an operator holds its disk."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+#: Input of a bucket that a Python process works on as a whole, as the optimiser sees its size.
+BUCKET_BYTES = 256 << 20
+
+
+def buckets(df: DataFrame) -> int:
+    """Into how many buckets an operator deals what it derives from df: they grow with the input, and each is read by
+    itself, so what a process holds does not grow."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    known = size if size < 1 << 60 else 0  # else no size is known
+    return max(4 * shuffle_partitions(df.sparkSession), known // BUCKET_BYTES)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

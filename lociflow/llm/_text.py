@@ -6,7 +6,8 @@ exactly those, so all work happens on UTF-8 bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,39 @@ MUL = 0x9E3779B97F4A7C15
 INV = pow(MUL, -1, 1 << 64)
 
 #: Bytes of text that are worked on at once; rows beyond it start a new batch.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
+
+#: What a task runs on its Arrow batches.
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def release() -> None:
+    """Gives back to the system what a task leaves behind: a Python worker lives on and serves other operators, and
+    what each has kept would add up."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def in_batches(df: DataFrame, run: Run, schema: str) -> DataFrame:
+    """df.mapInArrow(run, schema) by workers that give their memory back when a task ends."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(task, schema)
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its columns under numbers, so that no name clashes with those an operator adds; and the number of
+    each name."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), names
 
 
 def n_words(text: Column) -> Column:
@@ -62,7 +95,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text", most: i
 class WordHashes(dict):
     """Word to its 64-bit hash; forgets when it has grown to a fixed number of words."""
 
-    MOST = 250_000
+    MOST = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:
@@ -90,6 +123,9 @@ class Powers:
     """Powers of the multiplier and its inverse, grown on demand."""
 
     def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
         self.up = self.down = np.zeros(0, np.uint64)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:

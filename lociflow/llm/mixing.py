@@ -7,8 +7,9 @@ over the sources in order of c / w. Every document is then taken a whole number
 order decides which documents of the source make up the fractional repetition.
 
 Edge cases: a null text has size 0 and is taken 0 times; a null source is a source of its own and comes last;
-repeated rows are separate documents; an empty table gives an empty result; clashing column names do not
-matter, as only doc_id, source and text are read.
+repeated rows are separate documents, those of a null doc_id are told apart by their texts; very long texts are
+counted whole; of sources that fill up together the first by code point comes first; an empty table gives an empty
+result; other columns, whatever their names, are not read by ``mix_plan`` and go through ``mix`` unchanged.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociflow.llm._stage import staged
-from lociflow.llm._text import n_words, require
+from lociflow.llm._text import n_words, numbered, require
 
 #: The hash order of a source's documents is cut into so many slices; only the slice in which the fractional
 #: repetition ends is sorted.
@@ -51,14 +52,21 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epoch
     return per.select("source", "weight", "source_size", F.when(F.col("source_size") > 0, target).otherwise(F.lit(0.0)).alias("target"))
 
 
+def draw(seed: int, doc_id: Column, text: Column) -> Column:
+    """60 seeded bits by which a source's documents are ordered."""
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.md5(text), F.lit("")))
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
+
+
 def mix_plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = 3, seed: int = 17, size: Column | None = None, share: float = 1.0) -> DataFrame:
-    """doc_id, size, source_size, target, taken, repeats (whole repetitions), extra (words of the fractional one).
+    """doc_id, source, size, source_size, target, taken, repeats (whole repetitions), extra (words of the fractional
+    one), u (the document's place in its source's order).
 
     ``taken = repeats * size + extra``. Over a source, taken adds up to its target rounded to a word: the last
     document of the fractional repetition is taken in part.
     """
     require(docs, "doc_id", "source", "text")
-    u = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 15), 16, 10).cast("long")
+    u = draw(seed, F.col("doc_id"), F.col("text"))
     sizes = staged(docs.select("doc_id", "source", (n_words(F.col("text")) if size is None else size).alias("size"), u.alias("u")), "mix-sizes")
     targets = source_targets(sizes, weights, max_epochs, share)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
@@ -78,7 +86,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
     inside = inside.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("room") - F.col("seen")))).drop("seen")
     outside = rows.where(~cut).withColumn("extra", F.when(F.col("room") == -1, F.col("size")).otherwise(F.lit(0)))
     out = outside.unionByName(inside)
-    return out.select("doc_id", "source", "size", "source_size", "target", (F.col("repeats") * F.col("size") + F.col("extra")).alias("taken"), "repeats", F.col("extra").cast("long").alias("extra"))
+    return out.select("doc_id", "source", "size", "source_size", "target", (F.col("repeats") * F.col("size") + F.col("extra")).alias("taken"), "repeats", F.col("extra").cast("long").alias("extra"), "u")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = 3, seed: int = 17) -> DataFrame:
@@ -87,10 +95,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = 3,
     are never cut. Rows of equal (doc_id, source, text) are taken equally often."""
     plan = mix_plan(docs, weights, max_epochs, seed)
     times = F.col("repeats") + F.when((F.col("size") > 0) & (F.col("extra") * 2 >= F.col("size")), F.lit(1)).otherwise(F.lit(0))
-    plan = plan.withColumn("__times", times).groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size")).agg(F.sum("__times").alias("__sum"), F.count("*").alias("__rows"), F.max("repeats").alias("__repeats"))
     # Repeated rows share what was taken of them.
-    keyed = docs.withColumn("__n", n_words(F.col("text")))
-    out = keyed.join(plan, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__n") == F.col("__size")))
-    out = out.withColumn("__copies", F.ceil(F.col("__sum") / F.col("__rows")).cast("int")).where(F.col("__copies") > 0)
-    out = out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    plan = plan.groupBy("doc_id", "source", "size", "u").agg(F.ceil(F.sum(times) / F.count("*")).cast("int").alias("copies")).where("copies > 0")
+    rows, name = numbered(docs)
+    doc_id, source, text = (F.col(name[c]) for c in ("doc_id", "source", "text"))
+    same = doc_id.eqNullSafe(F.col("doc_id")) & source.eqNullSafe(F.col("source")) & (n_words(text) == F.col("size")) & (draw(seed, doc_id, text) == F.col("u"))
+    out = rows.join(plan, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return out.select(*rows.columns).toDF(*docs.columns)

@@ -10,15 +10,17 @@ only by patterns that several different known instances support.
 
 Texts are searched as UTF-8 bytes; offsets are in code points.
 
-Edge cases: null and empty texts have no spans; repeated rows get equal results; a pattern or a value that a third
-of the table holds is aggregated before it is joined; other columns are not read; an empty table gives an empty
-result.
+Edge cases: null and empty texts have no spans; very long texts are searched whole, in time that grows with their
+length; of candidates that overlap the first counts, of those that start together the shorter; repeated rows get equal
+results; a pattern or a value that a third of the table holds is aggregated before it is joined; other columns are not
+read, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.llm._stage import staged
-from lociflow.llm._text import require, small_batches
+from lociflow.llm._text import in_batches, require, small_batches, spans_union
 
 #: The base kinds in the order of the digest.
 KINDS = ("email", "ip", "card", "phone")
@@ -77,7 +79,7 @@ def base_spans(text: bytes) -> list[tuple[int, int, int]]:
     if not _DIGIT.search(text):
         return out
     for m in _IP.finditer(text):
-        if all(len(p.lstrip(b"0")) <= 3 and int(p) <= 255 for p in m[0].split(b".")):
+        if all(len(p) <= 3 and int(p or b"0") <= 255 for p in (q.lstrip(b"0") for q in m[0].split(b"."))):
             out.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         digits = m[0].replace(b" ", b"").replace(b"-", b"")
@@ -115,13 +117,18 @@ def candidates(text: bytes, base: list[tuple[int, int, int]]) -> list[tuple[int,
             e -= 1
         found.append((s, e))
         at = text.find(b"@", max(e, at + 1))
-    out = []
-    taken = sorted((s, e) for s, _, e in base)
+    out: list[tuple[int, int, int]] = []
+    # Base spans as disjoint stretches in order, so one look tells whether a string touches any.
+    begin, end = (x.tolist() for x in spans_union(np.array([s for s, _, _ in base], np.int64), np.array([e for _, _, e in base], np.int64)))
+    reach = 0
     for s, e in sorted(found):
+        i = bisect_right(end, s)
+        if s < reach or i < len(begin) and begin[i] < e:
+            continue
         k = shape(text[s:e])
-        if k is not None and not any(s < b and a < e for a, b in taken):
+        if k is not None:
             out.append((s, k, e))
-            taken.append((s, e))
+            reach = e
     return out
 
 
@@ -196,7 +203,7 @@ def find(docs: DataFrame, **scoring) -> DataFrame:
     kind:start:end; identifiers that only patterns vouch for have the kind ``found``."""
     require(docs, "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = staged(docs.select("doc_id", "text").mapInArrow(_scan, f"doc_id {kind}, {_SCHEMA}").withColumn("row", F.monotonically_increasing_id()), "pii")
+    rows = staged(docs.select("doc_id", "text").transform(in_batches, _scan, f"doc_id {kind}, {_SCHEMA}").withColumn("row", F.monotonically_increasing_id()), "pii")
     seen = rows.select("row", F.explode("seen").alias("s")).select("row", "s.*")
     accepted = bootstrap(seen.select("kind", "seed", "value", "patterns"), **scoring)
     more = seen.where(~F.col("seed")).join(accepted, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("more"))

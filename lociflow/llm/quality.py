@@ -6,8 +6,9 @@ neighbours. The union of the spans of all repeats of at least ``min_words`` word
 Documents of a batch share one array; the document number is the leading key, so suffixes of different
 documents never meet. Sorting is prefix doubling over the suffixes that are still tied.
 
-Edge cases: null and empty texts have no words and fail the base rule; repeated rows get equal results; other
-columns are neither read nor changed; an empty table gives an empty result.
+Edge cases: null and empty texts have no words and fail the base rule; very long texts are measured whole, in a batch
+of their own; repeats of equal length count alike; repeated rows get equal results; other columns are neither read
+nor changed, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm._text import Rolling, WordHashes, require, small_batches
+from lociflow.llm._text import Rolling, WordHashes, in_batches, require, small_batches
 
 #: Symbols that are counted, the repeat window and the base limits.
 SYMBOLS = b"#*$%&|<>"
@@ -71,7 +72,7 @@ def suffix_array(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return sa
 
 
-def repeat_lengths(tokens: np.ndarray, ends: np.ndarray, least: int = 4) -> np.ndarray:
+def repeat_lengths(tokens: np.ndarray, ends: np.ndarray, least: int) -> np.ndarray:
     """For every position the length of the longest substring that starts there and occurs elsewhere in its
     document; 0 where that is under ``least``."""
     n = len(tokens)
@@ -135,7 +136,7 @@ def _measure(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
         raw = np.frombuffer(b"".join(texts), np.uint8)
         at = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) for t in texts], out=at[1:])
-        rep = repeat_lengths(tokens, ends)
+        rep = repeat_lengths(tokens, ends, min(least, WINDOW))
         longest = np.zeros(len(texts), np.int64)
         full = np.flatnonzero(np.diff(ends))
         if len(full):
@@ -150,8 +151,10 @@ def _measure(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
 def quality(docs: DataFrame, repeat_words: int = REPEAT_WORDS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:
     """doc_id, the measures of SCHEMA, base_failed and kept. Pure per-document work: one scan, no shuffle."""
     require(docs, "doc_id", "text")
+    if repeat_words < 1:
+        raise ValueError("a repeat has a word at least")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").mapInArrow(lambda it: _measure(it, repeat_words), f"doc_id {kind}, {SCHEMA}")
+    out = docs.select("doc_id", "text").transform(in_batches, lambda it: _measure(it, repeat_words), f"doc_id {kind}, {SCHEMA}")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     repetitive = (F.col("covered_words") > F.col("n_words") * F.lit(max_covered)) | (F.col("longest_repeat") > max_longest)
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~repetitive)
@@ -172,7 +175,7 @@ def keep_good(docs: DataFrame, **limits) -> DataFrame:
             for m in _measure(iter([part]), least):
                 yield pa.RecordBatch.from_arrays([*m.columns, part.column(part.schema.get_field_index("text"))], [*m.schema.names, "text"])
 
-    out = safe.mapInArrow(run, f"{schema}, {SCHEMA}, text string")
+    out = safe.transform(in_batches, run, f"{schema}, {SCHEMA}, text string")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     repetitive = (F.col("covered_words") > F.col("n_words") * F.lit(limits.get("max_covered", MAX_COVERED))) | (F.col("longest_repeat") > limits.get("max_longest", MAX_LONGEST))
     return out.where(~failed & ~repetitive).drop(*measured).select(*[F.col("text" if c == "text" else f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

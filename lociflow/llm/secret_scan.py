@@ -7,8 +7,10 @@ the expression. A rule from which no mandatory trigram follows searches every do
 
 Texts are searched as UTF-8 bytes, so letter case folds within ASCII only; offsets are in code points.
 
-Edge cases: null and empty texts have no spans; repeated rows get equal results; other columns are not read; an
-empty table gives an empty result. Matches of one rule never overlap, those of different rules may.
+Edge cases: null and empty texts have no spans; very long texts are searched whole, in a block of their own; repeated
+rows get equal results; other columns are not read by ``scan`` and go through ``redact`` unchanged, whatever their
+names; an empty table gives an empty result. Matches of one rule never overlap, those of different rules may; of
+spans that start together the rule named first comes first.
 """
 
 from __future__ import annotations
@@ -22,10 +24,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from lociflow.llm._text import require, small_batches
+from lociflow.llm._text import in_batches, numbered, require, small_batches
 
 
 @dataclass(frozen=True)
@@ -99,7 +100,8 @@ def _walk(tree, fold: bool) -> tuple[set[str] | None, Query]:
         elif op is sre.IN and len(arg) <= 8 and all(o is sre.LITERAL and v < 128 for o, v in arg):
             step, more = {chr(v).lower() if fold else chr(v) for _, v in arg}, True
         elif op is sre.SUBPATTERN:
-            step, more = _walk(arg[3], fold)
+            # A group that changes how letters match may hold anything.
+            step, more = (None, True) if (arg[1] | arg[2]) & re.IGNORECASE else _walk(arg[3], fold)
         elif op is sre.BRANCH:
             ways = [_walk(b, fold) for b in arg[1]]
             step = set().union(*(w[0] for w in ways)) if all(w[0] is not None for w in ways) else None
@@ -137,7 +139,10 @@ def _walk(tree, fold: bool) -> tuple[set[str] | None, Query]:
 
 def trigram_query(pattern: str, ignore_case: bool = False) -> Query:
     """A condition on a text's trigrams that holds wherever the expression matches."""
-    strings, more = _walk(parser.parse(pattern), ignore_case)
+    tree = parser.parse(pattern)
+    if tree.state.flags & re.IGNORECASE and not ignore_case:
+        return True  # by a flag inside the expression; only the rule's own setting chooses the index
+    strings, more = _walk(tree, ignore_case)
     return _both("and", [more, _need(strings) if strings is not None else True])
 
 
@@ -155,10 +160,12 @@ class TrigramIndex:
         self.fold = np.arange(256, dtype=np.uint8)
         if fold:
             self.fold[65:91] += 32
-        self.number = np.zeros(1 << 24, np.uint16)
-        for i, t in enumerate(self.names):
-            a, b, c = t.encode()
-            self.number[a << 16 | b << 8 | c] = i + 1
+        code = np.array([int.from_bytes(t.encode(), "big") for t in self.names], np.uint32)
+        self.order = np.argsort(code)
+        self.code = code[self.order]
+        #: Whether any trigram has these low bits: most of a text is told apart by this small table.
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[self.code & 0xFFFF] = True
         self.postings: dict[str, np.ndarray] = {}
 
     def load(self, raw: np.ndarray, ends: np.ndarray) -> None:
@@ -166,13 +173,16 @@ class TrigramIndex:
         if not self.names or len(raw) < 3:
             return
         x = self.fold[raw].astype(np.uint32)
-        hit = self.number[x[:-2] << 16 | x[1:-1] << 8 | x[2:]]
-        at = np.flatnonzero(hit)
+        x = x[:-2] << 16 | x[1:-1] << 8 | x[2:]
+        at = np.flatnonzero(self.maybe[x & 0xFFFF])
+        slot = np.minimum(np.searchsorted(self.code, x[at]), len(self.code) - 1)
+        ok = self.code[slot] == x[at]
+        at, which = at[ok], self.order[slot[ok]]
         doc = np.searchsorted(ends, at, "right") - 1
         inside = at + 3 <= ends[doc + 1]
-        both = np.unique(hit[at[inside]].astype(np.int64) * len(ends) + doc[inside])
+        both = np.unique(which[inside] * len(ends) + doc[inside])
         which, doc = np.divmod(both, len(ends))
-        cut = np.searchsorted(which, np.arange(1, len(self.names) + 2))
+        cut = np.searchsorted(which, np.arange(len(self.names) + 1))
         self.postings = {t: doc[cut[i] : cut[i + 1]] for i, t in enumerate(self.names)}
 
     def find(self, query: Query, n: int) -> np.ndarray:
@@ -257,19 +267,20 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = MORE) -> DataFrame:
             digest = pa.array([hashlib.sha256(listed(s, kinds).encode()).hexdigest() for s in base], pa.string())
             yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("doc_id")), *counts, digest, pa.array([listed(s, kinds) for s in found], pa.string())], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
+    return docs.select("doc_id", "text").transform(in_batches, run, f"doc_id {kind}, {SCHEMA}")
 
 
 def redact(docs: DataFrame, rules: Sequence[Rule] = MORE) -> DataFrame:
     """docs with every span replaced by [kind]; overlapping spans become one, named by the first."""
     require(docs, "text")
     rules = BASE + tuple(rules)
-    safe = docs.select(*[_numbered(c, i) for i, c in enumerate(docs.columns)])
+    safe, name = numbered(docs)
+    text = name["text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
-        for part, texts in small_batches(batches):
-            at = part.schema.get_field_index("text")
+        for part, texts in small_batches(batches, text):
+            at = part.schema.get_field_index(text)
             null = part.column(at).is_null().to_pylist()
             out = []
             for t, spans, no in zip(texts, scanner.block(texts), null, strict=True):
@@ -283,10 +294,5 @@ def redact(docs: DataFrame, rules: Sequence[Rule] = MORE) -> DataFrame:
             cols[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(cols, part.schema.names)
 
-    schema = ", ".join(f"{'text' if f.name == 'text' else f'c{i}'} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
-    return safe.mapInArrow(run, schema).toDF(*docs.columns)
-
-
-def _numbered(name: str, i: int) -> Column:
-    """Columns go through under numbers, whatever their names."""
-    return F.col(f"`{name}`").alias("text" if name == "text" else f"c{i}")
+    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
+    return safe.transform(in_batches, run, schema).toDF(*docs.columns)

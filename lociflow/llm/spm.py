@@ -3,7 +3,9 @@
 A piece model is read from its file; the best segmentation of a text under its scores is found word by word, as
 no piece reaches across the space before a word. Distinct words that are not known yet are grouped by length, and
 all words of one length advance together: hashes of their substrings probe the sorted keys of the pieces, and a
-vectorised maximum over the pieces that end at a position stores a back-pointer. Known words are looked up.
+vectorised maximum over the pieces that end at a position stores a back-pointer. Known words are looked up. Only the
+scores of the last positions that a piece can reach are kept, and a back-pointer takes a byte or two, so a word of
+any length costs a few bytes for each of its characters.
 
 The segmentation is that of the unigram algorithm: the greatest sum of scores, of equal ones the one whose last
 piece starts first; sums are in double precision. For a model of the unigram type this is the library's own
@@ -12,8 +14,8 @@ whose scores are merge ranks, it is a valid encoding over the same pieces that m
 it decodes to the same text. Characters without a piece become byte pieces, or the unknown piece.
 
 Edge cases: null and empty texts have no pieces; decoding gives back the text exactly, but for the meta symbol
-U+2581, which becomes a space; very long words are encoded in full; repeated rows get equal results; other
-columns are not read; an empty table gives an empty result.
+U+2581, which becomes a space; very long texts and words are encoded in full; ties go as stated above; repeated rows
+get equal results; other columns are not read, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm._text import require, small_batches
+from lociflow.llm._text import in_batches, require, small_batches
 
 #: Default model: a public vocabulary outside the repository. The path is a parameter everywhere.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -36,8 +39,9 @@ SPACE = "▁"
 #: Piece types of the model format, and what an unknown character scores below the worst piece.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
-#: Words that an encoder keeps at most, and table cells that it fills at once.
-MOST_WORDS, MOST_CELLS = 300_000, 4_000_000
+#: Words and their bytes that an encoder keeps at most before it forgets them, and cells of scores that are filled at
+#: once.
+MOST_WORDS, MOST_BYTES, MOST_CELLS = 150_000, 8 << 20, 1 << 19
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -157,6 +161,7 @@ class Encoder:
         self.ids = np.zeros(0, np.int32)
         self.ends = np.zeros(1, np.int64)
         self.new: list[bytes] = []
+        self.held = 0
 
     def _number(self, word: bytes) -> int:
         """Number of a word given with its spaces."""
@@ -164,6 +169,7 @@ class Encoder:
         if n is None:
             n = self.words[word] = len(self.words)
             self.new.append(word)
+            self.held += len(word)
         return n
 
     def _split(self, text: bytes) -> list[int]:
@@ -190,7 +196,7 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts end to end, and where each text starts (one more entry than texts)."""
-        if len(self.words) > MOST_WORDS:
+        if len(self.words) > MOST_WORDS or self.held > MOST_BYTES:
             self.forget()
         numbers = [self._split(t) for t in texts]
         self._learn()
@@ -228,52 +234,108 @@ class Encoder:
     def viterbi(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Best pieces of words of one length: word numbers and piece ids, word by word in order."""
         m, n, size = self.model, len(words), len(words[0])
-        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size).astype(np.uint64) + np.uint64(1)
+        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size)
         longest = min(size, m.longest)
-        piece, score = [], []
-        h = np.zeros((n, size), np.uint64)
-        for length in range(1, longest + 1):
-            h = h[:, : size - length + 1] * _BASE + code[:, length - 1 :]
-            ids = np.full(h.shape, m.unknown if length == 1 else -1)
-            s = np.full(h.shape, float(m.unknown_score) if length == 1 else -np.inf)
-            some = np.nonzero(m.maybe[h >> np.uint64(44)])
-            probe = h[some]
-            at = np.minimum(np.searchsorted(m.key, probe), len(m.key) - 1)
-            hit = m.key[at] == probe
-            some, at = tuple(x[hit] for x in some), at[hit]
-            ids[some] = m.id[at]
-            s[some] = m.score[m.id[at]]
-            piece.append(ids)
-            score.append(s)
-        best = np.zeros((n, size + 1))
-        back = np.zeros((n, size + 1), np.int32)
-        for j in range(1, size + 1):
-            # From the longest piece down: the maximum takes the first of equals.
-            ways = np.stack([best[:, j - k] + score[k - 1][:, j - k] for k in range(min(j, longest), 0, -1)])
-            pick = ways.argmax(0)
-            best[:, j] = ways[pick, np.arange(n)]
-            back[:, j] = min(j, longest) - pick
-        flat = np.concatenate([p.ravel() for p in piece])
-        offset = np.cumsum([0, *(p.size for p in piece)])
-        row, start, ids = [], [], []
-        at, live = np.full(n, size), np.arange(n)
-        while len(live):
-            k = back[live, at[live]].astype(np.int64)
-            at[live] -= k
-            row.append(live)
-            start.append(at[live])
-            ids.append(flat[offset[k - 1] + live * (size - k + 1) + at[live]])
-            live = live[at[live] > 0]
-        row, start, ids = np.concatenate(row), np.concatenate(start), np.concatenate(ids)
-        o = np.lexsort((start, row))
-        row, start, ids = row[o], start[o], ids[o]
+        back, found = self._forward(code, longest)
+        row, start, length = _trace(back)
+        ids = self._pieces(code, row, start, length) if found is None else found[start + length - 1, longest - length, row].astype(np.int64)
         if m.fallback and (ids == m.unknown).any():
             # An unknown character gives way to the pieces of its bytes.
-            raw = [[int(m.bytes_[b]) for b in words[r][a].encode("utf-8", "surrogatepass")] if i == m.unknown else [i] for r, a, i in zip(row.tolist(), start.tolist(), ids.tolist(), strict=True)]
+            raw = [[i] for i in ids.tolist()]
+            for x in np.flatnonzero(ids == m.unknown).tolist():
+                raw[x] = m.bytes_[list(chr(code[row[x], start[x]]).encode("utf-8", "surrogatepass"))].tolist()
             row = np.repeat(row, [len(x) for x in raw])
             ids = np.array([i for x in raw for i in x])
         return row, ids
 
+    def _forward(self, code: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray | None]:
+        """Length of the best last piece of every prefix, [:, j] of the first j characters; and of words that take one
+        stretch the pieces themselves, [j, longest - k] those of k characters that end with character j."""
+        m, (n, size) = self.model, code.shape
+        back = np.zeros((n, size + 1), np.uint8 if longest < 256 else np.uint16)
+        step = max(1, MOST_CELLS // (n * longest))
+        # best[i] stands for position a - longest + 1 + i, where a is the begin of the stretch.
+        best = np.full((longest + step, n), -np.inf)
+        best[longest - 1] = 0.0
+        every = np.arange(n)
+        found = np.full((size, longest, n), m.unknown, np.int32) if step >= size else None
+        for a in range(0, size, step):
+            b = min(size, a + step)
+            # score[j, longest - k]: of the pieces of k characters that end with character a + j.
+            score = np.full((b - a, longest, n), -np.inf)
+            score[:, longest - 1] = float(m.unknown_score)
+            begin = max(0, a - longest + 1)
+            part = code[:, begin:b].astype(np.uint64) + np.uint64(1)
+            h = np.zeros(part.shape, np.uint64)
+            for k in range(1, longest + 1):
+                h = h[:, : part.shape[1] - k + 1] * _BASE + part[:, k - 1 :]
+                if not h.shape[1]:
+                    break
+                skip = max(0, a + 1 - k - begin)  # such a piece ends before the stretch
+                own = h[:, skip:]
+                some = np.nonzero(m.maybe[own >> np.uint64(44)])
+                probe = own[some]
+                at = np.minimum(np.searchsorted(m.key, probe), len(m.key) - 1)
+                hit = m.key[at] == probe
+                place, piece = (some[1][hit] + (begin + skip + k - 1 - a), longest - k, some[0][hit]), m.id[at[hit]]
+                score[place] = m.score[piece]
+                if found is not None:
+                    found[place] = piece
+            for j in range(b - a):
+                # From the longest piece down: the maximum takes the first of equals.
+                ways = best[j : j + longest] + score[j]
+                pick = ways.argmax(0)
+                best[j + longest] = ways[pick, every]
+                back[:, a + j + 1] = longest - pick
+            best[:longest] = best[b - a : b - a + longest].copy()
+        return back, found
+
+    def _pieces(self, code: np.ndarray, row: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Ids of the pieces that stand at the places given."""
+        m = self.model
+        out = np.empty(len(row), np.int64)
+        for i in range(0, len(row), MOST_CELLS):
+            r, s, k = row[i : i + MOST_CELLS], start[i : i + MOST_CELLS], length[i : i + MOST_CELLS]
+            h = np.zeros(len(r), np.uint64)
+            for t in range(int(k.max(initial=0))):
+                more = np.flatnonzero(k > t)
+                h[more] = h[more] * _BASE + code[r[more], s[more] + t].astype(np.uint64) + np.uint64(1)
+            at = np.minimum(np.searchsorted(m.key, h), len(m.key) - 1)
+            out[i : i + MOST_CELLS] = np.where(m.key[at] == h, m.id[at], m.unknown)
+        return out
+
+
+def _trace(back: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and length of the pieces on the best paths, row by row in order."""
+    n, size = back.shape[0], back.shape[1] - 1
+    if n < 64:
+        # Few words, and any of them may be very long: walk each by itself.
+        rows, starts, lengths = array("q"), array("q"), array("q")
+        for i in range(n):
+            own, at = back[i].tolist() if size < 1 << 16 else back[i], size
+            first = len(starts)
+            while at:
+                k = int(own[at])
+                at -= k
+                starts.append(at)
+                lengths.append(k)
+                rows.append(i)
+            starts[first:] = starts[first:][::-1]
+            lengths[first:] = lengths[first:][::-1]
+        return tuple(np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64) for x in (rows, starts, lengths))
+    row, start, length = [], [], []
+    at, live = np.full(n, size), np.arange(n)
+    while len(live):
+        k = back[live, at[live]].astype(np.int64)
+        at[live] -= k
+        row.append(live)
+        start.append(at[live])
+        length.append(k)
+        live = live[at[live] > 0]
+    row, start, length = np.concatenate(row), np.concatenate(start), np.concatenate(length)
+    o = np.lexsort((start, row))
+    return row[o], start[o], length[o]
+
 
 def decode(model: Model, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
     """Texts from piece ids: the pieces' bytes end to end, without the space put before the first."""
@@ -289,8 +351,8 @@ def decode(model: Model, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
 
 def encode(docs: DataFrame, path: str = MODEL, digest: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, the columns to keep, n_pieces and ids (array of int), or with ``digest`` the SHA-256 of the ids as
-    32-bit little-endian numbers and of the text decoded from them. The model is read once for each Python worker task from the bytes
-    that travel with it; the file need only be on the driver."""
+    32-bit little-endian numbers and of the text decoded from them. The model is read once for each task from the
+    bytes that travel with it; the file need only be on the driver."""
     require(docs, "doc_id", "text", *keep)
     if set(keep) & {"doc_id", "text", "n_pieces", "ids"}:
         raise ValueError("a column to keep clashes with the result")
@@ -315,7 +377,7 @@ def encode(docs: DataFrame, path: str = MODEL, digest: bool = False, keep: Seque
                 yield pa.RecordBatch.from_arrays([*own, count, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))], [*front, "n_pieces", "ids"])
 
     extra = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>"
-    return docs.select(*[F.col(f"`{c}`") for c in front], "text").mapInArrow(run, f"{kind}, n_pieces long, {extra}")
+    return docs.select(*[F.col(f"`{c}`") for c in front], "text").transform(in_batches, run, f"{kind}, n_pieces long, {extra}")
 
 
 def decoded(encoded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -334,4 +396,4 @@ def decoded(encoded: DataFrame, path: str = MODEL) -> DataFrame:
             texts = decode(model, np.concatenate(rows) if rows else np.zeros(0, np.int64), ends)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return encoded.select("doc_id", "ids").transform(in_batches, run, f"doc_id {kind}, text string")

@@ -15,8 +15,9 @@ it also starts in a document with a smaller id. Windows are judged on the input.
 hashes, passages by 64-bit hashes of those.
 
 Edge cases: a null text has no words; a null doc_id counts as larger than any other, and two nulls as equal;
-repeated rows (same id) do not remove each other; texts shorter than a window stay whole; an empty table gives an
-empty result; other columns are not read.
+repeated rows (same id) do not remove each other; texts shorter than a window stay whole; very long texts are read
+whole, in a batch of their own; an empty table gives an empty result; other columns are not read, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lociflow.llm import _anchors as anchors
 from lociflow.llm._stage import staged
-from lociflow.llm._text import WordHashes, small_batches, spans_union
+from lociflow.llm._text import WordHashes, in_batches, small_batches, spans_union
 
 WINDOW = 13
 GRAM = 5
@@ -245,9 +246,9 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
 
     found = staged(anchors.settle(anchors.index(rows, tokens, window, gram, _combine), lambda e: _settle(e, split)), "windows")
     asked = found.where(anchors.kind() != anchors.REMOVE).groupBy("rid", "th").agg(F.collect_list(F.struct("value", "gram")).alias("asked"))
-    passages = anchors.with_texts(rows, asked, "inner").mapInArrow(lambda it: _passages(it, window), "shard long, rid long, th int, start long, count int, tokens binary")
-    matched = passages.repartition("shard").sortWithinPartitions("shard").mapInArrow(lambda it: _match(it, window), "rid long, th int, value long")
+    passages = anchors.with_texts(rows, asked, "inner").transform(in_batches, lambda it: _passages(it, window), "shard long, rid long, th int, start long, count int, tokens binary")
+    matched = passages.repartition("shard").sortWithinPartitions("shard").transform(in_batches, lambda it: _match(it, window), "rid long, th int, value long")
     gone = found.where(anchors.kind() == anchors.REMOVE).select("rid", "th", "value").unionByName(matched)
     full = anchors.with_texts(rows, anchors.per_document(gone, "gone"), "left")
     full = full.select(F.when(F.col("rid") != anchors.NO_ID, F.col("rid")).alias("doc_id"), "text", "gone")
-    return full.mapInArrow(lambda it: _cut(it, window), "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")
+    return full.transform(in_batches, lambda it: _cut(it, window), "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")

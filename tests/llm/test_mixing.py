@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from lociflow.llm import mixing
 from tests.llm.data import documents, frame, multiset, words
@@ -54,6 +55,21 @@ def test_mix_repeats_documents(spark):
     assert counts == {"s0": 71, "s1": 29}
 
 
+def test_clashing_names(spark):
+    names = ["copies", "size", "copy", "__n", "__id", "c0", "repeats"]
+    docs = frame(spark, documents()).select("*", *[F.lit(777).alias(n) for n in names])
+    out = mixing.mix(docs)
+    assert out.columns == docs.columns and [tuple(r) for r in out.select(*names).distinct().collect()] == [(777,) * len(names)]
+    plain = mixing.mix(frame(spark, documents()))
+    assert multiset(out.drop(*names).collect()) == multiset(plain.collect())
+
+
+def test_null_ids_are_told_apart_by_their_texts(spark):
+    rows = [(None, f"w{i} " * 10, None, f"s{i % 2}", *[None] * 4) for i in range(200)]
+    counts = [r["count"] for r in mixing.mix(frame(spark, rows)).groupBy("text").count().collect()]
+    assert 100 < len(counts) <= 200 and abs(sum(counts) - 200) <= 2
+
+
 def test_empty(spark):
     assert mixing.mix_plan(frame(spark, [])).count() == 0 and mixing.mix(frame(spark, [])).count() == 0
     with pytest.raises(ValueError):

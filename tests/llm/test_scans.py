@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -49,6 +50,12 @@ def test_trigram_queries(pattern, want):
     assert got == want or (isinstance(want, tuple) and len(want) == 1 and got != True)  # noqa: E712
 
 
+def test_flags_inside_an_expression():
+    rules = (secret_scan.Rule("a", "(?i:bearer) x{3}"), secret_scan.Rule("b", "(?i)basic x{3}"), secret_scan.Rule("c", "(?-i:Key) x{3}", True))
+    found = secret_scan.Scanner(rules).block([b"BEARER xxx", b"Basic XXX", b"Key XXX", b"key xxx"])
+    assert found == [[(0, 0, 10)], [(0, 1, 9)], [(0, 2, 7)], []]
+
+
 def test_index_loses_no_match():
     """With and without the index, all rules find the same."""
     texts = [(r[1] or "").encode() for r in documents()] + [s.encode() for s in SECRETS]
@@ -99,6 +106,27 @@ def test_pii(spark):
     assert multiset(tuple(r)[:6] for r in got) == multiset(want)
 
 
+def test_pii_of_long_runs():
+    """Neither long zeros nor many candidates cost more than their length."""
+    zeros = b"0" * 5000
+    assert pii.base_spans(zeros + b".1.2.3") == [(0, 1, 5006)] and pii.base_spans(b"1" * 5000 + b".1.2.3") == []
+    text = b"".join(b"%07d, " % i for i in range(40_000))
+    began = time.time()
+    assert len(pii.candidates(text, [])) == 40_000 and time.time() - began < 10
+
+
+def test_candidates_touch_no_base_span():
+    import random
+
+    rng = random.Random(1)
+    for _ in range(300):
+        text = "".join(rng.choices("0123456789 .-+@a,", k=60)).encode()
+        base = sorted(pii.base_spans(text))
+        got = pii.candidates(text, base)
+        for i, (s, _, e) in enumerate(got):
+            assert not any(s < b and a < e for a, _, b in [*base, *got[:i]])
+
+
 def test_pii_learns_contexts(spark):
     """Numbers without the fixed form are found where most of what stands there is known."""
     texts = [f"please phone me +1 212 555-{1000 + i} thanks" for i in range(30)] + ["please phone me 0212 555 9999 thanks", "the total was 0212 555 8888 yen"]
@@ -136,6 +164,18 @@ def test_quality(spark):
     assert sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(repr(r.doc_id) for r in got if r.kept)
 
 
+@pytest.mark.parametrize("least", [1, 2, 3, 12])
+def test_quality_of_short_repeats(spark, least):
+    rows = [r for r in documents(3, 20) if len(words(r[1])) < 300] + rows_of(["a b c a b d", "x y x"])
+    got = quality.quality(frame(spark, rows), repeat_words=least).collect()
+    want = []
+    for r in rows:
+        best = longest_repeat(words(r[1]))
+        gone = {q for p, k in enumerate(best) if k >= least for q in range(p, p + k)}
+        want.append((r[0], len(gone), max([k for k in best if k >= least], default=0)))
+    assert multiset((r.doc_id, r.covered_words, r.longest_repeat) for r in got) == multiset(want)
+
+
 def longest_repeat(w):
     best = [0] * len(w)
     for i in range(len(w)):

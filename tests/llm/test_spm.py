@@ -1,4 +1,5 @@
 import struct
+from itertools import product
 from pathlib import Path
 
 import numpy as np
@@ -96,3 +97,25 @@ def test_equals_the_library_as_a_unigram_model():
 def test_normalising_models_are_refused():
     with pytest.raises(ValueError):
         spm.Model(small_model() + message((3, message((1, b"nmt_nfkc"), (2, b"x"), (4, 0)))))
+
+
+@pytest.mark.parametrize("cells", [1, 40, 1 << 19])
+def test_stretches_of_any_length(monkeypatch, cells):
+    """Words longer than what is worked on at once, against plain loops; many short ones too."""
+    monkeypatch.setattr(spm, "MOST_CELLS", cells)
+    model = spm.Model(small_model())
+    texts = ["ab" * 30 + "baé日", "b" * 77, *("".join(w) for w in product("abé", repeat=4))]
+    ids, ends = spm.Encoder(model).encode([t.encode() for t in texts])
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [best(model, "▁" + t) for t in texts]
+
+
+@needs_model
+def test_very_long_word():
+    word = ("abcdefgh日" * 60_000).encode()
+    model = spm.load()
+    encoder = spm.Encoder(model)
+    ids, ends = encoder.encode([word])
+    assert spm.decode(model, ids, ends) == [word]
+    encoder.encode([word, word[:-3] * 2])
+    encoder.encode([b"x"])
+    assert encoder.held < spm.MOST_BYTES
