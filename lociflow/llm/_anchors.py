@@ -9,8 +9,9 @@ have equal minimisers at equal offsets. Three rounds settle each run:
    each text is asked for its tokens.
 3. *Compare.* The tokens asked for are compared window by window by the operator's own structure.
 
-A minimiser with more than ``SPLIT`` different texts is asked for single windows, dealt by window or compared by an
-aggregation, so that no task gathers them. A document is known by its id and a hash of its text, so repeated ids keep apart; a null id
+A minimiser with more than ``split`` different texts (a parameter; 0 takes every minimiser so, and the results are the
+same at any value) is asked for single windows, dealt by window or compared by an aggregation, so that no task gathers
+them. A document is known by its id and a hash of its text, so repeated ids keep apart; a null id
 stands for the largest number.
 """
 
@@ -23,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.llm._stage import shuffle_partitions
-from lociflow.llm._text import Rolling, require, small_batches, window_runs
+from lociflow.llm._stage import buckets
+from lociflow.llm._text import Rolling, in_batches, require, small_batches, window_runs
 
 NO_ID = (1 << 63) - 1
 SPLIT = 5000
@@ -82,7 +83,7 @@ Settle = Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]]
 def index(docs: DataFrame, tokens: Callable[[], Tokens], window: int, gram: int, combine: Callable) -> DataFrame:
     """(bucket, block) rows of all runs. ``combine`` takes the entries of a block and returns those to deal by
     minimiser and those that are settled already, which are dealt by document."""
-    n = 4 * shuffle_partitions(docs.sparkSession)
+    n = buckets(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = tokens()
@@ -92,16 +93,16 @@ def index(docs: DataFrame, tokens: Callable[[], Tokens], window: int, gram: int,
             entry = {k: np.concatenate([h[k] for h in held]) for k, _ in ENTRY}
             held.clear()
             open_, settled = combine(entry)
-            buckets, blocks = [], []
+            places, blocks = [], []
             for part, by in ((open_, open_["gram"] % np.uint64(n)), (settled, settled["doc"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32))):
                 by = (by % np.uint64(n)).astype(np.int64)
                 o = np.argsort(by, kind="stable")
                 cut = np.searchsorted(by[o], np.arange(n + 1))
                 for b in np.flatnonzero(np.diff(cut)):
                     rows = o[cut[b] : cut[b + 1]]
-                    buckets.append(b)
+                    places.append(b)
                     blocks.append(to_block({k: v[rows] for k, v in part.items()}))
-            return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "block"])
+            return pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "block"])
 
         for part, texts in small_batches(batches):
             toks, ends = split(texts)
@@ -116,21 +117,39 @@ def index(docs: DataFrame, tokens: Callable[[], Tokens], window: int, gram: int,
         if held:
             yield send()
 
-    return docs.mapInArrow(run, "bucket int, block binary")
+    return docs.transform(in_batches, run, "bucket int, block binary")
+
+
+def by_bucket(blocks: DataFrame) -> DataFrame:
+    """The rows of every bucket in one partition, one bucket after the other."""
+    return blocks.repartition("bucket").sortWithinPartitions("bucket")
+
+
+def each_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """What stands beside the bucket's number, one bucket at a time."""
+    key, held = None, []
+    for b in batches:
+        for bucket, *rest in zip(*(b.column(i).to_pylist() for i in range(b.num_columns)), strict=True):
+            if held and bucket != key:
+                yield held
+                held = []
+            key = bucket
+            held.append(rest)
+    if held:
+        yield held
 
 
 def settle(blocks: DataFrame, rule: Settle) -> DataFrame:
     """(rid, th, value, gram) rows: windows to remove, and runs to compare."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entry = from_blocks([x for b in batches for x in b.column(1).to_pylist()])
-        if len(entry["doc"]):
-            out = rule(entry)
+        for held in each_bucket(batches):
+            out = rule(from_blocks([x[0] for x in held]))
             for i in range(0, len(out["doc"]), 500_000):
                 s = slice(i, i + 500_000)
                 yield pa.RecordBatch.from_arrays([pa.array(out["doc"][s]), pa.array(out["th"][s]), pa.array(out["value"][s]), pa.array(out["gram"][s].view(np.int64))], ["rid", "th", "value", "gram"])
 
-    return blocks.repartition("bucket").select("bucket", "block").mapInArrow(run, "rid long, th int, value long, gram long")
+    return by_bucket(blocks.select("bucket", "block")).transform(in_batches, run, "rid long, th int, value long, gram long")
 
 
 def kind(value: str = "value"):

@@ -18,8 +18,10 @@ A bitmap of each set, in which every token flips one bit, bounds the difference
 most chance candidates; the others are verified on the full sets.
 
 Edge cases: a null or empty text has an empty set and links with nothing; a text with fewer than n words has its
-whole sequence as its only token; a null doc_id counts as larger than any other; repeated rows link; an empty
-table gives an empty result; other columns are not read. Tokens and sets are 64-bit hashes.
+whole sequence as its only token; very long texts are read whole, in a batch of their own; a null doc_id counts as
+larger than any other; repeated rows link; of members with one doc_id that with the least hash of its text is the
+first; an empty table gives an empty result; other columns are not read by ``join`` and go through ``keep_one``
+unchanged, whatever their names. Tokens and sets are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -32,12 +34,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lociflow.llm import _anchors as anchors
 from lociflow.llm._components import components
-from lociflow.llm._stage import shuffle_partitions, staged
-from lociflow.llm._text import Rolling, WordHashes, mix, small_batches
+from lociflow.llm._stage import buckets, drop_stage, staged
+from lociflow.llm._text import Rolling, WordHashes, in_batches, mix, numbered, small_batches
 
 N = 5
 #: Groups of up to so many sets give all their pairs.
@@ -46,7 +47,9 @@ ALL_PAIRS = 8
 SALT_ROWS = 256
 #: Cost model: entries cost 1 each, and an entry of j tokens meets other sets in proportion to COMMON ** j.
 COMMON, MEETING = 0.01, 50.0
-BLOCK_ROWS = 1_500_000
+BLOCK_ROWS = 750_000
+#: Sets with one rare token that are compared with as many others in one task.
+BLOCK_SETS = 2_000
 
 
 def bands(most: int = 1 << 40) -> np.ndarray:
@@ -246,14 +249,18 @@ def _distinct(*keys: np.ndarray) -> list[np.ndarray]:
 
 def _candidates(batches: Iterator[pa.RecordBatch], all_pairs: int) -> Iterator[pa.RecordBatch]:
     """Rows (kind, a, b): pairs of sets that share an entry; spare and lost entries b of a set and role a. The
-    entries of a larger group are lost to its members, as they give only pairs with its least member."""
-    blocks, spares = [], []
-    for b in batches:
-        blocks += b.column(1).to_pylist()
-        spares += [x for x in b.column(2).to_pylist() if x]
+    entries of a larger group are lost to its members, as they give only pairs with its least member. One bucket of
+    entries is held at a time."""
+    for held in anchors.each_bucket(batches):
+        for kind, a, b in _bucket([x for x, _ in held], [x for _, x in held if x], all_pairs):
+            for i in range(0, len(a), 500_000):
+                x = a[i : i + 500_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(b[i : i + 500_000])], ["kind", "a", "b"])
+
+
+def _bucket(blocks: list[bytes], spares: list[bytes], all_pairs: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
     out = [(SPARE, *_distinct(*_halves(spares, np.int64)))] if spares else []
     s, v = _halves(blocks, np.uint64)
-    del blocks
     o = np.argsort(s)
     s, v = s[o], v[o]
     same = np.zeros(len(s) + 1, bool)
@@ -280,10 +287,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], all_pairs: int) -> Iterator[p
         ok = a != b
         out.append((PAIR, *_distinct(np.minimum(a, b)[ok], np.maximum(a, b)[ok])))
         out.append((LOST, *np.unique(entry[~small], return_counts=True)))
-    for kind, a, b in out:
-        for i in range(0, len(a), 500_000):
-            x = a[i : i + 500_000]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(b[i : i + 500_000])], ["kind", "a", "b"])
+    return out
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +303,7 @@ def near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     small = pairs.hint("shuffle_hash")
     one = nodes.join(small.withColumnRenamed("a", "node"), "node").select(F.col("node").alias("a"), "b", F.col("n").alias("n1"), F.col("bits").alias("bits1"))
     both = one.join(nodes.withColumnRenamed("node", "b"), "b").select("a", "b", "n1", "n", "bits1", "bits")
-    return both.mapInArrow(_near, "a long, b long")
+    return both.transform(in_batches, _near, "a long, b long")
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -334,7 +338,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame:
     others = sets.join(salted.withColumnRenamed("b", "node").hint("shuffle_hash"), "node").select("a", "salt", F.col("node").alias("b"), "tokens")
     own = sets.join(salted.select(F.col("a").alias("node"), "salt").distinct().hint("shuffle_hash"), "node").select(F.col("node").alias("a"), "salt", F.lit(None).cast("long").alias("b"), "tokens")
     rows = own.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(lambda it: _verify(it, percent), "a long, b long")
+    return rows.transform(in_batches, lambda it: _verify(it, percent), "a long, b long")
 
 
 def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,17 +374,21 @@ def prefix_pairs(sets: DataFrame) -> DataFrame:
     From (node, comp, tokens). Where the first token that two ordered sets share stands at places i and j, no more
     than that token and what follows it in either set is shared; and two sets differ in no fewer tokens than their
     parity bitmaps in bits. Both bounds stand in the join's condition, so what fails them is never a row."""
-    rows = sets.select("node", "comp", "tokens").mapInArrow(_explode, "node long, comp long, n long, token long")
+    rows = sets.select("node", "comp", "tokens").transform(in_batches, _explode, "node long, comp long, n long, token long")
     df = rows.groupBy("token").agg(F.count("*").alias("df"))
     ranked = rows.join(df, "token").groupBy("node", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order"))
     prefix = ranked.select("node", "comp", "n", F.posexplode(F.slice("order", 1, F.col("n").cast("int") - F.ceil(F.col("n") * 3 / 4).cast("int") + 1)).alias("i", "x")).select("node", "comp", "n", "i", "x.token")
-    marks = sets.select("node", "tokens").mapInArrow(_marks, "node long, " + ", ".join(f"m{k} long" for k in range(MARKS)))
+    marks = sets.select("node", "tokens").transform(in_batches, _marks, "node long, " + ", ".join(f"m{k} long" for k in range(MARKS)))
     prefix = staged(prefix.join(marks, "node"), "prefix")
-    across = prefix.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    left = prefix.join(across, "token", "left_semi")
-    right = left.select("token", F.col("node").alias("node2"), F.col("comp").alias("comp2"), F.col("n").alias("n2"), F.col("i").alias("i2"), *[F.col(f"m{k}").alias(f"o{k}") for k in range(MARKS)])
+    # A token of many sets is dealt out: its sets are cut into blocks, and each two blocks meet by themselves.
+    across = prefix.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+    across = staged(across.where("low < high").select("token", "blocks"), "across")
+    found = prefix.join(across, "token").withColumn("own", F.pmod(F.hash("node"), "blocks"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = found.select("*", every.alias("other"))
+    right = found.select("*", every.alias("other")).select("token", F.col("own").alias("other"), F.col("other").alias("own"), F.col("node").alias("node2"), F.col("comp").alias("comp2"), F.col("n").alias("n2"), F.col("i").alias("i2"), *[F.col(f"m{k}").alias(f"o{k}") for k in range(MARKS)])
     differ = " + ".join(f"bit_count(m{k} ^ o{k})" for k in range(MARKS))
-    met = left.join(right, "token").where(f"node < node2 AND comp <> comp2 AND 4 * n >= 3 * n2 AND 4 * n2 >= 3 * n AND 7 * least(n - i, n2 - i2) >= 3 * (n + n2) AND 7 * ({differ}) <= n + n2")
+    met = left.join(right, ["token", "own", "other"]).where(f"node < node2 AND comp <> comp2 AND 4 * n >= 3 * n2 AND 4 * n2 >= 3 * n AND 7 * least(n - i, n2 - i2) >= 3 * (n + n2) AND 7 * ({differ}) <= n + n2")
     return met.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
 
@@ -400,33 +408,37 @@ def grouped(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL
     if percent < 75:
         raise ValueError("the partition scheme covers similarities of 75 percent and more")
     rows = anchors.keyed(docs).withColumn("th", F.xxhash64("text"))  # 32 bits are few for the texts of all null ids
-    buckets = 4 * shuffle_partitions(docs.sparkSession)
-    members = staged(rows.mapInArrow(lambda it: _members(it, n), "rid long, th long, n long, node long, bits binary"), "members")
+    dealt = buckets(docs)
+    members = staged(rows.transform(in_batches, lambda it: _members(it, n), "rid long, th long, n long, node long, bits binary"), "members")
     nodes = members.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("rid", "th", "n", "bits")).alias("at")).select("node", "at.rid", "at.th", "at.n", "at.bits")
     nodes = staged(nodes, "nodes")
-    found = rows.select("text").mapInArrow(lambda it: _entries(it, n, buckets), "bucket int, block binary, spares binary").repartition("bucket").select("bucket", "block", "spares")
-    found = staged(found.mapInArrow(lambda it: _candidates(it, all_pairs), "kind int, a long, b long"), "candidates")
+    found = rows.select("text").transform(in_batches, lambda it: _entries(it, n, dealt), "bucket int, block binary, spares binary").transform(anchors.by_bucket)
+    found = staged(found.transform(in_batches, lambda it: _candidates(it, all_pairs), "kind int, a long, b long"), "candidates")
     pairs = staged(near(found.where(F.col("kind") == PAIR).select("a", "b").distinct(), nodes), "pairs")
     # The same text in several tasks gives the same spare entries: the least is the number.
     spare = found.where(F.col("kind") == SPARE).groupBy("a").agg(F.min("b").alias("spare"))
     lost = found.where(F.col("kind") == LOST).groupBy("a").agg(F.sum("b").alias("lost"))
-    crowd = spare.join(lost, "a", "left").where(F.col("spare") < F.coalesce("lost", F.lit(0))).select(F.col("a").bitwiseAND(F.lit(-2)).alias("node")).distinct()
+    crowd = staged(spare.join(lost, "a", "left").where(F.col("spare") < F.coalesce("lost", F.lit(0))).select(F.col("a").bitwiseAND(F.lit(-2)).alias("node")).distinct(), "crowd")
+    drop_stage(found)
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(crowd).distinct()
     least = nodes.join(wanted, "node").select("node", "rid", "th")
-    sets = staged(_one_text(rows, least, members).mapInArrow(lambda it: _sets(it, n), "node long, tokens binary"), "sets", "none")
+    sets = staged(_one_text(rows, least, members).transform(in_batches, lambda it: _sets(it, n), "node long, tokens binary"), "sets", "none")
     links = staged(verify(pairs, sets, percent), "links")
     roots = staged(components(links), "roots")
     crowd = crowd.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))
     more = near(prefix_pairs(sets.join(crowd.hint("shuffle_hash"), "node")).join(pairs, ["a", "b"], "left_anti"), nodes)
     roots = staged(components(links.unionByName(verify(staged(more, "more"), sets, percent))), "roots")
-    named = members.join(roots, "node", "left").select("rid", "th", "n", F.coalesce("root", "node").alias("root"))
-    return staged(named, "named")
+    named = staged(members.join(roots, "node", "left").select("rid", "th", "n", F.coalesce("root", "node").alias("root")), "named")
+    for table in (members, nodes, pairs, sets, links, roots):
+        drop_stage(table)
+    return named
 
 
 def join(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL_PAIRS) -> DataFrame:
     """doc_id, n_shingles, component_id: the least doc_id that links reach from the document."""
     named = grouped(docs, n, percent, all_pairs)
-    first = named.where("root IS NOT NULL").groupBy("root").agg(F.min("rid").alias("first"))
+    # Written, so that the members of a group of any size meet a plain table and Spark may split their partition.
+    first = staged(named.where("root IS NOT NULL").groupBy("root").agg(F.min("rid").alias("first")), "first")
     out = named.join(first, "root", "left").select("rid", "n", F.coalesce("first", "rid").alias("first"))
     real = lambda c: F.when(F.col(c) != anchors.NO_ID, F.col(c))
     return out.select(real("rid").alias("doc_id"), F.col("n").alias("n_shingles"), real("first").alias("component_id"))
@@ -439,10 +451,10 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = 75) -> DataFrame:
     texts = grouped(docs, n, percent).groupBy("rid", "th").agg(F.first("root").alias("root"), F.count("*").alias("k"))
     least = texts.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("rid", "th", "k")).alias("at")).select("at.*")
     alone = texts.where("root IS NULL").select("rid", "th", F.when(F.col("rid") == anchors.NO_ID, F.lit(1)).otherwise(F.col("k")).alias("k"))
-    least = least.unionByName(alone).select(*[F.col(c).alias(f"__{c}") for c in ("rid", "th", "k")])
-    rid = F.coalesce(F.col("doc_id").cast("long"), F.lit(anchors.NO_ID))
-    kept = docs.join(least.hint("shuffle_hash"), (rid == F.col("__rid")) & (F.xxhash64("text") == F.col("__th")))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    once = kept.where("__k = 1").select(*names)
-    first = kept.where("__k > 1").withColumn("__i", F.row_number().over(Window.partitionBy("__rid", "__th").orderBy("__k"))).where("__i = 1").select(*names)
-    return once.unionByName(first)
+    least = staged(least.unionByName(alone), "kept")
+    rows, name = numbered(docs)
+    rid, th = F.coalesce(F.col(name["doc_id"]).cast("long"), F.lit(anchors.NO_ID)), F.xxhash64(name["text"])
+    kept = rows.join(least.hint("shuffle_hash"), (rid == F.col("rid")) & (th == F.col("th")))
+    once = kept.where("k = 1").select(*rows.columns)
+    first = kept.where("k > 1").dropDuplicates(["rid", "th"]).select(*rows.columns)
+    return once.unionByName(first).toDF(*docs.columns)

@@ -167,3 +167,20 @@ def test_suffix_automaton():
     sam.add([2, 3, 1, 1], 3)
     sam.close()
     assert sam.owners([1, 2, 3, 1, 1, 2, 9, 1, 2], 2) == [7, 3, 3, 3, 7, BIG * 2 - 1, BIG * 2 - 1, 7]
+
+
+def test_keep_one_with_clashing_names(spark):
+    names = ["rid", "th", "k", "__id", "__n", "c1", "root"]
+    docs = frame(spark, documents()).drop("rid")
+    wide = docs.select("*", *[F.lit(777).alias(n) for n in names])
+    out = jaccard.keep_one(wide)
+    assert out.columns == wide.columns and [tuple(r) for r in out.select(*names).distinct().collect()] == [(777,) * len(names)]
+    assert multiset(out.select("doc_id", "text").collect()) == multiset(jaccard.keep_one(docs).select("doc_id", "text").collect())
+
+
+def test_blocks_of_a_common_token(spark, monkeypatch):
+    """Sets with one rare token meet in blocks of any size; the links are the same."""
+    rows = documents(6, 80)
+    want = multiset(jaccard.join(frame(spark, rows), all_pairs=2).collect())
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 2)
+    assert multiset(jaccard.join(frame(spark, rows), all_pairs=2).collect()) == want
