@@ -13,8 +13,9 @@ document or another, is removed. Strings are judged on the input; matches never
 text repeats are recognised by 64-bit hashes; all others are compared byte by byte.
 
 Edge cases: a null text is empty; repeated rows are separate documents, so all that they share is removed; texts
-shorter than a window stay whole; null ids are kept; an empty table gives an empty result; other columns are not
-read.
+shorter than a window stay whole; very long texts are read whole, in a batch of their own; all of several equal strings
+are removed, so there are no ties; null ids are kept; an empty table gives an empty result; other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.llm import _anchors as anchors
-from lociflow.llm._stage import shuffle_partitions, staged
-from lociflow.llm._text import LOW_BITS, Rolling, small_batches, spans_union
+from lociflow.llm._stage import free_shuffles, shuffle_partitions, staged
+from lociflow.llm._text import LOW_BITS, Rolling, in_batches, small_batches, spans_union
 
 WINDOW = 200
 GRAM = 64
@@ -229,22 +230,24 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
         raise ValueError("gram must lie between 8 and window")
     rows = anchors.keyed(docs)
     found = staged(anchors.settle(anchors.index(rows, byte_tokens, window, gram, _combine), lambda e: _settle(e, split)), "strings")
+    free_shuffles(docs.sparkSession)
     schema = "head binary, left binary, right binary, rid long, th int, start long, count int, at int, test boolean"
 
     def contexts(kind: int) -> DataFrame:
         asked = anchors.per_document(found.where(anchors.kind().bitwiseAND(F.lit(3)) == kind), "asked")
-        return anchors.with_texts(rows, asked, "inner").mapInArrow(lambda it: _contexts(it, window, gram, kind == anchors.SINGLY), schema)
+        return anchors.with_texts(rows, asked, "inner").transform(in_batches, lambda it: _contexts(it, window, gram, kind == anchors.SINGLY), schema)
 
-    suffixes = staged(contexts(anchors.COMPARE), "suffixes")
+    suffixes = staged(contexts(anchors.COMPARE), "suffixes", "zstd")
+    free_shuffles(docs.sparkSession)
     buckets = suffixes.repartitionByRange(shuffle_partitions(docs.sparkSession), "head").sortWithinPartitions("head")
-    repeated = buckets.mapInArrow(lambda it: _bucket(it, window), "rid long, th int, value long")
+    repeated = buckets.transform(in_batches, lambda it: _bucket(it, window), "rid long, th int, value long")
     gone = found.where(anchors.kind() == anchors.REMOVE).select("rid", "th", "value").unionByName(repeated)
     if not found.where(anchors.kind().bitwiseAND(F.lit(3)) == anchors.SINGLY).isEmpty():
         # Windows around a minimiser with too many texts for one bucket: an aggregation, combined before its shuffle.
-        single = staged(contexts(anchors.SINGLY).select(F.concat("head", "right").alias("bytes"), "rid", "th", "start", "test"), "single-windows")
+        single = staged(contexts(anchors.SINGLY).select(F.concat("head", "right").alias("bytes"), "rid", "th", "start", "test"), "single-windows", "zstd")
         twice = single.groupBy("bytes").agg(F.sum(F.when(F.col("test"), 1).otherwise(2)).alias("n")).where("n > 1").select("bytes")
         more = single.where("test").join(twice, "bytes", "left_semi")
         gone = gone.unionByName(more.select("rid", "th", (F.shiftleft(F.col("start"), 24) + (1 << 4) + anchors.REMOVE).alias("value")))
     full = anchors.with_texts(rows, anchors.per_document(gone, "gone"), "left")
     full = full.select(F.when(F.col("rid") != anchors.NO_ID, F.col("rid")).alias("doc_id"), "text", "gone")
-    return full.mapInArrow(lambda it: _cut(it, window), "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
+    return full.transform(in_batches, lambda it: _cut(it, window), "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
