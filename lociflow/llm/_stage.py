@@ -54,7 +54,7 @@ def drop_stage(df: DataFrame) -> None:
     """Removes the files behind a staged table that nothing will read again."""
     spark = df.sparkSession
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for d in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for d in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:  # none if it has no rows
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(d)
         p.getFileSystem(conf).delete(p, True)
 

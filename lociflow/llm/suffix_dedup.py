@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.llm import _anchors as anchors
-from lociflow.llm._stage import free_shuffles, shuffle_partitions, staged
+from lociflow.llm._stage import drop_stage, free_shuffles, shuffle_partitions, staged
 from lociflow.llm._text import LOW_BITS, Rolling, in_batches, small_batches, spans_union
 
 WINDOW = 200
@@ -248,6 +248,11 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
         twice = single.groupBy("bytes").agg(F.sum(F.when(F.col("test"), 1).otherwise(2)).alias("n")).where("n > 1").select("bytes")
         more = single.where("test").join(twice, "bytes", "left_semi")
         gone = gone.unionByName(more.select("rid", "th", (F.shiftleft(F.col("start"), 24) + (1 << 4) + anchors.REMOVE).alias("value")))
+    # Written, so that the texts are dealt out once what the comparison took of the disk has gone.
+    gone = staged(gone, "repeated")
+    drop_stage(found)
+    drop_stage(suffixes)
+    free_shuffles(docs.sparkSession)
     full = anchors.with_texts(rows, anchors.per_document(gone, "gone"), "left")
     full = full.select(F.when(F.col("rid") != anchors.NO_ID, F.col("rid")).alias("doc_id"), "text", "gone")
     return full.transform(in_batches, lambda it: _cut(it, window), "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
