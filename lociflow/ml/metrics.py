@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Bins of a score between 0 and 1.
+BINS = 4096
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, 0 if b is 0."""
     return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b.cast("double"))
@@ -24,12 +28,20 @@ def confusion_counts(rows: DataFrame, y: str = "y", pred: str = "pred") -> DataF
 def thresholds(rows: DataFrame, y: str = "y", score: str = "score", group: list[str] | None = None) -> DataFrame:
     """score, tp, fp, pos, neg of every distinct score: what lies at or above it, and the totals.
 
-    The scores are counted before they are ordered, so the window sees a row for each distinct score."""
+    The scores are counted before they are ordered, and ordered within bins of 1 / BINS; only the counts of the bins
+    are added up in one place."""
     group = group or []
-    per = rows.groupBy(*group, score).agg(F.sum(F.col(y).cast("long")).alias("__p"), F.count("*").alias("__n"))
-    w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    down = w.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    return per.select(*group, F.col(score).alias("score"), F.sum("__p").over(down).alias("tp"), F.sum(F.col("__n") - F.col("__p")).over(down).alias("fp"), F.col("__p").alias("p_here"), (F.col("__n") - F.col("__p")).alias("n_here"), F.sum("__p").over(w).alias("pos"), F.sum(F.col("__n") - F.col("__p")).over(w).alias("neg"))
+    per = rows.groupBy(*group, F.col(score).alias("score")).agg(F.sum(F.col(y).cast("long")).alias("p_here"), F.count("*").alias("__n"))
+    per = per.select(*group, "score", "p_here", (F.col("__n") - F.col("p_here")).alias("n_here"), F.floor(F.col("score") * BINS).alias("__bin"))
+    bins = per.groupBy(*group, "__bin").agg(F.sum("p_here").alias("__p"), F.sum("n_here").alias("__q"))
+    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    above = whole.orderBy(F.desc("__bin")).rowsBetween(Window.unboundedPreceding, -1)
+    over = lambda c: F.coalesce(F.sum(c).over(above), F.lit(0))
+    bins = bins.select(*group, "__bin", over("__p").alias("__tp"), over("__q").alias("__fp"), F.sum("__p").over(whole).alias("pos"), F.sum("__q").over(whole).alias("neg"))
+    down = Window.partitionBy(*group, "__bin").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumn("__tp_here", F.sum("p_here").over(down)).withColumn("__fp_here", F.sum("n_here").over(down))
+    out = per.join(bins, [*group, "__bin"])
+    return out.select(*group, "score", (F.col("__tp") + F.col("__tp_here")).alias("tp"), (F.col("__fp") + F.col("__fp_here")).alias("fp"), "p_here", "n_here", "pos", "neg")
 
 
 def roc_points(rows: DataFrame, y: str = "y", score: str = "score") -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from lociflow.ml import metrics
 from lociflow.operators.splits import stratified_folds, stratified_holdout
 
-TREES = 300
+#: Trees, and their depth: the greatest that the library grows; leaves may hold a single row.
+TREES, DEPTH = 300, 30
 ITERATIONS = 2000
 
 
@@ -39,7 +40,7 @@ def build_model(kind: str, rows: int, seed: int = 42, standardize: bool = True)
             column = "x_scaled"
         model = LogisticRegression(featuresCol=column, labelCol="y", weightCol="weight", maxIter=ITERATIONS, regParam=1.0 / max(1, rows), elasticNetParam=0.0, standardization=False)
     elif kind == "random_forest":
-        model = RandomForestClassifier(featuresCol=column, labelCol="y", weightCol="weight", numTrees=TREES, seed=seed)
+        model = RandomForestClassifier(featuresCol=column, labelCol="y", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, featureSubsetStrategy="sqrt", seed=seed)
     else:
         raise ValueError(f"unknown model: {kind}")
     return Pipeline(stages=[*stages, model])
@@ -96,13 +97,21 @@ def load_model(path: str) -> PipelineModel:
 
 
 def load_pickle(path: str, allow_code: bool = False):
-    """A pickled model, unwrapped from ``model`` or ``predictor``. Unpickling runs code: it must be allowed."""
+    """A model from a pickle or, by the ending .joblib or .jl, a joblib file, unwrapped from ``model`` or ``predictor``.
+    Unpickling runs code: it must be allowed."""
     if not allow_code:
         raise PermissionError("unpickling runs code from the file; pass allow_code=True for files you trust")
-    import pickle
+    if path.lower().endswith((".joblib", ".jl")):
+        try:
+            import joblib
+        except ImportError as e:
+            raise ImportError("this model file needs joblib") from e
+        model = joblib.load(path)
+    else:
+        import pickle
 
-    with open(path, "rb") as f:
-        model = pickle.load(f)  # noqa: S301
+        with open(path, "rb") as f:
+            model = pickle.load(f)  # noqa: S301
     if isinstance(model, dict):
         model = next((model[k] for k in ("model", "predictor") if k in model), model)
     if not hasattr(model, "predict"):

@@ -18,16 +18,26 @@ Embed = Callable[[DataFrame], DataFrame]
 def allele_windows(variants: DataFrame, genome: DataFrame, k: int) -> DataFrame:
     """variants with upstream_seq, downstream_seq, ref_seq and alt_seq, from genome (chrom, seq). Variants on
     chromosomes that the genome lacks are dropped. ``genome`` may be in pieces (chrom, seq, seq_start, seq_len),
-    see ``sources.fasta.pieces``, each long enough for its variants' windows."""
-    whole = "seq_start" not in genome.columns
-    if whole:
-        joined, extra = variants.join(genome.select("chrom", "seq"), "chrom"), {}
+    see ``sources.fasta.pieces``: then each flank comes from the piece that it touches, the bases before a variant from
+    that of its position, those after it from that of the base after its reference allele, however long that is. A
+    piece must reach k bases over its ends."""
+    if "seq_start" not in genome.columns:
+        joined = variants.join(genome.select("chrom", "seq"), "chrom")
+        up, down = flanks(F.col("seq"), F.col("pos"), F.col("ref"), k)
+        out = joined.withColumn("upstream_seq", up).withColumn("downstream_seq", down).drop("seq")
     else:
-        step = genome.schema["piece"].metadata["step"]
-        joined = variants.withColumn("piece", F.floor((F.col("pos") - 1) / step)).join(genome, ["chrom", "piece"])
-        extra = {"seq_len": F.col("seq_len"), "seq_start": F.col("seq_start")}
-    up, down = flanks(F.col("seq"), F.col("pos"), F.col("ref"), k, **extra)
-    out = joined.withColumn("upstream_seq", up).withColumn("downstream_seq", down).drop("seq", "piece", "seq_start", "seq_len")
+        meta = genome.schema["piece"].metadata
+        if meta["overlap"] < k:
+            raise ValueError(f"pieces that reach {meta['overlap']} bases over their ends are too short for windows of {k}")
+        lengths = genome.where("piece = 0").select("chrom", "seq_len")
+        held = lambda p: F.floor(F.greatest(F.lit(0), F.least(p, F.col("seq_len")) - 1) / meta["step"])
+        whole = {"seq_len": F.col("seq_len"), "seq_start": F.col("seq_start")}
+        parts = genome.drop("seq_len")
+        up, down = flanks(F.col("seq"), F.col("pos"), F.col("ref"), k, **whole)
+        out = variants.join(lengths, "chrom").withColumn("piece", held(F.col("pos"))).join(parts, ["chrom", "piece"])
+        out = out.withColumn("upstream_seq", up).drop("seq", "piece", "seq_start")
+        out = out.withColumn("piece", held(F.col("pos") + F.length("ref"))).join(parts, ["chrom", "piece"])
+        out = out.withColumn("downstream_seq", down).drop("seq", "piece", "seq_start", "seq_len")
     return out.withColumn("ref_seq", F.concat("upstream_seq", "ref", "downstream_seq")).withColumn("alt_seq", F.concat("upstream_seq", "alt", "downstream_seq"))
 
 
@@ -40,24 +50,25 @@ def variant_effects(variants: DataFrame, genome: DataFrame, k: int, embed: Embed
     return out.select("chrom", "pos", "ref", "alt", site_id(F.col("chrom"), F.col("pos")).alias("site_id"), l2(F.col("__r"), F.col("__a")).alias("var_effect"))
 
 
-def gene_sequences(gene_sites: DataFrame, genotypes: DataFrame, genome: DataFrame, samples: DataFrame) -> DataFrame:
-    """gene_id, sample, ref_seq, seq: every sample's sequence of every gene, with the sample's variants put in."""
+def gene_sequences(gene_sites: DataFrame, genotypes: DataFrame, genome: DataFrame) -> DataFrame:
+    """gene_id, sample, ref_seq, seq: of every gene the sequence of each sample that carries a variant in it, with the
+    sample's variants put in. The others have the reference's; no row is made for them."""
     genes = first_by(gene_sites.select("gene_id", "chrom", "gene_start", "gene_end"), ["gene_id"], "chrom", "gene_start", "gene_end").join(genome, "chrom")
     cut = F.substring("seq", F.col("gene_start").cast("int"), (F.col("gene_end") - F.col("gene_start") + 1).cast("int"))
     genes = genes.select("gene_id", "gene_start", cut.alias("ref_seq"))
     own = first_by(gene_sites, ["gene_id", "pos"], "ref", "alt").select("gene_id", "pos", "ref", "alt", site_id(F.col("chrom"), F.col("pos")).alias("site_id"))
     carried = own.join(genotypes.where("dosage > 0").select("site_id", "sample", "dosage"), "site_id")
     carried = carried.groupBy("gene_id", "sample").agg(F.collect_list(F.struct("pos", "ref", "alt", "dosage")).alias("variants"))
-    every = genes.crossJoin(samples.select("sample").distinct())
-    joined = every.join(carried, ["gene_id", "sample"], "left")
-    made = F.when(F.col("variants").isNull(), F.col("ref_seq")).otherwise(apply_variants(F.col("ref_seq"), F.col("gene_start"), F.col("variants")))
-    return joined.select("gene_id", "sample", "ref_seq", made.alias("seq"))
+    made = apply_variants(F.col("ref_seq"), F.col("gene_start"), F.col("variants"))
+    return carried.join(genes, "gene_id").select("gene_id", "sample", "ref_seq", made.alias("seq"))
 
 
-def gene_features(sequences: DataFrame, embed: Embed) -> DataFrame:
-    """gene_id, sample, value: distance of the sample's sequence from the reference; 0 if they are equal."""
+def gene_features(sequences: DataFrame, genes: DataFrame, samples: DataFrame, embed: Embed) -> DataFrame:
+    """gene_id, sample, value of every gene and sample: distance of the sample's sequence from the reference; 0 if they
+    are equal or the sample has none in ``sequences``."""
     changed = sequences.where(F.col("seq") != F.col("ref_seq"))
     vectors = embed(changed.select(F.explode(F.array("ref_seq", "seq")).alias("seq")).distinct())
     moved = changed.join(vectors.select("seq", F.col("embedding").alias("__s")), "seq").join(vectors.select(F.col("seq").alias("ref_seq"), F.col("embedding").alias("__r")), "ref_seq")
     moved = moved.select("gene_id", "sample", l2(F.col("__r"), F.col("__s")).alias("__d"))
-    return sequences.select("gene_id", "sample").join(moved, ["gene_id", "sample"], "left").select("gene_id", "sample", F.coalesce("__d", F.lit(0.0)).alias("value"))
+    every = genes.select("gene_id").distinct().crossJoin(samples.select("sample").distinct())
+    return every.join(moved, ["gene_id", "sample"], "left").select("gene_id", "sample", F.coalesce("__d", F.lit(0.0)).alias("value"))

@@ -12,9 +12,10 @@ from lociflow.functions.names import site_id, standard_sample
 
 
 def first_by(rows: DataFrame, keys: Sequence[str], *order) -> DataFrame:
-    """The first row of each key in a stated order."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    """The first row of each key by the columns of ``order``: combined before the shuffle."""
+    rest = [c for c in rows.columns if c not in keys]
+    least = F.min_by(F.struct(*rest), F.struct(*order)).alias("__row")
+    return rows.groupBy(*keys).agg(least).select(*keys, "__row.*").select(*rows.columns)
 
 
 def last_values(rows: DataFrame, keys: Sequence[str], order: str, *values: str) -> DataFrame:

@@ -28,9 +28,10 @@ def stab(points: DataFrame, intervals: DataFrame, chrom: str = "chrom", pos: str
     bin_width = F.lit(width) * F.pow(F.lit(COARSER), F.col("__level")).cast("long")
     bin_of = lambda c: F.floor(c / bin_width)
     listed = listed.withColumn("__bin", F.explode(F.sequence(bin_of(F.col(start)), bin_of(F.col(end))))).withColumnRenamed(chrom, "__chrom")
-    # Points are listed only for the levels that some interval has, one as a rule: at most LEVELS values come back.
-    used = sorted(r[0] for r in intervals.where(F.col(start) <= F.col(end)).select(level).distinct().collect()) or [0]
-    placed = points.withColumn("__levels", F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.floor(F.col(pos) / F.lit(width * COARSER**k)).alias("bin")) for k in used])))
+    # Points are listed only for the levels that some interval has, one as a rule: one row with LEVELS values at most.
+    used = intervals.where(F.col(start) <= F.col(end)).agg(F.collect_set(level).alias("__used"))
+    place = lambda k: F.struct(k.alias("level"), F.floor(F.col(pos) / (F.lit(width) * F.pow(F.lit(COARSER), k).cast("long"))).alias("bin"))
+    placed = points.crossJoin(F.broadcast(used)).withColumn("__levels", F.explode(F.transform("__used", place))).drop("__used")
     hit = (F.col(chrom) == F.col("__chrom")) & (F.col("__levels.level") == F.col("__level")) & (F.col("__levels.bin") == F.col("__bin")) & F.col(pos).between(F.col(start), F.col(end))
     if how == "inner":
         return placed.join(listed, hit).drop("__levels", "__level", "__bin", "__chrom")

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lociflow.operators.places import numbered
+
 #: Fixed value: the genotypes of a site.
 GENOTYPES = (0, 1, 2)
 #: Combinations of more sites are refused: 3 ** 16 rows are 43 million.
@@ -14,11 +16,14 @@ MOST_SITES = 16
 META = ("sample", "combination_id", "is_target", "source_sample", "source_type", "mutated_feature_count", "mutated_features", "mutated_feature_genotypes")
 
 
-def top_features(importance: DataFrame, genotype_features: Sequence[str], n: int, ordinal: str = "ord") -> list[str]:
-    """The n features of most gain, then most splits, then first in the file, among the genotype features."""
+def top_features(importance: DataFrame, genotype_features: Sequence[str] | DataFrame, n: int, ordinal: str = "ord") -> list[str]:
+    """The n features of most gain, then most splits, then first in the file, among the genotype features: names, or a
+    table of them (feature)."""
     if n <= 0:
         raise ValueError("top_n must be positive")
-    known = importance.sparkSession.createDataFrame([(f,) for f in genotype_features], "feature string")
+    known = genotype_features
+    if not isinstance(known, DataFrame):
+        known = importance.sparkSession.createDataFrame([(f,) for f in genotype_features], "feature string")
     rows = importance.where(~F.col("feature").startswith("loc")).join(known, "feature", "left_semi").orderBy(F.desc("importance_gain"), F.desc("importance_split"), ordinal).limit(n)
     out = [r["feature"] for r in rows.select("feature").collect()]
     if not out:
@@ -72,7 +77,8 @@ def observed(genotypes: DataFrame, features: Sequence[str], effects: Mapping[str
     """The observed samples in the same form, numbered in file order."""
     rows = genotypes.where(F.col("sample") != exclude) if exclude else genotypes
     vector = F.array(*[(F.col(f"`{f}`").cast("float") * F.lit(float(effects[f])).cast("float")).cast("float") for f in features])
-    number = F.row_number().over(Window.orderBy(ordinal)) - 1
+    rows = numbered(rows, "__place", [F.shiftright(F.col(ordinal).cast("long"), 16)], [ordinal])
+    number = F.col("__place") - 1
     return rows.select(F.col("sample").cast("string").alias("sample"), F.format_string("observed_%06d", number).alias("combination_id"), F.lit(False).alias("is_target"), F.col("sample").cast("string").alias("source_sample"), F.lit("observed").alias("source_type"), F.lit(0).alias("mutated_feature_count"), F.lit("").alias("mutated_features"), F.lit("").alias("mutated_feature_genotypes"), vector.alias("features"))
 
 

@@ -6,29 +6,31 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociflow.operators.checks import require_known
+from lociflow.operators.places import hash_bin, numbered
+
 
 def split_samples(samples: Sequence[str], isolated: Sequence[str] = (), test_ratio: float = 0.2, seed: int = 42) -> tuple[list[str], list[str]]:
-    """Train and test samples: isolated ones are tested; then a seeded draw fills the test set up to its share,
-    rounded up. The list is small, so the driver draws it."""
+    """Train and test samples: isolated ones that exist are tested, in their order; then a seeded draw fills the test
+    set up to its share, rounded up, in the order drawn. The list is small, so the driver draws it."""
     if not 0 < test_ratio < 1:
         raise ValueError("test_ratio must lie between 0 and 1")
-    forced = [s for s in samples if s in set(isolated)]
-    rest = [s for s in samples if s not in set(isolated)]
-    need = max(0, math.ceil(len(samples) * test_ratio) - len(forced))
-    drawn = {rest[i] for i in np.random.default_rng(seed).permutation(len(rest))[:need]}
-    test = set(forced) | drawn
-    return [s for s in samples if s not in test], [s for s in samples if s in test]
+    known = set(samples)
+    forced = [s for s in dict.fromkeys(isolated) if s in known]
+    rest = [s for s in samples if s not in set(forced)]
+    need = min(len(rest), max(0, math.ceil(len(samples) * test_ratio) - len(forced)))
+    drawn = np.random.default_rng(seed).choice(len(rest), size=need, replace=False) if need else []
+    test = [*forced, *(rest[i] for i in drawn)]
+    return [s for s in samples if s not in set(test)], test
 
 
 def subset(rows: DataFrame, samples: Sequence[str]) -> DataFrame:
     """Rows of the samples in the order of the list; a sample without rows is an error."""
     wanted = rows.sparkSession.createDataFrame(list(enumerate(samples)), "__ord int, sample string")
-    missing = wanted.join(rows.select("sample").distinct(), "sample", "left_anti").limit(20).collect()
-    if missing:
-        raise KeyError(f"samples without rows: {sorted(r['sample'] for r in missing)}")
+    require_known(wanted, rows, "sample", "samples without rows", KeyError)
     return rows.join(wanted, "sample").orderBy("__ord").drop("__ord")
 
 
@@ -38,18 +40,21 @@ def hash_order(column: Column, seed: int = 42) -> Column:
 
 
 def _place(rows: DataFrame, label: str, key: str, seed: int) -> DataFrame:
-    w = Window.partitionBy(label).orderBy(hash_order(F.col(key), seed), key)
-    return rows.withColumn("__n", F.row_number().over(w)).withColumn("__of", F.count("*").over(Window.partitionBy(label)))
+    """rows with __n, their place within their class by a hash of the key."""
+    order = hash_order(F.col(key), seed)
+    return numbered(rows, "__n", [hash_bin(order)], [order, key], [label])
 
 
 def stratified_holdout(rows: DataFrame, label: str, key: str, test_ratio: float = 0.2, seed: int = 42) -> DataFrame:
     """rows with ``split``: of each class the share is tested, rounded."""
-    return _place(rows, label, key, seed).withColumn("split", F.when(F.col("__n") <= F.round(F.col("__of") * F.lit(test_ratio)), "test").otherwise("train")).drop("__n", "__of")
+    tested = rows.groupBy(F.col(label).alias("__label")).agg(F.round(F.count("*") * F.lit(test_ratio)).alias("__tested"))
+    placed = _place(rows, label, key, seed).join(tested, F.col(label).eqNullSafe(F.col("__label")))
+    return placed.withColumn("split", F.when(F.col("__n") <= F.col("__tested"), "test").otherwise("train")).drop("__n", "__label", "__tested")
 
 
 def stratified_folds(rows: DataFrame, label: str, key: str, folds: int = 5, seed: int = 42) -> DataFrame:
     """rows with ``fold`` from 0: each class is dealt out over the folds."""
-    return _place(rows, label, key, seed).withColumn("fold", F.pmod(F.col("__n") - 1, F.lit(folds)).cast("int")).drop("__n", "__of")
+    return _place(rows, label, key, seed).withColumn("fold", F.pmod(F.col("__n") - 1, F.lit(folds)).cast("int")).drop("__n")
 
 
 def eval_mode(n: int, mode: str = "auto") -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,17 @@ from lociflow.sources import fasta, gff, sinks, tables, vcf
 from lociflow.sources.config import BuilderConfig
 
 #: Settings that do not change what a stage holds.
-_IGNORED = ("outdir", "resume", "wide")
+_IGNORED = ("outdir", "resume", "wide", "split", "test_ratio", "seed", "isolated_samples_path")
+
+
+def signed(c: BuilderConfig) -> tuple[dict, dict]:
+    """The settings and inputs that a run is known by."""
+    return {k: v for k, v in asdict(c).items() if k not in _IGNORED}, {k: v for k, v in asdict(c).items() if k.endswith("_path")}
 
 
 def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     """Runs the stages that are not done yet and returns the paths of the results."""
-    settings = {k: v for k, v in asdict(c).items() if k not in _IGNORED}
-    inputs = {k: v for k, v in asdict(c).items() if k.endswith("_path")}
-    stages = Stages(spark, c.outdir, settings, inputs, c.resume)
+    stages = Stages(spark, c.outdir, *signed(c), c.resume)
     embed = CachedEmbedder(c.embedder, f"{c.outdir}/embeddings", **(c.embedder_options or {}))
     lines = vcf.lines(spark, c.vcf_path, spark.sparkContext.defaultParallelism if c.vcf_path.endswith((".gz", ".bgz")) else None)
     genome = fasta.genome(fasta.read(spark, c.fasta_path))
@@ -62,9 +66,9 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     gene_effect = effect.join(in_gene.select(site_id(F.col("chrom"), F.col("pos")).alias("site_id")).distinct(), "site_id", "left_semi")
     csv("variant_effect_by_site", sites.in_order(gene_effect.select("chrom", "pos", "site_id", "var_effect")))
     matrix = stages.run("variant_effects", lambda: genotypes.effect_matrix(calls, gene_effect))
-    features = stages.run("gene_features", lambda: effects.gene_features(effects.gene_sequences(in_gene, calls, genome, names), embed))
+    features = stages.run("gene_features", lambda: effects.gene_features(effects.gene_sequences(in_gene, calls, genome), in_gene, names, embed))
 
-    if c.wide:
+    if c.wide or c.split:
         columns = [r[0] for r in sites.in_order(calls.select("site_id", "chrom", "pos").distinct()).select("site_id").collect()]
         gene_names = sorted(r[0] for r in features.select("gene_id").distinct().collect())
         out["genotype_site_by_sample"] = sinks.save_matrix(calls, "site_id", "sample", "dosage", order, f"{c.outdir}/genotype_site_by_sample", 0)[1]
@@ -72,20 +76,26 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
         out["variant_effect_sample_by_site"] = sinks.save_matrix(matrix, "sample", "site_id", "value", columns, f"{c.outdir}/variant_effect_sample_by_site", 0.0)[1]
         out["gene_feature_sample_by_gene"] = sinks.save_matrix(features, "sample", "gene_id", "value", gene_names, f"{c.outdir}/gene_feature_sample_by_gene", 0.0)[1]
     if c.split:
+        by_sample = lambda stem: spark.read.parquet(out[stem])
         isolated = []
         if c.isolated_samples_path:
             isolated = [r[0] for r in tables.first_column(tables.text_table(spark, c.isolated_samples_path), "sample").collect()]
             if unknown := sorted(set(isolated) - set(order)):
                 raise ValueError(f"isolated samples that the variants lack: {unknown[:20]}")
         train, test = splits.split_samples(order, isolated, c.test_ratio, c.seed)
-        sinks.save_splits({"genotype": calls, "variant_effect": matrix, "gene_feature": features}, train, test, f"{c.outdir}/splits", {"test_ratio": c.test_ratio, "seed": c.seed, "isolated": isolated})
-        out["splits"] = f"{c.outdir}/splits"
+        matrices = {
+            "genotype_012": by_sample("genotype_sample_by_site"),
+            "variant_effect_matrix": by_sample("variant_effect_sample_by_site"),
+            "gene_sequence_feature_matrix": by_sample("gene_feature_sample_by_gene"),
+        }
+        meta = {"split_test_ratio": c.test_ratio, "split_random_state": c.seed, "isolated_samples": isolated}
+        out |= sinks.save_splits(matrices, train, test, f"{c.outdir}/splits", meta)
     return out
 
 
-def score_all_variants(spark: SparkSession, vcf_path: str, fasta_path: str, outdir: str, k: int = 100, embedder: str = "kmer", **options) -> DataFrame:
+def score_all_variants(spark: SparkSession, vcf_path: str, fasta_path: str, outdir: str, k: int = 100, embedder: str = "kmer", options: Mapping | None = None) -> DataFrame:
     """Effects of every alternative allele of a VCF file, written as CSV and Parquet."""
     genome = fasta.pieces(fasta.genome(fasta.read(spark, fasta_path)), overlap=max(2_000, 4 * k + 1_000))
-    found = effects.variant_effects(vcf.all_alts(vcf.lines(spark, vcf_path)), genome, k, CachedEmbedder(embedder, f"{outdir}/embeddings", **options))
+    found = effects.variant_effects(vcf.all_alts(vcf.lines(spark, vcf_path)), genome, k, CachedEmbedder(embedder, f"{outdir}/embeddings", **(options or {})))
     ordered = sites.in_order(found, "ref", "alt").select("chrom", "pos", "site_id", "var_effect")
     return spark.read.parquet(sinks.save_dual(ordered, f"{outdir}/all_variant_effects")[1])

@@ -11,6 +11,7 @@ from lociflow.embed.cache import CachedEmbedder
 from lociflow.functions import vectors
 from lociflow.ml import labels, metrics, models
 from lociflow.operators import effects, splits
+from lociflow.operators.places import numbered
 from lociflow.sources import fasta, sinks, tables, vcf
 
 
@@ -36,6 +37,7 @@ class ClassifierConfig:
     folds: int = 5
     seed: int = 42
     label_by_position: bool = False
+    matrices: bool = False
 
 
 def sequences(spark: SparkSession, c: ClassifierConfig) -> DataFrame:
@@ -50,11 +52,23 @@ def feature_rows(seqs: DataFrame, embed, kind: str) -> DataFrame:
     """site_id, variant_type, features."""
     known = embed(seqs.select(F.explode(F.array("ref_seq", "alt_seq")).alias("seq")).distinct())
     both = seqs.join(known.select(F.col("seq").alias("ref_seq"), F.col("embedding").alias("__r")), "ref_seq").join(known.select(F.col("seq").alias("alt_seq"), F.col("embedding").alias("__a")), "alt_seq")
-    return both.select("site_id", "variant_type", vectors.features(F.col("__r"), F.col("__a"), kind, F.length("ref"), F.length("alt")).alias("features"))
+    made = vectors.features(F.col("__r"), F.col("__a"), kind, F.length("ref"), F.length("alt"))
+    return both.select("site_id", "variant_type", F.col("__r").alias("ref_embedding"), F.col("__a").alias("alt_embedding"), made.alias("features"))
 
 
-def run(spark: SparkSession, c: ClassifierConfig) -> dict:
-    """Trains, evaluates and writes everything; returns the summary."""
+def save_matrices(data: DataFrame, kind: str, outdir: str) -> None:
+    """The embeddings of both alleles, their difference and the features as .npy files, rows by site_id, and what the
+    features are made of; for tables that the driver holds."""
+    made = data.withColumn("diff", vectors.difference(F.col("alt_embedding"), F.col("ref_embedding")))
+    for column, name in (("ref_embedding", "ref_embeddings"), ("alt_embedding", "alt_embeddings"), ("diff", "alt_minus_ref_embeddings"), ("features", "features")):
+        sinks.save_vectors(made, column, "site_id", f"{outdir}/{name}.npy")
+    size = data.select(F.size("alt_embedding"), F.size("features")).first()
+    sinks.save_json({"feature_type": kind, "embedding_dim": size[0], "feature_dim": size[1]}, f"{outdir}/feature_meta.json")
+
+
+def prepare(spark: SparkSession, c: ClassifierConfig) -> tuple[DataFrame, str, list[str], list[dict]]:
+    """Writes the sequences, labels and features; returns the features with their labels, the task, the class names and
+    how many rows each label has."""
     seqs = sequences(spark, c)
     if seqs.isEmpty():
         raise ValueError("no variant matches the site table")
@@ -70,14 +84,29 @@ def run(spark: SparkSession, c: ClassifierConfig) -> dict:
     table = feature_rows(kept, CachedEmbedder(c.embedder, f"{c.outdir}/embeddings", **(c.embedder_options or {})), c.feature_type)
     table.join(rows.select("site_id", "y"), "site_id").write.mode("overwrite").parquet(f"{c.outdir}/features.parquet")
     data = spark.read.parquet(f"{c.outdir}/features.parquet")
+    if c.matrices:
+        save_matrices(data, c.feature_type, c.outdir)
+    counts = [r.asDict() for r in labels.class_counts(data, "y").orderBy("y").collect()]  # as many as classes
+    return data.drop("ref_embedding", "alt_embedding"), task, names, counts
+
+
+def run(spark: SparkSession, c: ClassifierConfig) -> dict:
+    """Trains, evaluates and writes everything; returns the summary."""
+    data, task, names, counts = prepare(spark, c)
     n = data.count()
     mode = splits.eval_mode(n, c.eval_mode)
     options = {"class_weight": c.class_weight, "standardize": c.standardize}
-    summary = {"config": asdict(c), "task_type": task, "classes": names, "rows": n, "eval_mode": mode}
+    summary = {"config": asdict(c), "task_type": task, "classes": names, "label_counts": {names[r["y"]]: r["count"] for r in counts}, "rows": n, "eval_mode": mode}
     if mode == "holdout":
         model, predicted, scores = models.holdout(data, "site_id", c.model_type, task, len(names), c.test_ratio, c.seed, **options)
         model.write().overwrite().save(f"{c.outdir}/model")
         summary["metrics"] = scores.first().asDict()
+        tested = predicted.select("site_id").withColumn("part", F.lit("test"))
+        # In the order of the matrices: by the site's name, in stretches of its first letters.
+        places = numbered(data.select("site_id"), "place", [F.substring("site_id", 1, 6)], ["site_id"]).join(tested, "site_id", "left")
+        for name, part in (("train_indices", "part IS NULL"), ("test_indices", "part IS NOT NULL")):
+            if c.matrices:
+                sinks.save_numbers(places.where(part).select((F.col("place") - 1).alias("i")), "i", f"{c.outdir}/{name}.npy")
     else:
         predicted, folds = models.cross_validate(data, "site_id", c.model_type, task, len(names), c.folds, c.seed, **options)
         folds.write.mode("overwrite").parquet(f"{c.outdir}/fold_metrics.parquet")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociflow.ml import models
 from lociflow.operators import simulate
-from lociflow.sources import sinks, tables
+from lociflow.sources import config, sinks, tables
 from lociflow.sources.config import SimulatorConfig
 
 Predict = Callable[[DataFrame, list[str]], DataFrame]
@@ -44,6 +45,26 @@ def _pickled(path: str, allow: bool) -> Predict:
     return predict
 
 
+def _pipeline(path: str) -> Predict:
+    """A fitted pipeline of pyspark.ml, saved in a folder, over one vector ``x`` of features and locations."""
+    model = models.load_model(path)
+
+    def predict(rows: DataFrame, features: list[str]) -> DataFrame:
+        locations = [c for c in rows.columns if c.startswith("loc") and c != "location_label"]
+        x = F.concat(F.col("features").cast("array<double>"), F.array(*[F.col(c).cast("double") for c in locations]))
+        out = model.transform(models.with_vector(rows.withColumn("__all", x), "__all"))
+        return out.select(*rows.columns, F.col("prediction").alias("predicted_phenotype"))
+
+    return predict
+
+
+def model_of(spark: SparkSession, path: str, allow_pickle: bool) -> Predict:
+    """A folder holds a saved pipeline; a file a pickled or joblib model."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return _pipeline(path) if fs.exists(p) and fs.getFileStatus(p).isDirectory() else _pickled(path, allow_pickle)
+
+
 def run(spark: SparkSession, c: SimulatorConfig, predict: Predict | None = None) -> DataFrame:
     """The ranking of all combinations and observed samples in every location group, also written to outdir."""
     genotype = tables.genotypes(_read(spark, c.genotype_file))
@@ -56,13 +77,18 @@ def run(spark: SparkSession, c: SimulatorConfig, predict: Predict | None = None)
     effects = tables.variant_effects(_read(spark, c.variant_effect_file), features)
     groups = simulate.location_groups(own, locations)
     if predict is None:
-        predict = _pickled(c.model_file or "", c.allow_pickle)
+        predict = model_of(spark, config.require(asdict(c), "model_file"), c.allow_pickle)
     base = own.orderBy("ord").limit(1).collect()[0].asDict()
     rows = simulate.combinations(spark, base, c.sample_id, features, mutable, effects).unionByName(simulate.observed(genotype, features, effects, c.sample_id))
     # A group for each place the sample was grown at: a handful of rows.
     scored = predict(rows.crossJoin(F.broadcast(groups)), features)
-    own.join(F.broadcast(groups.select("group_id", "location_label", *locations)), locations).write.mode("overwrite").partitionBy("group_id").parquet(f"{c.outdir}/observed_rows.parquet")
-    sinks.try_parquet(rows, f"{c.outdir}/prediction_features.parquet")
+    seen = own.join(F.broadcast(groups.select("group_id", "location_label", *locations)), locations)
+    seen.write.mode("overwrite").partitionBy("group_id").parquet(f"{c.outdir}/observed_rows.parquet")
+    sinks.save_csv(seen.orderBy("group_id", "ord").drop("ord"), f"{c.outdir}/observed_rows.csv")
+    flat = rows.select(*simulate.META, *[F.col("features")[i].alias(f) for i, f in enumerate(features)])
+    if sinks.try_parquet(flat, f"{c.outdir}/prediction_features.parquet"):
+        flat = spark.read.parquet(f"{c.outdir}/prediction_features.parquet")
+    sinks.save_csv(flat, f"{c.outdir}/prediction_features.csv")
     ranked = simulate.rank_predictions(scored.drop("features"), c.rank_order == "desc").select("group_id", "location_label", "row_count", "actual_value_mean", *simulate.META, "predicted_phenotype", "rank")
     ranked.write.mode("overwrite").partitionBy("group_id").parquet(f"{c.outdir}/ranking.parquet")
     ranked = spark.read.parquet(f"{c.outdir}/ranking.parquet")
@@ -71,7 +97,7 @@ def run(spark: SparkSession, c: SimulatorConfig, predict: Predict | None = None)
     for g in groups.collect():
         one = ranked.where(F.col("group_id") == g["group_id"])
         target = one.where("is_target").select("rank", "predicted_phenotype").first()
-        sinks.scatter_svg(one, g["location_label"], f"{c.outdir}/{g['group_id']}.svg")
+        sinks.scatter_svg(one, g["location_label"], f"{c.outdir}/{g['group_id']}.svg", most=c.most_points)
         summary.append({"group_id": g["group_id"], "location_label": g["location_label"], "row_count": g["row_count"], "actual_value_mean": g["actual_value_mean"], "target_rank": target["rank"], "target_prediction": target["predicted_phenotype"]})
     sinks.save_json({"sample_id": c.sample_id, "mutable_features": mutable, "combinations": 3 ** len(mutable), "groups": summary}, f"{c.outdir}/summary.json")
     return ranked

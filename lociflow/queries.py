@@ -10,10 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lociflow.functions import attributes, genotype, names, sequence, vectors
 from lociflow.ml import labels, metrics
+from lociflow.operators.places import numbered
 from lociflow.operators import effects, genotypes, intervals, phenotype, simulate, sites, splits
 from lociflow.sources import tables, vcf
 
@@ -143,8 +143,8 @@ def gene_subset(spark, sf):
 
 @query(f"SELECT chrom, pos, row_number() OVER (ORDER BY substr(chrom, 4)::BIGINT, pos)::BIGINT AS place FROM ({_V})")
 def chrom_natural_sort(spark, sf):
-    w = Window.orderBy(names.chrom_order(F.col("chrom")), "pos")
-    return _variants(spark, sf).select("chrom", "pos", F.row_number().over(w).cast("long").alias("place"))
+    bins = [names.chrom_order(F.col("chrom")), F.shiftright(F.col("pos"), 10)]
+    return numbered(_variants(spark, sf), "place", bins, ["pos"]).select("chrom", "pos", F.col("place").cast("long").alias("place"))
 
 
 # --- genotypes -----------------------------------------------------------------------------------------------
@@ -193,7 +193,7 @@ def geno_pivot(spark, sf):
     return genotypes.wide(_long(spark, sf), ["site_id"], "sample", "dosage", SAMPLES, 0).select("site_id", *[F.col(s).cast("tinyint").alias(s) for s in SAMPLES])
 
 
-_COLUMNS = [f"Chr{c}:{p}" for c in range(1, 6) for p in range(1, 5)]
+_COLUMNS = [f"Chr{c}:{p}" for c in range(1, 6) for p in range(1, 41)]
 
 
 @query(f"SELECT sample, {', '.join(f'''coalesce(max(dosage) FILTER (site_id = '{s}'), 0)::TINYINT AS \"{s}\"''' for s in _COLUMNS)} FROM ({_LONG}) GROUP BY sample")
@@ -216,26 +216,28 @@ def effect_matrix(spark, sf):
 # --- sequences -----------------------------------------------------------------------------------------------
 
 
-def _window_sql(s: str, e: str, t: str = "text") -> str:
-    return f"CASE WHEN {e} < {s} THEN '' ELSE repeat('N', greatest(0, 1 - ({s}))::INT) || CASE WHEN greatest(1, {s}) <= least(length({t}), {e}) THEN upper(substr({t}, greatest(1, {s})::INT, (least(length({t}), {e}) - greatest(1, {s}) + 1)::INT)) ELSE '' END || repeat('N', greatest(0, ({e}) - length({t}))::INT) END"
+def _upper(t: str) -> str:
+    """Upper case as Spark has it: one letter becomes two."""
+    return f"upper(replace({t}, 'ß', 'ss'))"
 
 
-_ASCII = "lang = 'en'"
+def _window_sql(s: str, e: str, t: str = "text") -> str:
+    return f"CASE WHEN {e} < {s} THEN '' ELSE repeat('N', greatest(0, 1 - ({s}))::INT) || CASE WHEN greatest(1, {s}) <= least(length({t}), {e}) THEN {_upper(f'substr({t}, greatest(1, {s})::INT, (least(length({t}), {e}) - greatest(1, {s}) + 1)::INT)')} ELSE '' END || repeat('N', greatest(0, ({e}) - length({t}))::INT) END"
 
 
-@query(f"SELECT doc_id, {_window_sql('doc_id % 50 - 20', 'doc_id % 50 + 15')} AS w FROM documents WHERE {_ASCII}")
+@query(f"SELECT doc_id, {_window_sql('doc_id % 50 - 20', 'doc_id % 50 + 15')} AS w FROM documents")
 def fasta_window(spark, sf):
     p = F.col("doc_id") % 50
-    return _t(spark, sf, "documents").where(_ASCII).select("doc_id", sequence.window(F.col("text"), p - 20, p + 15).alias("w"))
+    return _t(spark, sf, "documents").select("doc_id", sequence.window(F.col("text"), p - 20, p + 15).alias("w"))
 
 
 @query(f"""
-WITH d AS (SELECT doc_id, text, doc_id % 40 + 1 AS pos, upper(substr(text, (doc_id % 40 + 1)::INT, 2)) AS ref, 'T' AS alt FROM documents WHERE {_ASCII}),
+WITH d AS (SELECT doc_id, text, doc_id % 40 + 1 AS pos, {_upper('substr(text, (doc_id % 40 + 1)::INT, 2)')} AS ref, 'T' AS alt FROM documents),
 w AS (SELECT doc_id, pos, ref, alt, {_window_sql('pos - 8', 'pos - 1')} AS upstream_seq, {_window_sql('pos + length(ref)', 'pos + length(ref) + 7')} AS downstream_seq FROM d)
 SELECT doc_id, upstream_seq || ref || downstream_seq AS ref_seq, upstream_seq || alt || downstream_seq AS alt_seq FROM w
 """)
 def ref_alt_windows(spark, sf):
-    d = _t(spark, sf, "documents").where(_ASCII).withColumn("pos", F.col("doc_id") % 40 + 1)
+    d = _t(spark, sf, "documents").withColumn("pos", F.col("doc_id") % 40 + 1)
     d = d.select("doc_id", F.col("doc_id").cast("string").alias("chrom"), "pos", F.upper(F.substring("text", F.col("pos").cast("int"), F.lit(2))).alias("ref"), F.lit("T").alias("alt"), "text")
     genome = d.select("chrom", F.col("text").alias("seq"))
     return effects.allele_windows(d.drop("text"), genome, 8).select("doc_id", "ref_seq", "alt_seq")
@@ -261,11 +263,6 @@ def gff_attrs(spark, sf):
     return _t(spark, sf, "events").select("event_id", attributes.labels(a)[1].alias("name"), a["tag"].alias("tags"), a["note"].alias("note"))
 
 
-@query("SELECT sha1(text) AS seq_sha1, count(*)::BIGINT AS uses FROM documents GROUP BY 1")
-def seq_cache_dedupe(spark, sf):
-    return _t(spark, sf, "documents").groupBy(F.sha1("text").alias("seq_sha1")).agg(F.count("*").alias("uses"))
-
-
 _PAIRS = "SELECT a.vec_id, a.embedding AS x, b.embedding AS y FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"
 
 
@@ -285,15 +282,18 @@ def feature_concat(spark, sf):
 
 
 @query(f"""
-SELECT doc_id, substr(text, 1, 9) || 'XY' || substr(text, 11, 9) || substr(text, 25) AS seq FROM documents WHERE {_ASCII} AND length(text) >= 40
+SELECT doc_id, substr(text, 1, 9) || 'XY' || substr(text, 11, 9) || substr(text, 25) AS seq FROM documents WHERE length(text) >= 20 UNION ALL
+SELECT doc_id, CASE WHEN length(text) >= 10 THEN substr(text, 1, 9) || 'XY' || substr(text, 11) WHEN length(text) = 9 THEN text || 'XYZZZ' ELSE text END
+FROM documents WHERE length(text) < 20 OR text IS NULL
 """)
 def apply_variants(spark, sf):
-    """Three variants apply in part: the second overlaps the first and is skipped, the fourth has dosage 0."""
+    """Three variants apply in part: the second overlaps the first and is skipped, the fourth has dosage 0; those beyond
+    the end of a short text are skipped too."""
     t = F.col("text")
     at = lambda p, n: F.substring(t, p, n)
     v = lambda p, r, a, d: F.struct(F.lit(p).alias("pos"), r.alias("ref"), F.lit(a).alias("alt"), F.lit(d).alias("dosage"))
     variants = F.array(v(120, at(20, 5), "", 2), v(110, at(10, 1), "XY", 1), v(110, at(10, 3), "ZZZ", 1), v(130, at(30, 2), "Q", 0), v(90, at(1, 1), "Q", 1))
-    d = _t(spark, sf, "documents").where(f"{_ASCII} AND length(text) >= 40")
+    d = _t(spark, sf, "documents")
     return d.select("doc_id", sequence.apply_variants(t, F.lit(101), variants).alias("seq"))
 
 
@@ -304,13 +304,6 @@ def _sha(key: str) -> str:
     return f"sha1('42:' || {key}::VARCHAR)"
 
 
-@query(f"""
-SELECT c_custkey, c_mktsegment, CASE WHEN row_number() OVER (PARTITION BY c_mktsegment ORDER BY {_sha('c_custkey')}, c_custkey) <= round(count(*) OVER (PARTITION BY c_mktsegment) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM customer
-""")
-def sample_split(spark, sf):
-    return splits.stratified_holdout(_t(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", "c_custkey")
-
-
 @query(f"SELECT doc_id, quality, ((row_number() OVER (PARTITION BY quality ORDER BY {_sha('doc_id')}, doc_id) - 1) % 5)::INT AS fold FROM labels")
 def strat_kfold(spark, sf):
     return splits.stratified_folds(_t(spark, sf, "labels").select("doc_id", "quality"), "quality", "doc_id")
@@ -362,9 +355,9 @@ def _importance(spark, sf):
     return _t(spark, sf, "part").select(F.col("p_partkey").alias("ord"), F.concat(F.when(F.col("p_partkey") % 11 == 0, "loc_").otherwise("Chr1:"), _text("p_partkey")).alias("feature"), F.col("p_size").cast("double").alias("importance_gain"), (F.col("p_partkey") % 13).cast("double").alias("importance_split"))
 
 
-@query("SELECT 'Chr1:' || p_partkey AS feature, row_number() OVER (ORDER BY p_size DESC, p_partkey % 13 DESC, p_partkey)::BIGINT AS place FROM part WHERE p_partkey % 11 <> 0 AND p_partkey % 2 = 0 ORDER BY 2 LIMIT 10")
+@query("SELECT 'Chr1:' || p_partkey AS feature, row_number() OVER (ORDER BY p_size DESC, p_partkey % 13 DESC, p_partkey)::BIGINT AS place FROM part WHERE p_partkey % 11 <> 0 AND p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R') ORDER BY 2 LIMIT 10")
 def top_features(spark, sf):
-    wanted = [f"Chr1:{r[0]}" for r in _t(spark, sf, "part").where("p_partkey % 2 = 0").select("p_partkey").collect()]
+    wanted = _t(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.concat(F.lit("Chr1:"), _text("l_partkey")).alias("feature"))
     got = simulate.top_features(_importance(spark, sf), wanted, 10)
     return spark.createDataFrame([(f, i + 1) for i, f in enumerate(got)], "feature string, place long")
 
@@ -400,11 +393,11 @@ def combos(spark, sf):
     return _combos(spark).withColumn("total", _total()).drop("features")
 
 
-_OBS = "SELECT c_custkey AS ord, 's' || c_custkey AS sample, " + ", ".join(f'((c_custkey + {i}) % 3)::TINYINT AS f{i}' for i in range(6)) + " FROM customer WHERE c_custkey < 60"
+_OBS = "SELECT c_custkey AS ord, 's' || c_custkey AS sample, " + ", ".join(f'((c_custkey + {i}) % 3)::TINYINT AS f{i}' for i in range(6)) + " FROM customer"
 
 
 def _observed(spark, sf):
-    g = _t(spark, sf, "customer").where("c_custkey < 60").select(F.col("c_custkey").alias("ord"), F.concat(F.lit("s"), _text("c_custkey")).alias("sample"), *[((F.col("c_custkey") + i) % 3).cast("tinyint").alias(f) for i, f in enumerate(_FEATURES)])
+    g = _t(spark, sf, "customer").select(F.col("c_custkey").alias("ord"), F.concat(F.lit("s"), _text("c_custkey")).alias("sample"), *[((F.col("c_custkey") + i) % 3).cast("tinyint").alias(f) for i, f in enumerate(_FEATURES)])
     return simulate.observed(g, _FEATURES, _EFFECTS, "s1")
 
 
@@ -489,10 +482,10 @@ def label_encode(spark, sf):
     return labels.prepare_labels(_t(spark, sf, "documents").select("doc_id", "lang"), "lang")[0]
 
 
-@query("SELECT doc_id, (lang = 'fr')::INT AS y FROM documents WHERE lang IN ('en', 'fr')")
+@query("SELECT doc_id, (lang = 'fr')::INT AS y FROM documents")
 def label_binary(spark, sf):
-    rows = _t(spark, sf, "documents").where("lang IN ('en', 'fr')").select("doc_id", "lang")
-    return labels.prepare_labels(rows, "lang")[0].select("doc_id", "y")
+    rows = _t(spark, sf, "documents").select("doc_id", "lang")
+    return labels.prepare_labels(rows, "lang", "binary", "fr")[0].select("doc_id", "y")
 
 
 _SCORED = "SELECT l.doc_id, l.quality AS y, (d.n_chars % 97)::DOUBLE / 97 AS score, ((d.n_chars % 97)::DOUBLE / 97 >= 0.5)::INT AS pred FROM labels l JOIN documents d USING (doc_id)"
@@ -567,9 +560,3 @@ def confusion(spark, sf):
 def cv_summary(spark, sf):
     folds = _scored(spark, sf).groupBy((F.col("doc_id") % 5).alias("fold")).agg(F.avg((F.col("y") == F.col("pred")).cast("double")).alias("accuracy"), F.avg("pred").alias("rate"))
     return metrics.fold_summary(folds, ["accuracy", "rate"]).select("metric", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"))
-
-
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
-def validation_anti(spark, sf):
-    known = _t(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
-    return _t(spark, sf, "orders").select("o_orderkey", "o_custkey").join(known, "o_custkey", "left_anti").select("o_orderkey", "o_custkey")

@@ -9,6 +9,10 @@ from dataclasses import dataclass, fields
 from pathlib import Path
 
 
+#: Settings of several values, and of keys with values.
+LISTS, MAPPINGS = ("gff3_feature", "selected_classes", "traits"), ("embedder_options",)
+
+
 def scalar(text: str):
     """A value written in a flat configuration: number, boolean, null, or text with or without quotes."""
     t = text.strip()
@@ -106,6 +110,25 @@ class BuilderConfig:
             raise ValueError("test_ratio must lie between 0 and 1")
 
 
+@dataclass(frozen=True)
+class ScorerConfig:
+    vcf_path: str
+    fasta_path: str
+    outdir: str
+    k: int = 100
+    embedder: str = "kmer"
+    embedder_options: Mapping | None = None
+
+
+@dataclass(frozen=True)
+class PhenotypeConfig:
+    sheet_file: str
+    outdir: str
+    sheet: str = "triple_data"
+    traits: Sequence[str] | None = None
+    stamp: str | None = None
+
+
 @dataclass(frozen=True)
 class SimulatorConfig:
     genotype_file: str
@@ -118,6 +141,7 @@ class SimulatorConfig:
     top_n: int = 10
     rank_order: str = "desc"
     allow_pickle: bool = False
+    most_points: int | None = None
     log_level: str = "INFO"
 
     def __post_init__(self) -> None:

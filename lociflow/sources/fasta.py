@@ -10,7 +10,7 @@ from lociflow.functions.names import standard_chrom
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """name, ord, seq: a row for each record. The record separator is the header sign, so that records are split
-    among tasks; a record is one row and must fit in a task. Longer ones are read by ``pieces``."""
+    among tasks; a record is one row and must fit in a task. Joins move ``pieces`` of it."""
     rows = spark.read.option("lineSep", ">").text(path).withColumn("ord", F.monotonically_increasing_id()).where(F.col("value") != "")
     head = F.substring_index("value", "\n", 1)
     name = F.regexp_extract(head, r"^(\S+)", 1)

@@ -15,15 +15,17 @@ FIELDS = ("seqid", "source", "type", "start", "end", "score", "strand", "phase",
 
 
 def records(lines: DataFrame) -> DataFrame:
-    """The nine fields of every record among lines of text (value). Comments and lines with another number of
-    fields go; so do the sequence lines after ##FASTA, as they have one field."""
+    """ord and the nine fields of every record among lines of text (value, and ord if they have one). Comments and lines
+    with another number of fields go; so do the sequence lines after ##FASTA, as they have one field."""
+    order = F.col("ord") if "ord" in lines.columns else F.monotonically_increasing_id()
     parts = F.split(strip(F.col("value")), "\t")
-    rows = lines.where(~strip(F.col("value")).startswith("#")).select(parts.alias("p")).where(F.size("p") == len(FIELDS))
-    return rows.select(*[F.get("p", F.lit(i)).alias(f) for i, f in enumerate(FIELDS)])
+    rows = lines.select(order.alias("ord"), "value").where(~strip(F.col("value")).startswith("#"))
+    rows = rows.select("ord", parts.alias("p")).where(F.size("p") == len(FIELDS))
+    return rows.select("ord", *[F.get("p", F.lit(i)).alias(f) for i, f in enumerate(FIELDS)])
 
 
 def features(rows: DataFrame, wanted: str | Sequence[str]) -> DataFrame:
-    """chromosome, start, end, feature, strand, id, name, parent, attributes (text), attrs (map) of the wanted
+    """ord, chromosome, start, end, feature, strand, id, name, parent, attributes (text), attrs (map) of the wanted
     types; rows whose bounds are no whole numbers go."""
     names = [wanted.strip()] if isinstance(wanted, str) else list(dict.fromkeys(w.strip() for w in wanted if w.strip()))
     if not names:
@@ -31,7 +33,7 @@ def features(rows: DataFrame, wanted: str | Sequence[str]) -> DataFrame:
     rows = rows.where(F.col("type").isin(names)).withColumn("attrs", attributes(F.col("attributes")))
     own, name, parent = labels(F.col("attrs"))
     whole = lambda c: F.when(F.col(c).rlike(r"^\s*[+-]?[0-9]+\s*$"), strip(F.col(c)).try_cast("long"))
-    out = rows.select(F.col("seqid").alias("chromosome"), whole("start").alias("start"), whole("end").alias("end"), F.col("type").alias("feature"), "strand", own.alias("id"), name.alias("name"), parent.alias("parent"), "attributes", "attrs")
+    out = rows.select("ord", F.col("seqid").alias("chromosome"), whole("start").alias("start"), whole("end").alias("end"), F.col("type").alias("feature"), "strand", own.alias("id"), name.alias("name"), parent.alias("parent"), "attributes", "attrs")
     return out.dropna(subset=["start", "end"])
 
 
@@ -56,8 +58,10 @@ def merged(rows: DataFrame) -> DataFrame:
     """features with those of one id and type as one: the outermost bounds and the first of the other labels, as
     a feature database keeps them. Features without an id stay as they are."""
     named, plain = rows.where("id <> ''"), rows.where("id = ''")
-    least = lambda c: F.min(c).alias(c)
-    one = named.groupBy("chromosome", "feature", "id").agg(least("start"), F.max("end").alias("end"), least("strand"), least("name"), least("parent"), least("attributes"))
+    first = lambda c: F.min_by(c, "ord").alias(c)
+    one = named.groupBy("chromosome", "feature", "id").agg(
+        F.min("ord").alias("ord"), F.min("start").alias("start"), F.max("end").alias("end"), *map(first, ("strand", "name", "parent", "attributes"))
+    )
     return one.withColumn("attrs", attributes(F.col("attributes"))).select(*rows.columns).unionByName(plain)
 
 

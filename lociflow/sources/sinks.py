@@ -7,10 +7,12 @@ import logging
 from collections.abc import Mapping, Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociflow.operators.genotypes import wide
+from lociflow.operators.splits import subset
 
 log = logging.getLogger("lociflow")
 
@@ -56,28 +58,49 @@ def save_matrix(rows: DataFrame, key: str, name: str, value: str, names: Sequenc
 
 def save_vectors(rows: DataFrame, column: str, order: str, path: str) -> None:
     """A column of vectors as a .npy file, in order; for results of a size that the driver holds."""
-    import numpy as np
+    _save_array(np.array([r[0] for r in rows.orderBy(order).select(column).collect()], np.float32), path)
 
-    np.save(path, np.array([r[0] for r in rows.orderBy(order).select(column).collect()], np.float32))
 
+def save_numbers(rows: DataFrame, column: str, path: str) -> None:
+    """A column of whole numbers as a .npy file, sorted; as small as a list of rows."""
+    _save_array(np.array(sorted(r[0] for r in rows.select(column).collect()), np.int64), path)
 
-def save_splits(tables: Mapping[str, DataFrame], train: Sequence[str], test: Sequence[str], folder: str, meta: Mapping) -> None:
-    """Each table by sample in a folder of train and test parts, and split_meta.json."""
-    spark = next(iter(tables.values())).sparkSession
-    parts = spark.createDataFrame([(s, "train") for s in train] + [(s, "test") for s in test], "sample string, split string")
-    for name, rows in tables.items():
-        rows.join(F.broadcast(parts), "sample").write.mode("overwrite").partitionBy("split").parquet(f"{folder}/{name}")
-    save_json({**meta, "train": list(train), "test": list(test)}, f"{folder}/split_meta.json")
+
+def _save_array(values: np.ndarray, path: str) -> None:
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    np.save(path, values)
+
+
+def save_splits(tables: Mapping[str, DataFrame], train: Sequence[str], test: Sequence[str], folder: str, meta: Mapping) -> dict[str, str]:
+    """Each matrix with a row for each sample as train_val_NAME and test_NAME, rows in the order of the lists, in both
+    formats; and split_meta.json."""
+    out = {}
+    for part, samples in (("train_val", train), ("test", test)):
+        for name, rows in tables.items():
+            csv, parquet = save_dual(subset(rows, samples), f"{folder}/{part}_{name}")
+            out |= {f"{part}_{name}_csv": csv, f"{part}_{name}_parquet": parquet}
+    out["split_meta_json"] = f"{folder}/split_meta.json"
+    save_json({**meta, "samples": {"train_val": list(train), "test": list(test)}}, out["split_meta_json"])
+    return out
 
 
 def save_json(content: Mapping, path: str) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(content, indent=2, ensure_ascii=False, default=str))
+    save_text(json.dumps(content, indent=2, ensure_ascii=False, default=str), path)
 
 
 def save_text(content: str, path: str) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(content, encoding="utf-8")
+    """Writes text in any store that Spark reaches; without a session, in a local file."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        Path(path).parent.mkdir(parents=True, exist_ok=True)
+        Path(path).write_text(content, encoding="utf-8")
+        return
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
 
 
 def report_text(report: Sequence[Mapping], names: Sequence[str]) -> str:
@@ -112,23 +135,51 @@ def plot_curves(roc: DataFrame, pr: DataFrame, folder: str) -> dict[str, str | N
     return out
 
 
-def scatter_svg(ranked: DataFrame, title: str, path: str, width: int = 900, height: int = 520, margin: int = 60, most: int = 200_000) -> None:
-    """Predicted phenotype by rank as an SVG. Coordinates are computed in Spark; the picture holds at most so many
-    points, evenly spaced by rank, and always the target."""
+def ticks(low: float, high: float, n: int = 5) -> list[float]:
+    """n values from low to high, or the one there is."""
+    return [low] if low == high else [low + (high - low) * i / (n - 1) for i in range(n)]
+
+
+#: What the chart calls the kinds of points, and their colours.
+KINDS = {"observed": "#2a7f62", "simulated": "#7f8c9b", "original": "#c0392b"}
+
+
+def scatter_svg(ranked: DataFrame, title: str, path: str, width: int = 900, height: int = 520, margin: int = 60, most: int | None = None) -> None:
+    """Predicted phenotype by rank as an SVG, with ticks, a legend and the target's label. Coordinates are computed in
+    Spark. By default every point is drawn; ``most`` thins them out to about so many, evenly by rank, but never the
+    first, the last, the observed ones or the target."""
     from lociflow.operators.simulate import scale
 
     n, low, high = ranked.agg(F.count("*"), F.min("predicted_phenotype"), F.max("predicted_phenotype")).first()
     if not n:
         raise ValueError("nothing to draw")
-    step = max(1, n // most)
-    shown = ranked.where((F.col("rank") % step == 0) | F.col("is_target") | (F.col("rank") == 1))
+    low, high = float(low), float(high)
+    if most:
+        step = max(1, n // most)
+        ranked = ranked.where((F.col("rank") % step == 0) | F.col("is_target") | F.col("rank").isin(1, n) | (F.col("source_type") == "observed"))
     x = scale(F.col("rank").cast("double"), F.lit(1.0), F.lit(float(n)), margin, width - margin)
-    y = scale(F.col("predicted_phenotype"), F.lit(float(low)), F.lit(float(high)), height - margin, margin)
-    points = shown.select(F.round(x, 2).alias("x"), F.round(y, 2).alias("y"), "is_target", "source_type").orderBy("is_target", "x").collect()
-    colour = {"observed": "#2a7f62", "original": "#c0392b"}
-    body = [f'<circle cx="{p.x}" cy="{p.y}" r="{5 if p.is_target else 2}" fill="{"#c0392b" if p.is_target else colour.get(p.source_type, "#7f8c9b")}"/>' for p in points]
+    y = scale(F.col("predicted_phenotype"), F.lit(low), F.lit(high), height - margin, margin)
+    shown = ranked.select(F.round(x, 2).alias("x"), F.round(y, 2).alias("y"), "is_target", "source_type", "rank", "predicted_phenotype")
+    body, mark = [], ""
+    for p in shown.orderBy("is_target", "x").toLocalIterator():
+        body.append(f'<circle cx="{p.x}" cy="{p.y}" r="{5 if p.is_target else 2}" fill="{KINDS["original"] if p.is_target else KINDS.get(p.source_type, KINDS["simulated"])}"/>')
+        if p.is_target:
+            mark = f'<text x="{p.x + 8}" y="{p.y - 8}">target: rank {p["rank"]}, {p.predicted_phenotype:.4g}</text>'
+    place = lambda v, a, b, p, q: (p + q) / 2 if a == b else p + (v - a) / (b - a) * (q - p)
+    axes = [f'<path d="M{margin} {margin}V{height - margin}H{width - margin}" fill="none" stroke="#333"/>']
+    for v in ticks(1, n):
+        at = place(v, 1, n, margin, width - margin)
+        axes.append(f'<path d="M{at:.1f} {height - margin}v5" stroke="#333"/><text x="{at:.1f}" y="{height - margin + 18}" text-anchor="middle">{round(v)}</text>')
+    for v in ticks(low, high):
+        at = place(v, low, high, height - margin, margin)
+        axes.append(f'<path d="M{margin} {at:.1f}h-5" stroke="#333"/><text x="{margin - 8}" y="{at + 4:.1f}" text-anchor="end">{v:.4g}</text>')
+    for i, (name, colour) in enumerate(KINDS.items()):
+        axes.append(f'<circle cx="{width - margin - 90}" cy="{margin + 18 * i}" r="4" fill="{colour}"/><text x="{width - margin - 80}" y="{margin + 18 * i + 4}">{name}</text>')
     text = title.replace("&", "&amp;").replace("<", "&lt;")
-    axes = f'<path d="M{margin} {margin}V{height - margin}H{width - margin}" fill="none" stroke="#333"/>'
-    labels = f'<text x="{width / 2}" y="{margin / 2}" text-anchor="middle">{text}</text><text x="{width / 2}" y="{height - 15}" text-anchor="middle">rank (1 to {n})</text><text x="15" y="{height / 2}" transform="rotate(-90 15 {height / 2})" text-anchor="middle">predicted phenotype ({low:.4g} to {high:.4g})</text>'
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{height}" font-family="sans-serif" font-size="13"><rect width="100%" height="100%" fill="white"/>{axes}{"".join(body)}{labels}</svg>\n')
+    labels = (
+        f'<text x="{width / 2}" y="{margin / 2}" text-anchor="middle">{text}</text>'
+        f'<text x="{width / 2}" y="{height - 15}" text-anchor="middle">rank</text>'
+        f'<text x="15" y="{height / 2}" transform="rotate(-90 15 {height / 2})" text-anchor="middle">predicted phenotype</text>'
+    )
+    head = f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{height}" font-family="sans-serif" font-size="13"><rect width="100%" height="100%" fill="white"/>'
+    save_text(f"{head}{''.join(axes)}{''.join(body)}{mark}{labels}</svg>\n", path)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociflow.functions.names import empty_to_null, standard_chrom, strip
+from lociflow.operators.checks import require_known
 
 GENOTYPE_COLUMN = re.compile(r"Chr\d+:\d+")
 #: Other names of the columns of a site table.
@@ -101,9 +102,10 @@ def genotype_features(columns: Sequence[str]) -> list[str]:
 
 
 def genotypes(df: DataFrame) -> DataFrame:
-    """ord, sample and a tinyint column for each site. Values other than 0, 1 and 2 are an error."""
-    features = genotype_features(df.columns)
-    typed = numbered(df).select("ord", strip(F.col("sample")).alias("sample"), *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+    """ord, sample and a tinyint column for each site. Values other than 0, 1 and 2 are an error. Rows keep the ``ord``
+    that they have."""
+    features = genotype_features([c for c in df.columns if c != "ord"])
+    typed = (df if "ord" in df.columns else numbered(df)).select("ord", strip(F.col("sample")).alias("sample"), *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
     bad = typed.where(F.exists(F.array(*[F.col(f"`{c}`") for c in features]), lambda v: v.isNull() | ~v.isin(0.0, 1.0, 2.0))).limit(1).collect() if features else []
     if bad:
         raise ValueError(f"genotypes other than 0, 1 and 2, first for sample {bad[0]['sample']}")
@@ -112,28 +114,34 @@ def genotypes(df: DataFrame) -> DataFrame:
 
 def phenotypes(df: DataFrame) -> DataFrame:
     """ord, sample, value and 0/1 columns loc*."""
-    if list(df.columns[:2]) != ["sample", "value"]:
+    columns = [c for c in df.columns if c != "ord"]
+    if columns[:2] != ["sample", "value"]:
         raise ValueError("a phenotype table begins with sample and value")
-    if bad := [c for c in df.columns[2:] if not c.startswith("loc")]:
+    if bad := [c for c in columns[2:] if not c.startswith("loc")]:
         raise ValueError(f"not location columns: {bad[:20]}")
-    return numbered(df).select("ord", strip(F.col("sample")).alias("sample"), F.col("value").cast("double").alias("value"), *[F.col(f"`{c}`").cast("double").cast("int").alias(c) for c in df.columns[2:]])
+    return (df if "ord" in df.columns else numbered(df)).select("ord", strip(F.col("sample")).alias("sample"), F.col("value").cast("double").alias("value"), *[F.col(f"`{c}`").cast("double").cast("int").alias(c) for c in columns[2:]])
 
 
 def importance(df: DataFrame) -> DataFrame:
     """ord, feature, importance_gain, importance_split."""
     require_columns(df, ["feature", "importance_gain", "importance_split"], "the importance table")
-    return numbered(df).select("ord", "feature", F.col("importance_gain").cast("double").alias("importance_gain"), F.col("importance_split").cast("double").alias("importance_split"))
+    return (df if "ord" in df.columns else numbered(df)).select("ord", "feature", F.col("importance_gain").cast("double").alias("importance_gain"), F.col("importance_split").cast("double").alias("importance_split"))
 
 
-def variant_effects(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
-    """Effect of each genotype feature; of several rows the last counts, and none may lack."""
+def last_effects(df: DataFrame) -> DataFrame:
+    """site_id, effect; of several rows the last counts."""
     require_columns(df, ["Chromosome", "Position", "site_id", "var_effect"], "the effect table")
+    rows = df if "ord" in df.columns else numbered(df)
+    return rows.groupBy("site_id").agg(F.max_by(F.col("var_effect").cast("double"), "ord").alias("effect"))
+
+
+def variant_effects(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Effect of each genotype feature; none may lack."""
+    last = last_effects(df)
     wanted = df.sparkSession.createDataFrame([(f,) for f in features], "site_id string")
-    last = numbered(df).groupBy("site_id").agg(F.max_by(F.col("var_effect").cast("double"), "ord").alias("effect"))
-    rows = wanted.join(last, "site_id", "left").collect()
-    if missing := sorted(r["site_id"] for r in rows if r["effect"] is None):
-        raise ValueError(f"features without an effect: {missing[:20]}")
-    return {r["site_id"]: r["effect"] for r in rows}
+    known = last.where("effect IS NOT NULL")
+    require_known(wanted, known, "site_id", "features without an effect")
+    return {r["site_id"]: r["effect"] for r in wanted.join(known, "site_id").collect()}
 
 
 def excel(spark: SparkSession, path: str, sheet: str) -> DataFrame:
@@ -143,6 +151,13 @@ def excel(spark: SparkSession, path: str, sheet: str) -> DataFrame:
     return spark.createDataFrame(pd.read_excel(path, sheet_name=sheet))
 
 
+def sheet(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A sheet of a workbook, or a delimited or Parquet table by the ending of the path."""
+    if path.lower().endswith((".xlsx", ".xls", ".xlsm")):
+        return excel(spark, path, name)
+    return spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else text_table(spark, path, "\t" if path.lower().endswith(".tsv") else ",")
+
+
 def phenotype_genotype(phenotype: DataFrame, genotype: DataFrame) -> DataFrame:
     """Phenotype rows with their sample's genotypes, in the order of the phenotypes; an empty result is an error."""
     out = phenotype.join(genotype.drop("ord"), "sample")

@@ -1,13 +1,15 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lociflow.ml import labels, metrics
-from lociflow.operators import genotypes, intervals, phenotype, simulate, sites, splits
-from lociflow.sources import tables
+from lociflow.operators import effects, genotypes, intervals, phenotype, places, simulate, sites, splits
+from lociflow.sources import fasta, tables
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -146,3 +148,59 @@ def test_genotype_table(spark):
         tables.genotypes(ok.withColumn("Chr1:5", F.lit("3")))
     with pytest.raises(ValueError):
         tables.genotype_features(["sample", "Chr1_5"])
+
+
+def test_split_draws_as_choice_does():
+    samples = [f"s{i}" for i in range(10)]
+    rest = [s for s in samples if s not in ("s7", "s3")]
+    want = ["s7", "s3", *np.random.default_rng(5).choice(np.array(rest, dtype=object), size=2, replace=False)]
+    assert splits.split_samples(samples, ["s7", "other", "s3", "s7"], 0.4, 5) == ([s for s in samples if s not in want], want)
+    assert splits.split_samples(samples, samples, 0.4)[0] == []
+
+
+def test_places_equal_a_window_over_all_rows(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, *range(500)]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, x long, i long")
+    for group in ([], ["g"]):
+        w = Window.partitionBy(*group).orderBy("x", "i") if group else Window.partitionBy(F.lit(0)).orderBy("x", "i")
+        want = df.withColumn("n", F.row_number().over(w))
+        got = places.numbered(df, "n", [F.shiftright("x", 5)], ["x", "i"], group)
+        assert sorted(map(repr, got.select("g", "x", "i", F.col("n").cast("int")).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_first_rows(spark):
+    df = spark.createDataFrame([("k", 2, None, {"a": 1}), ("k", 1, "x", None), (None, 5, "z", None), ("m", None, "n", None), ("m", 0, "o", None)], "key string, o int, v string, attrs map<string,int>")
+    got = genotypes.first_by(df, ["key"], "o")
+    assert got.columns == df.columns and sorted((str(r.key), r.v) for r in got.collect()) == [("None", "z"), ("k", "x"), ("m", "n")]
+
+
+def test_thresholds_of_any_scores(spark):
+    rng = random.Random(6)
+    rows = [(rng.randint(0, 1), rng.choice([-3.5, 0.0, 0.25, 0.2500001, 1.0, 7.0]), k % 2) for k in range(300)]
+    got = {(r.g, r.score): (r.tp, r.fp, r.pos, r.neg) for r in metrics.thresholds(spark.createDataFrame(rows, "y int, score double, g int"), group=["g"]).collect()}
+    for g in (0, 1):
+        own = [(y, s) for y, s, k in rows if k == g]
+        for s in {s for _, s in own}:
+            up = [y for y, t in own if t >= s]
+            assert got[g, s] == (sum(up), len(up) - sum(up), sum(y for y, _ in own), sum(1 - y for y, _ in own))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.integers(1, 40), st.integers(1, 60), st.lists(st.tuples(st.integers(1, 130), st.integers(0, 130)), min_size=1, max_size=20))
+def test_windows_of_pieces_are_those_of_the_whole(spark, k, step, places_):
+    whole = spark.createDataFrame([("Chr1", "".join(random.Random(1).choices("ACGTacgt", k=125)))], "chrom string, seq string")
+    seq = whole.first().seq
+    v = spark.createDataFrame([(i, "Chr1", p, seq[p - 1 : p - 1 + n], "T") for i, (p, n) in enumerate(places_)], "i int, chrom string, pos long, ref string, alt string")
+    want = effects.allele_windows(v, whole, k).select("i", "ref_seq", "alt_seq").collect()
+    got = effects.allele_windows(v, fasta.pieces(whole, step, k), k).select("i", "ref_seq", "alt_seq").collect()
+    assert sorted(got) == sorted(want)
+    with pytest.raises(ValueError):
+        effects.allele_windows(v, fasta.pieces(whole, step, k - 1), k)
+
+
+def test_long_reference_alleles(spark):
+    whole = spark.createDataFrame([("Chr1", "ACGT" * 2000)], "chrom string, seq string")
+    v = spark.createDataFrame([("Chr1", 900, ("ACGT" * 2000)[899:3899], "T")], "chrom string, pos long, ref string, alt string")
+    got = effects.allele_windows(v, fasta.pieces(whole, 1000, 2000), 100).first()
+    assert got.downstream_seq == ("ACGT" * 2000)[3899:3999] and len(got.upstream_seq) == 100

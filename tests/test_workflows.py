@@ -1,13 +1,18 @@
 import json
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from lociflow import __main__ as cli
 from lociflow.embed import registry
 from lociflow.embed.cache import CachedEmbedder
+from lociflow.ml import models
+from lociflow.operators import splits
 from lociflow.plans import builder, classifier, phenotypes, simulator
-from lociflow.sources import config, fasta, gff, tables, vcf
+from lociflow.sources import config, fasta, gff, sinks, tables, vcf
 
 SEQ = {"chr1": "".join(random.Random(1).choices("ACGT", k=400)), "chr_2": "".join(random.Random(2).choices("acgt", k=300))}
 
@@ -60,7 +65,7 @@ def test_builder_runs_and_resumes(spark, genome, tmp_path):
     genes = spark.read.parquet(f"{tmp_path}/stages/gene_features")
     assert genes.count() == 4 * genes.select("gene_id").distinct().count() and genes.where("value > 0").count() > 0
     meta = json.loads((tmp_path / "splits/split_meta.json").read_text())
-    assert len(meta["test"]) == 2 and len(meta["train"]) == 2
+    assert len(meta["samples"]["test"]) == 2 and len(meta["samples"]["train_val"]) == 2
     before = sorted(map(tuple, genes.collect()))
     stamp = (tmp_path / "stages/initial_sites/_SUCCESS").stat().st_mtime_ns
     builder.run(spark, settings(genome, tmp_path))
@@ -158,3 +163,100 @@ def test_phenotype_tables(spark, tmp_path):
     out = phenotypes.run(sheet, str(tmp_path), ["SPY", "TGW"], "1")
     got = tables.phenotypes(tables.text_table(spark, out["SPY"])).drop("ord").first()
     assert out["SPY"].endswith("SPY_1.csv") and tuple(got) == ("a", 1.0, 1)
+
+
+def test_command_line_over_file_over_defaults(tmp_path):
+    (tmp_path / "c.yaml").write_text("vcf_path: v\nfasta_path: f\noutdir: o\nk: 7\nembedder: other\n")
+    args, c = cli.settings(["score", "--config", f"{tmp_path}/c.yaml", "--k", "9", "--embedder-options", "k=2", "half=true"])
+    assert (c.vcf_path, c.k, c.embedder, c.embedder_options) == ("v", 9, "other", {"k": 2, "half": True})
+    assert args.command == "score"
+    # A flag at its default gives way to the file.
+    assert cli.settings(["score", "--config", f"{tmp_path}/c.yaml", "--k", "100"])[1].k == 7
+    with pytest.raises(ValueError, match="lacks fasta_path"):
+        cli.settings(["score", "--vcf-path", "v"])
+    with pytest.raises(ValueError, match="unknown"):
+        (tmp_path / "d.yaml").write_text("nothing: 1\n")
+        cli.settings(["score", "--config", f"{tmp_path}/d.yaml"])
+    _, b = cli.settings(["build", *[x for n in ("vcf", "fasta", "gff3", "gwas", "qtl") for x in (f"--{n}-path", n)], "--outdir", "o", "--gff3-feature", "gene", "mRNA", "--split", "--no-wide"])
+    assert b.gff3_feature == ["gene", "mRNA"] and b.split and not b.wide and b.resume
+
+
+def test_command_runs(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("sample,SPY_2019_a,SPY_2020_a\nx,1,2\ny,,4\n")
+    cli.main(["phenotypes", "--sheet-file", f"{tmp_path}/s.csv", "--outdir", f"{tmp_path}/o", "--traits", "SPY", "--stamp", "d"])
+    rows = tables.phenotypes(tables.text_table(spark, f"{tmp_path}/o/SPY_d.csv")).collect()
+    assert sorted((r.sample, r.value, r.loc_a) for r in rows) == [("x", 1.5, 1), ("y", 4.0, 1)]
+
+
+def test_workbooks(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pd, "read_excel", lambda path, sheet_name: seen.append((path, sheet_name)) or pd.DataFrame({"sample": ["a"], "SPY_2019_x": [1.0]}))
+    assert tables.sheet(spark, "b.XLSX", "triple_data").collect()[0].SPY_2019_x == 1.0 and seen == [("b.XLSX", "triple_data")]
+
+
+def test_split_files(spark, genome, tmp_path):
+    out = builder.run(spark, settings(genome, tmp_path, wide=False))
+    meta = json.loads((tmp_path / "splits/split_meta.json").read_text())
+    for part, samples in meta["samples"].items():
+        for name in ("genotype_012", "variant_effect_matrix", "gene_sequence_feature_matrix"):
+            csv = tables.text_table(spark, out[f"{part}_{name}_csv"])
+            assert [r["sample"] for r in csv.collect()] == samples and csv.columns == spark.read.parquet(out[f"{part}_{name}_parquet"]).columns
+    assert meta["samples"]["test"] == splits.split_samples(["sample_1", "sample_2", "sample_3", "sample_1_4"], (), 0.4)[1]
+
+
+def test_models_by_file(spark, tmp_path):
+    with pytest.raises(PermissionError):
+        models.load_pickle("m.joblib")
+    try:
+        import joblib  # noqa: F401
+    except ImportError:
+        with pytest.raises(ImportError, match="joblib"):
+            models.load_pickle("m.joblib", True)
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import LinearRegression
+
+    train = models.with_vector(spark.createDataFrame([([float(i), float(i * i % 7), float(i % 2)], 3.0 * i + i % 2) for i in range(20)], "features array<double>, y double"))
+    Pipeline(stages=[LinearRegression(featuresCol="x", labelCol="y")]).fit(train).write().save(f"{tmp_path}/model")
+    rows = spark.createDataFrame([([5.0, 4.0], 1, "loc_a")], "features array<float>, loc_a int, location_label string")
+    got = simulator.model_of(spark, f"{tmp_path}/model", False)(rows, ["a", "b"]).first()
+    assert got.predicted_phenotype == pytest.approx(16.0) and got.loc_a == 1
+    assert models.build_model("random_forest", 5).getStages()[-1].getMaxDepth() == 30
+
+
+def test_chart(spark, tmp_path):
+    rows = [("observed" if i % 5 == 0 else "simulated", i + 1, 10.0 - i, i == 7) for i in range(40)]
+    ranked = spark.createDataFrame(rows, "source_type string, rank int, predicted_phenotype double, is_target boolean")
+    sinks.scatter_svg(ranked, "a < b", f"{tmp_path}/all.svg")
+    sinks.scatter_svg(ranked, "a < b", f"{tmp_path}/some.svg", most=4)
+    whole, some = ((tmp_path / f"{n}.svg").read_text() for n in ("all", "some"))
+    assert whole.count('r="2"') + whole.count('r="5"') == 40 and some.count('r="2"') < 25
+    for text in (whole, some):
+        assert "target: rank 8, 3" in text and "a &lt; b" in text and text.count("simulated") == 1 and text.count("h-5") == 5
+        assert text.count('r="5"') == 1
+    assert sinks.ticks(2.0, 2.0) == [2.0] and sinks.ticks(0, 4) == [0, 1, 2, 3, 4]
+
+
+def test_classifier_matrices(spark, genome, tmp_path):
+    rows = [x.split("\t") for x in (genome / "v.vcf").read_text().splitlines() if not x.startswith("#")]
+    (tmp_path / "s.tsv").write_text("chr\tpos\tvariant_type\n" + "".join(f"{r[0]}\t{r[1]}\tt\n" for r in rows))
+    c = classifier.ClassifierConfig(f"{tmp_path}/s.tsv", f"{genome}/v.vcf", f"{genome}/g.fa", f"{tmp_path}/out", k=6, selected_classes=["SNV", "Insertion"], eval_mode="holdout", matrices=True)
+    s = classifier.run(spark, c)
+    load = lambda n: np.load(f"{tmp_path}/out/{n}.npy")
+    ref, alt, diff, x = map(load, ("ref_embeddings", "alt_embeddings", "alt_minus_ref_embeddings", "features"))
+    assert len(x) == s["rows"] and np.array_equal(alt - ref, diff) and np.array_equal(x[:, : alt.shape[1]], alt)
+    train, test = load("train_indices"), load("test_indices")
+    assert sorted([*train, *test]) == list(range(s["rows"]))
+    ids = sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/out/features.parquet").select("site_id").collect())
+    assert sorted(ids[i] for i in test) == sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/out/predictions.parquet").select("site_id").collect())
+    assert json.loads((tmp_path / "out/feature_meta.json").read_text())["feature_dim"] == x.shape[1]
+    assert sum(s["label_counts"].values()) == s["rows"]
+
+
+def test_longest_input_of_a_model():
+    class Thing:
+        def __init__(self, **k):
+            self.__dict__.update(k)
+
+    assert registry.max_tokens(Thing(model_max_length=10**30), Thing(config=Thing(max_position_embeddings=512))) == 512
+    assert registry.max_tokens(Thing(model_max_length=100), Thing(config=Thing())) == 100
+    assert registry.max_tokens(Thing(), Thing()) is None
