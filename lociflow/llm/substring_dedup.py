@@ -1,18 +1,24 @@
-"""Substring deduplication with suffix automata.
+"""Substring deduplication with broadcast suffix automata.
 
-Documents are read against reference shards: suffix automata of the passages that occur in more than one
-document. Each state knows the smallest document id in which its substrings occur, so one pass over a document
-yields, for every position, whether the window that ends there stands in an earlier document too. Every word
-that such a window covers is removed.
+Documents are streamed against reference shards: suffix automata of the passages that occur in more than one
+document. Each state knows the smallest document id in which its substrings occur, so one pass over a document's words
+yields its matching statistics, and for every window whether it stands in an earlier document too. Every word that such
+a window covers is removed.
 
-The reference of this operator is the corpus itself and grows with it, so shards are not broadcast to every
-task: a passage is dealt to the shard of its minimiser, and only the shards that can match it read it. Shards of
-a minimiser that all documents share in one and the same text consist of that text; its smallest document
-decides for all windows at once.
+The reference of this operator is the corpus itself, so it grows with it. It is dealt to shards of about
+``SHARD_TOKENS`` words by the minimisers of its passages, and a passage can only match in the shard of its own
+minimiser. A pass builds the automata of some shards in tasks, checks that they are no larger than ``PASS_BYTES``
+together, or cuts them into parts that are, broadcasts them, and streams the passages of those shards, which are
+written apart from the others; then the next pass begins. So what is broadcast at a time is bounded, each passage is
+read in one pass, and the passes grow in number with the reference.
+
+What goes before is only combined ahead of the shuffle: runs of windows with one and the same text settle among
+themselves which document is the smallest, and a minimiser that has one text in all documents needs no automaton, as
+that document decides for all its windows at once.
 
 Contract: a window is ``window`` consecutive words of one document. A word is removed if a window that covers
 it also starts in a document with a smaller id. Windows are judged on the input. Words are compared by 64-bit
-hashes, passages by 64-bit hashes of those.
+hashes, passages of one text by 64-bit hashes of those.
 
 Edge cases: a null text has no words; a null doc_id counts as larger than any other, and two nulls as equal;
 repeated rows (same id) do not remove each other; texts shorter than a window stay whole; very long texts are read
@@ -30,11 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.llm import _anchors as anchors
-from lociflow.llm._stage import staged
-from lociflow.llm._text import WordHashes, in_batches, small_batches, spans_union
+from lociflow.llm._stage import drop_stage, free_shuffles, new_path, shuffle_partitions, staged
+from lociflow.llm._text import MUL, WordHashes, in_batches, mix, small_batches, spans_union
 
 WINDOW = 13
 GRAM = 5
+#: Words of a shard, about; bytes of automata that are broadcast at once; bytes that a word's states take at most.
+SHARD_TOKENS, PASS_BYTES, TOKEN_BYTES = 100_000, 96 << 20, 64
 
 
 class SuffixAutomaton:
@@ -90,24 +98,72 @@ class SuffixAutomaton:
             if first[v] < first[link[v]]:
                 first[link[v]] = first[v]
 
-    def owners(self, tokens: Sequence[int], window: int) -> list[int]:
-        """Matching statistics of a string: for each of its windows the least owner, NO_ID if it does not occur."""
-        nxt, link, length, first = self.next, self.link, self.length, self.first
-        v = n = 0
-        out = []
-        for i, t in enumerate(tokens):
-            while v and t not in nxt[v]:
-                v = link[v]
-                n = length[v]
-            if t in nxt[v]:
-                v = nxt[v][t]
-                n += 1
-            while n >= window and length[link[v]] >= window:
-                v = link[v]
-                n = length[v]
+    def freeze(self) -> bytes:
+        """As arrays; only that form is broadcast and read."""
+        size = [len(x) for x in self.next]
+        state = np.repeat(np.arange(len(size), dtype=np.uint64), size)
+        token = np.fromiter((t for x in self.next for t in x), np.uint64, len(state))
+        to = np.fromiter((q for x in self.next for q in x.values()), np.int32, len(state))
+        key = _step(state, token)
+        o = np.argsort(key)
+        parts = (key[o], to[o], np.maximum(self.link, 0).astype(np.int32), np.array(self.length, np.int32), np.array(self.first, np.int64))
+        return np.array([len(key), len(size)], np.int64).tobytes() + b"".join(x.tobytes() for x in parts)
+
+
+def _step(state: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """What a transition is found by."""
+    return mix(state.astype(np.uint64) * np.uint64(MUL) ^ token)
+
+
+class Frozen:
+    """A suffix automaton as arrays."""
+
+    def __init__(self, data: bytes) -> None:
+        m, n = np.frombuffer(data, np.int64, 2).tolist()
+        at = 16
+        for name, kind, size in (("key", np.uint64, m), ("to", np.int32, m), ("link", np.int32, n), ("length", np.int32, n), ("first", np.int64, n)):
+            setattr(self, name, np.frombuffer(data, kind, size, at))
+            at += size * np.dtype(kind).itemsize
+
+    def owners(self, tokens: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics of strings that stand end to end: string, place and least owner of each window, NO_ID
+        where it does not occur. All strings advance together, a token at a time."""
+        size = np.diff(ends)
+        order = np.argsort(-size, kind="stable")
+        state, held = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+        rows, places, owners = [], [], []
+        for i in range(int(size.max(initial=0))):
+            live = order[: np.searchsorted(-size[order], -i, "left")]
+            token = tokens[ends[:-1][live] + i]
+            v, n, left = state[live], held[live], np.arange(len(live))
+            while len(left):
+                key = _step(v[left], token[left])
+                at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+                hit = self.key[at] == key
+                on, off = left[hit], left[~hit]
+                v[on] = self.to[at[hit]]
+                n[on] += 1
+                n[off[v[off] == 0]] = 0
+                left = off[v[off] != 0]
+                v[left] = self.link[v[left]]
+                n[left] = self.length[v[left]]
+            # The state of the shortest string that still holds the window: its owners are those of the window.
+            while True:
+                up = self.link[v]
+                more = (n >= window) & (self.length[up] >= window)
+                if not more.any():
+                    break
+                v = np.where(more, up, v)
+                n = np.where(more, self.length[v], n)
+            state[live], held[live] = v, n
             if i >= window - 1:
-                out.append(first[v] if n >= window else anchors.NO_ID)
-        return out
+                rows.append(live)
+                places.append(np.full(len(live), i - window + 1))
+                owners.append(np.where(n >= window, self.first[v], anchors.NO_ID))
+        if not rows:
+            none = np.zeros(0, np.int64)
+            return none, none, none
+        return np.concatenate(rows), np.concatenate(places), np.concatenate(owners)
 
 
 def _combine(e: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
@@ -163,53 +219,98 @@ def _passages(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
                         own = int(np.bitwise_xor.reduce(body * np.arange(1, 2 * window, 2, dtype=np.uint64)))
                         rows.append((own - (1 << 64) if own >= 1 << 63 else own, rid, th, w, 1, body.tobytes()))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["shard", "rid", "th", "start", "count", "tokens"])
-
-
-def _match(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Builds each shard's automaton and reads the shard's passages against it. Passages of a shard arrive
-    together, in order of shard."""
-    held: list[tuple] = []
-    out: list[tuple] = []
-
-    def finish() -> None:
-        held.sort(key=lambda r: r[1])
-        sam = SuffixAutomaton()
-        passages = [np.frombuffer(r[5], np.uint64).tolist() for r in held]
-        seen: set[bytes] = set()
-        for r, p in zip(held, passages, strict=True):
-            if r[5] not in seen:  # in order of documents: the first owner is the least
-                seen.add(r[5])
-                sam.add(p, r[1])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["gram", "rid", "th", "start", "count", "tokens"])
+
+
+def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The automaton of each shard from its passages (shard, tokens, rid), which arrive shard by shard."""
+    shard, sam = None, SuffixAutomaton()
+
+    def close() -> pa.RecordBatch:
         sam.close()
-        for r, p in zip(held, passages, strict=True):
-            gone = [i for i, owner in enumerate(sam.owners(p, window)) if owner < r[1]]
-            j = 0
-            while j < len(gone):
-                k = j
-                while k + 1 < len(gone) and gone[k + 1] == gone[k] + 1:
-                    k += 1
-                out.append((r[1], r[2], (r[3] + gone[j]) << 24 | (k - j + 1) << 4 | anchors.REMOVE))
-                j = k + 1
-
-    def flush() -> pa.RecordBatch:
-        b = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64()), strict=True)], ["rid", "th", "value"])
-        out.clear()
-        return b
+        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([sam.freeze()], pa.binary())], ["shard", "automaton"])
 
     for b in batches:
-        for row in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
-            if held and held[0][0] != row[0]:
-                if len(held) > 1:
-                    finish()
-                held.clear()
-            held.append(row)
-        if len(out) > 100_000:
-            yield flush()
-    if len(held) > 1:
-        finish()
-    if out:
-        yield flush()
+        for own, tokens, rid in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            if shard is not None and own != shard:
+                yield close()
+                sam = SuffixAutomaton()
+            shard = own
+            sam.add(np.frombuffer(tokens, np.uint64).tolist(), rid)
+    if shard is not None:
+        yield close()
+
+
+def _stream(batches: Iterator[pa.RecordBatch], automata: dict[int, Frozen], window: int) -> Iterator[pa.RecordBatch]:
+    """Spans of the passages (shard, rid, th, start, tokens) whose windows have a smaller owner."""
+    for b in batches:
+        shards, rid, th, start = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        tokens = b.column(4)
+        for k in np.unique(shards).tolist():
+            at = np.flatnonzero(shards == k)
+            own = tokens.take(pa.array(at)).to_pylist()
+            ends = np.zeros(len(own) + 1, np.int64)
+            np.cumsum([len(t) // 8 for t in own], out=ends[1:])
+            row, place, owner = automata[k].owners(np.frombuffer(b"".join(own), np.uint64), ends, window)
+            gone = owner < rid[at][row]
+            row, place = row[gone], place[gone]
+            if not len(row):
+                continue
+            o = np.lexsort((place, row))
+            row, place = row[o], place[o]
+            first = np.flatnonzero(anchors.groups(row, place - np.arange(len(place))))
+            count = np.diff(np.append(first, len(row)))
+            src = at[row[first]]
+            value = anchors.pack(start[src] + place[first], count, anchors.REMOVE)
+            yield pa.RecordBatch.from_arrays([pa.array(rid[src]), pa.array(th[src]), pa.array(value)], ["rid", "th", "value"])
+
+
+def read_against(passages: DataFrame, window: int, n_tokens: int, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """rid, th, value: the spans that automata of all passages (gram, rid, th, start, tokens) remove from each. What is
+    held at once is bounded by ``pass_bytes``."""
+    spark = passages.sparkSession
+    shards = max(1, -(-n_tokens // SHARD_TOKENS))
+    of_pass = max(1, pass_bytes // (SHARD_TOKENS * TOKEN_BYTES))
+    passes = -(-shards // of_pass)
+    shard = F.pmod(F.xxhash64("gram"), F.lit(shards))
+    # Files of one pass stand together; rows of a pass are dealt to as many tasks as there are for each.
+    tasks = max(1, shuffle_partitions(spark) // passes)
+    rows = passages.select(shard.alias("shard"), "rid", "th", "start", "tokens", F.floor(shard / of_pass).cast("int").alias("pass"))
+    dealt, spans = new_path(spark, "passages"), new_path(spark, "spans")
+    rows.repartition("pass", F.pmod(F.xxhash64("rid", "start"), F.lit(tasks))).write.partitionBy("pass").parquet(dealt)
+    spark.createDataFrame([], SPANS).write.parquet(spans)
+    free_shuffles(spark)
+    every = spark.read.schema("shard long, rid long, th int, start long, tokens binary, pass int").parquet(dealt)
+    for k in range(passes):
+        own = every.where(F.col("pass") == k).select("shard", "rid", "th", "start", "tokens")
+        once = own.groupBy("shard", "tokens").agg(F.min("rid").alias("rid"))
+        built = once.repartition("shard").sortWithinPartitions("shard").transform(in_batches, _build, "shard long, automaton binary")
+        built = staged(built, "automata", "none")  # made side by side, then taken one by one
+        part: dict[int, bytes] = {}
+        for r in built.toLocalIterator():
+            if part and sum(map(len, part.values())) + len(r["automaton"]) > pass_bytes:
+                _one_pass(own, part, window, spans)
+                part = {}
+            part[r["shard"]] = bytes(r["automaton"])
+        _one_pass(own, part, window, spans)
+        drop_stage(built)
+        free_shuffles(spark)
+    return spark.read.schema(SPANS).parquet(spans)
+
+
+def _one_pass(own: DataFrame, part: dict[int, bytes], window: int, spans: str) -> None:
+    if not part:
+        return
+    shared = own.sparkSession.sparkContext.broadcast(part)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _stream(batches, {k: Frozen(x) for k, x in shared.value.items()}, window)
+
+    own.where(F.col("shard").isin(list(part))).transform(in_batches, run, SPANS).write.mode("append").parquet(spans)
+    shared.destroy()
+
+
+SPANS = "rid long, th int, value long"
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -233,9 +334,9 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.int64()), pa.array(gone, pa.int64()), pa.array(lists, span), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "spans", "kept"])
 
 
-def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int = anchors.SPLIT) -> DataFrame:
+def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int = anchors.SPLIT, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, spans (removed words, half-open) and kept (the remaining words, joined by one
-    space)."""
+    space). ``pass_bytes`` bounds what is broadcast at a time."""
     if not 1 <= gram <= window:
         raise ValueError("gram must lie between 1 and window")
     rows = anchors.keyed(docs)
@@ -246,9 +347,15 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
 
     found = staged(anchors.settle(anchors.index(rows, tokens, window, gram, _combine), lambda e: _settle(e, split)), "windows")
     asked = found.where(anchors.kind() != anchors.REMOVE).groupBy("rid", "th").agg(F.collect_list(F.struct("value", "gram")).alias("asked"))
-    passages = anchors.with_texts(rows, asked, "inner").transform(in_batches, lambda it: _passages(it, window), "shard long, rid long, th int, start long, count int, tokens binary")
-    matched = passages.repartition("shard").sortWithinPartitions("shard").transform(in_batches, lambda it: _match(it, window), "rid long, th int, value long")
-    gone = found.where(anchors.kind() == anchors.REMOVE).select("rid", "th", "value").unionByName(matched)
+    passages = anchors.with_texts(rows, asked, "inner").transform(in_batches, lambda it: _passages(it, window), "gram long, rid long, th int, start long, count int, tokens binary")
+    # How many words they have: a run of n windows has window - 1 more; asked one by one, each has all its own.
+    n, singly = F.shiftright("value", 4).bitwiseAND(F.lit(0xFFFFF)), anchors.kind() == anchors.SINGLY
+    words = found.where(anchors.kind() != anchors.REMOVE).agg(F.sum(F.when(singly, n * window).otherwise(n + window - 1))).first()[0] or 0
+    free_shuffles(docs.sparkSession)
+    matched = read_against(passages, window, int(words), pass_bytes)
+    gone = staged(found.where(anchors.kind() == anchors.REMOVE).select("rid", "th", "value").unionByName(matched), "gone")
+    drop_stage(found)
+    free_shuffles(docs.sparkSession)
     full = anchors.with_texts(rows, anchors.per_document(gone, "gone"), "left")
     full = full.select(F.when(F.col("rid") != anchors.NO_ID, F.col("rid")).alias("doc_id"), "text", "gone")
     return full.transform(in_batches, lambda it: _cut(it, window), "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")

@@ -166,7 +166,36 @@ def test_suffix_automaton():
     sam.add([1, 2, 3, 1, 2], 7)
     sam.add([2, 3, 1, 1], 3)
     sam.close()
-    assert sam.owners([1, 2, 3, 1, 1, 2, 9, 1, 2], 2) == [7, 3, 3, 3, 7, BIG * 2 - 1, BIG * 2 - 1, 7]
+    row, place, owner = substring_dedup.Frozen(sam.freeze()).owners(np.array([1, 2, 3, 1, 1, 2, 9, 1, 2], np.uint64), np.array([0, 9]), 2)
+    assert not row.any() and place.tolist() == list(range(8))
+    assert owner.tolist() == [7, 3, 3, 3, 7, BIG * 2 - 1, BIG * 2 - 1, 7]
+
+
+@pytest.mark.parametrize("window", [1, 2, 4])
+def test_matching_statistics_against_all_substrings(window):
+    rng = np.random.default_rng(window)
+    strings = lambda n: [rng.integers(1, 4, rng.integers(0, 14)).tolist() for _ in range(n)]
+    reference, read = strings(25), strings(40)
+    sam, first = substring_dedup.SuffixAutomaton(), {}
+    for owner, x in enumerate(reversed(reference)):
+        sam.add(x, owner)
+        for i in range(len(x) - window + 1):
+            first.setdefault(tuple(x[i : i + window]), owner)
+    sam.close()
+    ends = np.cumsum([0, *map(len, read)])
+    got = substring_dedup.Frozen(sam.freeze()).owners(np.array([t for x in read for t in x], np.uint64), ends, window)
+    want = {(r, i): first.get(tuple(x[i : i + window]), BIG * 2 - 1) for r, x in enumerate(read) for i in range(len(x) - window + 1)}
+    assert {(r, i): o for r, i, o in zip(*(a.tolist() for a in got), strict=True)} == want
+
+
+@pytest.mark.parametrize(("shard_tokens", "pass_bytes"), [(50, 1), (50, 20_000), (1000, 1 << 20)])
+def test_passes_of_any_size(spark, monkeypatch, shard_tokens, pass_bytes):
+    """Many shards and passes, automata that exceed a pass, and all in one pass give the same."""
+    monkeypatch.setattr(substring_dedup, "SHARD_TOKENS", shard_tokens)
+    monkeypatch.setattr(substring_dedup, "TOKEN_BYTES", 40)
+    rows = documents(5, 30)
+    got = substring_dedup.dedup(frame(spark, rows), 6, 3, pass_bytes=pass_bytes).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()
+    assert multiset(got) == removed_words(rows, 6)
 
 
 def test_keep_one_with_clashing_names(spark):
