@@ -42,7 +42,7 @@ from lociflow.llm._text import MUL, WordHashes, in_batches, mix, small_batches,
 WINDOW = 13
 GRAM = 5
 #: Words of a shard, about; bytes of automata that are broadcast at once; bytes that a word's states take at most.
-SHARD_TOKENS, PASS_BYTES, TOKEN_BYTES = 100_000, 96 << 20, 64
+SHARD_TOKENS, PASS_BYTES, TOKEN_BYTES = 25_000, 96 << 20, 64
 
 
 class SuffixAutomaton:

@@ -32,6 +32,21 @@ def test_run(spark, tmp_path):
         assert text == want or ("token" in want and text.endswith('[assign]"') and r.doc_id >= 2000)
 
 
+def test_run_with_null_ids_and_on_no_rows(spark, tmp_path):
+    """Rows without an id go through all stages; of their groups one stays too, that with an id if there is one."""
+    say = lambda k: " ".join(f"{k}w{j}" for j in range(40))
+    rows = [(None, say(i % 5), *[None] * 6) for i in range(10)] + [(7, say(0), None, "a", *[None] * 4)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        docs = stage(spark, docs, "")
+    assert sorted((r.doc_id or 0, r.text[:2]) for r in docs.collect()) == [(0, f"{i}w") for i in range(1, 5)] + [(7, "0w")]
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert got and all(r.n_pieces == len(r.ids) > 0 for r in got)
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_stages_keep_the_columns(spark):
     rows = documents(2, 12)
     docs = frame(spark, rows)

@@ -1,6 +1,7 @@
 import hashlib
 import re
 import time
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -135,6 +136,58 @@ def test_pii_learns_contexts(spark):
     assert pii.find(frame(spark, [])).count() == 0
 
 
+def plain_bootstrap(texts):
+    """The rounds of scoring with sets and loops: the spans that patterns alone vouch for."""
+    seen = []
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        base = sorted(pii.base_spans(raw))
+        for spans, seed in ((base, True), (pii.candidates(raw, base), False)):
+            for s, k, e in spans:
+                left, right = raw[max(0, s - 120) : s].split()[-2:], raw[e : e + 60].split()[:1]
+                own = [b"L " + b" ".join(left).lower()] * (len(left) == 2)
+                own += [b"B " + left[-1].lower() + b" _ " + right[0].lower()] if left and right else []
+                if own:
+                    seen.append((i, len(raw[:s].decode()), len(raw[:e].decode()), k, seed, raw[s:e].lower(), own))
+    edges = {}
+    for *_, k, seed, value, own in seen:
+        for p in own:
+            edges[k, value, p] = edges.get((k, value, p), False) or seed
+    holds = Counter((k, p) for k, _, p in edges)
+    edges = {x: s for x, s in edges.items() if holds[x[0], x[2]] > pii.SUPPORT}
+    seeds = {(k, v) for (k, v, _), s in edges.items() if s}
+    known = dict.fromkeys(seeds, 1.0)
+    for _ in range(pii.ROUNDS):
+        got = defaultdict(list)
+        for k, v, p in edges:
+            got[k, p].append(known.get((k, v)))
+        good = {}
+        for x, scores in got.items():
+            hits = [y for y in scores if y is not None]
+            if len(hits) >= pii.SUPPORT and sum(hits) / (len(scores) + 1) >= pii.PATTERN_SCORE:
+                good[x] = sum(hits) / (len(scores) + 1)
+        miss = defaultdict(lambda: 1.0)
+        for (k, v, p), s in edges.items():
+            if not s and (k, p) in good:
+                miss[k, v] *= 1 - good[k, p]
+        known = {x: 1 - m for x, m in miss.items() if 1 - m >= pii.INSTANCE_SCORE and x not in seeds} | dict.fromkeys(seeds, 1.0)
+    new = {x for x, y in known.items() if y < 1}
+    return sorted((i, s, e) for i, s, e, k, seed, value, _ in seen if not seed and (k, value) in new)
+
+
+def test_found_spans_against_plain_loops(spark):
+    """Contexts that several identifiers share, some with strings of no fixed form, and some that mislead."""
+    import random
+
+    rng = random.Random(8)
+    ways = ["please phone me {} thanks", "é reach us at {} or write", "the sum was {} yen", "card no {} expires", "host at {} is up", "mail to {} now"]
+    kinds = [lambda: f"+1 212 555 {rng.randint(1000, 9999)}", lambda: f"0{rng.randint(200, 999)} 555 {rng.randint(1000, 9999)}", lambda: f"{rng.randint(1, 255)}.{rng.randint(1, 255)}.1.7", lambda: f"{rng.randint(300, 999)}.1.1.{rng.randint(1, 9)}", lambda: f"a{rng.randint(1, 40)}@x.org", lambda: f"b{rng.randint(1, 9)}@host", lambda: luhn_text("4242424242424" + str(rng.randint(10, 99))), lambda: "4242 4242 4242 42" + str(rng.randint(10, 99))]
+    texts = [rng.choice(ways).format(rng.choices(kinds, [9, 1, 3, 1, 3, 1, 3, 1])[0]()) for _ in range(500)]
+    texts += [f"please phone me {kinds[0]()} thanks" for _ in range(60)] + ["please phone me 0212 555 9999 thanks", "only here 0212 555 9999 too"] + [None, ""]
+    got = sorted((r.doc_id, *map(int, x.split(":")[1:])) for r in pii.find(frame(spark, rows_of(texts))).collect() for x in r.spans.split(",") if x.startswith("found"))
+    assert got == plain_bootstrap(texts) and any(texts[i].startswith("only here") for i, *_ in got)
+
+
 def repeats(w, window=8):
     seen = {}
     for p in range(len(w) - window + 1):
