@@ -34,13 +34,18 @@ REMOVE, COMPARE, SINGLY = 0, 1, 2
 #: Rows of a block before it is sent.
 BLOCK_ROWS = 400_000
 
-ENTRY = [("gram", np.uint64), ("body", np.uint64), ("doc", np.int64), ("th", np.int32), ("start", np.uint32), ("count", np.uint16), ("flag", np.uint8)]
+ENTRY = [
+    ("gram", np.uint64), ("body", np.uint64), ("doc", np.int64), ("th", np.int32), ("start", np.uint32),
+    ("count", np.uint16), ("flag", np.uint8)
+]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """rid, th, text: the row's key and its text."""
     require(docs, "doc_id", "text")
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("rid"), F.hash("text").alias("th"), "text")
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("rid"), F.hash("text").alias("th"), "text"
+    )
 
 
 def pack(start: np.ndarray, count: np.ndarray, kind: int | np.ndarray) -> np.ndarray:
@@ -94,7 +99,10 @@ def index(docs: DataFrame, tokens: Callable[[], Tokens], window: int, gram: int,
             held.clear()
             open_, settled = combine(entry)
             places, blocks = [], []
-            for part, by in ((open_, open_["gram"] % np.uint64(n)), (settled, settled["doc"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32))):
+            for part, by in (
+                (open_, open_["gram"] % np.uint64(n)),
+                (settled, settled["doc"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32))
+            ):
                 by = (by % np.uint64(n)).astype(np.int64)
                 o = np.argsort(by, kind="stable")
                 cut = np.searchsorted(by[o], np.arange(n + 1))
@@ -102,7 +110,9 @@ def index(docs: DataFrame, tokens: Callable[[], Tokens], window: int, gram: int,
                     rows = o[cut[b] : cut[b + 1]]
                     places.append(b)
                     blocks.append(to_block({k: v[rows] for k, v in part.items()}))
-            return pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "block"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(places, pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "block"]
+            )
 
         for part, texts in small_batches(batches):
             toks, ends = split(texts)
@@ -110,8 +120,15 @@ def index(docs: DataFrame, tokens: Callable[[], Tokens], window: int, gram: int,
             doc, begin, stop, _, h = window_runs(roll, ends, window, gram)
             if not len(doc):
                 continue
-            rid, th = (part.column(part.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("rid", "th"))
-            held.append({"gram": h, "body": roll.of(begin, stop + window), "doc": rid[doc], "th": th[doc], "start": begin - ends[doc], "count": stop - begin + 1, "flag": np.zeros(len(doc), np.uint8)})
+            rid, th = (
+                part.column(part.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("rid", "th")
+            )
+            held.append(
+                {
+                    "gram": h, "body": roll.of(begin, stop + window), "doc": rid[doc], "th": th[doc],
+                    "start": begin - ends[doc], "count": stop - begin + 1, "flag": np.zeros(len(doc), np.uint8)
+                }
+            )
             if sum(len(x["doc"]) for x in held) >= BLOCK_ROWS:
                 yield send()
         if held:
@@ -147,9 +164,17 @@ def settle(blocks: DataFrame, rule: Settle) -> DataFrame:
             out = rule(from_blocks([x[0] for x in held]))
             for i in range(0, len(out["doc"]), 500_000):
                 s = slice(i, i + 500_000)
-                yield pa.RecordBatch.from_arrays([pa.array(out["doc"][s]), pa.array(out["th"][s]), pa.array(out["value"][s]), pa.array(out["gram"][s].view(np.int64))], ["rid", "th", "value", "gram"])
-
-    return by_bucket(blocks.select("bucket", "block")).transform(in_batches, run, "rid long, th int, value long, gram long")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(out["doc"][s]), pa.array(out["th"][s]), pa.array(out["value"][s]),
+                        pa.array(out["gram"][s].view(np.int64))
+                    ],
+                    ["rid", "th", "value", "gram"]
+                )
+
+    return by_bucket(blocks.select("bucket", "block")).transform(
+        in_batches, run, "rid long, th int, value long, gram long"
+    )
 
 
 def kind(value: str = "value"):

@@ -77,7 +77,9 @@ def as_bytes(col: pa.Array) -> list[bytes]:
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def small_batches(
+    batches: Iterator[pa.RecordBatch], text: str = "text", most: int = BATCH_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """The rows with their texts, in slices of about ``most`` bytes; a longer text is a slice of its own."""
     for b in batches:
         col = b.column(b.schema.get_field_index(text))
@@ -175,7 +177,9 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 LOW_BITS = 26
 
 
-def window_runs(roll: Rolling, ends: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def window_runs(roll: Rolling, ends: np.ndarray, window: int, gram: int) -> tuple[
+    np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray
+]:
     """Groups the windows of ``window`` tokens of each document by their minimiser.
 
     The minimiser of a window is its gram of ``gram`` tokens with the least hash (but for its low bits), the

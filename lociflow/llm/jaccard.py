@@ -95,11 +95,16 @@ def allocation(band: int) -> tuple[int, bool]:
     covers all sets of the band and of the next."""
     lo, mid, hi = (int(x) for x in BANDS[band : band + 3])
     hi = min(hi, 4 * (mid - 1) // 3 + 1)  # larger sets of the next band have no partner in this one
-    sizes = [(lo, differing(lo)), (mid - 1, differing(mid - 1)), (mid, differing(mid, mid - 1)), (hi - 1, differing(hi - 1, mid - 1))]
+    sizes = [
+        (lo, differing(lo)), (mid - 1, differing(mid - 1)), (mid, differing(mid, mid - 1)),
+        (hi - 1, differing(hi - 1, mid - 1))
+    ]
     best: tuple[float, int, bool] | None = None
     for deletion in (False, True):
         covers = lambda m: all(_gain(n, m, deletion) >= h + 1 for n, h in sizes)  # noqa: E731, B023
-        m = next((m for m in (max(1, int(hi * f / 200)) for f in range(1, 401)) if covers(m)), None) if hi > 24 or not deletion else next((m for m in range(1, 2 * hi + 1) if covers(m)), None)
+        m = next(
+            (m for m in (max(1, int(hi * f / 200)) for f in range(1, 401)) if covers(m)), None
+        ) if hi > 24 or not deletion else next((m for m in range(1, 2 * hi + 1) if covers(m)), None)
         if m and (best is None or _cost(mid, m, deletion) < best[0]):
             best = (_cost(mid, m, deletion), m, deletion)
     return best[1:] if best else (2 * hi, False)
@@ -167,7 +172,9 @@ def signatures(sets: list[np.ndarray], node: np.ndarray) -> tuple[np.ndarray, np
         if len(less):
             sigs.append(mix(sums[key[less]] - value[take[less]] + place[key[less]]))
             nodes.append(node[r[less]] + role)
-        gain = np.bincount(holder, np.where(deletion[holder], np.minimum(count, 2), np.minimum(count, 1)), len(sets)).astype(np.int64)
+        gain = np.bincount(
+            holder, np.where(deletion[holder], np.minimum(count, 2), np.minimum(count, 1)), len(sets)
+        ).astype(np.int64)
         spare = gain - needed
         holders.append(node[live] + role)
         # An entry of a segment with deletions may stand for two.
@@ -200,7 +207,14 @@ def _members(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBat
     for part, texts in small_batches(batches):
         sets = shingle_sets(texts, hashes, n)
         rid, th = (part.column(part.schema.get_field_index(c)) for c in ("rid", "th"))
-        yield pa.RecordBatch.from_arrays([rid, th, pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()), pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())], ["rid", "th", "n", "node", "bits"])
+        yield pa.RecordBatch.from_arrays(
+            [
+                rid, th, pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
+                pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())
+            ],
+            ["rid", "th", "n", "node", "bits"]
+        )
 
 
 def _entries(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -217,7 +231,10 @@ def _entries(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterato
         blocks = [sig[o[cut[b] : cut[b + 1]]].tobytes() + node[o[cut[b] : cut[b + 1]]].tobytes() for b in full]
         spares = [b""] * len(full)
         spares[0] = holder.tobytes() + spare.tobytes()
-        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blocks, pa.binary()), pa.array(spares, pa.binary())], ["bucket", "block", "spares"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(full, pa.int32()), pa.array(blocks, pa.binary()), pa.array(spares, pa.binary())],
+            ["bucket", "block", "spares"]
+        )
 
     for _, texts in small_batches(batches):
         distinct = {set_hash(s): s for s in shingle_sets(texts, hashes, n) if len(s)}
@@ -255,7 +272,10 @@ def _candidates(batches: Iterator[pa.RecordBatch], all_pairs: int) -> Iterator[p
         for kind, a, b in _bucket([x for x, _ in held], [x for _, x in held if x], all_pairs):
             for i in range(0, len(a), 500_000):
                 x = a[i : i + 500_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(b[i : i + 500_000])], ["kind", "a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(b[i : i + 500_000])],
+                    ["kind", "a", "b"]
+                )
 
 
 def _bucket(blocks: list[bytes], spares: list[bytes], all_pairs: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -295,13 +315,17 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, n, m, x, y = (batch.column(i).to_pylist() for i in range(6))
         keep = [i for i in range(len(a)) if 4 * min(n[i], m[i]) >= 3 * max(n[i], m[i]) and 7 * least_difference(x[i], y[i]) <= n[i] + m[i]]
         if keep:
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"]
+            )
 
 
 def near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs that bitmaps and sizes do not rule out."""
     small = pairs.hint("shuffle_hash")
-    one = nodes.join(small.withColumnRenamed("a", "node"), "node").select(F.col("node").alias("a"), "b", F.col("n").alias("n1"), F.col("bits").alias("bits1"))
+    one = nodes.join(small.withColumnRenamed("a", "node"), "node").select(
+        F.col("node").alias("a"), "b", F.col("n").alias("n1"), F.col("bits").alias("bits1")
+    )
     both = one.join(nodes.withColumnRenamed("node", "b"), "b").select("a", "b", "n1", "n", "bits1", "bits")
     return both.transform(in_batches, _near, "a long, b long")
 
@@ -309,7 +333,13 @@ def near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for part, texts in small_batches(batches):
-        yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("node")), pa.array([s.tobytes() for s in shingle_sets(texts, hashes, n)], pa.binary())], ["node", "tokens"])
+        yield pa.RecordBatch.from_arrays(
+            [
+                part.column(part.schema.get_field_index("node")),
+                pa.array([s.tobytes() for s in shingle_sets(texts, hashes, n)], pa.binary())
+            ],
+            ["node", "tokens"]
+        )
 
 
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -335,9 +365,15 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame:
     """The pairs (a, b) whose sets link. A set with many partners is spread over tasks by salt."""
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).alias("salts"))
     salted = pairs.join(counts, "a").select("a", "b", F.pmod(F.hash("b"), F.col("salts").cast("int")).alias("salt"))
-    others = sets.join(salted.withColumnRenamed("b", "node").hint("shuffle_hash"), "node").select("a", "salt", F.col("node").alias("b"), "tokens")
-    own = sets.join(salted.select(F.col("a").alias("node"), "salt").distinct().hint("shuffle_hash"), "node").select(F.col("node").alias("a"), "salt", F.lit(None).cast("long").alias("b"), "tokens")
-    rows = own.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    others = sets.join(
+        salted.withColumnRenamed("b", "node").hint("shuffle_hash"), "node"
+    ).select("a", "salt", F.col("node").alias("b"), "tokens")
+    own = sets.join(
+        salted.select(F.col("a").alias("node"), "salt").distinct().hint("shuffle_hash"), "node"
+    ).select(F.col("node").alias("a"), "salt", F.lit(None).cast("long").alias("b"), "tokens")
+    rows = own.unionByName(others).repartition("a", "salt").sortWithinPartitions(
+        "a", "salt", F.col("b").asc_nulls_first()
+    )
     return rows.transform(in_batches, lambda it: _verify(it, percent), "a long, b long")
 
 
@@ -350,7 +386,14 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         while at < len(sets):
             n = max(1, int(np.searchsorted(np.cumsum(size[at:]), 200_000, "right")))
             part = slice(at, at + n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(node[part], np.int64), size[part])), pa.array(np.repeat(np.array(comp[part], np.int64), size[part])), pa.array(np.repeat(size[part], size[part])), pa.array(np.concatenate(sets[part]))], ["node", "comp", "n", "token"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(np.array(node[part], np.int64), size[part])),
+                    pa.array(np.repeat(np.array(comp[part], np.int64), size[part])),
+                    pa.array(np.repeat(size[part], size[part])), pa.array(np.concatenate(sets[part]))
+                ],
+                ["node", "comp", "n", "token"]
+            )
             at += n
 
 
@@ -363,10 +406,16 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, tokens = (b.column(i).to_pylist() for i in range(2))
         rows = []
         for t in tokens:
-            bits = np.bincount((mix(np.frombuffer(t, np.uint64) ^ _ODD[1]) >> np.uint64(16)).astype(np.int64) & (64 * MARKS - 1), minlength=64 * MARKS) & 1
+            bits = np.bincount(
+                (mix(np.frombuffer(t, np.uint64) ^ _ODD[1]) >> np.uint64(16)).astype(np.int64) & (64 * MARKS - 1),
+                minlength=64 * MARKS
+            ) & 1
             rows.append(np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64))
         m = np.array(rows, np.int64).reshape(len(node), MARKS)
-        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), *[pa.array(m[:, k]) for k in range(MARKS)]], ["node", *[f"m{k}" for k in range(MARKS)]])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(node, pa.int64()), *[pa.array(m[:, k]) for k in range(MARKS)]],
+            ["node", *[f"m{k}" for k in range(MARKS)]]
+        )
 
 
 def prefix_pairs(sets: DataFrame) -> DataFrame:
@@ -374,31 +423,57 @@ def prefix_pairs(sets: DataFrame) -> DataFrame:
     From (node, comp, tokens). Where the first token that two ordered sets share stands at places i and j, no more
     than that token and what follows it in either set is shared; and two sets differ in no fewer tokens than their
     parity bitmaps in bits. Both bounds stand in the join's condition, so what fails them is never a row."""
-    rows = sets.select("node", "comp", "tokens").transform(in_batches, _explode, "node long, comp long, n long, token long")
+    rows = sets.select("node", "comp", "tokens").transform(
+        in_batches, _explode, "node long, comp long, n long, token long"
+    )
     df = rows.groupBy("token").agg(F.count("*").alias("df"))
-    ranked = rows.join(df, "token").groupBy("node", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order"))
-    prefix = ranked.select("node", "comp", "n", F.posexplode(F.slice("order", 1, F.col("n").cast("int") - F.ceil(F.col("n") * 3 / 4).cast("int") + 1)).alias("i", "x")).select("node", "comp", "n", "i", "x.token")
-    marks = sets.select("node", "tokens").transform(in_batches, _marks, "node long, " + ", ".join(f"m{k} long" for k in range(MARKS)))
+    ranked = rows.join(df, "token").groupBy("node", "comp", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order")
+    )
+    prefix = ranked.select(
+        "node", "comp", "n",
+        F.posexplode(
+            F.slice("order", 1, F.col("n").cast("int") - F.ceil(F.col("n") * 3 / 4).cast("int") + 1)
+        ).alias("i", "x")
+    ).select("node", "comp", "n", "i", "x.token")
+    marks = sets.select("node", "tokens").transform(
+        in_batches, _marks, "node long, " + ", ".join(f"m{k} long" for k in range(MARKS))
+    )
     prefix = staged(prefix.join(marks, "node"), "prefix")
     # A token of many sets is dealt out: its sets are cut into blocks, and each two blocks meet by themselves.
-    across = prefix.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+    across = prefix.groupBy("token").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"),
+        F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks")
+    )
     across = staged(across.where("low < high").select("token", "blocks"), "across")
     found = prefix.join(across, "token").withColumn("own", F.pmod(F.hash("node"), "blocks"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     left = found.select("*", every.alias("other"))
-    right = found.select("*", every.alias("other")).select("token", F.col("own").alias("other"), F.col("other").alias("own"), F.col("node").alias("node2"), F.col("comp").alias("comp2"), F.col("n").alias("n2"), F.col("i").alias("i2"), *[F.col(f"m{k}").alias(f"o{k}") for k in range(MARKS)])
+    right = found.select("*", every.alias("other")).select(
+        "token", F.col("own").alias("other"), F.col("other").alias("own"), F.col("node").alias("node2"),
+        F.col("comp").alias("comp2"), F.col("n").alias("n2"), F.col("i").alias("i2"),
+        *[F.col(f"m{k}").alias(f"o{k}") for k in range(MARKS)]
+    )
     differ = " + ".join(f"bit_count(m{k} ^ o{k})" for k in range(MARKS))
-    met = left.join(right, ["token", "own", "other"]).where(f"node < node2 AND comp <> comp2 AND 4 * n >= 3 * n2 AND 4 * n2 >= 3 * n AND 7 * least(n - i, n2 - i2) >= 3 * (n + n2) AND 7 * ({differ}) <= n + n2")
+    met = left.join(
+        right, ["token", "own", "other"]
+    ).where(f"node < node2 AND comp <> comp2 AND 4 * n >= 3 * n2 AND 4 * n2 >= 3 * n AND 7 * least(n - i, n2 - i2) >= 3 * (n + n2) AND 7 * ({differ}) <= n + n2")
     return met.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
 
 def _one_text(rows: DataFrame, least: DataFrame, members: DataFrame) -> DataFrame:
     """(node, text), one row for each node: its row (rid, th) may stand in the table more than once. Only such rows
     are shuffled to drop the others; most tables have none."""
-    again = staged(members.where("node IS NOT NULL").groupBy("rid", "th").count().where("count > 1").select("rid", "th"), "again")
+    again = staged(
+        members.where("node IS NOT NULL").groupBy("rid", "th").count().where("count > 1").select("rid", "th"), "again"
+    )
     if again.isEmpty():
         return anchors.with_texts(rows, least, "inner").select("node", "text")
-    once, several = (anchors.with_texts(rows, least.join(again, ["rid", "th"], how), "inner").select("node", "text") for how in ("left_anti", "left_semi"))
+    once, several = (
+        anchors.with_texts(
+            rows, least.join(again, ["rid", "th"], how), "inner"
+        ).select("node", "text") for how in ("left_anti", "left_semi")
+    )
     return once.unionByName(several.dropDuplicates(["node"]))
 
 
@@ -409,26 +484,45 @@ def grouped(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL
         raise ValueError("the partition scheme covers similarities of 75 percent and more")
     rows = anchors.keyed(docs).withColumn("th", F.xxhash64("text"))  # 32 bits are few for the texts of all null ids
     dealt = buckets(docs)
-    members = staged(rows.transform(in_batches, lambda it: _members(it, n), "rid long, th long, n long, node long, bits binary"), "members")
-    nodes = members.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("rid", "th", "n", "bits")).alias("at")).select("node", "at.rid", "at.th", "at.n", "at.bits")
+    members = staged(
+        rows.transform(in_batches, lambda it: _members(it, n), "rid long, th long, n long, node long, bits binary"),
+        "members"
+    )
+    nodes = members.where("node IS NOT NULL").groupBy("node").agg(
+        F.min(F.struct("rid", "th", "n", "bits")).alias("at")
+    ).select("node", "at.rid", "at.th", "at.n", "at.bits")
     nodes = staged(nodes, "nodes")
-    found = rows.select("text").transform(in_batches, lambda it: _entries(it, n, dealt), "bucket int, block binary, spares binary").transform(anchors.by_bucket)
-    found = staged(found.transform(in_batches, lambda it: _candidates(it, all_pairs), "kind int, a long, b long"), "candidates")
+    found = rows.select("text").transform(
+        in_batches, lambda it: _entries(it, n, dealt), "bucket int, block binary, spares binary"
+    ).transform(anchors.by_bucket)
+    found = staged(
+        found.transform(in_batches, lambda it: _candidates(it, all_pairs), "kind int, a long, b long"), "candidates"
+    )
     pairs = staged(near(found.where(F.col("kind") == PAIR).select("a", "b").distinct(), nodes), "pairs")
     # The same text in several tasks gives the same spare entries: the least is the number.
     spare = found.where(F.col("kind") == SPARE).groupBy("a").agg(F.min("b").alias("spare"))
     lost = found.where(F.col("kind") == LOST).groupBy("a").agg(F.sum("b").alias("lost"))
-    crowd = staged(spare.join(lost, "a", "left").where(F.col("spare") < F.coalesce("lost", F.lit(0))).select(F.col("a").bitwiseAND(F.lit(-2)).alias("node")).distinct(), "crowd")
+    crowd = staged(
+        spare.join(lost, "a", "left").where(F.col("spare") < F.coalesce("lost", F.lit(0))).select(F.col("a").bitwiseAND(F.lit(-2)).alias("node")).distinct(),
+        "crowd"
+    )
     drop_stage(found)
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(crowd).distinct()
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(
+        pairs.select(F.col("b").alias("node"))
+    ).unionByName(crowd).distinct()
     least = nodes.join(wanted, "node").select("node", "rid", "th")
-    sets = staged(_one_text(rows, least, members).transform(in_batches, lambda it: _sets(it, n), "node long, tokens binary"), "sets", "none")
+    sets = staged(
+        _one_text(rows, least, members).transform(in_batches, lambda it: _sets(it, n), "node long, tokens binary"),
+        "sets", "none"
+    )
     links = staged(verify(pairs, sets, percent), "links")
     roots = staged(components(links), "roots")
     crowd = crowd.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))
     more = near(prefix_pairs(sets.join(crowd.hint("shuffle_hash"), "node")).join(pairs, ["a", "b"], "left_anti"), nodes)
     roots = staged(components(links.unionByName(verify(staged(more, "more"), sets, percent))), "roots")
-    named = staged(members.join(roots, "node", "left").select("rid", "th", "n", F.coalesce("root", "node").alias("root")), "named")
+    named = staged(
+        members.join(roots, "node", "left").select("rid", "th", "n", F.coalesce("root", "node").alias("root")), "named"
+    )
     for table in (members, nodes, pairs, sets, links, roots):
         drop_stage(table)
     return named
@@ -449,8 +543,12 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = 75) -> DataFrame:
     for each group, without an id only if the whole group has none. An empty set is a group of its own; its repeated
     rows with an id count once."""
     texts = grouped(docs, n, percent).groupBy("rid", "th").agg(F.first("root").alias("root"), F.count("*").alias("k"))
-    least = texts.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("rid", "th", "k")).alias("at")).select("at.*")
-    alone = texts.where("root IS NULL").select("rid", "th", F.when(F.col("rid") == anchors.NO_ID, F.lit(1)).otherwise(F.col("k")).alias("k"))
+    least = texts.where("root IS NOT NULL").groupBy("root").agg(
+        F.min(F.struct("rid", "th", "k")).alias("at")
+    ).select("at.*")
+    alone = texts.where("root IS NULL").select(
+        "rid", "th", F.when(F.col("rid") == anchors.NO_ID, F.lit(1)).otherwise(F.col("k")).alias("k")
+    )
     least = staged(least.unionByName(alone), "kept")
     rows, name = numbered(docs)
     rid, th = F.coalesce(F.col(name["doc_id"]).cast("long"), F.lit(anchors.NO_ID)), F.xxhash64(name["text"])

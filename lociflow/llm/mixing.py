@@ -28,7 +28,9 @@ SLICES = 4096
 WEIGHTS = (5, 2, 1)
 
 
-def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = 3, share: float = 1.0) -> DataFrame:
+def source_targets(
+    sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = 3, share: float = 1.0
+) -> DataFrame:
     """source, weight, source_size, target from rows of (source, size); ``weights`` repeat over the sources in
     code-point order, null last. Sizes and weights are integers, so the target is rounded once."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -37,19 +39,31 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epoch
     per = per.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int")).cast("long"))
     everything = Window.partitionBy(F.lit(0))
     cap = F.col("source_size") * F.lit(max_epochs)
-    per = per.withColumn("cap", cap).withColumn("budget", F.floor(F.sum("source_size").over(everything) * F.lit(share)).cast("long") if share != 1.0 else F.sum("source_size").over(everything))
+    per = per.withColumn("cap", cap).withColumn(
+        "budget",
+        F.floor(F.sum("source_size").over(everything) * F.lit(share)).cast("long") if share != 1.0 else F.sum("source_size").over(everything)
+    )
     # Sources fill up in order of cap / weight; before each, what the clamped ones hold and what weight is left.
     fill = everything.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
     before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("held", F.coalesce(F.sum("cap").over(before), F.lit(0))).withColumn("left", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
+    per = per.withColumn("held", F.coalesce(F.sum("cap").over(before), F.lit(0))).withColumn(
+        "left", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))
+    )
     fits = F.col("cap").cast("decimal(38,0)") * F.col("left") >= F.col("weight").cast("decimal(38,0)") * (F.col("budget") - F.col("held"))
     per = per.withColumn("open", F.when(fits, F.struct("held", "left")))
-    level = F.first("open", ignorenulls=True).over(fill.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    level = F.first("open", ignorenulls=True).over(
+        fill.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
     per = per.withColumn("level", level)
-    poured = (F.col("weight").cast("decimal(38,0)") * (F.col("budget") - F.col("level.held"))).cast("double") / F.col("level.left").cast("double")
+    poured = (
+        F.col("weight").cast("decimal(38,0)") * (F.col("budget") - F.col("level.held"))
+    ).cast("double") / F.col("level.left").cast("double")
     clamped = F.col("cap").cast("decimal(38,0)") * F.col("level.left") <= F.col("weight").cast("decimal(38,0)") * (F.col("budget") - F.col("level.held"))
     target = F.when(F.col("level").isNull() | clamped, F.col("cap").cast("double")).otherwise(poured)
-    return per.select("source", "weight", "source_size", F.when(F.col("source_size") > 0, target).otherwise(F.lit(0.0)).alias("target"))
+    return per.select(
+        "source", "weight", "source_size",
+        F.when(F.col("source_size") > 0, target).otherwise(F.lit(0.0)).alias("target")
+    )
 
 
 def draw(seed: int, doc_id: Column, text: Column) -> Column:
@@ -58,7 +72,10 @@ def draw(seed: int, doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
-def mix_plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = 3, seed: int = 17, size: Column | None = None, share: float = 1.0) -> DataFrame:
+def mix_plan(
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = 3, seed: int = 17, size: Column | None = None,
+    share: float = 1.0
+) -> DataFrame:
     """doc_id, source, size, source_size, target, taken, repeats (whole repetitions), extra (words of the fractional
     one), u (the document's place in its source's order).
 
@@ -67,10 +84,17 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
     """
     require(docs, "doc_id", "source", "text")
     u = draw(seed, F.col("doc_id"), F.col("text"))
-    sizes = staged(docs.select("doc_id", "source", (n_words(F.col("text")) if size is None else size).alias("size"), u.alias("u")), "mix-sizes")
+    sizes = staged(
+        docs.select("doc_id", "source", (n_words(F.col("text")) if size is None else size).alias("size"), u.alias("u")),
+        "mix-sizes"
+    )
     targets = source_targets(sizes, weights, max_epochs, share)
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    targets = targets.withColumn("repeats", whole).withColumn("part", F.round(F.col("target") - F.col("repeats") * F.col("source_size")).cast("long"))
+    whole = F.when(
+        F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
+    ).otherwise(F.lit(0)).cast("long")
+    targets = targets.withColumn("repeats", whole).withColumn(
+        "part", F.round(F.col("target") - F.col("repeats") * F.col("source_size")).cast("long")
+    )
     slot = F.shiftright("u", 60 - SLICES.bit_length() + 1).cast("int")
     sizes = sizes.withColumn("slot", slot)
     slots = sizes.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
@@ -78,15 +102,28 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
     slots = slots.withColumn("before", F.coalesce(F.sum("slot_size").over(upto), F.lit(0)))
     slots = slots.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     room = F.col("part") - F.col("before")
-    slots = slots.withColumn("room", F.when(room <= 0, F.lit(0)).when(room >= F.col("slot_size"), F.lit(-1)).otherwise(room))
-    rows = sizes.join(slots.withColumnsRenamed({"source": "s", "slot": "t"}), F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("t"))).drop("s", "t")
+    slots = slots.withColumn(
+        "room", F.when(room <= 0, F.lit(0)).when(room >= F.col("slot_size"), F.lit(-1)).otherwise(room)
+    )
+    rows = sizes.join(
+        slots.withColumnsRenamed({"source": "s", "slot": "t"}),
+        F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("t"))
+    ).drop("s", "t")
     cut = F.col("room") > 0
-    within = Window.partitionBy("source", "slot").orderBy("u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "slot").orderBy("u", "doc_id", "size").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     inside = rows.where(cut).withColumn("seen", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    inside = inside.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("room") - F.col("seen")))).drop("seen")
+    inside = inside.withColumn(
+        "extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("room") - F.col("seen")))
+    ).drop("seen")
     outside = rows.where(~cut).withColumn("extra", F.when(F.col("room") == -1, F.col("size")).otherwise(F.lit(0)))
     out = outside.unionByName(inside)
-    return out.select("doc_id", "source", "size", "source_size", "target", (F.col("repeats") * F.col("size") + F.col("extra")).alias("taken"), "repeats", F.col("extra").cast("long").alias("extra"), "u")
+    return out.select(
+        "doc_id", "source", "size", "source_size", "target",
+        (F.col("repeats") * F.col("size") + F.col("extra")).alias("taken"), "repeats",
+        F.col("extra").cast("long").alias("extra"), "u"
+    )
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = 3, seed: int = 17) -> DataFrame:
@@ -94,9 +131,13 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = 3,
     whose fractional repetition is only a part of it counts as whole if that part is at least half of it; texts
     are never cut. Rows of equal (doc_id, source, text) are taken equally often."""
     plan = mix_plan(docs, weights, max_epochs, seed)
-    times = F.col("repeats") + F.when((F.col("size") > 0) & (F.col("extra") * 2 >= F.col("size")), F.lit(1)).otherwise(F.lit(0))
+    times = F.col("repeats") + F.when(
+        (F.col("size") > 0) & (F.col("extra") * 2 >= F.col("size")), F.lit(1)
+    ).otherwise(F.lit(0))
     # Repeated rows share what was taken of them.
-    plan = plan.groupBy("doc_id", "source", "size", "u").agg(F.ceil(F.sum(times) / F.count("*")).cast("int").alias("copies")).where("copies > 0")
+    plan = plan.groupBy("doc_id", "source", "size", "u").agg(
+        F.ceil(F.sum(times) / F.count("*")).cast("int").alias("copies")
+    ).where("copies > 0")
     rows, name = numbered(docs)
     doc_id, source, text = (F.col(name[c]) for c in ("doc_id", "source", "text"))
     same = doc_id.eqNullSafe(F.col("doc_id")) & source.eqNullSafe(F.col("source")) & (n_words(text) == F.col("size")) & (draw(seed, doc_id, text) == F.col("u"))

@@ -115,7 +115,12 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 2
         if label[v] < 0 and left[p]:
             label[v] = p
             left[p] -= 1
-    edges = np.concatenate([np.stack([np.repeat(np.arange(n), graph.shape[1]), graph.ravel()], 1), np.stack([graph.ravel(), np.repeat(np.arange(n), graph.shape[1])], 1)])
+    edges = np.concatenate(
+        [
+            np.stack([np.repeat(np.arange(n), graph.shape[1]), graph.ravel()], 1),
+            np.stack([graph.ravel(), np.repeat(np.arange(n), graph.shape[1])], 1)
+        ]
+    )
     for _ in range(rounds):
         votes = np.zeros((n, parts))
         np.add.at(votes, (edges[:, 0], label[edges[:, 1]]), 1)
@@ -158,7 +163,9 @@ def train(x: np.ndarray, target: np.ndarray, seed: int, steps: int = 600, rate:
     return tuple(p)
 
 
-def fit(vectors: DataFrame, parts: int | None = None, k: int = 10, seed: int = 5, fit_rows: int = FIT_ROWS) -> Router | None:
+def fit(
+    vectors: DataFrame, parts: int | None = None, k: int = 10, seed: int = 5, fit_rows: int = FIT_ROWS
+) -> Router | None:
     """From (id, vec) of usable vectors; None if there are none. By default there is a part for every ``PART_ROWS``
     rows, and ``PARTS`` at least. Distinct vectors of the sample are used, so one that many rows repeat does not fill
     a part."""
@@ -167,14 +174,18 @@ def fit(vectors: DataFrame, parts: int | None = None, k: int = 10, seed: int = 5
         return None
     dim = int(lengths[0]["dim"])
     parts = parts or max(PARTS, int(lengths[0]["count"]) // PART_ROWS)
-    rows = vectors.where(F.size("vec") == dim).orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(fit_rows).select("vec").collect()
+    rows = vectors.where(F.size("vec") == dim).orderBy(
+        F.xxhash64(F.lit(seed), "id"), "id"
+    ).limit(fit_rows).select("vec").collect()
     x = np.unique(np.array([r[0] for r in rows], np.float64), axis=0)
     n, e = len(x), exponent(x)
     x = np.ldexp(x, -e)
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
     parts = max(1, min(parts, n // (4 * k)))
     if parts == 1:
-        return Router(mean, scale, np.zeros((dim, HIDDEN)), np.zeros(HIDDEN), np.zeros((HIDDEN, 1)), np.zeros(1), 1, dim, e)
+        return Router(
+            mean, scale, np.zeros((dim, HIDDEN)), np.zeros(HIDDEN), np.zeros((HIDDEN, 1)), np.zeros(1), 1, dim, e
+        )
     graph = exact_neighbours(x, x, min(GRAPH_NEIGHBOURS, n - 1), np.arange(n))
     label = balanced_parts(x, graph, parts)
     soft = np.zeros((n, parts))
@@ -211,7 +222,9 @@ def _route(batches: Iterator[pa.RecordBatch], router: Router) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(part)], ["id", "vec", "part"])
 
 
-def _ask(batches: Iterator[pa.RecordBatch], router: Router, depth: int, size: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+def _ask(
+    batches: Iterator[pa.RecordBatch], router: Router, depth: int, size: np.ndarray, k: int
+) -> Iterator[pa.RecordBatch]:
     """The parts that each query (id, vec, own) visits: ``depth``, and more until they hold k rows besides the query's
     own."""
     for dim, b in _by_length(batches):
@@ -222,13 +235,19 @@ def _ask(batches: Iterator[pa.RecordBatch], router: Router, depth: int, size: np
             parts = [o[:n] for o, n in zip(order.tolist(), np.maximum(enough, depth).tolist(), strict=True)]
         else:
             parts = [[-dim]] * len(b)
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(parts, pa.list_(pa.int32()))], ["id", "vec", "parts"])
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), pa.array(parts, pa.list_(pa.int32()))], ["id", "vec", "parts"]
+        )
 
 
 def _block(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
     """Ranks a block of rows for a block of queries: candidates by matrix product, then exact distances. ``ask`` tells
     the queries of one id apart."""
-    rows = [np.concatenate([c.to_numpy(zero_copy_only=False) for c in t.column("id").chunks]) if len(t) else np.zeros(0, np.int64) for t in (left, right)]
+    rows = [
+        np.concatenate(
+            [c.to_numpy(zero_copy_only=False) for c in t.column("id").chunks]
+        ) if len(t) else np.zeros(0, np.int64) for t in (left, right)
+    ]
     q_id, x_id = rows
     out: list[list] = [[], [], [], []]
     if len(q_id) and len(x_id):
@@ -255,34 +274,57 @@ def _block(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
     return pa.table([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["query_id", "ask", "vec_id", "score"])
 
 
-def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", parts: int | None = None, probes: int | None = None, seed: int = 5) -> DataFrame:
+def search(
+    rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding",
+    parts: int | None = None, probes: int | None = None, seed: int = 5
+) -> DataFrame:
     """query_id, rank, vec_id, score: of each query row its k nearest other rows that the route finds. ``probes``
     overrides how many parts a query visits; with all of them the search is exact. Where these hold fewer than k other
     rows, the query visits further ones."""
     require(rows, id_col, vec_col)
     spark = rows.sparkSession
-    clean = rows.where(usable(vec_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"), is_query.alias("asks"))
+    clean = rows.where(usable(vec_col) & F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"),
+        is_query.alias("asks")
+    )
     router = fit(clean.select("id", "vec"), parts, k, seed)
     if router is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     depth = min(probes or router.probes, router.b2.shape[0])
-    index = staged(clean.select("id", "vec").transform(in_batches, lambda it: _route(it, router), "id long, vec array<double>, part int"), "index")
+    index = staged(
+        clean.select("id", "vec").transform(
+            in_batches, lambda it: _route(it, router), "id long, vec array<double>, part int"
+        ),
+        "index"
+    )
     size = np.zeros(router.b2.shape[0], np.int64)
     for r in index.where("part >= 0").groupBy("part").count().collect():  # a row for each learned part
         size[r["part"]] = r["count"]
     repeated = index.groupBy("id").agg(F.count("*").alias("own")).where("own > 1")
-    asks = clean.where("asks").select("id", "vec").distinct().join(repeated, "id", "left").select("id", "vec", F.coalesce("own", F.lit(1)).alias("own"))
-    asked = asks.transform(in_batches, lambda it: _ask(it, router, depth, size, k), "id long, vec array<double>, parts array<int>")
+    asks = clean.where("asks").select("id", "vec").distinct().join(repeated, "id", "left").select(
+        "id", "vec", F.coalesce("own", F.lit(1)).alias("own")
+    )
+    asked = asks.transform(
+        in_batches, lambda it: _ask(it, router, depth, size, k), "id long, vec array<double>, parts array<int>"
+    )
     asked = asked.select("id", "vec", F.xxhash64("vec").alias("ask"), F.explode("parts").alias("part"))
     asked = staged(asked, "asked")
     # Blocks of each part: at most FIT_ROWS / (4 * k) learned parts, and one for each other length of vectors.
     n_rows = index.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("row_blocks"))
     n_asked = asked.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("query_blocks"))
     blocks = F.broadcast(n_rows.join(n_asked, "part").select("part", "row_blocks", "query_blocks"))
-    left = asked.join(blocks, "part").withColumn("qb", F.pmod(F.xxhash64("id", F.lit(1)), "query_blocks").cast("int")).withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)))
-    right = index.join(blocks, "part").withColumn("rb", F.pmod(F.xxhash64("id", F.lit(2)), "row_blocks").cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
+    left = asked.join(blocks, "part").withColumn(
+        "qb", F.pmod(F.xxhash64("id", F.lit(1)), "query_blocks").cast("int")
+    ).withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)))
+    right = index.join(blocks, "part").withColumn(
+        "rb", F.pmod(F.xxhash64("id", F.lit(2)), "row_blocks").cast("int")
+    ).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
     keys = ["part", "rb", "qb"]
-    found = left.select(*keys, "id", "ask", "vec").groupBy(*keys).cogroup(right.select(*keys, "id", "vec").groupBy(*keys))
+    found = left.select(
+        *keys, "id", "ask", "vec"
+    ).groupBy(*keys).cogroup(right.select(*keys, "id", "vec").groupBy(*keys))
     found = found.applyInArrow(lambda a, b: _block(a, b, k), "query_id long, ask long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id", "ask").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
+    )

@@ -119,7 +119,11 @@ def candidates(text: bytes, base: list[tuple[int, int, int]]) -> list[tuple[int,
         at = text.find(b"@", max(e, at + 1))
     out: list[tuple[int, int, int]] = []
     # Base spans as disjoint stretches in order, so one look tells whether a string touches any.
-    begin, end = (x.tolist() for x in spans_union(np.array([s for s, _, _ in base], np.int64), np.array([e for _, _, e in base], np.int64)))
+    begin, end = (
+        x.tolist() for x in spans_union(
+            np.array([s for s, _, _ in base], np.int64), np.array([e for _, _, e in base], np.int64)
+        )
+    )
     reach = 0
     for s, e in sorted(found):
         i = bisect_right(end, s)
@@ -159,7 +163,12 @@ def code_point_spans(text: bytes, spans: list[tuple[int, int, int]]) -> list[tup
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-_SEEN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.int32()), ("seed", pa.bool_()), ("value", pa.int64()), ("patterns", pa.list_(pa.int64()))])
+_SEEN = pa.struct(
+    [
+        ("start", pa.int64()), ("end", pa.int64()), ("kind", pa.int32()), ("seed", pa.bool_()), ("value", pa.int64()),
+        ("patterns", pa.list_(pa.int64()))
+    ]
+)
 _SCHEMA = "base array<struct<start:long,kind:int,end:long>>, seen array<struct<start:long,end:long,kind:int,seed:boolean,value:long,patterns:array<long>>>"
 
 
@@ -175,14 +184,30 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for i, ((s, k, e), (ps, _, pe)) in enumerate(zip(both, points, strict=True)):
                 if p := patterns(t, s, e):
-                    rows.append({"start": ps, "end": pe, "kind": k, "seed": i < len(base), "value": xxhash.xxh3_64_intdigest(t[s:e].lower()) - (1 << 63), "patterns": p})
+                    rows.append(
+                        {
+                            "start": ps, "end": pe, "kind": k, "seed": i < len(base),
+                            "value": xxhash.xxh3_64_intdigest(t[s:e].lower()) - (1 << 63), "patterns": p
+                        }
+                    )
             seen.append(rows)
-        yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("doc_id")), pa.array(bases, pa.list_(_SPAN)), pa.array(seen, pa.list_(_SEEN))], ["doc_id", "base", "seen"])
-
-
-def bootstrap(seen: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, pattern_score: float = PATTERN_SCORE, instance_score: float = INSTANCE_SCORE) -> DataFrame:
+        yield pa.RecordBatch.from_arrays(
+            [
+                part.column(part.schema.get_field_index("doc_id")), pa.array(bases, pa.list_(_SPAN)),
+                pa.array(seen, pa.list_(_SEEN))
+            ],
+            ["doc_id", "base", "seen"]
+        )
+
+
+def bootstrap(
+    seen: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, pattern_score: float = PATTERN_SCORE,
+    instance_score: float = INSTANCE_SCORE
+) -> DataFrame:
     """(kind, value) of the candidates that patterns vouch for. ``seen`` has (kind, seed, value, patterns)."""
-    edges = seen.select("kind", "value", "seed", F.explode("patterns").alias("pattern")).groupBy("kind", "value", "pattern").agg(F.max("seed").alias("seed"))
+    edges = seen.select(
+        "kind", "value", "seed", F.explode("patterns").alias("pattern")
+    ).groupBy("kind", "value", "pattern").agg(F.max("seed").alias("seed"))
     # Patterns that no seed supports often enough at first may become supported by accepted instances; those that
     # hold a single instance never can.
     wide = edges.groupBy("kind", "pattern").agg(F.count("*").alias("n")).where(F.col("n") > support)
@@ -190,11 +215,17 @@ def bootstrap(seen: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, pat
     known = edges.where("seed").select("kind", "value").distinct().withColumn("score", F.lit(1.0))
     for _ in range(rounds):
         scored = edges.join(known, ["kind", "value"], "left")
-        good = scored.groupBy("kind", "pattern").agg((F.sum(F.coalesce("score", F.lit(0.0))) / (F.count("*") + 1)).alias("p"), F.count("score").alias("hits"))
+        good = scored.groupBy("kind", "pattern").agg(
+            (F.sum(F.coalesce("score", F.lit(0.0))) / (F.count("*") + 1)).alias("p"), F.count("score").alias("hits")
+        )
         good = good.where((F.col("hits") >= support) & (F.col("p") >= pattern_score)).select("kind", "pattern", "p")
-        reached = edges.where(~F.col("seed")).join(good, ["kind", "pattern"]).groupBy("kind", "value").agg((1 - F.exp(F.sum(F.log(1 - F.col("p"))))).alias("score")).where(F.col("score") >= instance_score)
+        reached = edges.where(~F.col("seed")).join(good, ["kind", "pattern"]).groupBy("kind", "value").agg(
+            (1 - F.exp(F.sum(F.log(1 - F.col("p"))))).alias("score")
+        ).where(F.col("score") >= instance_score)
         seeds = edges.where("seed").select("kind", "value").distinct().withColumn("score", F.lit(1.0))
-        known = staged(seeds.unionByName(reached.join(seeds.select("kind", "value"), ["kind", "value"], "left_anti")), "known")
+        known = staged(
+            seeds.unionByName(reached.join(seeds.select("kind", "value"), ["kind", "value"], "left_anti")), "known"
+        )
     return known.where("score < 1").select("kind", "value")
 
 
@@ -203,12 +234,25 @@ def find(docs: DataFrame, **scoring) -> DataFrame:
     kind:start:end; identifiers that only patterns vouch for have the kind ``found``."""
     require(docs, "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = staged(docs.select("doc_id", "text").transform(in_batches, _scan, f"doc_id {kind}, {_SCHEMA}").withColumn("row", F.monotonically_increasing_id()), "pii")
+    rows = staged(
+        docs.select("doc_id", "text").transform(
+            in_batches, _scan, f"doc_id {kind}, {_SCHEMA}"
+        ).withColumn("row", F.monotonically_increasing_id()),
+        "pii"
+    )
     seen = rows.select("row", F.explode("seen").alias("s")).select("row", "s.*")
     accepted = bootstrap(seen.select("kind", "seed", "value", "patterns"), **scoring)
-    more = seen.where(~F.col("seed")).join(accepted, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("more"))
+    more = seen.where(~F.col("seed")).join(accepted, ["kind", "value"]).groupBy("row").agg(
+        F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("more")
+    )
     names = F.array(*map(F.lit, (*KINDS, FOUND)))
     text = lambda spans: F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
     none = F.expr("cast(array() as array<struct<start:bigint,kind:int,end:bigint>>)")
-    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {k})) as long)").alias(f"n_{name}") for k, name in enumerate(KINDS)]
-    return rows.join(more, "row", "left").select("doc_id", *counts, F.sha2(text(F.col("base")), 256).alias("base_sha256"), text(F.concat("base", F.coalesce("more", none))).alias("spans"))
+    counts = [
+        F.expr(f"cast(size(filter(base, s -> s.kind = {k})) as long)").alias(f"n_{name}") for k,
+        name in enumerate(KINDS)
+    ]
+    return rows.join(more, "row", "left").select(
+        "doc_id", *counts, F.sha2(text(F.col("base")), 256).alias("base_sha256"),
+        text(F.concat("base", F.coalesce("more", none))).alias("spans")
+    )

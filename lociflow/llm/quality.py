@@ -142,19 +142,30 @@ def _measure(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
         if len(full):
             longest[full] = np.maximum.reduceat(rep, ends[:-1][full])
         longest[longest < least] = 0
-        cols = [np.diff(ends), per_doc(_LETTER[raw], at), per_doc(_SYMBOL[raw], at), np.array([duplicate_lines(t) for t in texts], np.int64), covered(rep, WINDOW, ends, WINDOW), covered(rep, least, ends), longest]
+        cols = [
+            np.diff(ends), per_doc(_LETTER[raw], at), per_doc(_SYMBOL[raw], at),
+            np.array([duplicate_lines(t) for t in texts], np.int64), covered(rep, WINDOW, ends, WINDOW),
+            covered(rep, least, ends), longest
+        ]
         names = [f.split()[0] for f in SCHEMA.split(", ")]
         keep = [i for i, f in enumerate(part.schema) if f.name != "text"]
-        yield pa.RecordBatch.from_arrays([part.column(i) for i in keep] + [pa.array(c, pa.int64()) for c in cols], [part.schema.field(i).name for i in keep] + names)
+        yield pa.RecordBatch.from_arrays(
+            [part.column(i) for i in keep] + [pa.array(c, pa.int64()) for c in cols],
+            [part.schema.field(i).name for i in keep] + names
+        )
 
 
-def quality(docs: DataFrame, repeat_words: int = REPEAT_WORDS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:
+def quality(
+    docs: DataFrame, repeat_words: int = REPEAT_WORDS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST
+) -> DataFrame:
     """doc_id, the measures of SCHEMA, base_failed and kept. Pure per-document work: one scan, no shuffle."""
     require(docs, "doc_id", "text")
     if repeat_words < 1:
         raise ValueError("a repeat has a word at least")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").transform(in_batches, lambda it: _measure(it, repeat_words), f"doc_id {kind}, {SCHEMA}")
+    out = docs.select("doc_id", "text").transform(
+        in_batches, lambda it: _measure(it, repeat_words), f"doc_id {kind}, {SCHEMA}"
+    )
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     repetitive = (F.col("covered_words") > F.col("n_words") * F.lit(max_covered)) | (F.col("longest_repeat") > max_longest)
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~repetitive)
@@ -173,9 +184,15 @@ def keep_good(docs: DataFrame, **limits) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in small_batches(batches):
             for m in _measure(iter([part]), least):
-                yield pa.RecordBatch.from_arrays([*m.columns, part.column(part.schema.get_field_index("text"))], [*m.schema.names, "text"])
+                yield pa.RecordBatch.from_arrays(
+                    [*m.columns, part.column(part.schema.get_field_index("text"))], [*m.schema.names, "text"]
+                )
 
     out = safe.transform(in_batches, run, f"{schema}, {SCHEMA}, text string")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
-    repetitive = (F.col("covered_words") > F.col("n_words") * F.lit(limits.get("max_covered", MAX_COVERED))) | (F.col("longest_repeat") > limits.get("max_longest", MAX_LONGEST))
-    return out.where(~failed & ~repetitive).drop(*measured).select(*[F.col("text" if c == "text" else f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    repetitive = (
+        F.col("covered_words") > F.col("n_words") * F.lit(limits.get("max_covered", MAX_COVERED))
+    ) | (F.col("longest_repeat") > limits.get("max_longest", MAX_LONGEST))
+    return out.where(~failed & ~repetitive).drop(*measured).select(
+        *[F.col("text" if c == "text" else f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    )

@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.llm import jaccard, mixing, neighbours, pii, quality, secret_scan, shards, spm, substring_dedup, suffix_dedup
+from lociflow.llm import (
+    jaccard, mixing, neighbours, pii, quality, secret_scan, shards, spm, substring_dedup, suffix_dedup,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +26,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup(_documents(spark, sf_dir))
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256")
+    )
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,12 +49,17 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     that shard and the number of shards. Its SQL says what these are where all documents fit in a file of the target
     size, as in the tables that SQL is run on; the tests hold larger tables against the manifest."""
     out = shards.compacted(_documents(spark, sf_dir))
-    return out.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), "lang", "source", "n_chars", (F.col("level") > 0).alias("merged"), "shard_rows", "n_shards")
+    return out.select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"),
+        "lang", "source", "n_chars", (F.col("level") > 0).alias("merged"), "shard_rows", "n_shards"
+    )
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality(_documents(spark, sf_dir))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +113,12 @@ WITH s AS (
 SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(size, part - seen)))::BIGINT AS taken FROM c
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_secrets, op4_jaccard_join, op5_neighbours, op6_sharding, op7_quality, op8_sentencepiece, op9_pii, op10_substring_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (
+        op1_mixing, op2_suffix_dedup, op3_secrets, op4_jaccard_join, op5_neighbours, op6_sharding, op7_quality,
+        op8_sentencepiece, op9_pii, op10_substring_dedup
+    )
+}
 OP6_SQL = """
 SELECT doc_id, strlen(text)::BIGINT AS n_bytes, sha256(text) AS text_sha256, lang, source, n_chars, true AS merged,
        (count(*) OVER ())::BIGINT AS shard_rows, 1 AS n_shards
@@ -173,4 +188,7 @@ SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::
 FROM d LEFT JOIN o USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_jaccard_join": OP4_SQL, "op6_sharding": OP6_SQL, "op7_quality": OP7_SQL, "op10_substring_dedup": OP10_SQL}
+SQL: dict[str, str] = {
+    "op1_mixing": OP1_SQL, "op4_jaccard_join": OP4_SQL, "op6_sharding": OP6_SQL, "op7_quality": OP7_SQL,
+    "op10_substring_dedup": OP10_SQL
+}

@@ -42,7 +42,9 @@ class Rule:
 
 #: The base rules, in the order of the digest.
 BASE = (
-    Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", True, 6, 2),
+    Rule(
+        "assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", True, 6, 2
+    ),
     Rule("access", r"AKIA[A-Z0-9]+", False, 20),
     Rule("hex", r"[0-9a-f]+", False, 24),
 )
@@ -105,7 +107,9 @@ def _walk(tree, fold: bool) -> tuple[set[str] | None, Query]:
         elif op is sre.BRANCH:
             ways = [_walk(b, fold) for b in arg[1]]
             step = set().union(*(w[0] for w in ways)) if all(w[0] is not None for w in ways) else None
-            more = _both("or", [_both("and", [w[1], _need(w[0]) if w[0] is not None else True]) for w in ways]) if step is None else _both("or", [w[1] for w in ways])
+            more = _both(
+                "or", [_both("and", [w[1], _need(w[0]) if w[0] is not None else True]) for w in ways]
+            ) if step is None else _both("or", [w[1] for w in ways])
         elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
             low, high, body = arg
             inner, more = _walk(body, fold)
@@ -206,7 +210,14 @@ class Scanner:
         self.compiled = [re.compile(r.pattern.encode(), re.IGNORECASE if r.ignore_case else 0) for r in rules]
         self.quick = [self._quick(r) for r in rules]
         self.queries = [trigram_query(r.pattern, r.ignore_case) for r in rules]
-        self.index = {fold: TrigramIndex(set().union(*(trigrams(q) for q, r in zip(self.queries, rules, strict=True) if r.ignore_case == fold), set()), fold) for fold in (False, True)}
+        self.index = {
+            fold: TrigramIndex(
+                set().union(
+                    *(trigrams(q) for q, r in zip(self.queries, rules, strict=True) if r.ignore_case == fold), set()
+                ),
+                fold
+            ) for fold in (False, True)
+        }
 
     @staticmethod
     def _quick(rule: Rule) -> re.Pattern | None:
@@ -265,7 +276,13 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = MORE) -> DataFrame:
             base = [[x for x in s if x[1] < len(BASE)] for s in found]
             counts = [pa.array([sum(x[1] == k for x in s) for s in base], pa.int64()) for k in range(len(BASE))]
             digest = pa.array([hashlib.sha256(listed(s, kinds).encode()).hexdigest() for s in base], pa.string())
-            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("doc_id")), *counts, digest, pa.array([listed(s, kinds) for s in found], pa.string())], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(part.schema.get_field_index("doc_id")), *counts, digest,
+                    pa.array([listed(s, kinds) for s in found], pa.string())
+                ],
+                ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+            )
 
     return docs.select("doc_id", "text").transform(in_batches, run, f"doc_id {kind}, {SCHEMA}")
 

@@ -72,11 +72,16 @@ class ShardTable:
 
     def _list(self, folder: str) -> list[tuple[str, int]]:
         p = self._path(folder)
-        return sorted((s.getPath().toString(), s.getLen()) for s in self._fs.listStatus(p)) if self._fs.exists(p) else []
+        return sorted(
+            (s.getPath().toString(), s.getLen()) for s in self._fs.listStatus(p)
+        ) if self._fs.exists(p) else []
 
     def version(self) -> int:
         """Newest committed version; 0 for a new table."""
-        return max([int(p.rsplit("/v", 1)[1][:12]) for p, _ in self._list(f"{self.path}/manifests") if p.endswith(".json")], default=0)
+        return max(
+            [int(p.rsplit("/v", 1)[1][:12]) for p, _ in self._list(f"{self.path}/manifests") if p.endswith(".json")],
+            default=0
+        )
 
     def shards(self, version: int | None = None) -> list[Shard]:
         version = self.version() if version is None else version
@@ -94,7 +99,9 @@ class ShardTable:
         final = self._path(f"{self.path}/manifests/v{version:012d}.json")
         beside = self._path(f"{self.path}/manifests/.{uuid.uuid4().hex}")
         out = self._fs.create(beside, False)
-        out.write(bytearray(json.dumps({"version": version, "what": what, "shards": [asdict(s) for s in shards]}).encode()))
+        out.write(
+            bytearray(json.dumps({"version": version, "what": what, "shards": [asdict(s) for s in shards]}).encode())
+        )
         out.close()
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self._conf)
         none = self._jvm.org.apache.hadoop.fs.Options.Rename.NONE
@@ -152,7 +159,9 @@ class ShardTable:
         place = F.substring_index("_metadata.file_path", "/data/", -1)
         rows = self.spark.read.schema(schema).parquet(*[p for fs in files.values() for p, _ in fs])
         counts = {r["place"]: r["count"] for r in rows.groupBy(place.alias("place")).count().collect()}
-        return {d: [Shard(p, n, counts.get(p.rpartition("/data/")[2], 0), level) for p, n in fs] for d, fs in files.items()}
+        return {
+            d: [Shard(p, n, counts.get(p.rpartition("/data/")[2], 0), level) for p, n in fs] for d, fs in files.items()
+        }
 
     def _packed(self, shards: list[Shard]) -> list[list[Shard]]:
         """Runs in order of size, as many shards each as fill a file; the last may be short."""
@@ -194,7 +203,9 @@ class ShardTable:
             merged = self._written(folder, [folder], schema)[folder]
             if [m.rows for m in merged] != [sum(s.rows for s in r) for r in runs]:
                 raise RuntimeError("a merge lost rows")
-            merged = [Shard(m.path, m.size, m.rows, 1 + max(s.level for s in r)) for m, r in zip(merged, runs, strict=True)]
+            merged = [
+                Shard(m.path, m.size, m.rows, 1 + max(s.level for s in r)) for m, r in zip(merged, runs, strict=True)
+            ]
             gone = {s.path for r in runs for s in r}
 
             def edit(now: list[Shard]) -> list[Shard]:
@@ -268,16 +279,26 @@ def compacted(docs: DataFrame, arrivals: int = 8, target_bytes: int = TARGET_BYT
     def free(name: str) -> str:
         return name if name.lower() not in taken else free(f"{name}_")
 
-    arrival, place, shard, level, rows_in, n_shards = map(free, ("__arrival", "__path", "shard", "level", "shard_rows", "n_shards"))
+    arrival, place, shard, level, rows_in, n_shards = map(
+        free, ("__arrival", "__path", "shard", "level", "shard_rows", "n_shards")
+    )
     table = ShardTable(spark, new_path(spark, "shards"), target_bytes, fan_in)
     table.append(docs.withColumn(arrival, F.pmod(F.xxhash64("doc_id"), F.lit(arrivals)).cast("int")), arrival)
     table.compact(everything=True)
     table.vacuum()
     live = sorted(table.shards(), key=lambda s: s.path)
     if not live:
-        return docs.limit(0).select("*", F.lit(0).alias(shard), F.lit(0).alias(level), F.lit(0).cast("long").alias(rows_in), F.lit(0).alias(n_shards))
+        return docs.limit(0).select(
+            "*", F.lit(0).alias(shard), F.lit(0).alias(level), F.lit(0).cast("long").alias(rows_in),
+            F.lit(0).alias(n_shards)
+        )
     # One row for each shard; their number is known here, and a few thousand may go to every task.
-    names = spark.createDataFrame([(s.path.rpartition("/data/")[2], i, s.level, s.rows) for i, s in enumerate(live)], f"{place}_of string, {shard} int, {level} int, {rows_in} long")
+    names = spark.createDataFrame(
+        [(s.path.rpartition("/data/")[2], i, s.level, s.rows) for i, s in enumerate(live)],
+        f"{place}_of string, {shard} int, {level} int, {rows_in} long"
+    )
     rows = table.read(schema=docs.schema).withColumn(place, F.substring_index("_metadata.file_path", "/data/", -1))
     names = F.broadcast(names) if len(live) <= MOST_BROADCAST else names
-    return rows.join(names, F.col(place) == F.col(f"{place}_of"), "left").drop(place, f"{place}_of").withColumn(n_shards, F.lit(len(live)))
+    return rows.join(
+        names, F.col(place) == F.col(f"{place}_of"), "left"
+    ).drop(place, f"{place}_of").withColumn(n_shards, F.lit(len(live)))

@@ -238,7 +238,9 @@ class Encoder:
         longest = min(size, m.longest)
         back, found = self._forward(code, longest)
         row, start, length = _trace(back)
-        ids = self._pieces(code, row, start, length) if found is None else found[start + length - 1, longest - length, row].astype(np.int64)
+        ids = self._pieces(code, row, start, length) if found is None else found[
+            start + length - 1, longest - length, row
+        ].astype(np.int64)
         if m.fallback and (ids == m.unknown).any():
             # An unknown character gives way to the pieces of its bytes.
             raw = [[i] for i in ids.tolist()]
@@ -370,14 +372,25 @@ def encode(docs: DataFrame, path: str = MODEL, digest: bool = False, keep: Seque
             own = [part.column(part.schema.get_field_index(c)) for c in front]
             count = pa.array(np.diff(ends), pa.int64())
             if digest:
-                raw = [hashlib.sha256(ids[a:b].astype("<i4").tobytes()).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                raw = [
+                    hashlib.sha256(ids[a:b].astype("<i4").tobytes()).hexdigest() for a,
+                    b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+                ]
                 back = [hashlib.sha256(t).hexdigest() for t in decode(model, ids, ends)]
-                yield pa.RecordBatch.from_arrays([*own, count, pa.array(raw, pa.string()), pa.array(back, pa.string())], [*front, "n_pieces", "ids_sha256", "decoded_sha256"])
+                yield pa.RecordBatch.from_arrays(
+                    [*own, count, pa.array(raw, pa.string()), pa.array(back, pa.string())],
+                    [*front, "n_pieces", "ids_sha256", "decoded_sha256"]
+                )
             else:
-                yield pa.RecordBatch.from_arrays([*own, count, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))], [*front, "n_pieces", "ids"])
+                yield pa.RecordBatch.from_arrays(
+                    [*own, count, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))],
+                    [*front, "n_pieces", "ids"]
+                )
 
     extra = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>"
-    return docs.select(*[F.col(f"`{c}`") for c in front], "text").transform(in_batches, run, f"{kind}, n_pieces long, {extra}")
+    return docs.select(*[F.col(f"`{c}`") for c in front], "text").transform(
+        in_batches, run, f"{kind}, n_pieces long, {extra}"
+    )
 
 
 def decoded(encoded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -394,6 +407,8 @@ def decoded(encoded: DataFrame, path: str = MODEL) -> DataFrame:
             ends = np.zeros(len(rows) + 1, np.int64)
             np.cumsum([len(r) for r in rows], out=ends[1:])
             texts = decode(model, np.concatenate(rows) if rows else np.zeros(0, np.int64), ends)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())], ["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())], ["doc_id", "text"]
+            )
 
     return encoded.select("doc_id", "ids").transform(in_batches, run, f"doc_id {kind}, text string")

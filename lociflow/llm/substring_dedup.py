@@ -106,7 +106,10 @@ class SuffixAutomaton:
         to = np.fromiter((q for x in self.next for q in x.values()), np.int32, len(state))
         key = _step(state, token)
         o = np.argsort(key)
-        parts = (key[o], to[o], np.maximum(self.link, 0).astype(np.int32), np.array(self.length, np.int32), np.array(self.first, np.int64))
+        parts = (
+            key[o], to[o], np.maximum(self.link, 0).astype(np.int32), np.array(self.length, np.int32),
+            np.array(self.first, np.int64)
+        )
         return np.array([len(key), len(size)], np.int64).tobytes() + b"".join(x.tobytes() for x in parts)
 
 
@@ -121,7 +124,10 @@ class Frozen:
     def __init__(self, data: bytes) -> None:
         m, n = np.frombuffer(data, np.int64, 2).tolist()
         at = 16
-        for name, kind, size in (("key", np.uint64, m), ("to", np.int32, m), ("link", np.int32, n), ("length", np.int32, n), ("first", np.int64, n)):
+        for name, kind, size in (
+            ("key", np.uint64, m), ("to", np.int32, m), ("link", np.int32, n), ("length", np.int32, n),
+            ("first", np.int64, n)
+        ):
             setattr(self, name, np.frombuffer(data, kind, size, at))
             at += size * np.dtype(kind).itemsize
 
@@ -219,7 +225,16 @@ def _passages(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
                         own = int(np.bitwise_xor.reduce(body * np.arange(1, 2 * window, 2, dtype=np.uint64)))
                         rows.append((own - (1 << 64) if own >= 1 << 63 else own, rid, th, w, 1, body.tobytes()))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["gram", "rid", "th", "start", "count", "tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(c, t) for c,
+                    t in zip(
+                        zip(*rows, strict=True),
+                        (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True
+                    )
+                ],
+                ["gram", "rid", "th", "start", "count", "tokens"]
+            )
 
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +243,9 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close() -> pa.RecordBatch:
         sam.close()
-        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([sam.freeze()], pa.binary())], ["shard", "automaton"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([shard], pa.int64()), pa.array([sam.freeze()], pa.binary())], ["shard", "automaton"]
+        )
 
     for b in batches:
         for own, tokens, rid in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
@@ -262,7 +279,9 @@ def _stream(batches: Iterator[pa.RecordBatch], automata: dict[int, Frozen], wind
             count = np.diff(np.append(first, len(row)))
             src = at[row[first]]
             value = anchors.pack(start[src] + place[first], count, anchors.REMOVE)
-            yield pa.RecordBatch.from_arrays([pa.array(rid[src]), pa.array(th[src]), pa.array(value)], ["rid", "th", "value"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rid[src]), pa.array(th[src]), pa.array(value)], ["rid", "th", "value"]
+            )
 
 
 def read_against(passages: DataFrame, window: int, n_tokens: int, pass_bytes: int = PASS_BYTES) -> DataFrame:
@@ -275,7 +294,9 @@ def read_against(passages: DataFrame, window: int, n_tokens: int, pass_bytes: in
     shard = F.pmod(F.xxhash64("gram"), F.lit(shards))
     # Files of one pass stand together; rows of a pass are dealt to as many tasks as there are for each.
     tasks = max(1, shuffle_partitions(spark) // passes)
-    rows = passages.select(shard.alias("shard"), "rid", "th", "start", "tokens", F.floor(shard / of_pass).cast("int").alias("pass"))
+    rows = passages.select(
+        shard.alias("shard"), "rid", "th", "start", "tokens", F.floor(shard / of_pass).cast("int").alias("pass")
+    )
     dealt, spans = new_path(spark, "passages"), new_path(spark, "spans")
     rows.repartition("pass", F.pmod(F.xxhash64("rid", "start"), F.lit(tasks))).write.partitionBy("pass").parquet(dealt)
     spark.createDataFrame([], SPANS).write.parquet(spans)
@@ -284,7 +305,9 @@ def read_against(passages: DataFrame, window: int, n_tokens: int, pass_bytes: in
     for k in range(passes):
         own = every.where(F.col("pass") == k).select("shard", "rid", "th", "start", "tokens")
         once = own.groupBy("shard", "tokens").agg(F.min("rid").alias("rid"))
-        built = once.repartition("shard").sortWithinPartitions("shard").transform(in_batches, _build, "shard long, automaton binary")
+        built = once.repartition("shard").sortWithinPartitions("shard").transform(
+            in_batches, _build, "shard long, automaton binary"
+        )
         built = staged(built, "automata", "none")  # made side by side, then taken one by one
         part: dict[int, bytes] = {}
         for r in built.toLocalIterator():
@@ -331,10 +354,18 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
             gone.append(int((e - s).sum()))
             lists.append([{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist(), strict=True)])
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.int64()), pa.array(gone, pa.int64()), pa.array(lists, span), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "spans", "kept"])
-
-
-def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int = anchors.SPLIT, pass_bytes: int = PASS_BYTES) -> DataFrame:
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(ids, pa.int64()), pa.array(words, pa.int64()), pa.array(gone, pa.int64()),
+                pa.array(lists, span), pa.array(kept, pa.string())
+            ],
+            ["doc_id", "n_words", "n_removed", "spans", "kept"]
+        )
+
+
+def dedup(
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int = anchors.SPLIT, pass_bytes: int = PASS_BYTES
+) -> DataFrame:
     """doc_id, n_words, n_removed, spans (removed words, half-open) and kept (the remaining words, joined by one
     space). ``pass_bytes`` bounds what is broadcast at a time."""
     if not 1 <= gram <= window:
@@ -345,17 +376,31 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
         hashes = WordHashes()
         return lambda texts: hashes.flat([t.split() for t in texts])
 
-    found = staged(anchors.settle(anchors.index(rows, tokens, window, gram, _combine), lambda e: _settle(e, split)), "windows")
-    asked = found.where(anchors.kind() != anchors.REMOVE).groupBy("rid", "th").agg(F.collect_list(F.struct("value", "gram")).alias("asked"))
-    passages = anchors.with_texts(rows, asked, "inner").transform(in_batches, lambda it: _passages(it, window), "gram long, rid long, th int, start long, count int, tokens binary")
+    found = staged(
+        anchors.settle(anchors.index(rows, tokens, window, gram, _combine), lambda e: _settle(e, split)), "windows"
+    )
+    asked = found.where(anchors.kind() != anchors.REMOVE).groupBy("rid", "th").agg(
+        F.collect_list(F.struct("value", "gram")).alias("asked")
+    )
+    passages = anchors.with_texts(rows, asked, "inner").transform(
+        in_batches, lambda it: _passages(it, window),
+        "gram long, rid long, th int, start long, count int, tokens binary"
+    )
     # How many words they have: a run of n windows has window - 1 more; asked one by one, each has all its own.
     n, singly = F.shiftright("value", 4).bitwiseAND(F.lit(0xFFFFF)), anchors.kind() == anchors.SINGLY
-    words = found.where(anchors.kind() != anchors.REMOVE).agg(F.sum(F.when(singly, n * window).otherwise(n + window - 1))).first()[0] or 0
+    words = found.where(anchors.kind() != anchors.REMOVE).agg(
+        F.sum(F.when(singly, n * window).otherwise(n + window - 1))
+    ).first()[0] or 0
     free_shuffles(docs.sparkSession)
     matched = read_against(passages, window, int(words), pass_bytes)
-    gone = staged(found.where(anchors.kind() == anchors.REMOVE).select("rid", "th", "value").unionByName(matched), "gone")
+    gone = staged(
+        found.where(anchors.kind() == anchors.REMOVE).select("rid", "th", "value").unionByName(matched), "gone"
+    )
     drop_stage(found)
     free_shuffles(docs.sparkSession)
     full = anchors.with_texts(rows, anchors.per_document(gone, "gone"), "left")
     full = full.select(F.when(F.col("rid") != anchors.NO_ID, F.col("rid")).alias("doc_id"), "text", "gone")
-    return full.transform(in_batches, lambda it: _cut(it, window), "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")
+    return full.transform(
+        in_batches, lambda it: _cut(it, window),
+        "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string"
+    )

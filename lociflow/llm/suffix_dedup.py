@@ -92,7 +92,9 @@ def _settle(e: dict[str, np.ndarray], split: int = anchors.SPLIT) -> dict[str, n
 def _contexts(batches: Iterator[pa.RecordBatch], window: int, gram: int, singly: bool) -> Iterator[pa.RecordBatch]:
     """The suffixes to compare: their minimiser, what stands left of it (reversed) and right of it; with
     ``singly`` each window of the runs by itself, as the suffix that begins with it."""
-    types = (pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+    types = (
+        pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()
+    )
     split = byte_tokens()
     for part, texts in small_batches(batches):
         cols = [part.column(part.schema.get_field_index(c)).to_pylist() for c in ("rid", "th", "asked")]
@@ -105,11 +107,23 @@ def _contexts(batches: Iterator[pa.RecordBatch], window: int, gram: int, singly:
                 if not singly:
                     # The minimiser lies in the first and in the last window of the run: the leftmost least gram.
                     a = s + c - 1 + int(np.argmin(grams[s + c - 1 : s + window - gram + 1]))
-                    rows.append((text[a : a + gram], text[s:a][::-1], text[a + gram : s + c - 1 + window], rid, th, s, c, a - s, k < 4))
+                    rows.append(
+                        (
+                            text[a : a + gram], text[s:a][::-1], text[a + gram : s + c - 1 + window], rid, th, s, c,
+                            a - s, k < 4
+                        )
+                    )
                 else:
-                    rows += [(text[w : w + gram], b"", text[w + gram : w + window], rid, th, w, 1, 0, k < 4) for w in range(s, s + c)]
+                    rows += [
+                        (
+                            text[w : w + gram], b"", text[w + gram : w + window], rid, th, w, 1, 0, k < 4
+                        ) for w in range(s, s + c)
+                    ]
         for i in range(0, len(rows), 20_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 20_000], strict=True), types, strict=True)], ["head", "left", "right", "rid", "th", "start", "count", "at", "test"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows[i : i + 20_000], strict=True), types, strict=True)],
+                ["head", "left", "right", "rid", "th", "start", "count", "at", "test"]
+            )
 
 
 def multikey_order(rows: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -146,10 +160,14 @@ def neighbour_lcp(rows: np.ndarray, length: np.ndarray, order: np.ndarray) -> np
 
 
 def _matrix(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(b"".join(t.ljust(width, b"\0") for t in texts), np.uint8).reshape(len(texts), width), np.array([len(t) for t in texts], np.int64)
+    return np.frombuffer(
+        b"".join(t.ljust(width, b"\0") for t in texts), np.uint8
+    ).reshape(len(texts), width), np.array([len(t) for t in texts], np.int64)
 
 
-def repeated_windows(right: list[bytes], left: list[bytes], count: np.ndarray, at: np.ndarray, weight: np.ndarray, window: int) -> list[tuple[int, int, int]]:
+def repeated_windows(
+    right: list[bytes], left: list[bytes], count: np.ndarray, at: np.ndarray, weight: np.ndarray, window: int
+) -> list[tuple[int, int, int]]:
     """(row, first window, number of windows) of the windows that another row has too. Row i has count[i]
     windows; window j of it reaches at[i] - j bytes to the left of its minimiser. A row of weight 2 stands for
     several."""
@@ -190,9 +208,17 @@ def _bucket(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
     held: list[tuple] = []
 
     def finish(rows: list[tuple]) -> pa.RecordBatch:
-        got = repeated_windows([r[0] + r[2] for r in rows], [r[1] for r in rows], np.array([r[6] for r in rows]), np.array([r[7] for r in rows]), np.array([1 if r[8] else 2 for r in rows]), window)
-        out = [(rows[i][3], rows[i][4], (rows[i][5] + w) << 24 | c << 4 | anchors.REMOVE) for i, w, c in got if rows[i][8]]
-        return pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], t) for j, t in enumerate((pa.int64(), pa.int32(), pa.int64()))], ["rid", "th", "value"])
+        got = repeated_windows(
+            [r[0] + r[2] for r in rows], [r[1] for r in rows], np.array([r[6] for r in rows]),
+            np.array([r[7] for r in rows]), np.array([1 if r[8] else 2 for r in rows]), window
+        )
+        out = [
+            (rows[i][3], rows[i][4], (rows[i][5] + w) << 24 | c << 4 | anchors.REMOVE) for i, w, c in got if rows[i][8]
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[j] for x in out], t) for j, t in enumerate((pa.int64(), pa.int32(), pa.int64()))],
+            ["rid", "th", "value"]
+        )
 
     for b in batches:
         for row in zip(*(b.column(i).to_pylist() for i in range(9)), strict=True):
@@ -220,7 +246,13 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
             kept.append(b"".join([*keep, text[at:]]))
             gone.append(int((e - s).sum()))
             lists.append([{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist(), strict=True)])
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(gone, pa.int64()), pa.array(lists, span), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(gone, pa.int64()),
+                pa.array(lists, span), pa.array(kept, pa.binary())
+            ],
+            ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
+        )
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int = anchors.SPLIT) -> DataFrame:
@@ -229,13 +261,17 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
     if not 8 <= gram <= window:
         raise ValueError("gram must lie between 8 and window")
     rows = anchors.keyed(docs)
-    found = staged(anchors.settle(anchors.index(rows, byte_tokens, window, gram, _combine), lambda e: _settle(e, split)), "strings")
+    found = staged(
+        anchors.settle(anchors.index(rows, byte_tokens, window, gram, _combine), lambda e: _settle(e, split)), "strings"
+    )
     free_shuffles(docs.sparkSession)
     schema = "head binary, left binary, right binary, rid long, th int, start long, count int, at int, test boolean"
 
     def contexts(kind: int) -> DataFrame:
         asked = anchors.per_document(found.where(anchors.kind().bitwiseAND(F.lit(3)) == kind), "asked")
-        return anchors.with_texts(rows, asked, "inner").transform(in_batches, lambda it: _contexts(it, window, gram, kind == anchors.SINGLY), schema)
+        return anchors.with_texts(rows, asked, "inner").transform(
+            in_batches, lambda it: _contexts(it, window, gram, kind == anchors.SINGLY), schema
+        )
 
     suffixes = staged(contexts(anchors.COMPARE), "suffixes", "zstd")
     free_shuffles(docs.sparkSession)
@@ -244,10 +280,17 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
     gone = found.where(anchors.kind() == anchors.REMOVE).select("rid", "th", "value").unionByName(repeated)
     if not found.where(anchors.kind().bitwiseAND(F.lit(3)) == anchors.SINGLY).isEmpty():
         # Windows around a minimiser with too many texts for one bucket: an aggregation, combined before its shuffle.
-        single = staged(contexts(anchors.SINGLY).select(F.concat("head", "right").alias("bytes"), "rid", "th", "start", "test"), "single-windows", "zstd")
-        twice = single.groupBy("bytes").agg(F.sum(F.when(F.col("test"), 1).otherwise(2)).alias("n")).where("n > 1").select("bytes")
+        single = staged(
+            contexts(anchors.SINGLY).select(F.concat("head", "right").alias("bytes"), "rid", "th", "start", "test"),
+            "single-windows", "zstd"
+        )
+        twice = single.groupBy("bytes").agg(
+            F.sum(F.when(F.col("test"), 1).otherwise(2)).alias("n")
+        ).where("n > 1").select("bytes")
         more = single.where("test").join(twice, "bytes", "left_semi")
-        gone = gone.unionByName(more.select("rid", "th", (F.shiftleft(F.col("start"), 24) + (1 << 4) + anchors.REMOVE).alias("value")))
+        gone = gone.unionByName(
+            more.select("rid", "th", (F.shiftleft(F.col("start"), 24) + (1 << 4) + anchors.REMOVE).alias("value"))
+        )
     # Written, so that the texts are dealt out once what the comparison took of the disk has gone.
     gone = staged(gone, "repeated")
     drop_stage(found)
@@ -255,4 +298,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
     free_shuffles(docs.sparkSession)
     full = anchors.with_texts(rows, anchors.per_document(gone, "gone"), "left")
     full = full.select(F.when(F.col("rid") != anchors.NO_ID, F.col("rid")).alias("doc_id"), "text", "gone")
-    return full.transform(in_batches, lambda it: _cut(it, window), "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
+    return full.transform(
+        in_batches, lambda it: _cut(it, window),
+        "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
+    )

@@ -7,10 +7,16 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, `n
 
 def documents(seed=1, size=60):
     rng = random.Random(seed)
-    vocab = ["the", "of", "and", "é", "日本", "Zz9", "x", *("".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(150))]
+    vocab = [
+        "the", "of", "and", "é", "日本", "Zz9", "x",
+        *("".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(150))
+    ]
     say = lambda n: " ".join(rng.choices(vocab, k=n))
     passage = say(60)
-    texts = [None, "", "   \n\t ", "one", "two words", "Four words right here", "five words are in here", say(5000), "a" * 30000, passage, "word " * 400]
+    texts = [
+        None, "", "   \n\t ", "one", "two words", "Four words right here", "five words are in here", say(5000),
+        "a" * 30000, passage, "word " * 400
+    ]
     for i in range(size):
         if i % 4 == 0:
             texts.append(say(rng.randint(5, 250)))
@@ -24,7 +30,10 @@ def documents(seed=1, size=60):
         else:
             texts.append(rng.choice(texts))
     rng.shuffle(texts)
-    rows = [(i * 3 - 7, t, "en", rng.choice(["src0", "src0", "src0", "s1", "é", "", None]), None, 1, "r", None) for i, t in enumerate(texts)]
+    rows = [
+        (i * 3 - 7, t, "en", rng.choice(["src0", "src0", "src0", "s1", "é", "", None]), None, 1, "r", None) for i,
+        t in enumerate(texts)
+    ]
     return [*rows, rows[20], rows[21], (None, texts[12], None, None, None, None, None, None)]
 
 

@@ -27,14 +27,21 @@ def removed_words(rows, window):
         for p in range(len(w) - window + 1):
             if first[tuple(w[p : p + window])] < (BIG if i is None else i):
                 gone[p : p + window] = [True] * window
-        out.append((i, len(w), sum(gone), hashlib.sha256(b" ".join(x for x, g in zip(w, gone, strict=True) if not g)).hexdigest()))
+        out.append(
+            (
+                i, len(w), sum(gone),
+                hashlib.sha256(b" ".join(x for x, g in zip(w, gone, strict=True) if not g)).hexdigest()
+            )
+        )
     return multiset(out)
 
 
 @pytest.mark.parametrize(("window", "gram", "split"), [(13, 5, 5000), (13, 5, 0), (4, 2, 2), (3, 3, 5000)])
 def test_substring_dedup(spark, window, gram, split):
     rows = documents()
-    got = substring_dedup.dedup(frame(spark, rows), window, gram, split).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()
+    got = substring_dedup.dedup(frame(spark, rows), window, gram, split).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256)
+    ).collect()
     assert multiset(got) == removed_words(rows, window)
 
 
@@ -48,14 +55,18 @@ def removed_bytes(rows, window):
             if count[t[p : p + window]] > 1:
                 gone[p : p + window] = True
         runs = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
-        out.append((r[0], len(t), int(gone.sum()), runs, hashlib.sha256(bytes(np.frombuffer(t, np.uint8)[~gone])).hexdigest()))
+        out.append(
+            (r[0], len(t), int(gone.sum()), runs, hashlib.sha256(bytes(np.frombuffer(t, np.uint8)[~gone])).hexdigest())
+        )
     return multiset(out)
 
 
 @pytest.mark.parametrize(("window", "gram", "split"), [(200, 64, 5000), (200, 64, 0), (20, 8, 3)])
 def test_suffix_dedup(spark, window, gram, split):
     rows = [*documents(), (900, "ab\0\0\0" * 30 + "x" * 300, *[None] * 6), (901, "ab\0\0\0" * 12 + "y", *[None] * 6)]
-    got = suffix_dedup.dedup(frame(spark, rows), window, gram, split).select("doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
+    got = suffix_dedup.dedup(frame(spark, rows), window, gram, split).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)
+    ).collect()
     assert multiset(got) == removed_bytes(rows, window)
 
 
@@ -63,7 +74,9 @@ def linked(rows, n=5):
     sets = []
     for r in rows:
         w = [x.lower() for x in words(r[1])]
-        sets.append(frozenset(tuple(w[p : p + n]) for p in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else []))
+        sets.append(
+            frozenset(tuple(w[p : p + n]) for p in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+        )
     group = list(range(len(rows)))
 
     def find(x):
@@ -122,7 +135,10 @@ def test_repeated_rows_give_one_set(spark, monkeypatch):
         rows += [(k if k % 3 else None, " ".join(w), *[None] * 6)] * (1 + k % 4)
     seen = []
     real = jaccard.prefix_pairs
-    monkeypatch.setattr(jaccard, "prefix_pairs", lambda sets: (seen.extend(r.node for r in sets.select("node").collect()), real(sets))[1])
+    monkeypatch.setattr(
+        jaccard, "prefix_pairs",
+        lambda sets: (seen.extend(r.node for r in sets.select("node").collect()), real(sets))[1]
+    )
     assert multiset(jaccard.join(frame(spark, rows), all_pairs=4).collect()) == linked(rows)
     assert seen and len(seen) == len(set(seen))
 
@@ -138,9 +154,14 @@ def test_keep_one(spark):
 def test_keep_one_of_each_group(spark):
     """Texts of one id in several groups, a near copy under the same id, groups without any id."""
     say = lambda k, end="": " ".join(f"g{k}w{i}" for i in range(60)) + end
-    rows = [(1, say(0)), (1, say(1)), (1, say(1, " x")), (2, say(1, " y")), (3, say(2)), (3, say(2)), (None, say(2)), (None, say(3)), (None, say(3)), (None, say(3, " z")), (None, say(4)), (4, ""), (4, ""), (None, ""), (None, "")]
+    rows = [
+        (1, say(0)), (1, say(1)), (1, say(1, " x")), (2, say(1, " y")), (3, say(2)), (3, say(2)), (None, say(2)),
+        (None, say(3)), (None, say(3)), (None, say(3, " z")), (None, say(4)), (4, ""), (4, ""), (None, ""), (None, "")
+    ]
     kept = jaccard.keep_one(frame(spark, [(*r, *[None] * 6) for r in rows])).collect()
-    assert sorted((r.text.split()[0][:2], r.doc_id or 0) for r in kept if r.text) == [("g0", 1), ("g1", 1), ("g2", 3), ("g3", 0), ("g4", 0)]
+    assert sorted(
+        (r.text.split()[0][:2], r.doc_id or 0) for r in kept if r.text
+    ) == [("g0", 1), ("g1", 1), ("g2", 3), ("g3", 0), ("g4", 0)]
     assert sorted(r.doc_id or 0 for r in kept if not r.text) == [0, 0, 4]
 
 
@@ -166,7 +187,9 @@ def test_suffix_automaton():
     sam.add([1, 2, 3, 1, 2], 7)
     sam.add([2, 3, 1, 1], 3)
     sam.close()
-    row, place, owner = substring_dedup.Frozen(sam.freeze()).owners(np.array([1, 2, 3, 1, 1, 2, 9, 1, 2], np.uint64), np.array([0, 9]), 2)
+    row, place, owner = substring_dedup.Frozen(sam.freeze()).owners(
+        np.array([1, 2, 3, 1, 1, 2, 9, 1, 2], np.uint64), np.array([0, 9]), 2
+    )
     assert not row.any() and place.tolist() == list(range(8))
     assert owner.tolist() == [7, 3, 3, 3, 7, BIG * 2 - 1, BIG * 2 - 1, 7]
 
@@ -184,7 +207,10 @@ def test_matching_statistics_against_all_substrings(window):
     sam.close()
     ends = np.cumsum([0, *map(len, read)])
     got = substring_dedup.Frozen(sam.freeze()).owners(np.array([t for x in read for t in x], np.uint64), ends, window)
-    want = {(r, i): first.get(tuple(x[i : i + window]), BIG * 2 - 1) for r, x in enumerate(read) for i in range(len(x) - window + 1)}
+    want = {
+        (r, i): first.get(tuple(x[i : i + window]), BIG * 2 - 1) for r,
+        x in enumerate(read) for i in range(len(x) - window + 1)
+    }
     assert {(r, i): o for r, i, o in zip(*(a.tolist() for a in got), strict=True)} == want
 
 
@@ -194,7 +220,9 @@ def test_passes_of_any_size(spark, monkeypatch, shard_tokens, pass_bytes):
     monkeypatch.setattr(substring_dedup, "SHARD_TOKENS", shard_tokens)
     monkeypatch.setattr(substring_dedup, "TOKEN_BYTES", 40)
     rows = documents(5, 30)
-    got = substring_dedup.dedup(frame(spark, rows), 6, 3, pass_bytes=pass_bytes).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()
+    got = substring_dedup.dedup(frame(spark, rows), 6, 3, pass_bytes=pass_bytes).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256)
+    ).collect()
     assert multiset(got) == removed_words(rows, 6)
 
 

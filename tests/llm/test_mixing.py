@@ -39,7 +39,10 @@ def test_targets_and_taken(spark):
 
 
 def test_small_sources_are_clamped(spark):
-    rows = [(i, "w " * n, None, s, None, None, None, None) for i, (n, s) in enumerate([(10, "a"), (500, "b"), (300, "c"), (0, "d")])]
+    rows = [
+        (i, "w " * n, None, s, None, None, None, None) for i,
+        (n, s) in enumerate([(10, "a"), (500, "b"), (300, "c"), (0, "d")])
+    ]
     got = {r.source: r for r in mixing.mix_plan(frame(spark, rows)).collect()}
     assert got["a"].target == 30.0 and got["a"].taken == 30 and got["d"].taken == 0
     assert got["b"].target == pytest.approx(780 * 2 / 3) and got["c"].target == pytest.approx(260)

@@ -11,7 +11,10 @@ def vectors(n=1500, dim=16, seed=2):
     return [(i, [float(v) for v in r]) for i, r in enumerate(x.astype(np.float32))]
 
 
-BAD = [(1500, None), (1600, [0.0] * 16), (1700, [float("nan")] * 16), (1800, [float("inf")] + [1.0] * 15), (1900, [None] + [1.0] * 15), (2000, [1.0] * 3), (2100, [])]
+BAD = [
+    (1500, None), (1600, [0.0] * 16), (1700, [float("nan")] * 16), (1800, [float("inf")] + [1.0] * 15),
+    (1900, [None] + [1.0] * 15), (2000, [1.0] * 3), (2100, [])
+]
 SCHEMA = "vec_id long, embedding array<float>"
 
 
@@ -57,7 +60,9 @@ def test_routes_go_on_where_parts_are_small(spark, monkeypatch):
     """The first part of two holds fewer than k other rows than the query's."""
     w1, w2 = np.zeros((2, 1)), np.array([[5.0, -5.0]])
     w1[0, 0] = 1.0
-    monkeypatch.setattr(neighbours, "fit", lambda *a: neighbours.Router(np.zeros(2), np.ones(2), w1, np.zeros(1), w2, np.zeros(2), 1, 2))
+    monkeypatch.setattr(
+        neighbours, "fit", lambda *a: neighbours.Router(np.zeros(2), np.ones(2), w1, np.zeros(1), w2, np.zeros(2), 1, 2)
+    )
     for small in (4, 10):
         rows = [(i, [1.0 if i < small else -1.0, float(i)]) for i in range(40)]
         got = neighbours.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0).orderBy("rank").collect()
@@ -65,7 +70,10 @@ def test_routes_go_on_where_parts_are_small(spark, monkeypatch):
         assert [(r["rank"], r.vec_id, r.score) for r in got] == [(i + 1, *f) for i, f in enumerate(want)]
     # Rows of the query's own id are no candidates: 11 rows of the part leave 8.
     rows += [(0, [1.0, 0.5])] * 2
-    got = neighbours.search(spark.createDataFrame([(i, [1.0 if i < 9 else -1.0, v[1]]) for i, v in rows], SCHEMA), (F.col("vec_id") == 0) & (F.col("embedding")[1] == 0)).collect()
+    got = neighbours.search(
+        spark.createDataFrame([(i, [1.0 if i < 9 else -1.0, v[1]]) for i, v in rows], SCHEMA),
+        (F.col("vec_id") == 0) & (F.col("embedding")[1] == 0)
+    ).collect()
     assert len(got) == 10 and {r.vec_id for r in got} > set(range(1, 9))
 
 
@@ -101,7 +109,9 @@ def test_components_of_any_size(spark):
 def test_other_lengths_are_searched_among_their_own(spark):
     rows = [(i, [float(i), 1.0, 2.0]) for i in range(50)] + [(100 + i, [float(i), 1.0]) for i in range(5)]
     got = found(spark, rows, F.col("vec_id").isin(0, 100))
-    assert [v for q, _, v, _ in got if q == 0] == list(range(1, 11)) and [v for q, _, v, _ in got if q == 100] == [101, 102, 103, 104]
+    assert [v for q, _, v, _ in got if q == 0] == list(range(1, 11)) and [
+        v for q, _, v, _ in got if q == 100
+    ] == [101, 102, 103, 104]
 
 
 def test_clustered_vectors_prune(spark, monkeypatch):

@@ -14,7 +14,10 @@ pytestmark = pytest.mark.skipif(not Path(spm.MODEL).exists(), reason="no model f
 
 def test_run(spark, tmp_path):
     rows = [r for r in documents(9, 80) if r[0] is not None]
-    rows += [(2000 + i, f"{' '.join(f'u{i}x{j}' for j in range(40))} token = \"{'ab12' * 8}\"", *r[2:]) for i, r in enumerate(rows[:6])]
+    rows += [
+        (2000 + i, f"{' '.join(f'u{i}x{j}' for j in range(40))} token = \"{'ab12' * 8}\"", *r[2:]) for i,
+        r in enumerate(rows[:6])
+    ]
     frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     good = [r for r in rows if len(words(r[1])) >= 20 and 100 * repeats(words(r[1])) <= 30 * len(words(r[1]))]
@@ -23,7 +26,9 @@ def test_run(spark, tmp_path):
     assert {r.doc_id for r in got} <= set(kept)
     # What the mix leaves out is left out by its plan alone.
     docs = frame(spark, list(kept.values()))
-    plan = {r.doc_id: r.repeats + (r.extra * 2 >= r["size"]) for r in mixing.mix_plan(corpus_pipeline.without_secrets(spark, docs, "")).collect()}
+    plan = {
+        r.doc_id: r.repeats + (r.extra * 2 >= r["size"]) for r in mixing.mix_plan(corpus_pipeline.without_secrets(spark, docs, "")).collect()
+    }
     assert sorted(r.doc_id for r in got) == sorted(i for i, n in plan.items() for _ in range(n))
     model = spm.load()
     for r in got:
@@ -40,7 +45,9 @@ def test_run_with_null_ids_and_on_no_rows(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:2]:
         docs = stage(spark, docs, "")
-    assert sorted((r.doc_id or 0, r.text[:2]) for r in docs.collect()) == [(0, f"{i}w") for i in range(1, 5)] + [(7, "0w")]
+    assert sorted(
+        (r.doc_id or 0, r.text[:2]) for r in docs.collect()
+    ) == [(0, f"{i}w") for i in range(1, 5)] + [(7, "0w")]
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert got and all(r.n_pieces == len(r.ids) > 0 for r in got)
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")

@@ -21,7 +21,10 @@ def rows_of(texts):
 def base_secrets(t):
     t = t or ""
     out = []
-    for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t.replace("ſ", "\x01").replace("K", "\x01")):
+    for m in re.finditer(
+        r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        t.replace("ſ", "\x01").replace("K", "\x01")
+    ):
         if len(m[2]) >= 6:
             out.append((m.start(), 0, m.end()))
     out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
@@ -45,14 +48,24 @@ def test_secrets(spark):
     assert spans[5] == "pem:0:31" and spans[6] == "github:0:44,hex:4:44" and "url:7:" in spans[9] and "google:" in spans[9]
 
 
-@pytest.mark.parametrize(("pattern", "want"), [("abc|bcd", ("or", (("tri", "abc"), ("tri", "bcd")))), ("[0-9]+", True), ("ab", True), ("abcd", ("and", (("tri", "abc"), ("tri", "bcd")))), ("(abc)?d", True), ("x(abc)+y", ("and",)), ("a[bc]d", ("or", (("tri", "abd"), ("tri", "acd"))))])
+@pytest.mark.parametrize(
+    ("pattern", "want"),
+    [
+        ("abc|bcd", ("or", (("tri", "abc"), ("tri", "bcd")))), ("[0-9]+", True), ("ab", True),
+        ("abcd", ("and", (("tri", "abc"), ("tri", "bcd")))), ("(abc)?d", True), ("x(abc)+y", ("and",)),
+        ("a[bc]d", ("or", (("tri", "abd"), ("tri", "acd"))))
+    ]
+)
 def test_trigram_queries(pattern, want):
     got = secret_scan.trigram_query(pattern)
     assert got == want or (isinstance(want, tuple) and len(want) == 1 and got != True)  # noqa: E712
 
 
 def test_flags_inside_an_expression():
-    rules = (secret_scan.Rule("a", "(?i:bearer) x{3}"), secret_scan.Rule("b", "(?i)basic x{3}"), secret_scan.Rule("c", "(?-i:Key) x{3}", True))
+    rules = (
+        secret_scan.Rule("a", "(?i:bearer) x{3}"), secret_scan.Rule("b", "(?i)basic x{3}"),
+        secret_scan.Rule("c", "(?-i:Key) x{3}", True)
+    )
     found = secret_scan.Scanner(rules).block([b"BEARER xxx", b"Basic XXX", b"Key XXX", b"key xxx"])
     assert found == [[(0, 0, 10)], [(0, 1, 9)], [(0, 2, 7)], []]
 
@@ -87,13 +100,23 @@ PERSONAL = [
 
 def base_pii(t):
     t = t or ""
-    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)] if "@" in t else []
-    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
+    out = [
+        (m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)
+    ] if "@" in t else []
+    out += [
+        (m.start(), 1, m.end()) for m in re.finditer(
+            r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t
+        ) if all(int(x) <= 255 for x in m[0].split("."))
+    ]
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
         d = re.sub("[^0-9]", "", m[0])
         if 12 <= len(d) <= 19 and luhn_text(d[:-1]) == d:
             out.append((m.start(), 2, m.end()))
-    out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    out += [
+        (m.start(), 3, m.end()) for m in re.finditer(
+            r"\+[0-9][\x20().0-9-]+[0-9]", t
+        ) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15
+    ]
     return sorted(out)
 
 
@@ -130,7 +153,9 @@ def test_candidates_touch_no_base_span():
 
 def test_pii_learns_contexts(spark):
     """Numbers without the fixed form are found where most of what stands there is known."""
-    texts = [f"please phone me +1 212 555-{1000 + i} thanks" for i in range(30)] + ["please phone me 0212 555 9999 thanks", "the total was 0212 555 8888 yen"]
+    texts = [f"please phone me +1 212 555-{1000 + i} thanks" for i in range(30)] + [
+        "please phone me 0212 555 9999 thanks", "the total was 0212 555 8888 yen"
+    ]
     got = {r.doc_id: r.spans for r in pii.find(frame(spark, rows_of(texts))).collect()}
     assert got[30] == "found:16:29" and got[31] == ""
     assert pii.find(frame(spark, [])).count() == 0
@@ -170,7 +195,9 @@ def plain_bootstrap(texts):
         for (k, v, p), s in edges.items():
             if not s and (k, p) in good:
                 miss[k, v] *= 1 - good[k, p]
-        known = {x: 1 - m for x, m in miss.items() if 1 - m >= pii.INSTANCE_SCORE and x not in seeds} | dict.fromkeys(seeds, 1.0)
+        known = {
+            x: 1 - m for x, m in miss.items() if 1 - m >= pii.INSTANCE_SCORE and x not in seeds
+        } | dict.fromkeys(seeds, 1.0)
     new = {x for x, y in known.items() if y < 1}
     return sorted((i, s, e) for i, s, e, k, seed, value, _ in seen if not seed and (k, value) in new)
 
@@ -180,11 +207,27 @@ def test_found_spans_against_plain_loops(spark):
     import random
 
     rng = random.Random(8)
-    ways = ["please phone me {} thanks", "é reach us at {} or write", "the sum was {} yen", "card no {} expires", "host at {} is up", "mail to {} now"]
-    kinds = [lambda: f"+1 212 555 {rng.randint(1000, 9999)}", lambda: f"0{rng.randint(200, 999)} 555 {rng.randint(1000, 9999)}", lambda: f"{rng.randint(1, 255)}.{rng.randint(1, 255)}.1.7", lambda: f"{rng.randint(300, 999)}.1.1.{rng.randint(1, 9)}", lambda: f"a{rng.randint(1, 40)}@x.org", lambda: f"b{rng.randint(1, 9)}@host", lambda: luhn_text("4242424242424" + str(rng.randint(10, 99))), lambda: "4242 4242 4242 42" + str(rng.randint(10, 99))]
+    ways = [
+        "please phone me {} thanks", "é reach us at {} or write", "the sum was {} yen", "card no {} expires",
+        "host at {} is up", "mail to {} now"
+    ]
+    kinds = [
+        lambda: f"+1 212 555 {rng.randint(1000, 9999)}",
+        lambda: f"0{rng.randint(200, 999)} 555 {rng.randint(1000, 9999)}",
+        lambda: f"{rng.randint(1, 255)}.{rng.randint(1, 255)}.1.7",
+        lambda: f"{rng.randint(300, 999)}.1.1.{rng.randint(1, 9)}", lambda: f"a{rng.randint(1, 40)}@x.org",
+        lambda: f"b{rng.randint(1, 9)}@host", lambda: luhn_text("4242424242424" + str(rng.randint(10, 99))),
+        lambda: "4242 4242 4242 42" + str(rng.randint(10, 99))
+    ]
     texts = [rng.choice(ways).format(rng.choices(kinds, [9, 1, 3, 1, 3, 1, 3, 1])[0]()) for _ in range(500)]
-    texts += [f"please phone me {kinds[0]()} thanks" for _ in range(60)] + ["please phone me 0212 555 9999 thanks", "only here 0212 555 9999 too"] + [None, ""]
-    got = sorted((r.doc_id, *map(int, x.split(":")[1:])) for r in pii.find(frame(spark, rows_of(texts))).collect() for x in r.spans.split(",") if x.startswith("found"))
+    texts += [f"please phone me {kinds[0]()} thanks" for _ in range(60)] + [
+        "please phone me 0212 555 9999 thanks", "only here 0212 555 9999 too"
+    ] + [None, ""]
+    got = sorted(
+        (
+            r.doc_id, *map(int, x.split(":")[1:])
+        ) for r in pii.find(frame(spark, rows_of(texts))).collect() for x in r.spans.split(",") if x.startswith("found")
+    )
     assert got == plain_bootstrap(texts) and any(texts[i].startswith("only here") for i, *_ in got)
 
 
@@ -201,7 +244,12 @@ def repeats(w, window=8):
 
 def test_quality(spark):
     line = "a b c d e f g h i j\n"
-    rows = documents() + rows_of([line * 8, "x" * 5 + " # * $ < >" * 9, f"é 日本\n\n \né 日本\n{line}{line}", " ".join(f"w{i}" for i in range(60)) + " " + " ".join(f"w{i}" for i in range(60))])
+    rows = documents() + rows_of(
+        [
+            line * 8, "x" * 5 + " # * $ < >" * 9, f"é 日本\n\n \né 日本\n{line}{line}",
+            " ".join(f"w{i}" for i in range(60)) + " " + " ".join(f"w{i}" for i in range(60))
+        ]
+    )
     got = quality.quality(frame(spark, rows)).collect()
     want = []
     for r in rows:
@@ -209,8 +257,15 @@ def test_quality(spark):
         lines = [x for x in t.split("\n") if x.encode().split()]
         n_repeat = repeats(w)
         failed = len(w) < 20 or 100 * n_repeat > 30 * len(w)
-        want.append((r[0], len(w), sum(len(x.decode()) for x in w), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), n_repeat, failed))
-    assert multiset((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got) == multiset(want)
+        want.append(
+            (
+                r[0], len(w), sum(len(x.decode()) for x in w), sum(t.count(c) for c in "#*$%&|<>"),
+                len(lines) - len(set(lines)), n_repeat, failed
+            )
+        )
+    assert multiset(
+        (r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got
+    ) == multiset(want)
     assert all(not (r.kept and r.base_failed) for r in got)
     kept = quality.keep_good(frame(spark, rows))
     assert kept.columns == frame(spark, rows).columns

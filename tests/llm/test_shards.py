@@ -54,7 +54,9 @@ def test_compacted_keeps_every_row(spark):
 def test_clashing_names(spark):
     docs = frame(spark, documents(3)).withColumnRenamed("n_words", "shard").withColumnRenamed("rid", "level_")
     out = shards.compacted(docs, arrivals=2)
-    assert out.columns == [*docs.columns, "shard_", "level", "shard_rows", "n_shards"] and out.where("shard_ IS NULL").count() == 0
+    assert out.columns == [
+        *docs.columns, "shard_", "level", "shard_rows", "n_shards"
+    ] and out.where("shard_ IS NULL").count() == 0
 
 
 def test_rows_name_the_shards_of_the_manifest(spark, tmp_path, monkeypatch):
@@ -63,7 +65,10 @@ def test_rows_name_the_shards_of_the_manifest(spark, tmp_path, monkeypatch):
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     made, real = [], shards.compacted
     monkeypatch.setattr(shards, "new_path", lambda spark, name: f"file://{tmp_path}/t")
-    monkeypatch.setattr(shards, "compacted", lambda *a, **k: made.append((k.get("target_bytes", shards.TARGET_BYTES), real(*a, **k))) or made[-1][1])
+    monkeypatch.setattr(
+        shards, "compacted", lambda *a,
+        **k: made.append((k.get("target_bytes", shards.TARGET_BYTES), real(*a, **k))) or made[-1][1]
+    )
     assert queries.op6_sharding(spark, str(tmp_path)).count() == docs.count()
     (target, out), live = made[0], sorted(table(spark, tmp_path).shards(), key=lambda x: x.path)
     assert target == 128 << 20
@@ -77,7 +82,9 @@ def test_each_arrival_is_a_version(spark, tmp_path):
     rows = documents(4)
     docs = frame(spark, rows).coalesce(1).withColumn("day", F.pmod(F.hash("doc_id"), F.lit(3)))
     assert t.append(docs, "day") == 3 and t.version() == 3
-    assert [t.read(v).count() for v in (1, 2, 3)] == list(accumulate(n for _, n in sorted(docs.groupBy("day").count().collect())))
+    assert [t.read(v).count() for v in (1, 2, 3)] == list(
+        accumulate(n for _, n in sorted(docs.groupBy("day").count().collect()))
+    )
     assert multiset(t.read().collect()) == multiset(rows)
 
 

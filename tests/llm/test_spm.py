@@ -34,13 +34,25 @@ def varint(v):
 def small_model(fallback=True):
     pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3)]
     pieces += [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] * fallback
-    pieces += [(p, s, 1) for p, s in (("▁", -3.0), ("a", -3.5), ("b", -3.0), ("ab", -4.0), ("▁a", -3.2), ("ba", -4.0), ("bab", -6.0), ("▁▁", -1.0), ("é", -2.0))]
-    return message(*[(1, message((1, p.encode()), (2, s), (3, k))) for p, s, k in pieces], (3, message((1, b"identity"), (3, 1), (4, 0))))
+    pieces += [
+        (p, s, 1) for p,
+        s in (
+            ("▁", -3.0), ("a", -3.5), ("b", -3.0), ("ab", -4.0), ("▁a", -3.2), ("ba", -4.0), ("bab", -6.0),
+            ("▁▁", -1.0), ("é", -2.0)
+        )
+    ]
+    return message(
+        *[(1, message((1, p.encode()), (2, s), (3, k))) for p, s, k in pieces],
+        (3, message((1, b"identity"), (3, 1), (4, 0)))
+    )
 
 
 def best(model, word):
     """Viterbi by plain loops: the greatest score, of equals the longest last piece."""
-    table = {p: (i, float(s)) for i, (p, s, k) in enumerate(zip(model.pieces, model.score, model.kind, strict=True)) if k == 1}
+    table = {
+        p: (i, float(s)) for i,
+        (p, s, k) in enumerate(zip(model.pieces, model.score, model.kind, strict=True)) if k == 1
+    }
     score, back = [0.0] + [-np.inf] * len(word), [None] * (len(word) + 1)
     for j in range(1, len(word) + 1):
         for i in range(j):
@@ -50,7 +62,9 @@ def best(model, word):
     out, j = [], len(word)
     while j:
         i, p = back[j]
-        out = ([int(model.bytes_[b]) for b in word[i:j].encode()] if p == model.unknown and model.fallback else [p]) + out
+        out = (
+            [int(model.bytes_[b]) for b in word[i:j].encode()] if p == model.unknown and model.fallback else [p]
+        ) + out
         j = i
     return out
 
@@ -106,7 +120,9 @@ def test_stretches_of_any_length(monkeypatch, cells):
     model = spm.Model(small_model())
     texts = ["ab" * 30 + "baé日", "b" * 77, *("".join(w) for w in product("abé", repeat=4))]
     ids, ends = spm.Encoder(model).encode([t.encode() for t in texts])
-    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [best(model, "▁" + t) for t in texts]
+    assert [
+        ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)
+    ] == [best(model, "▁" + t) for t in texts]
 
 
 @needs_model
