@@ -40,7 +40,9 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Every document, its secrets replaced by [kind]; of overlapping ones the first names the place. Null texts stay
     null; n_chars is counted again."""
     out = secret_scan.redact(docs)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    return out.withColumn(
+        "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)
+    ) if "n_chars" in docs.columns else out
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

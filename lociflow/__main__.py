@@ -28,7 +28,9 @@ OWN = ("command", "config", "log_file")
 
 
 def parser() -> argparse.ArgumentParser:
-    top = argparse.ArgumentParser(prog="lociflow", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    top = argparse.ArgumentParser(
+        prog="lociflow", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter
+    )
     commands = top.add_subparsers(dest="command", required=True)
     for name, cls in SETTINGS.items():
         p = commands.add_parser(name)
@@ -44,7 +46,10 @@ def parser() -> argparse.ArgumentParser:
             elif f.name in config.MAPPINGS:
                 p.add_argument(flag, nargs="+", default=default, metavar="KEY=VALUE", type=_pair)
             else:
-                p.add_argument(flag, default=default, type=type(default) if isinstance(default, (int, float)) else str if default or f.default is MISSING else config.scalar)
+                p.add_argument(
+                    flag, default=default,
+                    type=type(default) if isinstance(default, (int, float)) else str if default or f.default is MISSING else config.scalar
+                )
         if not any(f.name == "log_level" for f in fields(cls)):
             p.add_argument("--log-level", default="INFO")
     return top
@@ -63,7 +68,9 @@ def settings(argv: Sequence[str] | None = None) -> tuple[argparse.Namespace, obj
     own = next(a for a in top._actions if isinstance(a, argparse._SubParsersAction)).choices[args.command]
     merged = config.merge(config.load_yaml(args.config) if args.config else {}, args, own)
     names = {f.name for f in fields(cls)}
-    values = {k: dict(v) if k in config.MAPPINGS and isinstance(v, list) else v for k, v in vars(merged).items() if k in names}
+    values = {
+        k: dict(v) if k in config.MAPPINGS and isinstance(v, list) else v for k, v in vars(merged).items() if k in names
+    }
     for f in fields(cls):
         if f.default is MISSING:
             config.require(values, f.name)
@@ -83,7 +90,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.command == "classify":
         print(classifier.run(spark, c)["metrics"])
     else:
-        print(phenotypes.run(tables.sheet(spark, c.sheet_file, c.sheet), c.outdir, c.traits or phenotypes.TRAITS, c.stamp))
+        print(
+            phenotypes.run(tables.sheet(spark, c.sheet_file, c.sheet), c.outdir, c.traits or phenotypes.TRAITS, c.stamp)
+        )
 
 
 if __name__ == "__main__":

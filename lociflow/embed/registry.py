@@ -82,12 +82,18 @@ def _pool(hidden, mask, pooling: str):
 
 def max_tokens(tokenizer, model) -> int | None:
     """What a model takes at most, of what its tokenizer and its configuration tell; None if neither does."""
-    told = [getattr(tokenizer, "model_max_length", None), getattr(getattr(model, "config", None), "max_position_embeddings", None)]
+    told = [
+        getattr(tokenizer, "model_max_length", None),
+        getattr(getattr(model, "config", None), "max_position_embeddings", None)
+    ]
     known = [int(x) for x in told if x and x < 1 << 30]
     return min(known) if known else None
 
 
-def _transformer(auto: str, model_name_or_path: str, device: str, pooling: str, local_files_only: bool, trust_remote_code: bool, half: bool = False, trim: int = 1, start_token: bool = False, attention: str | None = None) -> Encode:
+def _transformer(
+    auto: str, model_name_or_path: str, device: str, pooling: str, local_files_only: bool, trust_remote_code: bool,
+    half: bool = False, trim: int = 1, start_token: bool = False, attention: str | None = None
+) -> Encode:
     if pooling not in ("mean", "last"):
         raise ValueError(f"unknown pooling: {pooling}")
     try:
@@ -117,32 +123,57 @@ def _transformer(auto: str, model_name_or_path: str, device: str, pooling: str,
 
 
 @register("generator")
-def generator(model_name_or_path: str, device: str = "cpu", pooling: str = "mean", local_files_only: bool = True, trust_remote_code: bool = False) -> Encode:
+def generator(
+    model_name_or_path: str, device: str = "cpu", pooling: str = "mean", local_files_only: bool = True,
+    trust_remote_code: bool = False
+) -> Encode:
     """Causal model over six-letter words: sequences are cut to whole words after a start token."""
-    return _transformer("AutoModelForCausalLM", model_name_or_path, device, pooling, local_files_only, trust_remote_code, trim=6, start_token=True)
+    return _transformer(
+        "AutoModelForCausalLM", model_name_or_path, device, pooling, local_files_only, trust_remote_code, trim=6,
+        start_token=True
+    )
 
 
 @register("nt")
-def nt(model_name_or_path: str, device: str = "cpu", pooling: str = "mean", local_files_only: bool = True, trust_remote_code: bool = False) -> Encode:
+def nt(
+    model_name_or_path: str, device: str = "cpu", pooling: str = "mean", local_files_only: bool = True,
+    trust_remote_code: bool = False
+) -> Encode:
     """Masked model of nucleotides."""
-    return _transformer("AutoModelForMaskedLM", model_name_or_path, device, pooling, local_files_only, trust_remote_code)
+    return _transformer(
+        "AutoModelForMaskedLM", model_name_or_path, device, pooling, local_files_only, trust_remote_code
+    )
 
 
 @register("agront")
-def agront(model_name_or_path: str, device: str = "cpu", pooling: str = "mean", local_files_only: bool = True, trust_remote_code: bool = False) -> Encode:
+def agront(
+    model_name_or_path: str, device: str = "cpu", pooling: str = "mean", local_files_only: bool = True,
+    trust_remote_code: bool = False
+) -> Encode:
     """Masked model of plant nucleotides."""
-    return _transformer("AutoModelForMaskedLM", model_name_or_path, device, pooling, local_files_only, trust_remote_code)
+    return _transformer(
+        "AutoModelForMaskedLM", model_name_or_path, device, pooling, local_files_only, trust_remote_code
+    )
 
 
 @register("rice8k")
-def rice8k(model_name_or_path: str, device: str = "cpu", pooling: str = "mean", local_files_only: bool = True, trust_remote_code: bool = False, attention: str | None = None) -> Encode:
+def rice8k(
+    model_name_or_path: str, device: str = "cpu", pooling: str = "mean", local_files_only: bool = True,
+    trust_remote_code: bool = False, attention: str | None = None
+) -> Encode:
     """Half-precision model without a head; on a graphics card it uses the fast attention kernels unless told others."""
     fast = device != "cpu"
-    return _transformer("AutoModel", model_name_or_path, device, pooling, local_files_only, trust_remote_code, half=fast, attention=attention or ("flash_attention_2" if fast else None))
+    return _transformer(
+        "AutoModel", model_name_or_path, device, pooling, local_files_only, trust_remote_code, half=fast,
+        attention=attention or ("flash_attention_2" if fast else None)
+    )
 
 
 @register("evo2")
-def evo2(model_name_or_path: str, device: str = "cuda:0", pooling: str = "mean", layer: str = "blocks.28.mlp.l3", local_files_only: bool = True) -> Encode:
+def evo2(
+    model_name_or_path: str, device: str = "cuda:0", pooling: str = "mean", layer: str = "blocks.28.mlp.l3",
+    local_files_only: bool = True
+) -> Encode:
     """A named layer of a model loaded from a local weights file."""
     path = Path(model_name_or_path).expanduser()
     if path.suffix != ".pt" or not path.exists():

@@ -18,14 +18,24 @@ def attributes(c: Column) -> Column:
     set of all its comma-separated values."""
     items = F.filter(F.transform(F.split(strip(c), ";"), strip), lambda x: x.contains("=") | x.contains(" "))
     cut = lambda x: F.when(x.contains("="), F.instr(x, "=")).otherwise(F.instr(x, " "))
-    pairs = F.transform(items, lambda x: F.struct(strip(F.substring(x, F.lit(1), cut(x) - 1)).alias("k"), percent_decode(F.regexp_replace(strip(F.substring(x, cut(x) + 1, F.length(x))), r'^"+|"+$', "")).alias("v")))
+    pairs = F.transform(
+        items,
+        lambda x: F.struct(
+            strip(F.substring(x, F.lit(1), cut(x) - 1)).alias("k"),
+            percent_decode(F.regexp_replace(strip(F.substring(x, cut(x) + 1, F.length(x))), r'^"+|"+$', "")).alias("v")
+        )
+    )
     pairs = F.filter(pairs, lambda p: p["k"] != "")
 
     def merged(k: Column) -> Column:
         values = F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"])
         filled = F.filter(values, lambda v: v != "")
-        parts = F.array_sort(F.array_distinct(F.filter(F.flatten(F.transform(filled, lambda v: F.split(v, ","))), lambda v: v != "")))
-        return F.when(F.size(filled) == 0, "").when(F.size(filled) == 1, F.get(filled, F.lit(0))).otherwise(F.array_join(parts, ","))
+        parts = F.array_sort(
+            F.array_distinct(F.filter(F.flatten(F.transform(filled, lambda v: F.split(v, ","))), lambda v: v != ""))
+        )
+        return F.when(F.size(filled) == 0, "").when(
+            F.size(filled) == 1, F.get(filled, F.lit(0))
+        ).otherwise(F.array_join(parts, ","))
 
     keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
     made = F.map_from_arrays(keys, F.transform(keys, merged))

@@ -19,7 +19,9 @@ def class_counts(rows: DataFrame, label: str) -> DataFrame:
     return rows.groupBy(label).agg(F.count("*").alias("count"))
 
 
-def prepare_labels(rows: DataFrame, label: str, task: str = "auto", positive: str | None = None) -> tuple[DataFrame, str, list[str]]:
+def prepare_labels(
+    rows: DataFrame, label: str, task: str = "auto", positive: str | None = None
+) -> tuple[DataFrame, str, list[str]]:
     """rows with ``y``, the task, and the class names in order of y.
 
     auto is binary for two classes, else multiclass. Binary: y = 1 for the positive class, by default the second

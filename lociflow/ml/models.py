@@ -38,9 +38,15 @@ def build_model(kind: str, rows: int, seed: int = 42, standardize: bool = True)
         if standardize:
             stages.append(StandardScaler(inputCol="x", outputCol="x_scaled", withMean=True, withStd=True))
             column = "x_scaled"
-        model = LogisticRegression(featuresCol=column, labelCol="y", weightCol="weight", maxIter=ITERATIONS, regParam=1.0 / max(1, rows), elasticNetParam=0.0, standardization=False)
+        model = LogisticRegression(
+            featuresCol=column, labelCol="y", weightCol="weight", maxIter=ITERATIONS, regParam=1.0 / max(1, rows),
+            elasticNetParam=0.0, standardization=False
+        )
     elif kind == "random_forest":
-        model = RandomForestClassifier(featuresCol=column, labelCol="y", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, featureSubsetStrategy="sqrt", seed=seed)
+        model = RandomForestClassifier(
+            featuresCol=column, labelCol="y", weightCol="weight", numTrees=TREES, maxDepth=DEPTH,
+            featureSubsetStrategy="sqrt", seed=seed
+        )
     else:
         raise ValueError(f"unknown model: {kind}")
     return Pipeline(stages=[*stages, model])
@@ -53,19 +59,29 @@ def with_vector(rows: DataFrame, features: str = "features") -> DataFrame:
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """rows with pred, proba (array) and score, the probability of class 1."""
     out = model.transform(with_vector(rows)).withColumn("proba", vector_to_array("probability"))
-    return out.withColumn("pred", F.col("prediction").cast("int")).withColumn("score", F.try_element_at("proba", F.lit(2))).drop("x", "x_scaled", "rawPrediction", "probability", "prediction")
+    return out.withColumn("pred", F.col("prediction").cast("int")).withColumn(
+        "score", F.try_element_at("proba", F.lit(2))
+    ).drop(
+        "x", "x_scaled", "rawPrediction", "probability", "prediction"
+    )
 
 
-def fit(rows: DataFrame, kind: str, class_weight: str | None = "balanced", seed: int = 42, standardize: bool = True) -> PipelineModel:
+def fit(
+    rows: DataFrame, kind: str, class_weight: str | None = "balanced", seed: int = 42, standardize: bool = True
+) -> PipelineModel:
     train = with_vector(weigh(rows, class_weight)).withColumn("y", F.col("y").cast("double"))
     return build_model(kind, train.count(), seed, standardize).fit(train)
 
 
 def evaluate(predicted: DataFrame, task: str, classes: int) -> DataFrame:
-    return metrics.binary_metrics(predicted) if task == "binary" else metrics.multiclass_metrics(predicted, proba="proba", classes=classes)
+    return metrics.binary_metrics(predicted) if task == "binary" else metrics.multiclass_metrics(
+        predicted, proba="proba", classes=classes
+    )
 
 
-def holdout(rows: DataFrame, key: str, kind: str, task: str, classes: int, test_ratio: float = 0.2, seed: int = 42, **options) -> tuple[PipelineModel, DataFrame, DataFrame]:
+def holdout(
+    rows: DataFrame, key: str, kind: str, task: str, classes: int, test_ratio: float = 0.2, seed: int = 42, **options
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Model, predictions of the test rows, and their metrics."""
     parts = stratified_holdout(rows, "y", key, test_ratio, seed)
     model = fit(parts.where("split = 'train'"), kind, seed=seed, **options)
@@ -73,7 +89,9 @@ def holdout(rows: DataFrame, key: str, kind: str, task: str, classes: int, test_
     return model, predicted, evaluate(predicted, task, classes)
 
 
-def cross_validate(rows: DataFrame, key: str, kind: str, task: str, classes: int, folds: int = 5, seed: int = 42, **options) -> tuple[DataFrame, DataFrame]:
+def cross_validate(
+    rows: DataFrame, key: str, kind: str, task: str, classes: int, folds: int = 5, seed: int = 42, **options
+) -> tuple[DataFrame, DataFrame]:
     """Predictions of all rows, each by the model that did not see it, with ``fold``; and metrics of each fold."""
     parts = stratified_folds(rows, "y", key, folds, seed)
     predictions, scores = [], []
@@ -89,7 +107,11 @@ def cross_validate(rows: DataFrame, key: str, kind: str, task: str, classes: int
 def prediction_table(predicted: DataFrame, names: Sequence[str], split: str) -> DataFrame:
     """site_id, split, true and predicted class, and a probability for each class."""
     name = F.array(*map(F.lit, names))
-    return predicted.select("site_id", F.lit(split).alias("split"), F.element_at(name, F.col("y").cast("int") + 1).alias("true_label"), F.element_at(name, F.col("pred") + 1).alias("pred_label"), *[F.element_at("proba", i + 1).alias(f"prob_{n}") for i, n in enumerate(names)])
+    return predicted.select(
+        "site_id", F.lit(split).alias("split"), F.element_at(name, F.col("y").cast("int") + 1).alias("true_label"),
+        F.element_at(name, F.col("pred") + 1).alias("pred_label"),
+        *[F.element_at("proba", i + 1).alias(f"prob_{n}") for i, n in enumerate(names)]
+    )
 
 
 def load_model(path: str) -> PipelineModel:
@@ -137,4 +159,6 @@ def predict_frame(model, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
         for b in batches:
             yield b[names].assign(predicted_phenotype=[float(x) for x in shared.value.predict(b[order])])
 
-    return rows.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", predicted_phenotype double")
+    return rows.mapInPandas(
+        run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", predicted_phenotype double"
+    )

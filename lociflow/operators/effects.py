@@ -38,7 +38,9 @@ def allele_windows(variants: DataFrame, genome: DataFrame, k: int) -> DataFrame:
         out = out.withColumn("upstream_seq", up).drop("seq", "piece", "seq_start")
         out = out.withColumn("piece", held(F.col("pos") + F.length("ref"))).join(parts, ["chrom", "piece"])
         out = out.withColumn("downstream_seq", down).drop("seq", "piece", "seq_start", "seq_len")
-    return out.withColumn("ref_seq", F.concat("upstream_seq", "ref", "downstream_seq")).withColumn("alt_seq", F.concat("upstream_seq", "alt", "downstream_seq"))
+    return out.withColumn(
+        "ref_seq", F.concat("upstream_seq", "ref", "downstream_seq")
+    ).withColumn("alt_seq", F.concat("upstream_seq", "alt", "downstream_seq"))
 
 
 def variant_effects(variants: DataFrame, genome: DataFrame, k: int, embed: Embed) -> DataFrame:
@@ -46,19 +48,30 @@ def variant_effects(variants: DataFrame, genome: DataFrame, k: int, embed: Embed
     is embedded once."""
     windows = allele_windows(variants, genome, k)
     vectors = embed(windows.select(F.explode(F.array("ref_seq", "alt_seq")).alias("seq")).distinct())
-    out = windows.join(vectors.select(F.col("seq").alias("ref_seq"), F.col("embedding").alias("__r")), "ref_seq").join(vectors.select(F.col("seq").alias("alt_seq"), F.col("embedding").alias("__a")), "alt_seq")
-    return out.select("chrom", "pos", "ref", "alt", site_id(F.col("chrom"), F.col("pos")).alias("site_id"), l2(F.col("__r"), F.col("__a")).alias("var_effect"))
+    out = windows.join(
+        vectors.select(F.col("seq").alias("ref_seq"), F.col("embedding").alias("__r")), "ref_seq"
+    ).join(vectors.select(F.col("seq").alias("alt_seq"), F.col("embedding").alias("__a")), "alt_seq")
+    return out.select(
+        "chrom", "pos", "ref", "alt", site_id(F.col("chrom"), F.col("pos")).alias("site_id"),
+        l2(F.col("__r"), F.col("__a")).alias("var_effect")
+    )
 
 
 def gene_sequences(gene_sites: DataFrame, genotypes: DataFrame, genome: DataFrame) -> DataFrame:
     """gene_id, sample, ref_seq, seq: of every gene the sequence of each sample that carries a variant in it, with the
     sample's variants put in. The others have the reference's; no row is made for them."""
-    genes = first_by(gene_sites.select("gene_id", "chrom", "gene_start", "gene_end"), ["gene_id"], "chrom", "gene_start", "gene_end").join(genome, "chrom")
+    genes = first_by(
+        gene_sites.select("gene_id", "chrom", "gene_start", "gene_end"), ["gene_id"], "chrom", "gene_start", "gene_end"
+    ).join(genome, "chrom")
     cut = F.substring("seq", F.col("gene_start").cast("int"), (F.col("gene_end") - F.col("gene_start") + 1).cast("int"))
     genes = genes.select("gene_id", "gene_start", cut.alias("ref_seq"))
-    own = first_by(gene_sites, ["gene_id", "pos"], "ref", "alt").select("gene_id", "pos", "ref", "alt", site_id(F.col("chrom"), F.col("pos")).alias("site_id"))
+    own = first_by(gene_sites, ["gene_id", "pos"], "ref", "alt").select(
+        "gene_id", "pos", "ref", "alt", site_id(F.col("chrom"), F.col("pos")).alias("site_id")
+    )
     carried = own.join(genotypes.where("dosage > 0").select("site_id", "sample", "dosage"), "site_id")
-    carried = carried.groupBy("gene_id", "sample").agg(F.collect_list(F.struct("pos", "ref", "alt", "dosage")).alias("variants"))
+    carried = carried.groupBy("gene_id", "sample").agg(
+        F.collect_list(F.struct("pos", "ref", "alt", "dosage")).alias("variants")
+    )
     made = apply_variants(F.col("ref_seq"), F.col("gene_start"), F.col("variants"))
     return carried.join(genes, "gene_id").select("gene_id", "sample", "ref_seq", made.alias("seq"))
 
@@ -68,7 +81,11 @@ def gene_features(sequences: DataFrame, genes: DataFrame, samples: DataFrame, em
     are equal or the sample has none in ``sequences``."""
     changed = sequences.where(F.col("seq") != F.col("ref_seq"))
     vectors = embed(changed.select(F.explode(F.array("ref_seq", "seq")).alias("seq")).distinct())
-    moved = changed.join(vectors.select("seq", F.col("embedding").alias("__s")), "seq").join(vectors.select(F.col("seq").alias("ref_seq"), F.col("embedding").alias("__r")), "ref_seq")
+    moved = changed.join(vectors.select("seq", F.col("embedding").alias("__s")), "seq").join(
+        vectors.select(F.col("seq").alias("ref_seq"), F.col("embedding").alias("__r")), "ref_seq"
+    )
     moved = moved.select("gene_id", "sample", l2(F.col("__r"), F.col("__s")).alias("__d"))
     every = genes.select("gene_id").distinct().crossJoin(samples.select("sample").distinct())
-    return every.join(moved, ["gene_id", "sample"], "left").select("gene_id", "sample", F.coalesce("__d", F.lit(0.0)).alias("value"))
+    return every.join(moved, ["gene_id", "sample"], "left").select(
+        "gene_id", "sample", F.coalesce("__d", F.lit(0.0)).alias("value")
+    )

@@ -26,9 +26,16 @@ def last_values(rows: DataFrame, keys: Sequence[str], order: str, *values: str)
 def standard_samples(samples: DataFrame) -> DataFrame:
     """raw_sample, sample from (idx, raw_sample), idx counting from 0: names without a number are numbered by
     their place, and a name that came before gets its place appended."""
-    named = samples.withColumn("__base", F.coalesce(standard_sample(F.col("raw_sample")), F.format_string("sample_%d", F.col("idx") + 1)))
+    named = samples.withColumn(
+        "__base", F.coalesce(standard_sample(F.col("raw_sample")), F.format_string("sample_%d", F.col("idx") + 1))
+    )
     again = F.row_number().over(Window.partitionBy("__base").orderBy("idx")) > 1
-    return named.select("idx", "raw_sample", F.when(again, F.concat("__base", F.lit("_"), (F.col("idx") + 1).cast("string"))).otherwise(F.col("__base")).alias("sample"))
+    return named.select(
+        "idx", "raw_sample",
+        F.when(
+            again, F.concat("__base", F.lit("_"), (F.col("idx") + 1).cast("string"))
+        ).otherwise(F.col("__base")).alias("sample")
+    )
 
 
 def long_genotypes(calls: DataFrame, sites: DataFrame) -> DataFrame:
@@ -36,7 +43,10 @@ def long_genotypes(calls: DataFrame, sites: DataFrame) -> DataFrame:
     records at one position the last counts."""
     wanted = calls.join(sites.select("chrom", "pos").distinct(), ["chrom", "pos"], "left_semi")
     last = last_values(wanted, ["chrom", "pos", "sample"], "ord", "gt")
-    return last.select(site_id(F.col("chrom"), F.col("pos")).alias("site_id"), "chrom", "pos", "sample", encode_gt(F.col("gt")).alias("dosage"))
+    return last.select(
+        site_id(F.col("chrom"), F.col("pos")).alias("site_id"), "chrom", "pos", "sample",
+        encode_gt(F.col("gt")).alias("dosage")
+    )
 
 
 def wide(rows: DataFrame, keys: Sequence[str], name: str, value: str, names: Sequence[str], fill=None) -> DataFrame:
@@ -47,4 +57,6 @@ def wide(rows: DataFrame, keys: Sequence[str], name: str, value: str, names: Seq
 
 def effect_matrix(genotypes: DataFrame, effects: DataFrame) -> DataFrame:
     """site_id, sample, value: dosage times the site's effect, 0 where there is none."""
-    return genotypes.join(effects.select("site_id", "var_effect"), "site_id", "left").select("site_id", "sample", weighted(F.col("dosage"), F.col("var_effect")).alias("value"))
+    return genotypes.join(effects.select("site_id", "var_effect"), "site_id", "left").select(
+        "site_id", "sample", weighted(F.col("dosage"), F.col("var_effect")).alias("value")
+    )

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 WIDTH, COARSER, LEVELS = 256, 64, 5
 
 
-def stab(points: DataFrame, intervals: DataFrame, chrom: str = "chrom", pos: str = "pos", start: str = "start", end: str = "end", width: int = WIDTH, how: str = "inner") -> DataFrame:
+def stab(
+    points: DataFrame, intervals: DataFrame, chrom: str = "chrom", pos: str = "pos", start: str = "start",
+    end: str = "end", width: int = WIDTH, how: str = "inner"
+) -> DataFrame:
     """points joined to intervals with ``start <= pos <= end`` on the same chromosome.
 
     Columns of both sides must differ but for ``chrom``. ``how`` is inner, left or left_semi.
@@ -27,12 +30,18 @@ def stab(points: DataFrame, intervals: DataFrame, chrom: str = "chrom", pos: str
     listed = intervals.where(F.col(start) <= F.col(end)).withColumn("__level", level)
     bin_width = F.lit(width) * F.pow(F.lit(COARSER), F.col("__level")).cast("long")
     bin_of = lambda c: F.floor(c / bin_width)
-    listed = listed.withColumn("__bin", F.explode(F.sequence(bin_of(F.col(start)), bin_of(F.col(end))))).withColumnRenamed(chrom, "__chrom")
+    listed = listed.withColumn(
+        "__bin", F.explode(F.sequence(bin_of(F.col(start)), bin_of(F.col(end))))
+    ).withColumnRenamed(chrom, "__chrom")
     # Points are listed only for the levels that some interval has, one as a rule: one row with LEVELS values at most.
     used = intervals.where(F.col(start) <= F.col(end)).agg(F.collect_set(level).alias("__used"))
     place = lambda k: F.struct(k.alias("level"), F.floor(F.col(pos) / (F.lit(width) * F.pow(F.lit(COARSER), k).cast("long"))).alias("bin"))
-    placed = points.crossJoin(F.broadcast(used)).withColumn("__levels", F.explode(F.transform("__used", place))).drop("__used")
-    hit = (F.col(chrom) == F.col("__chrom")) & (F.col("__levels.level") == F.col("__level")) & (F.col("__levels.bin") == F.col("__bin")) & F.col(pos).between(F.col(start), F.col(end))
+    placed = points.crossJoin(F.broadcast(used)).withColumn(
+        "__levels", F.explode(F.transform("__used", place))
+    ).drop("__used")
+    hit = (F.col(chrom) == F.col("__chrom")) & (F.col("__levels.level") == F.col("__level")) & (F.col("__levels.bin") == F.col("__bin")) & F.col(pos).between(
+        F.col(start), F.col(end)
+    )
     if how == "inner":
         return placed.join(listed, hit).drop("__levels", "__level", "__bin", "__chrom")
     if how not in ("left", "left_semi"):
@@ -46,4 +55,6 @@ def stab(points: DataFrame, intervals: DataFrame, chrom: str = "chrom", pos: str
 
 def stab_values(points: DataFrame, intervals: DataFrame, value: str, out: str, keys: list[str], **columns) -> DataFrame:
     """keys and the sorted set of ``value`` over the intervals that hold each point, for points that any holds."""
-    return stab(points.select(*keys).distinct(), intervals, **columns).groupBy(*keys).agg(F.array_sort(F.collect_set(value)).alias(out))
+    return stab(
+        points.select(*keys).distinct(), intervals, **columns
+    ).groupBy(*keys).agg(F.array_sort(F.collect_set(value)).alias(out))

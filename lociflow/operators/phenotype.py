@@ -21,9 +21,14 @@ def melt(sheet: DataFrame, trait: str, sample: str = "sample") -> DataFrame:
         raise ValueError(f"columns are not TRAIT_year_location: {bad[:20]}")
     if not columns:
         raise ValueError(f"no column of trait {trait}")
-    long = sheet.select(sample, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).unpivot(sample, [F.col(f"`{c}`") for c in columns], "__name", "value")
+    long = sheet.select(
+        sample, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]
+    ).unpivot(sample, [F.col(f"`{c}`") for c in columns], "__name", "value")
     part = F.split("__name", "_")
-    return long.where(F.col("value").isNotNull() & ~F.isnan("value")).select(F.col(sample).alias("sample"), F.get(part, F.lit(0)).alias("trait"), F.get(part, F.lit(1)).alias("year"), F.get(part, F.lit(2)).alias("location"), "value")
+    return long.where(F.col("value").isNotNull() & ~F.isnan("value")).select(
+        F.col(sample).alias("sample"), F.get(part, F.lit(0)).alias("trait"), F.get(part, F.lit(1)).alias("year"),
+        F.get(part, F.lit(2)).alias("location"), "value"
+    )
 
 
 def location_means(rows: DataFrame) -> DataFrame:
@@ -35,7 +40,9 @@ def one_hot(rows: DataFrame, column: str, values: Sequence[str] | None = None, p
     """rows with a 0/1 column for each value in place of the column; by default the sorted values it has, which
     are few, such as locations."""
     values = sorted(r[0] for r in rows.select(column).distinct().collect() if r[0] is not None) if values is None else values
-    return rows.select("*", *[F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(f"{prefix}_{v}") for v in values]).drop(column)
+    return rows.select(
+        "*", *[F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(f"{prefix}_{v}") for v in values]
+    ).drop(column)
 
 
 def process_trait(sheet: DataFrame, trait: str, sample: str = "sample") -> DataFrame:

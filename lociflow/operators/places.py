@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def numbered(rows: DataFrame, name: str, bins: Sequence[Column], order: Sequence, group: Sequence[str] = ()) -> DataFrame:
+def numbered(
+    rows: DataFrame, name: str, bins: Sequence[Column], order: Sequence, group: Sequence[str] = ()
+) -> DataFrame:
     """rows with ``name``, their place from 1 within their group, by the bins and then by ``order``.
 
     The bins cut the order into stretches: only their counts are added up in one place, and only rows of one bin are

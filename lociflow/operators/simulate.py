@@ -13,10 +13,15 @@ from lociflow.operators.places import numbered
 GENOTYPES = (0, 1, 2)
 #: Combinations of more sites are refused: 3 ** 16 rows are 43 million.
 MOST_SITES = 16
-META = ("sample", "combination_id", "is_target", "source_sample", "source_type", "mutated_feature_count", "mutated_features", "mutated_feature_genotypes")
+META = (
+    "sample", "combination_id", "is_target", "source_sample", "source_type", "mutated_feature_count",
+    "mutated_features", "mutated_feature_genotypes"
+)
 
 
-def top_features(importance: DataFrame, genotype_features: Sequence[str] | DataFrame, n: int, ordinal: str = "ord") -> list[str]:
+def top_features(
+    importance: DataFrame, genotype_features: Sequence[str] | DataFrame, n: int, ordinal: str = "ord"
+) -> list[str]:
     """The n features of most gain, then most splits, then first in the file, among the genotype features: names, or a
     table of them (feature)."""
     if n <= 0:
@@ -24,7 +29,9 @@ def top_features(importance: DataFrame, genotype_features: Sequence[str] | DataF
     known = genotype_features
     if not isinstance(known, DataFrame):
         known = importance.sparkSession.createDataFrame([(f,) for f in genotype_features], "feature string")
-    rows = importance.where(~F.col("feature").startswith("loc")).join(known, "feature", "left_semi").orderBy(F.desc("importance_gain"), F.desc("importance_split"), ordinal).limit(n)
+    rows = importance.where(~F.col("feature").startswith("loc")).join(known, "feature", "left_semi").orderBy(
+        F.desc("importance_gain"), F.desc("importance_split"), ordinal
+    ).limit(n)
     out = [r["feature"] for r in rows.select("feature").collect()]
     if not out:
         raise ValueError("no genotype feature among the importances")
@@ -45,7 +52,10 @@ def combination_number(genotypes: Sequence[int]) -> int:
     return n
 
 
-def combinations(spark: SparkSession, base: Mapping[str, int], sample: str, features: Sequence[str], mutable: Sequence[str], effects: Mapping[str, float]) -> DataFrame:
+def combinations(
+    spark: SparkSession, base: Mapping[str, int], sample: str, features: Sequence[str], mutable: Sequence[str],
+    effects: Mapping[str, float]
+) -> DataFrame:
     """Every combination of genotypes at the mutable sites: META and ``features``, an array of weighted genotypes
     in the order of the features. The sample's own combination is the target."""
     n = len(mutable)
@@ -55,9 +65,23 @@ def combinations(spark: SparkSession, base: Mapping[str, int], sample: str, feat
     rows = spark.range(3**n)
     target = F.col("id") == combination_number(own)
     digits = [digit(i, n) for i in range(n)]
-    changed = F.filter(F.array(*[F.when(d != o, F.struct(F.lit(f).alias("f"), d.alias("g"))) for f, d, o in zip(mutable, digits, own, strict=True)]), lambda x: x.isNotNull()) if n else F.expr("cast(array() as array<struct<f:string,g:int>>)")
+    changed = F.filter(
+        F.array(
+            *[
+                F.when(d != o, F.struct(F.lit(f).alias("f"), d.alias("g"))) for f, d,
+                o in zip(mutable, digits, own, strict=True)
+            ]
+        ),
+        lambda x: x.isNotNull()
+    ) if n else F.expr("cast(array() as array<struct<f:string,g:int>>)")
     place = {f: i for i, f in enumerate(mutable)}
-    vector = F.array(*[((digits[place[f]] if f in place else F.lit(int(base[f]))).cast("float") * F.lit(float(effects[f])).cast("float")).cast("float") for f in features])
+    vector = F.array(
+        *[
+            (
+                (digits[place[f]] if f in place else F.lit(int(base[f]))).cast("float") * F.lit(float(effects[f])).cast("float")
+            ).cast("float") for f in features
+        ]
+    )
     number = F.format_string("sim_%06d", F.col("id"))
     rows = rows.withColumn("__changed", changed)
     return rows.select(
@@ -68,18 +92,31 @@ def combinations(spark: SparkSession, base: Mapping[str, int], sample: str, feat
         F.when(target, "original").otherwise("simulated").alias("source_type"),
         F.size("__changed").alias("mutated_feature_count"),
         F.array_join(F.transform("__changed", lambda x: x["f"]), ";").alias("mutated_features"),
-        F.array_join(F.transform("__changed", lambda x: F.concat(x["f"], F.lit(":"), x["g"].cast("string"))), ";").alias("mutated_feature_genotypes"),
+        F.array_join(
+            F.transform("__changed", lambda x: F.concat(x["f"], F.lit(":"), x["g"].cast("string"))), ";"
+        ).alias("mutated_feature_genotypes"),
         vector.alias("features"),
     )
 
 
-def observed(genotypes: DataFrame, features: Sequence[str], effects: Mapping[str, float], exclude: str | None = None, ordinal: str = "ord") -> DataFrame:
+def observed(
+    genotypes: DataFrame, features: Sequence[str], effects: Mapping[str, float], exclude: str | None = None,
+    ordinal: str = "ord"
+) -> DataFrame:
     """The observed samples in the same form, numbered in file order."""
     rows = genotypes.where(F.col("sample") != exclude) if exclude else genotypes
-    vector = F.array(*[(F.col(f"`{f}`").cast("float") * F.lit(float(effects[f])).cast("float")).cast("float") for f in features])
+    vector = F.array(
+        *[(F.col(f"`{f}`").cast("float") * F.lit(float(effects[f])).cast("float")).cast("float") for f in features]
+    )
     rows = numbered(rows, "__place", [F.shiftright(F.col(ordinal).cast("long"), 16)], [ordinal])
     number = F.col("__place") - 1
-    return rows.select(F.col("sample").cast("string").alias("sample"), F.format_string("observed_%06d", number).alias("combination_id"), F.lit(False).alias("is_target"), F.col("sample").cast("string").alias("source_sample"), F.lit("observed").alias("source_type"), F.lit(0).alias("mutated_feature_count"), F.lit("").alias("mutated_features"), F.lit("").alias("mutated_feature_genotypes"), vector.alias("features"))
+    return rows.select(
+        F.col("sample").cast("string").alias("sample"),
+        F.format_string("observed_%06d", number).alias("combination_id"), F.lit(False).alias("is_target"),
+        F.col("sample").cast("string").alias("source_sample"), F.lit("observed").alias("source_type"),
+        F.lit(0).alias("mutated_feature_count"), F.lit("").alias("mutated_features"),
+        F.lit("").alias("mutated_feature_genotypes"), vector.alias("features")
+    )
 
 
 def location_groups(rows: DataFrame, locations: Sequence[str], ordinal: str = "ord") -> DataFrame:
@@ -87,10 +124,20 @@ def location_groups(rows: DataFrame, locations: Sequence[str], ordinal: str = "o
     if not locations:
         raise ValueError("no location columns")
     flags = [F.col(c).cast("int").alias(c) for c in locations]
-    groups = rows.select(*flags, "value", ordinal).groupBy(*locations).agg(F.count("*").alias("row_count"), F.avg("value").alias("actual_value_mean"), F.min(ordinal).alias("__first"))
+    groups = rows.select(*flags, "value", ordinal).groupBy(*locations).agg(
+        F.count("*").alias("row_count"), F.avg("value").alias("actual_value_mean"), F.min(ordinal).alias("__first")
+    )
     number = F.row_number().over(Window.orderBy("__first"))
-    active = F.array_join(F.filter(F.array(*[F.when(F.col(c) == 1, F.lit(c)) for c in locations]), lambda x: x.isNotNull()), "__")
-    return groups.withColumn("__n", number).select(F.format_string("group_%03d", F.col("__n")).alias("group_id"), F.when(active != "", active).otherwise(F.format_string("location_group_%03d", F.col("__n"))).alias("location_label"), "row_count", "actual_value_mean", *locations)
+    active = F.array_join(
+        F.filter(F.array(*[F.when(F.col(c) == 1, F.lit(c)) for c in locations]), lambda x: x.isNotNull()), "__"
+    )
+    return groups.withColumn("__n", number).select(
+        F.format_string("group_%03d", F.col("__n")).alias("group_id"),
+        F.when(active != "", active).otherwise(
+            F.format_string("location_group_%03d", F.col("__n"))
+        ).alias("location_label"),
+        "row_count", "actual_value_mean", *locations
+    )
 
 
 def rank_predictions(predicted: DataFrame, descending: bool = True, group: str | None = "group_id") -> DataFrame:
@@ -103,4 +150,6 @@ def rank_predictions(predicted: DataFrame, descending: bool = True, group: str |
 def scale(value: Column, low: Column, high: Column, to_low: float, to_high: float) -> Column:
     """Linear map of [low, high] to [to_low, to_high]; the middle if the source range has no width."""
     flat = F.abs(high - low) <= 1e-9 * F.greatest(F.abs(high), F.abs(low))
-    return F.when(flat, F.lit((to_low + to_high) / 2)).otherwise(F.lit(float(to_low)) + (value - low) / (high - low) * F.lit(float(to_high - to_low)))
+    return F.when(
+        flat, F.lit((to_low + to_high) / 2)
+    ).otherwise(F.lit(float(to_low)) + (value - low) / (high - low) * F.lit(float(to_high - to_low)))

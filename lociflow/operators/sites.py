@@ -22,7 +22,9 @@ def merge_values(column: str):
     return F.array_join(F.array_sort(F.collect_set(filled)), ",")
 
 
-def select_sites(variants: DataFrame, gwas: DataFrame, qtl: DataFrame, mode: str = "union", shared: str = "trait") -> DataFrame:
+def select_sites(
+    variants: DataFrame, gwas: DataFrame, qtl: DataFrame, mode: str = "union", shared: str = "trait"
+) -> DataFrame:
     """chrom, pos, ref, alt, qtl_trait, gwas_trait of the variants (chrom, pos, ref, alt) to keep.
 
     union: a trait is associated with the position or an interval holds it. intersect: some trait does both, and
@@ -41,7 +43,9 @@ def select_sites(variants: DataFrame, gwas: DataFrame, qtl: DataFrame, mode: str
         sites = sites.where((F.size("gwas_traits") > 0) & (F.size("qtl_traits") > 0))
     else:
         both = F.array_sort(F.array_intersect("gwas_traits", "qtl_traits"))
-        sites = sites.withColumn("gwas_traits", both).withColumn("qtl_traits", F.col("gwas_traits")).where(F.size("gwas_traits") > 0)
+        sites = sites.withColumn("gwas_traits", both).withColumn(
+            "qtl_traits", F.col("gwas_traits")
+        ).where(F.size("gwas_traits") > 0)
     # Traits go by position, so equal rows are all there is to merge.
     listed = lambda c: strip(F.array_join(c, ",")).alias(c.removesuffix("s"))
     return sites.select("chrom", "pos", "ref", "alt", listed("qtl_traits"), listed("gwas_traits")).distinct()
@@ -50,15 +54,23 @@ def select_sites(variants: DataFrame, gwas: DataFrame, qtl: DataFrame, mode: str
 def extend_genes(genes: DataFrame, ext_len: int = 0) -> DataFrame:
     """chrom, gene_id, gene_start, gene_end from features (chrom, start, end, id, name, parent): the first label
     that is filled names the gene; bounds reach ext_len further, not below 1; what then ends before 1 is dropped."""
-    named = genes.select("chrom", F.greatest(F.col("start") - ext_len, F.lit(1)).alias("gene_start"), (F.col("end") + ext_len).alias("gene_end"), first_of(F.col("id"), F.col("name"), F.col("parent")).alias("gene_id"))
-    return named.where(F.col("gene_id").isNotNull() & F.col("chrom").isNotNull() & (F.col("gene_end") >= F.col("gene_start")))
+    named = genes.select(
+        "chrom", F.greatest(F.col("start") - ext_len, F.lit(1)).alias("gene_start"),
+        (F.col("end") + ext_len).alias("gene_end"),
+        first_of(F.col("id"), F.col("name"), F.col("parent")).alias("gene_id")
+    )
+    return named.where(
+        F.col("gene_id").isNotNull() & F.col("chrom").isNotNull() & (F.col("gene_end") >= F.col("gene_start"))
+    )
 
 
 def map_to_genes(sites: DataFrame, genes: DataFrame) -> DataFrame:
     """A row for each site and gene that holds it; traits of equal rows are merged."""
     hit = stab(sites, genes, start="gene_start", end="gene_end")
     keys = ["chrom", "pos", "gene_id", "gene_start", "gene_end", "ref", "alt"]
-    return hit.groupBy(*keys).agg(merge_values("qtl_trait").alias("qtl_trait"), merge_values("gwas_trait").alias("gwas_trait"))
+    return hit.groupBy(*keys).agg(
+        merge_values("qtl_trait").alias("qtl_trait"), merge_values("gwas_trait").alias("gwas_trait")
+    )
 
 
 def gene_subset(rows: DataFrame, genes: DataFrame | None) -> DataFrame:

@@ -13,7 +13,9 @@ from lociflow.operators.checks import require_known
 from lociflow.operators.places import hash_bin, numbered
 
 
-def split_samples(samples: Sequence[str], isolated: Sequence[str] = (), test_ratio: float = 0.2, seed: int = 42) -> tuple[list[str], list[str]]:
+def split_samples(
+    samples: Sequence[str], isolated: Sequence[str] = (), test_ratio: float = 0.2, seed: int = 42
+) -> tuple[list[str], list[str]]:
     """Train and test samples: isolated ones that exist are tested, in their order; then a seeded draw fills the test
     set up to its share, rounded up, in the order drawn. The list is small, so the driver draws it."""
     if not 0 < test_ratio < 1:
@@ -47,14 +49,20 @@ def _place(rows: DataFrame, label: str, key: str, seed: int) -> DataFrame:
 
 def stratified_holdout(rows: DataFrame, label: str, key: str, test_ratio: float = 0.2, seed: int = 42) -> DataFrame:
     """rows with ``split``: of each class the share is tested, rounded."""
-    tested = rows.groupBy(F.col(label).alias("__label")).agg(F.round(F.count("*") * F.lit(test_ratio)).alias("__tested"))
+    tested = rows.groupBy(F.col(label).alias("__label")).agg(
+        F.round(F.count("*") * F.lit(test_ratio)).alias("__tested")
+    )
     placed = _place(rows, label, key, seed).join(tested, F.col(label).eqNullSafe(F.col("__label")))
-    return placed.withColumn("split", F.when(F.col("__n") <= F.col("__tested"), "test").otherwise("train")).drop("__n", "__label", "__tested")
+    return placed.withColumn(
+        "split", F.when(F.col("__n") <= F.col("__tested"), "test").otherwise("train")
+    ).drop("__n", "__label", "__tested")
 
 
 def stratified_folds(rows: DataFrame, label: str, key: str, folds: int = 5, seed: int = 42) -> DataFrame:
     """rows with ``fold`` from 0: each class is dealt out over the folds."""
-    return _place(rows, label, key, seed).withColumn("fold", F.pmod(F.col("__n") - 1, F.lit(folds)).cast("int")).drop("__n")
+    return _place(rows, label, key, seed).withColumn(
+        "fold", F.pmod(F.col("__n") - 1, F.lit(folds)).cast("int")
+    ).drop("__n")
 
 
 def eval_mode(n: int, mode: str = "auto") -> str:

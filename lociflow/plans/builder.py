@@ -22,14 +22,18 @@ _IGNORED = ("outdir", "resume", "wide", "split", "test_ratio", "seed", "isolated
 
 def signed(c: BuilderConfig) -> tuple[dict, dict]:
     """The settings and inputs that a run is known by."""
-    return {k: v for k, v in asdict(c).items() if k not in _IGNORED}, {k: v for k, v in asdict(c).items() if k.endswith("_path")}
+    return {k: v for k, v in asdict(c).items() if k not in _IGNORED}, {
+        k: v for k, v in asdict(c).items() if k.endswith("_path")
+    }
 
 
 def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     """Runs the stages that are not done yet and returns the paths of the results."""
     stages = Stages(spark, c.outdir, *signed(c), c.resume)
     embed = CachedEmbedder(c.embedder, f"{c.outdir}/embeddings", **(c.embedder_options or {}))
-    lines = vcf.lines(spark, c.vcf_path, spark.sparkContext.defaultParallelism if c.vcf_path.endswith((".gz", ".bgz")) else None)
+    lines = vcf.lines(
+        spark, c.vcf_path, spark.sparkContext.defaultParallelism if c.vcf_path.endswith((".gz", ".bgz")) else None
+    )
     genome = fasta.genome(fasta.read(spark, c.fasta_path))
     out: dict[str, str] = {}
 
@@ -41,7 +45,10 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     chosen = stages.run("initial_sites", lambda: sites.select_sites(vcf.first_alt(lines), gwas, qtl, c.type))
     if chosen.isEmpty():
         raise ValueError("no site is selected")
-    csv("sites_union_or_intersect", sites.in_order(chosen, "ref", "alt").select("chrom", "pos", "qtl_trait", "gwas_trait"))
+    csv(
+        "sites_union_or_intersect",
+        sites.in_order(chosen, "ref", "alt").select("chrom", "pos", "qtl_trait", "gwas_trait")
+    )
 
     # One row for each position; gene sites are among them, so effects are computed once for both.
     single = first_by(chosen, ["chrom", "pos"], "ref", "alt")
@@ -49,12 +56,24 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     effect = stages.run("all_site_variant_effects", lambda: effects.variant_effects(single, windows_genome, c.k, embed))
     csv("all_site_variant_effect", sites.in_order(effect.select("chrom", "pos", "site_id", "var_effect")))
 
-    found = gff.intervals(gff.merged(gff.read_cached(spark, c.gff3_path, c.gff3_feature, f"{c.outdir}/annotation")) if c.use_gffutils else gff.read(spark, c.gff3_path, c.gff3_feature))
+    found = gff.intervals(
+        gff.merged(
+            gff.read_cached(spark, c.gff3_path, c.gff3_feature, f"{c.outdir}/annotation")
+        ) if c.use_gffutils else gff.read(spark, c.gff3_path, c.gff3_feature)
+    )
     wanted = tables.first_column(tables.text_table(spark, c.gene_list_path), "gene_id") if c.gene_list_path else None
-    in_gene = stages.run("gene_sites", lambda: sites.gene_subset(sites.map_to_genes(chosen, sites.extend_genes(found, c.ext_len)), wanted))
+    in_gene = stages.run(
+        "gene_sites",
+        lambda: sites.gene_subset(sites.map_to_genes(chosen, sites.extend_genes(found, c.ext_len)), wanted)
+    )
     if in_gene.isEmpty():
         raise ValueError("no site lies in a gene")
-    csv("sites_in_gene", sites.in_order(in_gene, "gene_id", "gene_start", "gene_end", "ref", "alt").select("chrom", "pos", "qtl_trait", "gwas_trait", "gene_id"))
+    csv(
+        "sites_in_gene",
+        sites.in_order(
+            in_gene, "gene_id", "gene_start", "gene_end", "ref", "alt"
+        ).select("chrom", "pos", "qtl_trait", "gwas_trait", "gene_id")
+    )
 
     raw = vcf.samples(spark, c.vcf_path)
     names = genotypes.standard_samples(spark.createDataFrame(list(enumerate(raw)), "idx int, raw_sample string"))
@@ -63,23 +82,40 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     csv("sample_mapping", names.orderBy("idx").select("raw_sample", "sample"))
     calls = stages.run("genotypes", lambda: genotypes.long_genotypes(vcf.calls(lines, order), in_gene))
 
-    gene_effect = effect.join(in_gene.select(site_id(F.col("chrom"), F.col("pos")).alias("site_id")).distinct(), "site_id", "left_semi")
+    gene_effect = effect.join(
+        in_gene.select(site_id(F.col("chrom"), F.col("pos")).alias("site_id")).distinct(), "site_id", "left_semi"
+    )
     csv("variant_effect_by_site", sites.in_order(gene_effect.select("chrom", "pos", "site_id", "var_effect")))
     matrix = stages.run("variant_effects", lambda: genotypes.effect_matrix(calls, gene_effect))
-    features = stages.run("gene_features", lambda: effects.gene_features(effects.gene_sequences(in_gene, calls, genome), in_gene, names, embed))
+    features = stages.run(
+        "gene_features",
+        lambda: effects.gene_features(effects.gene_sequences(in_gene, calls, genome), in_gene, names, embed)
+    )
 
     if c.wide or c.split:
-        columns = [r[0] for r in sites.in_order(calls.select("site_id", "chrom", "pos").distinct()).select("site_id").collect()]
+        columns = [
+            r[0] for r in sites.in_order(calls.select("site_id", "chrom", "pos").distinct()).select("site_id").collect()
+        ]
         gene_names = sorted(r[0] for r in features.select("gene_id").distinct().collect())
-        out["genotype_site_by_sample"] = sinks.save_matrix(calls, "site_id", "sample", "dosage", order, f"{c.outdir}/genotype_site_by_sample", 0)[1]
-        out["genotype_sample_by_site"] = sinks.save_matrix(calls, "sample", "site_id", "dosage", columns, f"{c.outdir}/genotype_sample_by_site", 0)[1]
-        out["variant_effect_sample_by_site"] = sinks.save_matrix(matrix, "sample", "site_id", "value", columns, f"{c.outdir}/variant_effect_sample_by_site", 0.0)[1]
-        out["gene_feature_sample_by_gene"] = sinks.save_matrix(features, "sample", "gene_id", "value", gene_names, f"{c.outdir}/gene_feature_sample_by_gene", 0.0)[1]
+        out["genotype_site_by_sample"] = sinks.save_matrix(
+            calls, "site_id", "sample", "dosage", order, f"{c.outdir}/genotype_site_by_sample", 0
+        )[1]
+        out["genotype_sample_by_site"] = sinks.save_matrix(
+            calls, "sample", "site_id", "dosage", columns, f"{c.outdir}/genotype_sample_by_site", 0
+        )[1]
+        out["variant_effect_sample_by_site"] = sinks.save_matrix(
+            matrix, "sample", "site_id", "value", columns, f"{c.outdir}/variant_effect_sample_by_site", 0.0
+        )[1]
+        out["gene_feature_sample_by_gene"] = sinks.save_matrix(
+            features, "sample", "gene_id", "value", gene_names, f"{c.outdir}/gene_feature_sample_by_gene", 0.0
+        )[1]
     if c.split:
         by_sample = lambda stem: spark.read.parquet(out[stem])
         isolated = []
         if c.isolated_samples_path:
-            isolated = [r[0] for r in tables.first_column(tables.text_table(spark, c.isolated_samples_path), "sample").collect()]
+            isolated = [
+                r[0] for r in tables.first_column(tables.text_table(spark, c.isolated_samples_path), "sample").collect()
+            ]
             if unknown := sorted(set(isolated) - set(order)):
                 raise ValueError(f"isolated samples that the variants lack: {unknown[:20]}")
         train, test = splits.split_samples(order, isolated, c.test_ratio, c.seed)
@@ -93,9 +129,15 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     return out
 
 
-def score_all_variants(spark: SparkSession, vcf_path: str, fasta_path: str, outdir: str, k: int = 100, embedder: str = "kmer", options: Mapping | None = None) -> DataFrame:
+def score_all_variants(
+    spark: SparkSession, vcf_path: str, fasta_path: str, outdir: str, k: int = 100, embedder: str = "kmer",
+    options: Mapping | None = None
+) -> DataFrame:
     """Effects of every alternative allele of a VCF file, written as CSV and Parquet."""
     genome = fasta.pieces(fasta.genome(fasta.read(spark, fasta_path)), overlap=max(2_000, 4 * k + 1_000))
-    found = effects.variant_effects(vcf.all_alts(vcf.lines(spark, vcf_path)), genome, k, CachedEmbedder(embedder, f"{outdir}/embeddings", **(options or {})))
+    found = effects.variant_effects(
+        vcf.all_alts(vcf.lines(spark, vcf_path)), genome, k,
+        CachedEmbedder(embedder, f"{outdir}/embeddings", **(options or {}))
+    )
     ordered = sites.in_order(found, "ref", "alt").select("chrom", "pos", "site_id", "var_effect")
     return spark.read.parquet(sinks.save_dual(ordered, f"{outdir}/all_variant_effects")[1])

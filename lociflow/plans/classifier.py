@@ -51,19 +51,29 @@ def sequences(spark: SparkSession, c: ClassifierConfig) -> DataFrame:
 def feature_rows(seqs: DataFrame, embed, kind: str) -> DataFrame:
     """site_id, variant_type, features."""
     known = embed(seqs.select(F.explode(F.array("ref_seq", "alt_seq")).alias("seq")).distinct())
-    both = seqs.join(known.select(F.col("seq").alias("ref_seq"), F.col("embedding").alias("__r")), "ref_seq").join(known.select(F.col("seq").alias("alt_seq"), F.col("embedding").alias("__a")), "alt_seq")
+    both = seqs.join(
+        known.select(F.col("seq").alias("ref_seq"), F.col("embedding").alias("__r")), "ref_seq"
+    ).join(known.select(F.col("seq").alias("alt_seq"), F.col("embedding").alias("__a")), "alt_seq")
     made = vectors.features(F.col("__r"), F.col("__a"), kind, F.length("ref"), F.length("alt"))
-    return both.select("site_id", "variant_type", F.col("__r").alias("ref_embedding"), F.col("__a").alias("alt_embedding"), made.alias("features"))
+    return both.select(
+        "site_id", "variant_type", F.col("__r").alias("ref_embedding"), F.col("__a").alias("alt_embedding"),
+        made.alias("features")
+    )
 
 
 def save_matrices(data: DataFrame, kind: str, outdir: str) -> None:
     """The embeddings of both alleles, their difference and the features as .npy files, rows by site_id, and what the
     features are made of; for tables that the driver holds."""
     made = data.withColumn("diff", vectors.difference(F.col("alt_embedding"), F.col("ref_embedding")))
-    for column, name in (("ref_embedding", "ref_embeddings"), ("alt_embedding", "alt_embeddings"), ("diff", "alt_minus_ref_embeddings"), ("features", "features")):
+    for column, name in (
+        ("ref_embedding", "ref_embeddings"), ("alt_embedding", "alt_embeddings"), ("diff", "alt_minus_ref_embeddings"),
+        ("features", "features")
+    ):
         sinks.save_vectors(made, column, "site_id", f"{outdir}/{name}.npy")
     size = data.select(F.size("alt_embedding"), F.size("features")).first()
-    sinks.save_json({"feature_type": kind, "embedding_dim": size[0], "feature_dim": size[1]}, f"{outdir}/feature_meta.json")
+    sinks.save_json(
+        {"feature_type": kind, "embedding_dim": size[0], "feature_dim": size[1]}, f"{outdir}/feature_meta.json"
+    )
 
 
 def prepare(spark: SparkSession, c: ClassifierConfig) -> tuple[DataFrame, str, list[str], list[dict]]:
@@ -77,11 +87,15 @@ def prepare(spark: SparkSession, c: ClassifierConfig) -> tuple[DataFrame, str, l
         raise ValueError("no class is left")
     kept.write.mode("overwrite").parquet(f"{c.outdir}/variant_sequences.parquet")
     kept = spark.read.parquet(f"{c.outdir}/variant_sequences.parquet")
-    sinks.save_csv(labels.class_counts(kept, "variant_type").orderBy("variant_type"), f"{c.outdir}/label_distribution.tsv", "\t")
+    sinks.save_csv(
+        labels.class_counts(kept, "variant_type").orderBy("variant_type"), f"{c.outdir}/label_distribution.tsv", "\t"
+    )
     rows, task, names = labels.prepare_labels(kept, "variant_type", c.task_type, c.positive_class)
     sinks.save_csv(kept, f"{c.outdir}/variant_sequences.tsv", "\t")
     sinks.save_csv(rows.select("site_id", "variant_type", F.col("y").alias("label_id")), f"{c.outdir}/labels.tsv", "\t")
-    table = feature_rows(kept, CachedEmbedder(c.embedder, f"{c.outdir}/embeddings", **(c.embedder_options or {})), c.feature_type)
+    table = feature_rows(
+        kept, CachedEmbedder(c.embedder, f"{c.outdir}/embeddings", **(c.embedder_options or {})), c.feature_type
+    )
     table.join(rows.select("site_id", "y"), "site_id").write.mode("overwrite").parquet(f"{c.outdir}/features.parquet")
     data = spark.read.parquet(f"{c.outdir}/features.parquet")
     if c.matrices:
@@ -96,28 +110,49 @@ def run(spark: SparkSession, c: ClassifierConfig) -> dict:
     n = data.count()
     mode = splits.eval_mode(n, c.eval_mode)
     options = {"class_weight": c.class_weight, "standardize": c.standardize}
-    summary = {"config": asdict(c), "task_type": task, "classes": names, "label_counts": {names[r["y"]]: r["count"] for r in counts}, "rows": n, "eval_mode": mode}
+    summary = {
+        "config": asdict(c), "task_type": task, "classes": names,
+        "label_counts": {names[r["y"]]: r["count"] for r in counts}, "rows": n, "eval_mode": mode
+    }
     if mode == "holdout":
-        model, predicted, scores = models.holdout(data, "site_id", c.model_type, task, len(names), c.test_ratio, c.seed, **options)
+        model, predicted, scores = models.holdout(
+            data, "site_id", c.model_type, task, len(names), c.test_ratio, c.seed, **options
+        )
         model.write().overwrite().save(f"{c.outdir}/model")
         summary["metrics"] = scores.first().asDict()
         tested = predicted.select("site_id").withColumn("part", F.lit("test"))
         # In the order of the matrices: by the site's name, in stretches of its first letters.
-        places = numbered(data.select("site_id"), "place", [F.substring("site_id", 1, 6)], ["site_id"]).join(tested, "site_id", "left")
+        places = numbered(
+            data.select("site_id"), "place", [F.substring("site_id", 1, 6)], ["site_id"]
+        ).join(tested, "site_id", "left")
         for name, part in (("train_indices", "part IS NULL"), ("test_indices", "part IS NOT NULL")):
             if c.matrices:
-                sinks.save_numbers(places.where(part).select((F.col("place") - 1).alias("i")), "i", f"{c.outdir}/{name}.npy")
+                sinks.save_numbers(
+                    places.where(part).select((F.col("place") - 1).alias("i")), "i", f"{c.outdir}/{name}.npy"
+                )
     else:
-        predicted, folds = models.cross_validate(data, "site_id", c.model_type, task, len(names), c.folds, c.seed, **options)
+        predicted, folds = models.cross_validate(
+            data, "site_id", c.model_type, task, len(names), c.folds, c.seed, **options
+        )
         folds.write.mode("overwrite").parquet(f"{c.outdir}/fold_metrics.parquet")
         folds = spark.read.parquet(f"{c.outdir}/fold_metrics.parquet")
         sinks.save_csv(folds.orderBy("fold"), f"{c.outdir}/fold_metrics.tsv", "\t")
-        summary["metrics"] = {r["metric"]: {"mean": r["mean"], "std": r["std"]} for r in metrics.fold_summary(folds, [x for x in folds.columns if x != "fold"]).collect()}
+        summary["metrics"] = {
+            r["metric"]: {"mean": r["mean"], "std": r["std"]} for r in metrics.fold_summary(
+                folds, [x for x in folds.columns if x != "fold"]
+            ).collect()
+        }
     predicted.write.mode("overwrite").parquet(f"{c.outdir}/predictions.parquet")
     predicted = spark.read.parquet(f"{c.outdir}/predictions.parquet")
-    sinks.save_csv(models.prediction_table(predicted, names, "test" if mode == "holdout" else "cv"), f"{c.outdir}/predictions.tsv", "\t")
+    sinks.save_csv(
+        models.prediction_table(predicted, names, "test" if mode == "holdout" else "cv"), f"{c.outdir}/predictions.tsv",
+        "\t"
+    )
     ids = spark.createDataFrame([(i,) for i in range(len(names))], "label int")
-    sinks.save_csv(metrics.confusion_matrix(predicted, ids).orderBy("label_true", "label_pred"), f"{c.outdir}/confusion_matrix.tsv", "\t")
+    sinks.save_csv(
+        metrics.confusion_matrix(predicted, ids).orderBy("label_true", "label_pred"),
+        f"{c.outdir}/confusion_matrix.tsv", "\t"
+    )
     report = [r.asDict() for r in metrics.class_report(predicted).collect()]
     sinks.save_text(sinks.report_text(report, names), f"{c.outdir}/classification_report.txt")
     if mode == "holdout" and task == "binary":

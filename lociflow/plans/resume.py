@@ -15,10 +15,14 @@ class Stages:
     """Stages of one run under a folder. A stage's rows are kept as Parquet. When a stage runs, the stages after it
     run too, so none is ever read beside inputs that it was not made from."""
 
-    def __init__(self, spark: SparkSession, folder: str, settings: Mapping, inputs: Mapping[str, str | None], resume: bool = True) -> None:
+    def __init__(
+        self, spark: SparkSession, folder: str, settings: Mapping, inputs: Mapping[str, str | None], resume: bool = True
+    ) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
         self._jvm, self._conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        self.payload = {"settings": dict(settings), "inputs": {k: self.file_signature(p) for k, p in sorted(inputs.items())}}
+        self.payload = {
+            "settings": dict(settings), "inputs": {k: self.file_signature(p) for k, p in sorted(inputs.items())}
+        }
         self.signature = hashlib.sha1(json.dumps(self.payload, sort_keys=True, default=str).encode()).hexdigest()
         state = self._load() if resume else {}
         self.done: dict[str, dict] = state.get("stages", {}) if state.get("run_signature") == self.signature else {}
@@ -53,7 +57,17 @@ class Stages:
     def _save(self) -> None:
         fs, p = self._fs(f"{self.folder}/resume.json")
         out = fs.create(p, True)
-        out.write(bytearray(json.dumps({"version": 1, "run_signature": self.signature, "signature_payload": self.payload, "stages": self.done}, default=str).encode()))
+        out.write(
+            bytearray(
+                json.dumps(
+                    {
+                        "version": 1, "run_signature": self.signature, "signature_payload": self.payload,
+                        "stages": self.done
+                    },
+                    default=str
+                ).encode()
+            )
+        )
         out.close()
 
     def complete(self, name: str) -> bool:

@@ -25,7 +25,9 @@ def linear_model(weights: dict[str, float]) -> Predict:
 
     def predict(rows: DataFrame, features: list[str]) -> DataFrame:
         w = F.array(*[F.lit(float(weights.get(f, 0.0))) for f in features])
-        total = F.aggregate(F.zip_with("features", w, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, b: a + b)
+        total = F.aggregate(
+            F.zip_with("features", w, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, b: a + b
+        )
         for c in rows.columns:
             if c in weights and c not in features:
                 total = total + F.col(c).cast("double") * F.lit(float(weights[c]))
@@ -79,7 +81,9 @@ def run(spark: SparkSession, c: SimulatorConfig, predict: Predict | None = None)
     if predict is None:
         predict = model_of(spark, config.require(asdict(c), "model_file"), c.allow_pickle)
     base = own.orderBy("ord").limit(1).collect()[0].asDict()
-    rows = simulate.combinations(spark, base, c.sample_id, features, mutable, effects).unionByName(simulate.observed(genotype, features, effects, c.sample_id))
+    rows = simulate.combinations(spark, base, c.sample_id, features, mutable, effects).unionByName(
+        simulate.observed(genotype, features, effects, c.sample_id)
+    )
     # A group for each place the sample was grown at: a handful of rows.
     scored = predict(rows.crossJoin(F.broadcast(groups)), features)
     seen = own.join(F.broadcast(groups.select("group_id", "location_label", *locations)), locations)
@@ -89,7 +93,9 @@ def run(spark: SparkSession, c: SimulatorConfig, predict: Predict | None = None)
     if sinks.try_parquet(flat, f"{c.outdir}/prediction_features.parquet"):
         flat = spark.read.parquet(f"{c.outdir}/prediction_features.parquet")
     sinks.save_csv(flat, f"{c.outdir}/prediction_features.csv")
-    ranked = simulate.rank_predictions(scored.drop("features"), c.rank_order == "desc").select("group_id", "location_label", "row_count", "actual_value_mean", *simulate.META, "predicted_phenotype", "rank")
+    ranked = simulate.rank_predictions(scored.drop("features"), c.rank_order == "desc").select(
+        "group_id", "location_label", "row_count", "actual_value_mean", *simulate.META, "predicted_phenotype", "rank"
+    )
     ranked.write.mode("overwrite").partitionBy("group_id").parquet(f"{c.outdir}/ranking.parquet")
     ranked = spark.read.parquet(f"{c.outdir}/ranking.parquet")
     sinks.save_csv(ranked.orderBy("group_id", "rank"), f"{c.outdir}/ranking.csv")
@@ -98,6 +104,15 @@ def run(spark: SparkSession, c: SimulatorConfig, predict: Predict | None = None)
         one = ranked.where(F.col("group_id") == g["group_id"])
         target = one.where("is_target").select("rank", "predicted_phenotype").first()
         sinks.scatter_svg(one, g["location_label"], f"{c.outdir}/{g['group_id']}.svg", most=c.most_points)
-        summary.append({"group_id": g["group_id"], "location_label": g["location_label"], "row_count": g["row_count"], "actual_value_mean": g["actual_value_mean"], "target_rank": target["rank"], "target_prediction": target["predicted_phenotype"]})
-    sinks.save_json({"sample_id": c.sample_id, "mutable_features": mutable, "combinations": 3 ** len(mutable), "groups": summary}, f"{c.outdir}/summary.json")
+        summary.append(
+            {
+                "group_id": g["group_id"], "location_label": g["location_label"], "row_count": g["row_count"],
+                "actual_value_mean": g["actual_value_mean"], "target_rank": target["rank"],
+                "target_prediction": target["predicted_phenotype"]
+            }
+        )
+    sinks.save_json(
+        {"sample_id": c.sample_id, "mutable_features": mutable, "combinations": 3 ** len(mutable), "groups": summary},
+        f"{c.outdir}/summary.json"
+    )
     return ranked

@@ -57,7 +57,12 @@ _UNION = _SITES + "s AS (SELECT chrom, pos, ref, alt, array_to_string(qt, ',') A
 
 def _variants(spark: SparkSession, sf: str) -> DataFrame:
     i = (F.col("pos") % 4).cast("int") + 1
-    return _t(spark, sf, "lineitem").select(F.concat(F.lit("Chr"), _text_of(F.col("l_suppkey") % 12 + 1)).alias("chrom"), F.col("l_partkey").alias("pos")).distinct().select("chrom", "pos", F.substring(F.lit("ACGT"), i, F.lit(1)).alias("ref"), F.substring(F.lit("CGTA"), i, F.lit(1)).alias("alt"))
+    return _t(spark, sf, "lineitem").select(
+        F.concat(F.lit("Chr"), _text_of(F.col("l_suppkey") % 12 + 1)).alias("chrom"), F.col("l_partkey").alias("pos")
+    ).distinct().select(
+        "chrom", "pos", F.substring(F.lit("ACGT"), i, F.lit(1)).alias("ref"),
+        F.substring(F.lit("CGTA"), i, F.lit(1)).alias("alt")
+    )
 
 
 def _text_of(c):
@@ -65,17 +70,29 @@ def _text_of(c):
 
 
 def _gwas(spark: SparkSession, sf: str) -> DataFrame:
-    raw = _t(spark, sf, "lineitem").select(F.concat(F.lit("chr_0"), _text_of(F.col("l_suppkey") % 12 + 1)).alias("Chromosome"), F.col("l_partkey").alias("Position"), F.col("l_returnflag").alias("Trait"), F.col("l_discount").alias("pvalue"))
+    raw = _t(spark, sf, "lineitem").select(
+        F.concat(F.lit("chr_0"), _text_of(F.col("l_suppkey") % 12 + 1)).alias("Chromosome"),
+        F.col("l_partkey").alias("Position"), F.col("l_returnflag").alias("Trait"), F.col("l_discount").alias("pvalue")
+    )
     return tables.gwas(raw, 0.01)
 
 
 def _qtl(spark: SparkSession, sf: str) -> DataFrame:
-    raw = _t(spark, sf, "part").select(_text_of(F.col("p_partkey") % 12 + 1).alias("Chromosome"), (F.col("p_partkey") + F.col("p_size")).alias("start_pos"), F.col("p_partkey").alias("end_pos"), F.when(F.col("p_size") % 3 == 0, "A").when(F.col("p_size") % 3 == 1, "N").otherwise("R").alias("Trait"), F.col("p_size").alias("LOD"))
+    raw = _t(spark, sf, "part").select(
+        _text_of(F.col("p_partkey") % 12 + 1).alias("Chromosome"),
+        (F.col("p_partkey") + F.col("p_size")).alias("start_pos"), F.col("p_partkey").alias("end_pos"),
+        F.when(F.col("p_size") % 3 == 0, "A").when(F.col("p_size") % 3 == 1, "N").otherwise("R").alias("Trait"),
+        F.col("p_size").alias("LOD")
+    )
     return tables.qtl(raw, min_lod=10)
 
 
 def _genes(spark: SparkSession, sf: str) -> DataFrame:
-    raw = _t(spark, sf, "supplier").select(F.concat(F.lit("Chr"), _text_of(F.col("s_suppkey") % 12 + 1)).alias("chrom"), (F.col("s_suppkey") * 20).alias("start"), (F.col("s_suppkey") * 20 + 15).alias("end"), F.lit("").alias("id"), F.col("s_name").alias("name"), F.lit("").alias("parent"))
+    raw = _t(spark, sf, "supplier").select(
+        F.concat(F.lit("Chr"), _text_of(F.col("s_suppkey") % 12 + 1)).alias("chrom"),
+        (F.col("s_suppkey") * 20).alias("start"), (F.col("s_suppkey") * 20 + 15).alias("end"), F.lit("").alias("id"),
+        F.col("s_name").alias("name"), F.lit("").alias("parent")
+    )
     return sites.extend_genes(raw, 5)
 
 
@@ -84,7 +101,10 @@ def _genes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT c_custkey, 'Chr' || coalesce(nullif(ltrim(regexp_extract(c_name, '([0-9]+)', 1), '0'), ''), '0') AS chrom, c_name || ':' || c_custkey AS site_id FROM customer")
 def std_chrom(spark, sf):
-    return _t(spark, sf, "customer").select("c_custkey", names.standard_chrom(F.col("c_name")).alias("chrom"), names.site_id(F.col("c_name"), F.col("c_custkey")).alias("site_id"))
+    return _t(spark, sf, "customer").select(
+        "c_custkey", names.standard_chrom(F.col("c_name")).alias("chrom"),
+        names.site_id(F.col("c_name"), F.col("c_custkey")).alias("site_id")
+    )
 
 
 @query("""
@@ -93,7 +113,12 @@ n AS (SELECT idx, raw_sample, 'sample_' || regexp_extract(raw_sample, '([0-9]+)'
 SELECT idx, raw_sample, CASE WHEN row_number() OVER (PARTITION BY base ORDER BY idx) > 1 THEN base || '_' || (idx + 1) ELSE base END AS sample FROM n
 """)
 def std_sample_dedupe(spark, sf):
-    raw = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("idx"), F.concat(F.lit("S_"), _text_of(F.col("s_suppkey") % 7), F.when(F.col("s_suppkey") % 5 == 0, "").otherwise("x")).alias("raw_sample"))
+    raw = _t(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("idx"),
+        F.concat(
+            F.lit("S_"), _text_of(F.col("s_suppkey") % 7), F.when(F.col("s_suppkey") % 5 == 0, "").otherwise("x")
+        ).alias("raw_sample")
+    )
     return genotypes.standard_samples(raw)
 
 
@@ -144,7 +169,9 @@ def gene_subset(spark, sf):
 @query(f"SELECT chrom, pos, row_number() OVER (ORDER BY substr(chrom, 4)::BIGINT, pos)::BIGINT AS place FROM ({_V})")
 def chrom_natural_sort(spark, sf):
     bins = [names.chrom_order(F.col("chrom")), F.shiftright(F.col("pos"), 10)]
-    return numbered(_variants(spark, sf), "place", bins, ["pos"]).select("chrom", "pos", F.col("place").cast("long").alias("place"))
+    return numbered(_variants(spark, sf), "place", bins, ["pos"]).select(
+        "chrom", "pos", F.col("place").cast("long").alias("place")
+    )
 
 
 # --- genotypes -----------------------------------------------------------------------------------------------
@@ -162,7 +189,11 @@ def _gt():
 
 
 def _calls(spark, sf):
-    return _t(spark, sf, "orders").select(F.col("o_orderkey").alias("ord"), F.concat(F.lit("Chr"), _text_of(F.col("o_custkey") % 5 + 1)).alias("chrom"), (F.col("o_custkey") % 40 + 1).alias("pos"), F.concat(F.lit("sample_"), _text_of(F.col("o_orderkey") % 9 + 1)).alias("sample"), _gt().alias("gt"))
+    return _t(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("ord"), F.concat(F.lit("Chr"), _text_of(F.col("o_custkey") % 5 + 1)).alias("chrom"),
+        (F.col("o_custkey") % 40 + 1).alias("pos"),
+        F.concat(F.lit("sample_"), _text_of(F.col("o_orderkey") % 9 + 1)).alias("sample"), _gt().alias("gt")
+    )
 
 
 def _long(spark, sf):
@@ -172,7 +203,11 @@ def _long(spark, sf):
 
 def _effects(spark, sf):
     p = _t(spark, sf, "part").where("p_size > 5")
-    return p.groupBy(F.concat(F.lit("Chr"), _text_of(F.col("p_partkey") % 5 + 1), F.lit(":"), _text_of(F.col("p_partkey") % 40 + 1)).alias("site_id")).agg(F.max(F.col("p_retailprice") / F.lit(1000.0)).alias("var_effect"))
+    return p.groupBy(
+        F.concat(
+            F.lit("Chr"), _text_of(F.col("p_partkey") % 5 + 1), F.lit(":"), _text_of(F.col("p_partkey") % 40 + 1)
+        ).alias("site_id")
+    ).agg(F.max(F.col("p_retailprice") / F.lit(1000.0)).alias("var_effect"))
 
 
 SAMPLES = [f"sample_{i}" for i in range(1, 10)]
@@ -190,7 +225,9 @@ def geno_long(spark, sf):
 
 @query(f"SELECT site_id, {', '.join(f'''coalesce(max(dosage) FILTER (sample = '{s}'), 0)::TINYINT AS {s}''' for s in SAMPLES)} FROM ({_LONG}) GROUP BY site_id")
 def geno_pivot(spark, sf):
-    return genotypes.wide(_long(spark, sf), ["site_id"], "sample", "dosage", SAMPLES, 0).select("site_id", *[F.col(s).cast("tinyint").alias(s) for s in SAMPLES])
+    return genotypes.wide(_long(spark, sf), ["site_id"], "sample", "dosage", SAMPLES, 0).select(
+        "site_id", *[F.col(s).cast("tinyint").alias(s) for s in SAMPLES]
+    )
 
 
 _COLUMNS = [f"Chr{c}:{p}" for c in range(1, 6) for p in range(1, 41)]
@@ -198,14 +235,23 @@ _COLUMNS = [f"Chr{c}:{p}" for c in range(1, 6) for p in range(1, 41)]
 
 @query(f"SELECT sample, {', '.join(f'''coalesce(max(dosage) FILTER (site_id = '{s}'), 0)::TINYINT AS \"{s}\"''' for s in _COLUMNS)} FROM ({_LONG}) GROUP BY sample")
 def geno_transpose(spark, sf):
-    return genotypes.wide(_long(spark, sf), ["sample"], "site_id", "dosage", _COLUMNS, 0).select("sample", *[F.col(f"`{s}`").cast("tinyint").alias(s) for s in _COLUMNS])
+    return genotypes.wide(_long(spark, sf), ["sample"], "site_id", "dosage", _COLUMNS, 0).select(
+        "sample", *[F.col(f"`{s}`").cast("tinyint").alias(s) for s in _COLUMNS]
+    )
 
 
 @query("SELECT o_custkey, arg_min(o_totalprice, o_orderkey) AS first_price, arg_max(o_totalprice, o_orderkey) AS last_price FROM orders GROUP BY 1")
 def first_last_wins(spark, sf):
     o = _t(spark, sf, "orders")
-    first = genotypes.first_by(o, ["o_custkey"], "o_orderkey").select("o_custkey", F.col("o_totalprice").alias("first_price"))
-    return first.join(genotypes.last_values(o, ["o_custkey"], "o_orderkey", "o_totalprice").withColumnRenamed("o_totalprice", "last_price"), "o_custkey")
+    first = genotypes.first_by(o, ["o_custkey"], "o_orderkey").select(
+        "o_custkey", F.col("o_totalprice").alias("first_price")
+    )
+    return first.join(
+        genotypes.last_values(
+            o, ["o_custkey"], "o_orderkey", "o_totalprice"
+        ).withColumnRenamed("o_totalprice", "last_price"),
+        "o_custkey"
+    )
 
 
 @query(f"WITH e AS ({_EFFECT}) SELECT g.site_id, g.sample, (g.dosage::FLOAT * coalesce(e.var_effect, 0)::FLOAT)::FLOAT AS value FROM ({_LONG}) g LEFT JOIN e USING (site_id)")
@@ -238,29 +284,42 @@ SELECT doc_id, upstream_seq || ref || downstream_seq AS ref_seq, upstream_seq ||
 """)
 def ref_alt_windows(spark, sf):
     d = _t(spark, sf, "documents").withColumn("pos", F.col("doc_id") % 40 + 1)
-    d = d.select("doc_id", F.col("doc_id").cast("string").alias("chrom"), "pos", F.upper(F.substring("text", F.col("pos").cast("int"), F.lit(2))).alias("ref"), F.lit("T").alias("alt"), "text")
+    d = d.select(
+        "doc_id", F.col("doc_id").cast("string").alias("chrom"), "pos",
+        F.upper(F.substring("text", F.col("pos").cast("int"), F.lit(2))).alias("ref"), F.lit("T").alias("alt"), "text"
+    )
     genome = d.select("chrom", F.col("text").alias("seq"))
     return effects.allele_windows(d.drop("text"), genome, 8).select("doc_id", "ref_seq", "alt_seq")
 
 
 @query("SELECT p_partkey, CASE WHEN length(r) = 1 AND length(a) = 1 THEN 'SNV' WHEN length(r) = length(a) THEN 'MNV' WHEN length(r) < length(a) THEN 'Insertion' ELSE 'Deletion' END AS variant_type FROM (SELECT p_partkey, substr(p_name, 1, (p_size % 3)::INT + 1) AS r, substr(p_type, 1, (p_partkey % 3)::INT + 1) AS a FROM part)")
 def variant_type(spark, sf):
-    r, a = F.substring("p_name", F.lit(1), F.col("p_size") % 3 + 1), F.substring("p_type", F.lit(1), (F.col("p_partkey") % 3).cast("int") + 1)
+    r, a = F.substring("p_name", F.lit(1), F.col("p_size") % 3 + 1), F.substring(
+        "p_type", F.lit(1), (F.col("p_partkey") % 3).cast("int") + 1
+    )
     return _t(spark, sf, "part").select("p_partkey", genotype.variant_type(r, a).alias("variant_type"))
 
 
 @query("SELECT p_partkey AS ord, 'Chr' || (p_partkey % 12 + 1) AS chrom, p_partkey AS pos, upper(p_type) AS ref, upper(unnest(string_split(replace(p_name, ' ', ','), ','))) AS alt FROM part")
 def vcf_alt_explode(spark, sf):
-    f = F.array(_text_of(F.col("p_partkey") % 12 + 1), _text("p_partkey"), F.lit("."), F.col("p_type"), F.replace("p_name", F.lit(" "), F.lit(",")))
+    f = F.array(
+        _text_of(F.col("p_partkey") % 12 + 1), _text("p_partkey"), F.lit("."), F.col("p_type"),
+        F.replace("p_name", F.lit(" "), F.lit(","))
+    )
     return vcf.all_alts(_t(spark, sf, "part").select(F.col("p_partkey").alias("ord"), f.alias("f")))
 
 
 @query("SELECT event_id, event_type AS name, (user_id % 5)::VARCHAR || ',' || (user_id % 5 + 5)::VARCHAR AS tags, 'e ' || event_id || '+x' AS note FROM events")
 def gff_attrs(spark, sf):
     low, high = _text_of(F.col("user_id") % 5), _text_of(F.col("user_id") % 5 + 5)
-    text = F.concat(F.lit("ID="), _text("event_id"), F.lit("; Name="), F.col("event_type"), F.lit(";tag="), high, F.lit(";tag="), low, F.lit(',;note "e%20'), _text("event_id"), F.lit('+x";junk'))
+    text = F.concat(
+        F.lit("ID="), _text("event_id"), F.lit("; Name="), F.col("event_type"), F.lit(";tag="), high, F.lit(";tag="),
+        low, F.lit(',;note "e%20'), _text("event_id"), F.lit('+x";junk')
+    )
     a = attributes.attributes(text)
-    return _t(spark, sf, "events").select("event_id", attributes.labels(a)[1].alias("name"), a["tag"].alias("tags"), a["note"].alias("note"))
+    return _t(spark, sf, "events").select(
+        "event_id", attributes.labels(a)[1].alias("name"), a["tag"].alias("tags"), a["note"].alias("note")
+    )
 
 
 _PAIRS = "SELECT a.vec_id, a.embedding AS x, b.embedding AS y FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"
@@ -270,7 +329,9 @@ _PAIRS = "SELECT a.vec_id, a.embedding AS x, b.embedding AS y FROM embeddings a
 def variant_effect_l2(spark, sf):
     e = _t(spark, sf, "embeddings")
     b = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("y"))
-    return e.join(b, "vec_id").select("vec_id", F.round(vectors.l2(F.col("embedding"), F.col("y")), 6).alias("var_effect"))
+    return e.join(b, "vec_id").select(
+        "vec_id", F.round(vectors.l2(F.col("embedding"), F.col("y")), 6).alias("var_effect")
+    )
 
 
 @query(f"SELECT vec_id, len(y) + len(x) + len(x) + 3 AS n, round(y[1]::DOUBLE, 6) AS first_alt, round((y[1] - x[1])::DOUBLE, 6) AS first_diff, (vec_id % 3 - vec_id % 5)::DOUBLE AS delta FROM ({_PAIRS})")
@@ -278,7 +339,11 @@ def feature_concat(spark, sf):
     e = _t(spark, sf, "embeddings")
     b = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("y"))
     v = vectors.features(F.col("embedding"), F.col("y"), "all", F.col("vec_id") % 5, F.col("vec_id") % 3)
-    return e.join(b, "vec_id").withColumn("v", v).select("vec_id", F.size("v").cast("long").alias("n"), F.round(F.col("v")[0].cast("double"), 6).alias("first_alt"), F.round(F.col("v")[128].cast("double"), 6).alias("first_diff"), F.element_at("v", -1).cast("double").alias("delta"))
+    return e.join(b, "vec_id").withColumn("v", v).select(
+        "vec_id", F.size("v").cast("long").alias("n"), F.round(F.col("v")[0].cast("double"), 6).alias("first_alt"),
+        F.round(F.col("v")[128].cast("double"), 6).alias("first_diff"),
+        F.element_at("v", -1).cast("double").alias("delta")
+    )
 
 
 @query(f"""
@@ -292,7 +357,10 @@ def apply_variants(spark, sf):
     t = F.col("text")
     at = lambda p, n: F.substring(t, p, n)
     v = lambda p, r, a, d: F.struct(F.lit(p).alias("pos"), r.alias("ref"), F.lit(a).alias("alt"), F.lit(d).alias("dosage"))
-    variants = F.array(v(120, at(20, 5), "", 2), v(110, at(10, 1), "XY", 1), v(110, at(10, 3), "ZZZ", 1), v(130, at(30, 2), "Q", 0), v(90, at(1, 1), "Q", 1))
+    variants = F.array(
+        v(120, at(20, 5), "", 2), v(110, at(10, 1), "XY", 1), v(110, at(10, 3), "ZZZ", 1), v(130, at(30, 2), "Q", 0),
+        v(90, at(1, 1), "Q", 1)
+    )
     d = _t(spark, sf, "documents")
     return d.select("doc_id", sequence.apply_variants(t, F.lit(101), variants).alias("seq"))
 
@@ -321,7 +389,10 @@ _MEANS = f"SELECT sample, location, round_even(avg(value) * 1000, 0) / 1000 AS v
 
 def _sheet(spark, sf):
     part = lambda k: F.max(F.when(F.col("event_id") % 4 == k, F.col("value")))
-    return _t(spark, sf, "events").groupBy(_text("user_id").alias("sample")).agg(part(0).alias("SPY_2019_north"), part(1).alias("SPY_2020_north"), part(2).alias("SPY_2019_south"), part(3).alias("SPY_2020_east"), F.count("*").alias("TGW_2020_east"))
+    return _t(spark, sf, "events").groupBy(_text("user_id").alias("sample")).agg(
+        part(0).alias("SPY_2019_north"), part(1).alias("SPY_2020_north"), part(2).alias("SPY_2019_south"),
+        part(3).alias("SPY_2020_east"), F.count("*").alias("TGW_2020_east")
+    )
 
 
 @query(_MELT)
@@ -341,23 +412,36 @@ def pheno_onehot(spark, sf):
 
 @query("SELECT c_custkey, c_name AS sample, c_acctbal AS value, n_orders FROM customer JOIN (SELECT o_custkey, count(*)::BIGINT AS n_orders FROM orders GROUP BY 1) ON o_custkey = c_custkey")
 def pheno_geno_merge(spark, sf):
-    p = _t(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("sample"), F.col("c_acctbal").alias("value"), F.col("c_custkey").alias("ord"))
-    g = _t(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders")).join(p.select(F.col("c_custkey").alias("o_custkey"), "sample"), "o_custkey").select("sample", "n_orders")
+    p = _t(spark, sf, "customer").select(
+        "c_custkey", F.col("c_name").alias("sample"), F.col("c_acctbal").alias("value"), F.col("c_custkey").alias("ord")
+    )
+    g = _t(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders")).join(
+        p.select(F.col("c_custkey").alias("o_custkey"), "sample"), "o_custkey"
+    ).select("sample", "n_orders")
     return tables.phenotype_genotype(p, g).select("c_custkey", "sample", "value", "n_orders")
 
 
 @query("SELECT c_custkey, c_name AS sample FROM customer WHERE c_name = 'Customer#000000012'")
 def one_sample(spark, sf):
-    return tables.sample_rows(_t(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("sample")), "Customer#000000012")
+    return tables.sample_rows(
+        _t(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("sample")), "Customer#000000012"
+    )
 
 
 def _importance(spark, sf):
-    return _t(spark, sf, "part").select(F.col("p_partkey").alias("ord"), F.concat(F.when(F.col("p_partkey") % 11 == 0, "loc_").otherwise("Chr1:"), _text("p_partkey")).alias("feature"), F.col("p_size").cast("double").alias("importance_gain"), (F.col("p_partkey") % 13).cast("double").alias("importance_split"))
+    return _t(spark, sf, "part").select(
+        F.col("p_partkey").alias("ord"),
+        F.concat(F.when(F.col("p_partkey") % 11 == 0, "loc_").otherwise("Chr1:"), _text("p_partkey")).alias("feature"),
+        F.col("p_size").cast("double").alias("importance_gain"),
+        (F.col("p_partkey") % 13).cast("double").alias("importance_split")
+    )
 
 
 @query("SELECT 'Chr1:' || p_partkey AS feature, row_number() OVER (ORDER BY p_size DESC, p_partkey % 13 DESC, p_partkey)::BIGINT AS place FROM part WHERE p_partkey % 11 <> 0 AND p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R') ORDER BY 2 LIMIT 10")
 def top_features(spark, sf):
-    wanted = _t(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.concat(F.lit("Chr1:"), _text("l_partkey")).alias("feature"))
+    wanted = _t(spark, sf, "lineitem").where("l_returnflag = 'R'").select(
+        F.concat(F.lit("Chr1:"), _text("l_partkey")).alias("feature")
+    )
     got = simulate.top_features(_importance(spark, sf), wanted, 10)
     return spark.createDataFrame([(f, i + 1) for i, f in enumerate(got)], "feature string, place long")
 
@@ -374,8 +458,12 @@ def _combo_sql() -> str:
     own = [_BASE[f] for f in _MUTABLE]
     target = sum(g * 3 ** (n - 1 - i) for i, g in enumerate(own))
     changed = [f"({x} <> {o})" for x, o in zip(d, own, strict=True)]
-    listed = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{f}' END" for c, f in zip(changed, _MUTABLE, strict=True)) + "], lambda x: x IS NOT NULL)"
-    pairs = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{f}:' || ({x}) END" for c, f, x in zip(changed, _MUTABLE, d, strict=True)) + "], lambda x: x IS NOT NULL)"
+    listed = "list_filter([" + ", ".join(
+        f"CASE WHEN {c} THEN '{f}' END" for c, f in zip(changed, _MUTABLE, strict=True)
+    ) + "], lambda x: x IS NOT NULL)"
+    pairs = "list_filter([" + ", ".join(
+        f"CASE WHEN {c} THEN '{f}:' || ({x}) END" for c, f, x in zip(changed, _MUTABLE, d, strict=True)
+    ) + "], lambda x: x IS NOT NULL)"
     total = " + ".join(f"{_EFFECTS[f]}::DOUBLE * {d[_MUTABLE.index(f)] if f in _MUTABLE else _BASE[f]}" for f in _FEATURES)
     return f"""SELECT CASE WHEN id = {target} THEN 's1' ELSE 's1_sim_' || lpad(id::VARCHAR, 6, '0') END AS sample, CASE WHEN id = {target} THEN 'original' ELSE 'sim_' || lpad(id::VARCHAR, 6, '0') END AS combination_id, id = {target} AS is_target, 's1' AS source_sample, CASE WHEN id = {target} THEN 'original' ELSE 'simulated' END AS source_type, len({listed})::INT AS mutated_feature_count, array_to_string({listed}, ';') AS mutated_features, array_to_string({pairs}, ';') AS mutated_feature_genotypes, {total} AS total FROM (SELECT range AS id FROM range({3**n}))"""
 
@@ -397,7 +485,10 @@ _OBS = "SELECT c_custkey AS ord, 's' || c_custkey AS sample, " + ", ".join(f'((c
 
 
 def _observed(spark, sf):
-    g = _t(spark, sf, "customer").select(F.col("c_custkey").alias("ord"), F.concat(F.lit("s"), _text("c_custkey")).alias("sample"), *[((F.col("c_custkey") + i) % 3).cast("tinyint").alias(f) for i, f in enumerate(_FEATURES)])
+    g = _t(spark, sf, "customer").select(
+        F.col("c_custkey").alias("ord"), F.concat(F.lit("s"), _text("c_custkey")).alias("sample"),
+        *[((F.col("c_custkey") + i) % 3).cast("tinyint").alias(f) for i, f in enumerate(_FEATURES)]
+    )
     return simulate.observed(g, _FEATURES, _EFFECTS, "s1")
 
 
@@ -422,8 +513,14 @@ FROM (SELECT loc_f, loc_hi, count(*)::BIGINT AS row_count, round(avg(value), 4)
 
 
 def _groups(spark, sf):
-    rows = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("ord"), F.col("o_totalprice").alias("value"), (F.col("o_orderstatus") == "F").cast("int").alias("loc_f"), F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int").alias("loc_hi"))
-    return simulate.location_groups(rows, ["loc_f", "loc_hi"]).withColumn("actual_value_mean", F.round("actual_value_mean", 4))
+    rows = _t(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("ord"), F.col("o_totalprice").alias("value"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("loc_f"),
+        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int").alias("loc_hi")
+    )
+    return simulate.location_groups(rows, ["loc_f", "loc_hi"]).withColumn(
+        "actual_value_mean", F.round("actual_value_mean", 4)
+    )
 
 
 @query(_GROUPS)
@@ -444,7 +541,9 @@ def loc_cross_rank(spark, sf):
 def rank_scale(spark, sf):
     o = _t(spark, sf, "orders")
     ends = o.agg(F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"))
-    return o.crossJoin(F.broadcast(ends)).select("o_orderkey", F.round(simulate.scale(F.col("o_totalprice"), F.col("lo"), F.col("hi"), 60, 840), 6).alias("x"))
+    return o.crossJoin(F.broadcast(ends)).select(
+        "o_orderkey", F.round(simulate.scale(F.col("o_totalprice"), F.col("lo"), F.col("hi"), 60, 840), 6).alias("x")
+    )
 
 
 # --- labels, metrics -----------------------------------------------------------------------------------------
@@ -457,13 +556,21 @@ SELECT v.chrom || ':' || v.pos || ':' || v.ref || '>' || v.alt AS site_id, v.chr
 """)
 def tsv_allele_semi(spark, sf):
     i = (F.col("p_partkey") % 4).cast("int") + 1
-    raw = _t(spark, sf, "part").select(_text_of(F.col("p_partkey") % 12 + 1).alias("CHR"), F.col("p_partkey").alias("Pos"), F.substring(F.lit("ACGT"), i, F.lit(1)).alias("ref_allele"), F.when(F.col("p_size") % 2 == 0, F.substring(F.lit("CGTA"), i, F.lit(1))).otherwise("NN").alias("alt_allele"), F.col("p_type").alias("variant_type"))
+    raw = _t(spark, sf, "part").select(
+        _text_of(F.col("p_partkey") % 12 + 1).alias("CHR"), F.col("p_partkey").alias("Pos"),
+        F.substring(F.lit("ACGT"), i, F.lit(1)).alias("ref_allele"),
+        F.when(F.col("p_size") % 2 == 0, F.substring(F.lit("CGTA"), i, F.lit(1))).otherwise("NN").alias("alt_allele"),
+        F.col("p_type").alias("variant_type")
+    )
     return vcf.labelled(_variants(spark, sf).withColumn("ord", F.lit(1)), tables.site_table(raw))
 
 
 @query(f"WITH v AS ({_V}) SELECT v.chrom || ':' || v.pos || ':' || v.ref || '>' || v.alt AS site_id, v.chrom, v.pos, v.ref, v.alt, 'SNV' AS variant_type FROM v WHERE (chrom, pos) IN (SELECT ('Chr' || (p_partkey % 12 + 1), p_partkey) FROM part)")
 def label_fallback(spark, sf):
-    raw = _t(spark, sf, "part").select(_text_of(F.col("p_partkey") % 12 + 1).alias("chrom"), F.col("p_partkey").alias("pos"), F.col("p_type").alias("variant_type"))
+    raw = _t(spark, sf, "part").select(
+        _text_of(F.col("p_partkey") % 12 + 1).alias("chrom"), F.col("p_partkey").alias("pos"),
+        F.col("p_type").alias("variant_type")
+    )
     return vcf.labelled(_variants(spark, sf).withColumn("ord", F.lit(1)), tables.site_table(raw))
 
 
@@ -493,7 +600,9 @@ _SCORED = "SELECT l.doc_id, l.quality AS y, (d.n_chars % 97)::DOUBLE / 97 AS sco
 
 def _scored(spark, sf):
     s = (F.col("n_chars") % 97).cast("double") / F.lit(97)
-    return _t(spark, sf, "labels").join(_t(spark, sf, "documents"), "doc_id").select("doc_id", F.col("quality").alias("y"), s.alias("score"), (s >= 0.5).cast("int").alias("pred"))
+    return _t(spark, sf, "labels").join(_t(spark, sf, "documents"), "doc_id").select(
+        "doc_id", F.col("quality").alias("y"), s.alias("score"), (s >= 0.5).cast("int").alias("pred")
+    )
 
 
 _AREA = f"""
@@ -504,7 +613,9 @@ c AS (SELECT *, sum(ph) OVER w AS tp, sum(nh) OVER w AS fp, sum(ph) OVER () AS p
 
 @query(_AREA + "SELECT round(sum(nh::DOUBLE * ((tp - ph)::DOUBLE + ph::DOUBLE / 2)) / (any_value(pos)::DOUBLE * any_value(neg)::DOUBLE), 9) AS roc_auc, round(sum(ph::DOUBLE * tp::DOUBLE / (tp + fp)::DOUBLE) / any_value(pos)::DOUBLE, 9) AS pr_auc FROM c")
 def roc_auc_avg_precision(spark, sf):
-    return metrics.areas(_scored(spark, sf)).select(F.round("roc_auc", 9).alias("roc_auc"), F.round("pr_auc", 9).alias("pr_auc"))
+    return metrics.areas(_scored(spark, sf)).select(
+        F.round("roc_auc", 9).alias("roc_auc"), F.round("pr_auc", 9).alias("pr_auc")
+    )
 
 
 @query(_AREA + "SELECT round(score, 9) AS threshold, round(fp::DOUBLE / neg, 9) AS fpr, round(tp::DOUBLE / pos, 9) AS tpr FROM c")
@@ -514,7 +625,9 @@ def roc_points(spark, sf):
 
 @query(_AREA + "SELECT round(score, 9) AS threshold, round(tp::DOUBLE / (tp + fp), 9) AS precision, round(tp::DOUBLE / pos, 9) AS recall FROM c")
 def pr_points(spark, sf):
-    return metrics.pr_points(_scored(spark, sf)).select(*[F.round(c, 9).alias(c) for c in ("threshold", "precision", "recall")])
+    return metrics.pr_points(_scored(spark, sf)).select(
+        *[F.round(c, 9).alias(c) for c in ("threshold", "precision", "recall")]
+    )
 
 
 _COUNTS = f"SELECT sum(y * pred)::DOUBLE AS tp, sum((1 - y) * pred)::DOUBLE AS fp, sum(y * (1 - pred))::DOUBLE AS fn, sum((1 - y) * (1 - pred))::DOUBLE AS tn FROM ({_SCORED})"
@@ -522,14 +635,19 @@ _COUNTS = f"SELECT sum(y * pred)::DOUBLE AS tp, sum((1 - y) * pred)::DOUBLE AS f
 
 @query(f"SELECT round((tp + tn) / (tp + tn + fp + fn), 9) AS accuracy, round((tp / (tp + fn) + tn / (tn + fp)) / 2, 9) AS balanced_accuracy, round(tp / (tp + fp), 9) AS precision, round(tp / (tp + fn), 9) AS recall, round(2 * tp / (2 * tp + fp + fn), 9) AS f1, round((tp * tn - fp * fn) / sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)), 9) AS mcc FROM ({_COUNTS})")
 def binary_metrics(spark, sf):
-    return metrics.binary_metrics(_scored(spark, sf)).select(*[F.round(c, 9).alias(c) for c in ("accuracy", "balanced_accuracy", "precision", "recall", "f1", "mcc")])
+    return metrics.binary_metrics(_scored(spark, sf)).select(
+        *[F.round(c, 9).alias(c) for c in ("accuracy", "balanced_accuracy", "precision", "recall", "f1", "mcc")]
+    )
 
 
 _MULTI = "SELECT vec_id, label AS y, CASE WHEN vec_id % 3 = 0 THEN (label + 1) % 10 ELSE label END AS pred FROM embeddings"
 
 
 def _multi(spark, sf):
-    return _t(spark, sf, "embeddings").select("vec_id", F.col("label").alias("y"), F.when(F.col("vec_id") % 3 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("pred"))
+    return _t(spark, sf, "embeddings").select(
+        "vec_id", F.col("label").alias("y"),
+        F.when(F.col("vec_id") % 3 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("pred")
+    )
 
 
 _REPORT = f"""
@@ -541,7 +659,9 @@ f AS (SELECT label, CASE WHEN predicted = 0 THEN 0 ELSE tp / predicted END AS pr
 
 @query(_REPORT + "SELECT label, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, support FROM f")
 def class_report(spark, sf):
-    return metrics.class_report(_multi(spark, sf)).select("label", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
+    return metrics.class_report(_multi(spark, sf)).select(
+        "label", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support"
+    )
 
 
 @query(_REPORT + "SELECT round((SELECT avg((y = pred)::INT) FROM m), 9) AS accuracy, round(avg(f1), 9) AS macro_f1, round(sum(f1 * support) / sum(support), 9) AS weighted_f1, round(avg(precision), 9) AS macro_precision, round(avg(recall), 9) AS macro_recall FROM f")
@@ -558,5 +678,9 @@ def confusion(spark, sf):
 
 @query(f"WITH p AS (SELECT doc_id % 5 AS fold, avg((y = pred)::INT) AS accuracy, avg(pred) AS rate FROM ({_SCORED}) GROUP BY 1), u AS (SELECT 'accuracy' AS metric, accuracy AS v FROM p UNION ALL SELECT 'rate', rate FROM p) SELECT metric, round(avg(v), 9) AS mean, round(stddev_pop(v), 9) AS std FROM u GROUP BY 1")
 def cv_summary(spark, sf):
-    folds = _scored(spark, sf).groupBy((F.col("doc_id") % 5).alias("fold")).agg(F.avg((F.col("y") == F.col("pred")).cast("double")).alias("accuracy"), F.avg("pred").alias("rate"))
-    return metrics.fold_summary(folds, ["accuracy", "rate"]).select("metric", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"))
+    folds = _scored(spark, sf).groupBy((F.col("doc_id") % 5).alias("fold")).agg(
+        F.avg((F.col("y") == F.col("pred")).cast("double")).alias("accuracy"), F.avg("pred").alias("rate")
+    )
+    return metrics.fold_summary(folds, ["accuracy", "rate"]).select(
+        "metric", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std")
+    )

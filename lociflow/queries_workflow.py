@@ -17,7 +17,9 @@ from lociflow.functions import names
 from lociflow.ml import metrics, models
 from lociflow.operators import checks, effects, genotypes, simulate, splits
 from lociflow.plans import builder, classifier, phenotypes, simulator
-from lociflow.queries import _AREA, _MEANS, _MULTI, _SCORED, _calls, _importance, _long, _multi, _scored, _sheet, _t, _text, _window_sql, query
+from lociflow.queries import (
+    _AREA, _MEANS, _MULTI, _SCORED, _calls, _importance, _long, _multi, _scored, _sheet, _t, _text, _window_sql, query,
+)
 from lociflow.sources import config, fasta, gff, sinks, tables, vcf, workspace
 
 # --- files -----------------------------------------------------------------------------------------------------
@@ -44,7 +46,9 @@ def _words(spark: SparkSession, sf: str) -> DataFrame:
     letter = lambda e: F.substring(F.lit("ACGT"), (F.expr(e) % 4).cast("int") + 1, F.lit(1))
     word = F.concat(letter("p * 7 + z"), letter("p + 1"), letter("z"), letter("p * 3"))
     rows = _t(spark, sf, "part").select(F.col("p_partkey").alias("p"), F.col("p_size").cast("long").alias("z"))
-    return rows.select("p", "z", (F.col("p") % 5 + 1).alias("c"), F.floor(F.col("p") / 5).alias("slot"), word.alias("word"))
+    return rows.select(
+        "p", "z", (F.col("p") % 5 + 1).alias("c"), F.floor(F.col("p") / 5).alias("slot"), word.alias("word")
+    )
 
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,8 +56,12 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
     w = _words(spark, sf)
     ref = F.when(F.col("p") % 7 == 3, F.substring("word", 2, 2)).otherwise(F.substring("word", 2, 1))
     other = F.translate(F.substring("word", 2, 1), "ACGT", "CGTA")
-    alt = F.when(F.col("p") % 6 == 1, F.concat(F.col("ref"), F.lit("GT"))).when(F.col("p") % 6 == 2, F.concat(F.col("other"), F.lit(",ttt"))).when(F.col("p") % 6 == 3, ".").otherwise(F.col("other"))
-    rows = w.select("p", "z", "c", (F.col("slot") * 4 + 2).alias("pos"), ref.alias("ref"), other.alias("other")).withColumn("alt", alt).drop("other")
+    alt = F.when(F.col("p") % 6 == 1, F.concat(F.col("ref"), F.lit("GT"))).when(
+        F.col("p") % 6 == 2, F.concat(F.col("other"), F.lit(",ttt"))
+    ).when(F.col("p") % 6 == 3, ".").otherwise(F.col("other"))
+    rows = w.select(
+        "p", "z", "c", (F.col("slot") * 4 + 2).alias("pos"), ref.alias("ref"), other.alias("other")
+    ).withColumn("alt", alt).drop("other")
     again = rows.where("p % 13 = 0").withColumn("alt", F.lit("CC")).withColumn("dup", F.lit(1))
     return rows.withColumn("dup", F.lit(0)).unionByName(again)
 
@@ -69,40 +77,77 @@ def _files(spark: SparkSession, sf: str) -> str:
 def _write_files(spark: SparkSession, sf: str) -> str:
     d = workspace.folder(spark, "genome")
     w = _words(spark, sf)
-    whole = w.groupBy("c").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "word"))), lambda x: x["word"]), "").alias("seq"))
+    whole = w.groupBy("c").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("p", "word"))), lambda x: x["word"]), ""
+        ).alias("seq")
+    )
     head = F.format_string(">chr_%02d made of parts\n", "c")
-    cut = F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / 70)), lambda i: F.col("seq").substr(i * 70 + 1, F.lit(70))), "\n")
+    cut = F.array_join(
+        F.transform(
+            F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / 70)),
+            lambda i: F.col("seq").substr(i * 70 + 1, F.lit(70))
+        ),
+        "\n"
+    )
     more = spark.createDataFrame([(99, ">1 later\nAAAA"), (100, ">scaffold\nTTTT")], "c long, value string")
     _text_file(whole.select("c", F.concat(head, cut).alias("value")).unionByName(more), "c").write.text(f"{d}/g.fa")
 
     r = _records(spark, sf)
     gts = F.array(*map(F.lit, GTS))
-    calls = [F.element_at(gts, ((F.col("p") + 3 * i + F.col("z") + F.col("dup")) % 8).cast("int") + 1) for i in range(len(RAW_SAMPLES))]
+    calls = [
+        F.element_at(
+            gts, ((F.col("p") + 3 * i + F.col("z") + F.col("dup")) % 8).cast("int") + 1
+        ) for i in range(len(RAW_SAMPLES))
+    ]
     plain = F.col("p") % 11 == 0
     cells = [F.when(plain, "9").otherwise(F.concat(F.lit("9:"), x)) for x in calls]
     chrom = F.when(F.col("p") % 2 == 0, F.col("c").cast("string")).otherwise(F.concat(F.lit("chr0"), F.col("c")))
-    line = F.concat_ws("\t", chrom, F.col("pos").cast("string"), F.lit("."), F.col("ref"), F.col("alt"), F.lit("."), F.lit("."), F.lit("."), F.when(plain, "DP").otherwise("DP:GT"), *cells)
-    top = [(-2, 0, "##fileformat=VCFv4.2"), (-1, 0, "\t".join(("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *RAW_SAMPLES)))]
-    lines = spark.createDataFrame(top, "p long, dup int, value string").unionByName(r.select("p", "dup", line.alias("value")))
+    line = F.concat_ws(
+        "\t", chrom, F.col("pos").cast("string"), F.lit("."), F.col("ref"), F.col("alt"), F.lit("."), F.lit("."),
+        F.lit("."), F.when(plain, "DP").otherwise("DP:GT"), *cells
+    )
+    top = [
+        (-2, 0, "##fileformat=VCFv4.2"),
+        (-1, 0, "\t".join(("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *RAW_SAMPLES)))
+    ]
+    lines = spark.createDataFrame(top, "p long, dup int, value string").unionByName(
+        r.select("p", "dup", line.alias("value"))
+    )
     _text_file(lines, "p", "dup").write.text(f"{d}/v.vcf")
 
-    s = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("s"), "s_name", F.col("s_nationkey").cast("long").alias("n")).withColumn("c", F.col("s") % 5 + 1).withColumn("at", F.floor(F.col("s") / 5) * 40)
+    s = _t(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("s"), "s_name", F.col("s_nationkey").cast("long").alias("n")
+    ).withColumn("c", F.col("s") % 5 + 1).withColumn("at", F.floor(F.col("s") / 5) * 40)
     gene = lambda kind, more: s.select("s", F.lit(kind).alias("kind"), F.concat_ws("\t", F.concat(F.lit("Chr"), F.col("c")), F.lit("made"), F.lit(kind), F.col("at") + 5, F.col("at") + 29 + more, F.lit("."), F.lit("+"), F.lit("."), F.concat(F.lit("ID="), F.col("s_name"), F.lit(f";Name={kind}%20of%20"), F.col("s"))).alias("value"))
     # Some genes have a second record, further to the right and with another name.
     again = gene("gene", 6).where("s % 4 = 0").withColumn("kind", F.lit("h"))
     again = again.withColumn("value", F.replace("value", F.lit("Name=gene"), F.lit("Name=again")))
     note = spark.createDataFrame([(-1, "", "##gff-version 3")], "s long, kind string, value string")
-    _text_file(note.unionByName(gene("gene", 0)).unionByName(again).unionByName(gene("mRNA", 2)), "s", "kind").write.text(f"{d}/a.gff3")
+    _text_file(
+        note.unionByName(gene("gene", 0)).unionByName(again).unionByName(gene("mRNA", 2)), "s", "kind"
+    ).write.text(f"{d}/a.gff3")
 
     p = _words(spark, sf)
     trait = F.when(F.col("z") % 3 == 0, "A").when(F.col("z") % 3 == 1, "N").otherwise(" R ")
-    gwas = p.where("z < 30").select(F.when(F.col("p") % 17 == 0, "scaffold").otherwise(F.concat(F.lit("chr"), F.col("c"))).alias("Chromosome"), (F.col("slot") * 4 + 2).alias("Position"), F.trim(trait).alias("Trait"), (F.col("z") / 100).alias("pvalue"))
+    gwas = p.where("z < 30").select(
+        F.when(F.col("p") % 17 == 0, "scaffold").otherwise(F.concat(F.lit("chr"), F.col("c"))).alias("Chromosome"),
+        (F.col("slot") * 4 + 2).alias("Position"), F.trim(trait).alias("Trait"), (F.col("z") / 100).alias("pvalue")
+    )
     sinks.save_csv(gwas, f"{d}/gwas.csv")
     left, right = F.col("at") + 11, F.col("at") + 11 + 2 * F.col("n")
     odd = F.col("s") % 2 == 1
-    qtl = s.select(F.col("c").alias("Chromosome"), F.when(odd, right).otherwise(left).alias("start_pos"), F.when(odd, left).otherwise(right).alias("end_pos"), F.element_at(F.array(*map(F.lit, "ANR")), (F.col("s") % 3).cast("int") + 1).alias("Trait"), F.col("n").alias("LOD"))
+    qtl = s.select(
+        F.col("c").alias("Chromosome"), F.when(odd, right).otherwise(left).alias("start_pos"),
+        F.when(odd, left).otherwise(right).alias("end_pos"),
+        F.element_at(F.array(*map(F.lit, "ANR")), (F.col("s") % 3).cast("int") + 1).alias("Trait"),
+        F.col("n").alias("LOD")
+    )
     sinks.save_csv(qtl, f"{d}/qtl.csv")
-    site = _records(spark, sf).where("dup = 0 AND z % 2 = 0").select(F.col("c").alias("chr"), "pos", F.lower("ref").alias("ref_allele"), F.substring_index("alt", ",", 1).alias("alt_allele"), F.concat(F.lit("t"), F.col("z") % 3).alias("variant_type"))
+    site = _records(spark, sf).where("dup = 0 AND z % 2 = 0").select(
+        F.col("c").alias("chr"), "pos", F.lower("ref").alias("ref_allele"),
+        F.substring_index("alt", ",", 1).alias("alt_allele"), F.concat(F.lit("t"), F.col("z") % 3).alias("variant_type")
+    )
     sinks.save_csv(site.where("alt_allele <> '.'"), f"{d}/sites.tsv", "\t")
     return d
 
@@ -188,19 +233,28 @@ def _long_of(matrix: DataFrame, key: str, name: str, value: str, kind: str) -> D
 @query(_BASE + f"z AS (SELECT 1) SELECT {_NAME}, qtl_trait, gwas_trait FROM st")
 def built_sites(spark, sf):
     out = _csv(spark, _built(spark, sf)[1]["sites_union_or_intersect"])
-    return out.select("chrom", F.col("pos").cast("long").alias("pos"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("qtl_trait", "gwas_trait")])
+    return out.select(
+        "chrom", F.col("pos").cast("long").alias("pos"),
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("qtl_trait", "gwas_trait")]
+    )
 
 
 @query(_EFFECTS + f"z AS (SELECT 1) SELECT {_NAME}, {_SITE}, var_effect FROM e")
 def built_site_effects(spark, sf):
     out = _csv(spark, _built(spark, sf)[1]["all_site_variant_effect"])
-    return out.select("chrom", F.col("pos").cast("long").alias("pos"), "site_id", F.round(F.col("var_effect").cast("double"), 6).alias("var_effect"))
+    return out.select(
+        "chrom", F.col("pos").cast("long").alias("pos"), "site_id",
+        F.round(F.col("var_effect").cast("double"), 6).alias("var_effect")
+    )
 
 
 @query(_GENES + f"z AS (SELECT 1) SELECT {_NAME}, qtl_trait, gwas_trait, gene_id FROM gx")
 def built_gene_sites(spark, sf):
     out = _csv(spark, _built(spark, sf)[1]["sites_in_gene"])
-    return out.select("chrom", F.col("pos").cast("long").alias("pos"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("qtl_trait", "gwas_trait")], "gene_id")
+    return out.select(
+        "chrom", F.col("pos").cast("long").alias("pos"),
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("qtl_trait", "gwas_trait")], "gene_id"
+    )
 
 
 @query(_GENES + f"z AS (SELECT 1) SELECT {_SITE}, var_effect FROM e JOIN k USING (c, pos)")
@@ -209,14 +263,20 @@ def built_gene_site_effects(spark, sf):
     return out.select("site_id", F.round(F.col("var_effect").cast("double"), 6).alias("var_effect"))
 
 
-@query("SELECT unnest([" + ", ".join(f"{{'raw_sample': '{a}', 'sample': '{b}'}}" for a, b in zip(RAW_SAMPLES, SAMPLES, strict=True)) + "], recursive := true)")
+@query(
+    "SELECT unnest([" + ", ".join(
+        f"{{'raw_sample': '{a}', 'sample': '{b}'}}" for a, b in zip(RAW_SAMPLES, SAMPLES, strict=True)
+    ) + "], recursive := true)"
+)
 def built_samples(spark, sf):
     return _csv(spark, _built(spark, sf)[1]["sample_mapping"])
 
 
 @query(_GENES + f"z AS (SELECT 1) SELECT {_SITE}, sample, dosage FROM d")
 def built_genotypes(spark, sf):
-    return _long_of(spark.read.parquet(_built(spark, sf)[1]["genotype_sample_by_site"]), "sample", "site_id", "dosage", "tinyint")
+    return _long_of(
+        spark.read.parquet(_built(spark, sf)[1]["genotype_sample_by_site"]), "sample", "site_id", "dosage", "tinyint"
+    )
 
 
 @query(_GENES + f"z AS (SELECT 1) SELECT {_SITE}, sample, dosage FROM d")
@@ -227,7 +287,10 @@ def built_genotypes_by_site(spark, sf):
 
 @query(_GENES + f"z AS (SELECT 1) SELECT {_SITE}, sample, round(dosage * var_effect, 4) AS value FROM d JOIN e USING (c, pos)")
 def built_effect_matrix(spark, sf):
-    out = _long_of(spark.read.parquet(_built(spark, sf)[1]["variant_effect_sample_by_site"]), "sample", "site_id", "value", "double")
+    out = _long_of(
+        spark.read.parquet(_built(spark, sf)[1]["variant_effect_sample_by_site"]), "sample", "site_id", "value",
+        "double"
+    )
     return out.withColumn("value", F.round("value", 4))
 
 
@@ -244,7 +307,9 @@ sq AS (SELECT gene_id, sample, any_value(ref_seq) AS ref_seq, string_agg(x, '' O
 
 @query(_GENE_MATRIX + f"z AS (SELECT 1) SELECT gene_id, sample, round({_distance('seq', 'ref_seq')}, 6) AS value FROM sq")
 def built_gene_features(spark, sf):
-    out = _long_of(spark.read.parquet(_built(spark, sf)[1]["gene_feature_sample_by_gene"]), "sample", "gene_id", "value", "double")
+    out = _long_of(
+        spark.read.parquet(_built(spark, sf)[1]["gene_feature_sample_by_gene"]), "sample", "gene_id", "value", "double"
+    )
     return out.withColumn("value", F.round("value", 6))
 
 
@@ -253,7 +318,9 @@ def gene_sequences(spark, sf):
     """The sequences of the samples that carry a variant of a gene."""
     c, _ = _built(spark, sf)
     stage = lambda name: spark.read.parquet(f"{c.outdir}/stages/{name}")
-    return effects.gene_sequences(stage("gene_sites"), stage("genotypes"), fasta.genome(fasta.read(spark, c.fasta_path)))
+    return effects.gene_sequences(
+        stage("gene_sites"), stage("genotypes"), fasta.genome(fasta.read(spark, c.fasta_path))
+    )
 
 
 @query(_GENES + f"z AS (SELECT 1) SELECT 'genotype_012' AS name, count(*) AS cells, sum(dosage)::DOUBLE AS total, {len(SAMPLES)} AS samples, ceil({len(SAMPLES)} * 0.4::DOUBLE)::INT AS tested FROM d")
@@ -261,9 +328,14 @@ def built_splits(spark, sf):
     """Both parts of the genotype matrix, one read as CSV and one as Parquet, hold all of it between them."""
     out = _built(spark, sf)[1]
     train, test = _csv(spark, out["train_val_genotype_012_csv"]), spark.read.parquet(out["test_genotype_012_parquet"])
-    rows = _long_of(train, "sample", "site_id", "dosage", "int").withColumn("tested", F.lit(0)).unionByName(_long_of(test, "sample", "site_id", "dosage", "int").withColumn("tested", F.lit(1)))
+    rows = _long_of(train, "sample", "site_id", "dosage", "int").withColumn("tested", F.lit(0)).unionByName(
+        _long_of(test, "sample", "site_id", "dosage", "int").withColumn("tested", F.lit(1))
+    )
     tested = F.count_distinct(F.when(F.col("tested") == 1, F.col("sample"))).cast("int")
-    return rows.agg(F.lit("genotype_012").alias("name"), F.count("*").alias("cells"), F.sum("dosage").cast("double").alias("total"), F.count_distinct("sample").cast("int").alias("samples"), tested.alias("tested"))
+    return rows.agg(
+        F.lit("genotype_012").alias("name"), F.count("*").alias("cells"), F.sum("dosage").cast("double").alias("total"),
+        F.count_distinct("sample").cast("int").alias("samples"), tested.alias("tested")
+    )
 
 
 @query(_BASE + "z AS (SELECT 1) SELECT 'Chr' || c AS chrom, pos, ref, alt, qtl_trait, gwas_trait, 0 AS made_again FROM st")
@@ -284,15 +356,24 @@ def scored_variants(spark, sf):
         return out
 
     out = _csv(spark, _once(spark, sf, "scored", make) + "/all_variant_effects.csv")
-    return out.select("chrom", F.col("pos").cast("long").alias("pos"), "site_id", F.round(F.col("var_effect").cast("double"), 6).alias("var_effect"))
+    return out.select(
+        "chrom", F.col("pos").cast("long").alias("pos"), "site_id",
+        F.round(F.col("var_effect").cast("double"), 6).alias("var_effect")
+    )
 
 
 # --- readers and windows ---------------------------------------------------------------------------------------
 
 
-@query(_BASE + "z AS (SELECT 1) SELECT 'Chr' || c AS chromosome, off + 5 AS start, off + 29 AS \"end\", 'mRNA' AS feature, s_name AS id, 'mRNA of ' || s AS name FROM s WHERE true UNION ALL SELECT 'Chr' || c, off + 5, off + 29, 'gene', s_name, 'gene of ' || s FROM s UNION ALL SELECT 'Chr' || c, off + 5, off + 35, 'gene', s_name, 'again of ' || s FROM s WHERE s % 4 = 0".replace("off + 29 AS", "off + 31 AS"))
+@query(
+    _BASE + "z AS (SELECT 1) SELECT 'Chr' || c AS chromosome, off + 5 AS start, off + 29 AS \"end\", 'mRNA' AS feature, s_name AS id, 'mRNA of ' || s AS name FROM s WHERE true UNION ALL SELECT 'Chr' || c, off + 5, off + 29, 'gene', s_name, 'gene of ' || s FROM s UNION ALL SELECT 'Chr' || c, off + 5, off + 35, 'gene', s_name, 'again of ' || s FROM s WHERE s % 4 = 0".replace(
+        "off + 29 AS", "off + 31 AS"
+    )
+)
 def gff_scan(spark, sf):
-    return gff.read(spark, f"{_files(spark, sf)}/a.gff3", ["gene", "mRNA", "gene"]).select("chromosome", "start", "end", "feature", "id", "name")
+    return gff.read(
+        spark, f"{_files(spark, sf)}/a.gff3", ["gene", "mRNA", "gene"]
+    ).select("chromosome", "start", "end", "feature", "id", "name")
 
 
 @query(_BASE + "z AS (SELECT 1) SELECT 'Chr' || c AS chromosome, off + 5 AS start, off + 29 + CASE WHEN s % 4 = 0 THEN 6 ELSE 0 END AS \"end\", s_name AS id, 'gene of ' || s AS name FROM s")
@@ -328,8 +409,13 @@ _LONG_REF = _BASE + f"x AS (SELECT p, w.c, slot * 4 + 2 AS pos, substr(seq, (slo
 def piecewise_windows(spark, sf):
     """Reference alleles of up to 90 bases over pieces of 50 that reach 20 over their ends."""
     whole = _once(spark, sf, "genome", lambda: fasta.genome(fasta.read(spark, f"{_files(spark, sf)}/g.fa")))
-    v = _words(spark, sf).select("p", F.concat(F.lit("Chr"), F.col("c")).alias("chrom"), (F.col("slot") * 4 + 2).alias("pos"), F.lit("T").alias("alt"))
-    v = v.join(whole, "chrom").withColumn("ref", F.expr("substring(seq, cast(pos as int), cast(1 + p % 90 as int))")).drop("seq")
+    v = _words(spark, sf).select(
+        "p", F.concat(F.lit("Chr"), F.col("c")).alias("chrom"), (F.col("slot") * 4 + 2).alias("pos"),
+        F.lit("T").alias("alt")
+    )
+    v = v.join(whole, "chrom").withColumn(
+        "ref", F.expr("substring(seq, cast(pos as int), cast(1 + p % 90 as int))")
+    ).drop("seq")
     return effects.allele_windows(v, fasta.pieces(whole, 50, 20), 12).select("p", "ref_seq", "alt_seq")
 
 
@@ -340,14 +426,23 @@ _TABLE = [f"Chr{c}:{p}" for c in range(1, 6) for p in range(1, 41)]
 def geno_sites(spark, sf):
     """Genotypes of the sites of some customers alone."""
     c = _t(spark, sf, "customer").where("c_nationkey = 3")
-    wanted = c.select(F.concat(F.lit("Chr"), (F.col("c_custkey") % 5 + 1).cast("string")).alias("chrom"), (F.col("c_custkey") % 40 + 1).alias("pos"))
+    wanted = c.select(
+        F.concat(F.lit("Chr"), (F.col("c_custkey") % 5 + 1).cast("string")).alias("chrom"),
+        (F.col("c_custkey") % 40 + 1).alias("pos")
+    )
     return genotypes.long_genotypes(_calls(spark, sf), wanted).select("site_id", "sample", "dosage")
 
 
 @query("SELECT c_name AS sample, f.k AS site_id, f.v::TINYINT AS dosage FROM (SELECT c_name, unnest([{'k': 'Chr1:10', 'v': c_custkey % 3}, {'k': 'Chr2:7', 'v': c_nationkey % 3}]) AS f FROM customer)")
 def genotype_table(spark, sf):
-    raw = _t(spark, sf, "customer").select(F.concat(F.lit(" "), "c_name").alias("sample"), F.col("c_custkey").alias("ord"), _text_of("c_custkey % 3").alias("Chr1:10"), _text_of("c_nationkey % 3").alias("Chr2:7"))
-    return _long_of(tables.genotypes(raw.select("sample", "Chr1:10", "Chr2:7", "ord")).drop("ord"), "sample", "site_id", "dosage", "tinyint")
+    raw = _t(spark, sf, "customer").select(
+        F.concat(F.lit(" "), "c_name").alias("sample"), F.col("c_custkey").alias("ord"),
+        _text_of("c_custkey % 3").alias("Chr1:10"), _text_of("c_nationkey % 3").alias("Chr2:7")
+    )
+    return _long_of(
+        tables.genotypes(raw.select("sample", "Chr1:10", "Chr2:7", "ord")).drop("ord"), "sample", "site_id", "dosage",
+        "tinyint"
+    )
 
 
 def _text_of(expression: str):
@@ -356,18 +451,31 @@ def _text_of(expression: str):
 
 @query("SELECT c_custkey AS ord, c_name AS sample, c_acctbal AS value, (c_nationkey < 9)::INT AS loc_low, (c_nationkey >= 9)::INT AS loc_high FROM customer")
 def phenotype_table(spark, sf):
-    raw = _t(spark, sf, "customer").select(F.col("c_custkey").alias("ord"), F.concat("c_name", F.lit(" ")).alias("sample"), _text("c_acctbal").alias("value"), _text_of("cast(c_nationkey < 9 as double)").alias("loc_low"), _text_of("cast(c_nationkey >= 9 as double)").alias("loc_high"))
+    raw = _t(spark, sf, "customer").select(
+        F.col("c_custkey").alias("ord"), F.concat("c_name", F.lit(" ")).alias("sample"),
+        _text("c_acctbal").alias("value"), _text_of("cast(c_nationkey < 9 as double)").alias("loc_low"),
+        _text_of("cast(c_nationkey >= 9 as double)").alias("loc_high")
+    )
     return tables.phenotypes(raw)
 
 
 @query("SELECT p_partkey AS ord, CASE WHEN p_partkey % 11 = 0 THEN 'loc_' ELSE 'Chr1:' END || p_partkey AS feature, p_size::DOUBLE AS importance_gain, (p_partkey % 13)::DOUBLE AS importance_split FROM part")
 def importance_table(spark, sf):
-    return tables.importance(_importance(spark, sf).select("ord", "feature", _text("importance_gain").alias("importance_gain"), _text("importance_split").alias("importance_split")))
+    return tables.importance(
+        _importance(spark, sf).select(
+            "ord", "feature", _text("importance_gain").alias("importance_gain"),
+            _text("importance_split").alias("importance_split")
+        )
+    )
 
 
 @query("SELECT 'Chr' || (p_partkey % 7) || ':1' AS site_id, arg_max(p_retailprice, p_partkey) AS effect FROM part GROUP BY 1")
 def effect_table(spark, sf):
-    raw = _t(spark, sf, "part").select(F.col("p_partkey").alias("ord"), F.lit("Chr1").alias("Chromosome"), F.lit("1").alias("Position"), F.concat(F.lit("Chr"), _text_of("p_partkey % 7"), F.lit(":1")).alias("site_id"), _text("p_retailprice").alias("var_effect"))
+    raw = _t(spark, sf, "part").select(
+        F.col("p_partkey").alias("ord"), F.lit("Chr1").alias("Chromosome"), F.lit("1").alias("Position"),
+        F.concat(F.lit("Chr"), _text_of("p_partkey % 7"), F.lit(":1")).alias("site_id"),
+        _text("p_retailprice").alias("var_effect")
+    )
     return tables.last_effects(raw)
 
 
@@ -385,13 +493,18 @@ def sample_split(spark, sf):
     """How many samples of each part there are, and how many of them were set apart."""
     c = {r["c_name"]: r["c_nationkey"] == 3 for r in _t(spark, sf, "customer").orderBy("c_custkey").select("c_name", "c_nationkey").collect()}
     train, test = splits.split_samples(list(c), [k for k, v in c.items() if v], 0.2)
-    return spark.createDataFrame([(name, sum(c[s] for s in part), len(set(part))) for name, part in (("test", test), ("train_val", train))], "split string, isolated long, samples long")
+    return spark.createDataFrame(
+        [(name, sum(c[s] for s in part), len(set(part))) for name, part in (("test", test), ("train_val", train))],
+        "split string, isolated long, samples long"
+    )
 
 
 # --- embeddings, classes, predictions ---------------------------------------------------------------------------
 
 
-@query("SELECT sha1(text) AS seq_sha1, " + ", ".join(f"round((CASE WHEN n = 0 THEN 0 ELSE n{x} / n END)::FLOAT::DOUBLE, 6) AS f{x}" for x in "acgt") + " FROM (SELECT text, " + ", ".join(f"(length(text) - length(translate(lower(text), '{x}', '')))::DOUBLE AS n{x}" for x in "acgt") + ", na + nc + ng + nt AS n FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL))")
+@query(
+    "SELECT sha1(text) AS seq_sha1, " + ", ".join(f"round((CASE WHEN n = 0 THEN 0 ELSE n{x} / n END)::FLOAT::DOUBLE, 6) AS f{x}" for x in "acgt") + " FROM (SELECT text, " + ", ".join(f"(length(text) - length(translate(lower(text), '{x}', '')))::DOUBLE AS n{x}" for x in "acgt") + ", na + nc + ng + nt AS n FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL))"
+)
 def seq_cache_dedupe(spark, sf):
     """The cache after two calls: every distinct sequence has been embedded once."""
 
@@ -403,7 +516,9 @@ def seq_cache_dedupe(spark, sf):
         return path
 
     rows = spark.read.parquet(_once(spark, sf, "cache", make))
-    return rows.select("seq_sha1", *[F.round(F.col("embedding")[i].cast("double"), 6).alias(f"f{x}") for i, x in enumerate("acgt")])
+    return rows.select(
+        "seq_sha1", *[F.round(F.col("embedding")[i].cast("double"), 6).alias(f"f{x}") for i, x in enumerate("acgt")]
+    )
 
 
 _LABELLED = _BASE + f"""
@@ -416,7 +531,9 @@ lb AS (SELECT c, pos, ref, alt, variant_type FROM al JOIN t USING (c, pos, ref,
 def _prepared(spark: SparkSession, sf: str) -> str:
     def make():
         d, out = _files(spark, sf), workspace.folder(spark, "classes")
-        c = classifier.ClassifierConfig(f"{d}/sites.tsv", f"{d}/v.vcf", f"{d}/g.fa", out, k=K, embedder_options={"k": 1}, min_class_size=2)
+        c = classifier.ClassifierConfig(
+            f"{d}/sites.tsv", f"{d}/v.vcf", f"{d}/g.fa", out, k=K, embedder_options={"k": 1}, min_class_size=2
+        )
         classifier.prepare(spark, c)
         return out
 
@@ -428,17 +545,23 @@ _ALLELE_ID = "'Chr' || c || ':' || pos || ':' || ref || '>' || alt AS site_id"
 
 @query(_LABELLED + f"z AS (SELECT 1) SELECT {_ALLELE_ID}, variant_type, up || ref || down AS ref_seq, up || alt || down AS alt_seq FROM (SELECT x.*, {_window_sql(f'x.pos - {K}', 'x.pos - 1', 'g.seq')} AS up, {_window_sql('x.pos + length(x.ref)', f'x.pos + length(x.ref) + {K - 1}', 'g.seq')} AS down FROM lb x JOIN g USING (c))")
 def class_sequences(spark, sf):
-    return _csv(spark, f"{_prepared(spark, sf)}/variant_sequences.tsv", "\t").select("site_id", "variant_type", "ref_seq", "alt_seq")
+    return _csv(
+        spark, f"{_prepared(spark, sf)}/variant_sequences.tsv", "\t"
+    ).select("site_id", "variant_type", "ref_seq", "alt_seq")
 
 
 @query(_LABELLED + f"z AS (SELECT 1) SELECT {_ALLELE_ID}, variant_type, (dense_rank() OVER (ORDER BY variant_type) - 1)::INT AS label_id FROM lb")
 def class_labels(spark, sf):
-    return _csv(spark, f"{_prepared(spark, sf)}/labels.tsv", "\t").select("site_id", "variant_type", F.col("label_id").cast("int").alias("label_id"))
+    return _csv(spark, f"{_prepared(spark, sf)}/labels.tsv", "\t").select(
+        "site_id", "variant_type", F.col("label_id").cast("int").alias("label_id")
+    )
 
 
 @query(_LABELLED + "z AS (SELECT 1) SELECT variant_type, count(*) AS count FROM lb GROUP BY 1")
 def class_distribution(spark, sf):
-    return _csv(spark, f"{_prepared(spark, sf)}/label_distribution.tsv", "\t").select("variant_type", F.col("count").cast("long").alias("count"))
+    return _csv(
+        spark, f"{_prepared(spark, sf)}/label_distribution.tsv", "\t"
+    ).select("variant_type", F.col("count").cast("long").alias("count"))
 
 
 _SEQS = f"(SELECT x.*, {_window_sql(f'x.pos - {K}', 'x.pos - 1', 'g.seq')} AS up, {_window_sql('x.pos + length(x.ref)', f'x.pos + length(x.ref) + {K - 1}', 'g.seq')} AS down FROM lb x JOIN g USING (c))"
@@ -448,7 +571,11 @@ _SEQS = f"(SELECT x.*, {_window_sql(f'x.pos - {K}', 'x.pos - 1', 'g.seq')} AS up
 def class_features(spark, sf):
     rows = spark.read.parquet(f"{_prepared(spark, sf)}/features.parquet")
     part = lambda i: F.col("features")[i].cast("double")
-    return rows.select("site_id", F.size("features").alias("n"), F.round(part(0), 6).alias("alt_a"), F.round(part(4), 6).alias("ref_a"), F.round(part(11), 6).alias("diff_t"), part(12).alias("ref_len"), part(13).alias("alt_len"))
+    return rows.select(
+        "site_id", F.size("features").alias("n"), F.round(part(0), 6).alias("alt_a"),
+        F.round(part(4), 6).alias("ref_a"), F.round(part(11), 6).alias("diff_t"), part(12).alias("ref_len"),
+        part(13).alias("alt_len")
+    )
 
 
 class _Sum:
@@ -468,9 +595,14 @@ def model_predictions(spark, sf):
 
 @query(f"SELECT doc_id::VARCHAR AS site_id, 'test' AS split, CASE WHEN y = 1 THEN 'positive' ELSE 'negative' END AS true_label, CASE WHEN pred = 1 THEN 'positive' ELSE 'negative' END AS pred_label, round(1 - score, 9) AS prob_negative, round(score, 9) AS prob_positive FROM ({_SCORED})")
 def prediction_table(spark, sf):
-    rows = _scored(spark, sf).select(_text("doc_id").alias("site_id"), "y", "pred", F.array(1 - F.col("score"), F.col("score")).alias("proba"))
+    rows = _scored(spark, sf).select(
+        _text("doc_id").alias("site_id"), "y", "pred", F.array(1 - F.col("score"), F.col("score")).alias("proba")
+    )
     out = models.prediction_table(rows, ["negative", "positive"], "test")
-    return out.select("site_id", "split", "true_label", "pred_label", *[F.round(c, 9).alias(c) for c in ("prob_negative", "prob_positive")])
+    return out.select(
+        "site_id", "split", "true_label", "pred_label",
+        *[F.round(c, 9).alias(c) for c in ("prob_negative", "prob_positive")]
+    )
 
 
 _EACH = f"WITH m AS ({_MULTI}), x AS (SELECT y, k, (vec_id * (k + 3)) % 101 / 101.0::DOUBLE AS score, (y = k)::INT AS hit FROM m, (SELECT unnest(range(10)) AS k)), t AS (SELECT k, score, sum(hit)::BIGINT AS ph, (count(*) - sum(hit))::BIGINT AS nh FROM x GROUP BY 1, 2), c AS (SELECT *, sum(ph) OVER w AS tp, sum(nh) OVER w AS fp, sum(ph) OVER a AS pos, sum(nh) OVER a AS neg FROM t WINDOW w AS (PARTITION BY k ORDER BY score DESC ROWS UNBOUNDED PRECEDING), a AS (PARTITION BY k)), u AS (SELECT k, sum(nh::DOUBLE * ((tp - ph)::DOUBLE + ph::DOUBLE / 2)) / (any_value(pos)::DOUBLE * any_value(neg)::DOUBLE) AS roc, sum(ph::DOUBLE * tp::DOUBLE / (tp + fp)::DOUBLE) / any_value(pos)::DOUBLE AS pr, any_value(pos) AS n FROM c GROUP BY k HAVING any_value(pos) > 0)"
@@ -487,10 +619,15 @@ def multiclass_areas(spark, sf):
 def confusion_file(spark, sf):
     def make():
         ids = spark.range(10).select(F.col("id").cast("int").alias("label"))
-        return sinks.save_csv(metrics.confusion_matrix(_multi(spark, sf), ids), workspace.folder(spark, "confusion"), "\t")
+        return sinks.save_csv(
+            metrics.confusion_matrix(_multi(spark, sf), ids), workspace.folder(spark, "confusion"), "\t"
+        )
 
     rows = _csv(spark, _once(spark, sf, "confusion", make), "\t")
-    return rows.select(*[F.col(c).cast("int").alias(c) for c in ("label_true", "label_pred")], F.col("count").cast("long").alias("count"))
+    return rows.select(
+        *[F.col(c).cast("int").alias(c) for c in ("label_true", "label_pred")],
+        F.col("count").cast("long").alias("count")
+    )
 
 
 @query(f"SELECT y, count(*)::BIGINT AS count FROM ({_SCORED}) GROUP BY 1")
@@ -503,7 +640,9 @@ def label_counts(spark, sf):
 @query(f"SELECT sample, value, (location = 'east')::INT AS loc_east, (location = 'north')::INT AS loc_north, (location = 'south')::INT AS loc_south FROM ({_MEANS})")
 def pheno_file(spark, sf):
     """The processed sheet, written and read as the simulator reads it."""
-    out = _once(spark, sf, "sheet", lambda: phenotypes.run(_sheet(spark, sf), workspace.folder(spark, "sheet"), ["SPY"], "1"))
+    out = _once(
+        spark, sf, "sheet", lambda: phenotypes.run(_sheet(spark, sf), workspace.folder(spark, "sheet"), ["SPY"], "1")
+    )
     return tables.phenotypes(_csv(spark, out["SPY"])).drop("ord")
 
 
@@ -521,7 +660,10 @@ def _sim_sql() -> str:
     own = [f"(m + {_SIM.index(f)}) % 3" for f in _SIM_TOP]
     digits = [f"(id // {3 ** (2 - i)}) % 3" for i in range(3)]
     target = " + ".join(f"({o}) * {3 ** (2 - i)}" for i, o in enumerate(own))
-    total = " + ".join(f"{_SIM_EFFECT[f]}::DOUBLE * ({digits[_SIM_TOP.index(f)] if f in _SIM_TOP else f'(m + {i}) % 3'})" for i, f in enumerate(_SIM))
+    total = " + ".join(
+        f"{_SIM_EFFECT[f]}::DOUBLE * ({digits[_SIM_TOP.index(f)] if f in _SIM_TOP else f'(m + {i}) % 3'})" for i,
+        f in enumerate(_SIM)
+    )
     seen = " + ".join(f"{_SIM_EFFECT[f]}::DOUBLE * ((c_custkey + {i}) % 3)" for i, f in enumerate(_SIM))
     return f"""
 WITH o AS (SELECT (SELECT min(o_custkey) FROM orders) AS m),
@@ -540,12 +682,36 @@ def _simulated(spark: SparkSession, sf: str) -> str:
         d = workspace.folder(spark, "simulated")
         c, o = _t(spark, sf, "customer").orderBy("c_custkey").coalesce(1), _t(spark, sf, "orders")
         m = o.agg(F.min("o_custkey")).first()[0]
-        sinks.save_csv(c.select(F.concat(F.lit("s"), "c_custkey").alias("sample"), *[((F.col("c_custkey") + i) % 3).alias(f) for i, f in enumerate(_SIM)]), f"{d}/g.csv")
+        sinks.save_csv(
+            c.select(
+                F.concat(F.lit("s"), "c_custkey").alias("sample"),
+                *[((F.col("c_custkey") + i) % 3).alias(f) for i, f in enumerate(_SIM)]
+            ),
+            f"{d}/g.csv"
+        )
         seen = o.where(F.col("o_custkey") == m).orderBy("o_orderkey").coalesce(1)
-        sinks.save_csv(seen.select(F.concat(F.lit("s"), "o_custkey").alias("sample"), F.col("o_totalprice").alias("value"), (F.col("o_orderstatus") == "F").cast("int").alias("loc_f"), F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int").alias("loc_hi")), f"{d}/p.csv")
+        sinks.save_csv(
+            seen.select(
+                F.concat(F.lit("s"), "o_custkey").alias("sample"), F.col("o_totalprice").alias("value"),
+                (F.col("o_orderstatus") == "F").cast("int").alias("loc_f"),
+                F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int").alias("loc_hi")
+            ),
+            f"{d}/p.csv"
+        )
         gains = [("loc_f", 99.0)] + [(f, float(9 - _SIM_TOP.index(f)) if f in _SIM_TOP else 0.0) for f in _SIM]
-        sinks.save_csv(spark.createDataFrame([(f, g, 1.0) for f, g in gains], "feature string, importance_gain double, importance_split double"), f"{d}/i.csv")
-        sinks.save_csv(spark.createDataFrame([("Chr1", 1, f, e) for f, e in _SIM_EFFECT.items()], "Chromosome string, Position int, site_id string, var_effect double"), f"{d}/e.csv")
+        sinks.save_csv(
+            spark.createDataFrame(
+                [(f, g, 1.0) for f, g in gains], "feature string, importance_gain double, importance_split double"
+            ),
+            f"{d}/i.csv"
+        )
+        sinks.save_csv(
+            spark.createDataFrame(
+                [("Chr1", 1, f, e) for f, e in _SIM_EFFECT.items()],
+                "Chromosome string, Position int, site_id string, var_effect double"
+            ),
+            f"{d}/e.csv"
+        )
         s = config.SimulatorConfig(f"{d}/g.csv", f"{d}/p.csv", f"{d}/i.csv", f"{d}/e.csv", f"s{m}", f"{d}/out", top_n=3)
         simulator.run(spark, s, simulator.linear_model(dict.fromkeys(_SIM, 1.0) | _SIM_LOC))
         return s.outdir
@@ -556,19 +722,30 @@ def _simulated(spark: SparkSession, sf: str) -> str:
 @query(_sim_sql() + "SELECT group_id, row_count, combination_id, sample, is_target, predicted_phenotype, rank FROM rk")
 def simulated_ranking(spark, sf):
     rows = _csv(spark, f"{_simulated(spark, sf)}/ranking.csv")
-    return rows.select("group_id", F.col("row_count").cast("long").alias("row_count"), "combination_id", "sample", F.col("is_target").cast("boolean").alias("is_target"), F.col("predicted_phenotype").cast("double").alias("predicted_phenotype"), F.col("rank").cast("long").alias("rank"))
+    return rows.select(
+        "group_id", F.col("row_count").cast("long").alias("row_count"), "combination_id", "sample",
+        F.col("is_target").cast("boolean").alias("is_target"),
+        F.col("predicted_phenotype").cast("double").alias("predicted_phenotype"),
+        F.col("rank").cast("long").alias("rank")
+    )
 
 
 @query(_sim_sql() + "SELECT group_id, row_count, rank AS target_rank, predicted_phenotype AS target_prediction, 27::BIGINT AS combinations FROM rk WHERE is_target")
 def simulated_summary(spark, sf):
     rows = spark.read.option("multiLine", True).json(f"{_simulated(spark, sf)}/summary.json")
-    return rows.select("combinations", F.explode("groups").alias("g")).select("g.group_id", "g.row_count", "g.target_rank", "g.target_prediction", "combinations")
+    return rows.select("combinations", F.explode("groups").alias("g")).select(
+        "g.group_id", "g.row_count", "g.target_rank", "g.target_prediction", "combinations"
+    )
 
 
 @query(_sim_sql() + "SELECT group_id, count(*) AS points, count(*) FILTER (is_target) AS targets FROM rk GROUP BY 1")
 def simulated_chart(spark, sf):
     """Points of each group's chart, and among them the target."""
     out = _simulated(spark, sf)
-    files = spark.read.option("wholetext", True).text(f"{out}/group_*.svg").select(F.regexp_extract("_metadata.file_path", r"(group_[0-9]+)\.svg", 1).alias("group_id"), "value")
+    files = spark.read.option("wholetext", True).text(f"{out}/group_*.svg").select(
+        F.regexp_extract("_metadata.file_path", r"(group_[0-9]+)\.svg", 1).alias("group_id"), "value"
+    )
     drawn = F.regexp_count("value", F.lit('r="[25]"')).cast("long")
-    return files.select("group_id", drawn.alias("points"), F.regexp_count("value", F.lit('r="5"')).cast("long").alias("targets"))
+    return files.select(
+        "group_id", drawn.alias("points"), F.regexp_count("value", F.lit('r="5"')).cast("long").alias("targets")
+    )

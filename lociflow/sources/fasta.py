@@ -11,7 +11,9 @@ from lociflow.functions.names import standard_chrom
 def read(spark: SparkSession, path: str) -> DataFrame:
     """name, ord, seq: a row for each record. The record separator is the header sign, so that records are split
     among tasks; a record is one row and must fit in a task. Joins move ``pieces`` of it."""
-    rows = spark.read.option("lineSep", ">").text(path).withColumn("ord", F.monotonically_increasing_id()).where(F.col("value") != "")
+    rows = spark.read.option("lineSep", ">").text(path).withColumn(
+        "ord", F.monotonically_increasing_id()
+    ).where(F.col("value") != "")
     head = F.substring_index("value", "\n", 1)
     name = F.regexp_extract(head, r"^(\S+)", 1)
     seq = F.regexp_replace(F.expr("substring(value, length(substring_index(value, '\n', 1)) + 1)"), r"\s", "")
@@ -28,8 +30,14 @@ def genome(records: DataFrame) -> DataFrame:
 def pieces(whole: DataFrame, step: int = 100_000, overlap: int = 2_000) -> DataFrame:
     """chrom, piece, seq, seq_start, seq_len: stretches of ``step`` bases that reach ``overlap`` further on both
     sides, so a join moves a stretch for each variant and not a chromosome."""
-    rows = whole.withColumn("seq_len", F.length("seq").cast("long")).withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.greatest("seq_len", F.lit(1)) - 1) / step))))
+    rows = whole.withColumn("seq_len", F.length("seq").cast("long")).withColumn(
+        "piece", F.explode(F.sequence(F.lit(0), F.floor((F.greatest("seq_len", F.lit(1)) - 1) / step)))
+    )
     start = F.greatest(F.lit(1), F.col("piece") * step + 1 - overlap)
     end = F.least(F.col("seq_len"), (F.col("piece") + 1) * step + overlap)
-    out = rows.select("chrom", F.col("piece").cast("long").alias("piece"), F.substring("seq", start.cast("int"), (end - start + 1).cast("int")).alias("seq"), start.cast("long").alias("seq_start"), "seq_len")
+    out = rows.select(
+        "chrom", F.col("piece").cast("long").alias("piece"),
+        F.substring("seq", start.cast("int"), (end - start + 1).cast("int")).alias("seq"),
+        start.cast("long").alias("seq_start"), "seq_len"
+    )
     return out.withMetadata("piece", {"step": step, "overlap": overlap})

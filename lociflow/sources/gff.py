@@ -33,7 +33,11 @@ def features(rows: DataFrame, wanted: str | Sequence[str]) -> DataFrame:
     rows = rows.where(F.col("type").isin(names)).withColumn("attrs", attributes(F.col("attributes")))
     own, name, parent = labels(F.col("attrs"))
     whole = lambda c: F.when(F.col(c).rlike(r"^\s*[+-]?[0-9]+\s*$"), strip(F.col(c)).try_cast("long"))
-    out = rows.select("ord", F.col("seqid").alias("chromosome"), whole("start").alias("start"), whole("end").alias("end"), F.col("type").alias("feature"), "strand", own.alias("id"), name.alias("name"), parent.alias("parent"), "attributes", "attrs")
+    out = rows.select(
+        "ord", F.col("seqid").alias("chromosome"), whole("start").alias("start"), whole("end").alias("end"),
+        F.col("type").alias("feature"), "strand", own.alias("id"), name.alias("name"), parent.alias("parent"),
+        "attributes", "attrs"
+    )
     return out.dropna(subset=["start", "end"])
 
 
@@ -41,7 +45,10 @@ def read(spark: SparkSession, path: str, wanted: str | Sequence[str] = "gene") -
     return features(records(spark.read.text(path)), wanted)
 
 
-def read_cached(spark: SparkSession, path: str, wanted: str | Sequence[str] = "gene", cache: str | None = None, force_rebuild: bool = False) -> DataFrame:
+def read_cached(
+    spark: SparkSession, path: str, wanted: str | Sequence[str] = "gene", cache: str | None = None,
+    force_rebuild: bool = False
+) -> DataFrame:
     """read from a Parquet copy of the records, by default beside the file, that is made anew when the file has
     changed or is asked to."""
     jvm = spark.sparkContext._jvm
@@ -60,7 +67,9 @@ def merged(rows: DataFrame) -> DataFrame:
     named, plain = rows.where("id <> ''"), rows.where("id = ''")
     first = lambda c: F.min_by(c, "ord").alias(c)
     one = named.groupBy("chromosome", "feature", "id").agg(
-        F.min("ord").alias("ord"), F.min("start").alias("start"), F.max("end").alias("end"), *map(first, ("strand", "name", "parent", "attributes"))
+        F.min("ord").alias("ord"), F.min("start").alias("start"), F.max("end").alias("end"), *map(
+            first, ("strand", "name", "parent", "attributes")
+        )
     )
     return one.withColumn("attrs", attributes(F.col("attributes"))).select(*rows.columns).unionByName(plain)
 

@@ -51,7 +51,9 @@ def try_parquet(rows: DataFrame, path: str) -> bool:
     return True
 
 
-def save_matrix(rows: DataFrame, key: str, name: str, value: str, names: Sequence[str], stem: str, fill=None) -> tuple[str, str]:
+def save_matrix(
+    rows: DataFrame, key: str, name: str, value: str, names: Sequence[str], stem: str, fill=None
+) -> tuple[str, str]:
     """A long table as a matrix with a row for each key and a column for each name."""
     return save_dual(wide(rows, [key], name, value, names, fill), stem)
 
@@ -71,7 +73,9 @@ def _save_array(values: np.ndarray, path: str) -> None:
     np.save(path, values)
 
 
-def save_splits(tables: Mapping[str, DataFrame], train: Sequence[str], test: Sequence[str], folder: str, meta: Mapping) -> dict[str, str]:
+def save_splits(
+    tables: Mapping[str, DataFrame], train: Sequence[str], test: Sequence[str], folder: str, meta: Mapping
+) -> dict[str, str]:
     """Each matrix with a row for each sample as train_val_NAME and test_NAME, rows in the order of the lists, in both
     formats; and split_meta.json."""
     out = {}
@@ -144,7 +148,10 @@ def ticks(low: float, high: float, n: int = 5) -> list[float]:
 KINDS = {"observed": "#2a7f62", "simulated": "#7f8c9b", "original": "#c0392b"}
 
 
-def scatter_svg(ranked: DataFrame, title: str, path: str, width: int = 900, height: int = 520, margin: int = 60, most: int | None = None) -> None:
+def scatter_svg(
+    ranked: DataFrame, title: str, path: str, width: int = 900, height: int = 520, margin: int = 60,
+    most: int | None = None
+) -> None:
     """Predicted phenotype by rank as an SVG, with ticks, a legend and the target's label. Coordinates are computed in
     Spark. By default every point is drawn; ``most`` thins them out to about so many, evenly by rank, but never the
     first, the last, the observed ones or the target."""
@@ -156,10 +163,14 @@ def scatter_svg(ranked: DataFrame, title: str, path: str, width: int = 900, heig
     low, high = float(low), float(high)
     if most:
         step = max(1, n // most)
-        ranked = ranked.where((F.col("rank") % step == 0) | F.col("is_target") | F.col("rank").isin(1, n) | (F.col("source_type") == "observed"))
+        ranked = ranked.where(
+            (F.col("rank") % step == 0) | F.col("is_target") | F.col("rank").isin(1, n) | (F.col("source_type") == "observed")
+        )
     x = scale(F.col("rank").cast("double"), F.lit(1.0), F.lit(float(n)), margin, width - margin)
     y = scale(F.col("predicted_phenotype"), F.lit(low), F.lit(high), height - margin, margin)
-    shown = ranked.select(F.round(x, 2).alias("x"), F.round(y, 2).alias("y"), "is_target", "source_type", "rank", "predicted_phenotype")
+    shown = ranked.select(
+        F.round(x, 2).alias("x"), F.round(y, 2).alias("y"), "is_target", "source_type", "rank", "predicted_phenotype"
+    )
     body, mark = [], ""
     for p in shown.orderBy("is_target", "x").toLocalIterator():
         body.append(f'<circle cx="{p.x}" cy="{p.y}" r="{5 if p.is_target else 2}" fill="{KINDS["original"] if p.is_target else KINDS.get(p.source_type, KINDS["simulated"])}"/>')

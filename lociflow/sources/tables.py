@@ -47,7 +47,9 @@ def gwas(df: DataFrame, max_pvalue: float = 1e6) -> DataFrame:
     if "pvalue" in df.columns:
         df = df.where(number(F.col("pvalue").cast("string")) < max_pvalue)
     pos = number(F.col("Position").cast("string")).cast("long")
-    return df.select(standard_chrom(F.col("Chromosome").cast("string")).alias("chrom"), pos.alias("pos"), _trait().alias("trait")).dropna(subset=["chrom", "pos"])
+    return df.select(
+        standard_chrom(F.col("Chromosome").cast("string")).alias("chrom"), pos.alias("pos"), _trait().alias("trait")
+    ).dropna(subset=["chrom", "pos"])
 
 
 def qtl(df: DataFrame, min_lod: float = 0.0, min_pve: float = 0.0) -> DataFrame:
@@ -59,8 +61,13 @@ def qtl(df: DataFrame, min_lod: float = 0.0, min_pve: float = 0.0) -> DataFrame:
             df = df.where(number(F.col(name).cast("string")) > least)
     a, b = (number(F.col(c).cast("string")).cast("long") for c in ("start_pos", "end_pos"))
     name = F.col("QTL").cast("string") if "QTL" in df.columns else F.lit("")
-    out = df.select(standard_chrom(F.col("Chromosome").cast("string")).alias("chrom"), a.alias("__a"), b.alias("__b"), _trait().alias("trait"), name.alias("qtl")).dropna(subset=["chrom", "__a", "__b"])
-    return out.select("chrom", F.least("__a", "__b").alias("start"), F.greatest("__a", "__b").alias("end"), "trait", "qtl")
+    out = df.select(
+        standard_chrom(F.col("Chromosome").cast("string")).alias("chrom"), a.alias("__a"), b.alias("__b"),
+        _trait().alias("trait"), name.alias("qtl")
+    ).dropna(subset=["chrom", "__a", "__b"])
+    return out.select(
+        "chrom", F.least("__a", "__b").alias("start"), F.greatest("__a", "__b").alias("end"), "trait", "qtl"
+    )
 
 
 def first_column(df: DataFrame, name: str) -> DataFrame:
@@ -81,9 +88,15 @@ def site_table(df: DataFrame) -> DataFrame:
     if missing := [n for n in ("Chromosome", "Position", "VARIANT_TYPE") if n not in found]:
         raise ValueError(f"the site table lacks the columns {', '.join(missing)}")
     x = number(F.col(f"`{found['Position']}`").cast("string"))
-    pos = F.when(x.isNotNull() & (x != F.floor(x)), F.raise_error(F.concat(F.lit("not a whole position: "), x.cast("string")))).otherwise(x).cast("long")
+    pos = F.when(
+        x.isNotNull() & (x != F.floor(x)), F.raise_error(F.concat(F.lit("not a whole position: "), x.cast("string")))
+    ).otherwise(x).cast("long")
     allele = lambda n: empty_to_null(F.upper(F.col(f"`{found[n]}`"))) if n in found else F.lit(None).cast("string")
-    out = df.select(standard_chrom(F.col(f"`{found['Chromosome']}`").cast("string")).alias("chrom"), pos.alias("pos"), allele("REF").alias("ref"), allele("ALT").alias("alt"), empty_to_null(F.coalesce(F.col(f"`{found['VARIANT_TYPE']}`"), F.lit("nan"))).alias("variant_type"))
+    out = df.select(
+        standard_chrom(F.col(f"`{found['Chromosome']}`").cast("string")).alias("chrom"), pos.alias("pos"),
+        allele("REF").alias("ref"), allele("ALT").alias("alt"),
+        empty_to_null(F.coalesce(F.col(f"`{found['VARIANT_TYPE']}`"), F.lit("nan"))).alias("variant_type")
+    )
     return out.dropna(subset=["chrom", "pos", "variant_type"])
 
 
@@ -105,8 +118,12 @@ def genotypes(df: DataFrame) -> DataFrame:
     """ord, sample and a tinyint column for each site. Values other than 0, 1 and 2 are an error. Rows keep the ``ord``
     that they have."""
     features = genotype_features([c for c in df.columns if c != "ord"])
-    typed = (df if "ord" in df.columns else numbered(df)).select("ord", strip(F.col("sample")).alias("sample"), *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
-    bad = typed.where(F.exists(F.array(*[F.col(f"`{c}`") for c in features]), lambda v: v.isNull() | ~v.isin(0.0, 1.0, 2.0))).limit(1).collect() if features else []
+    typed = (df if "ord" in df.columns else numbered(df)).select(
+        "ord", strip(F.col("sample")).alias("sample"), *[F.col(f"`{c}`").cast("double").alias(c) for c in features]
+    )
+    bad = typed.where(
+        F.exists(F.array(*[F.col(f"`{c}`") for c in features]), lambda v: v.isNull() | ~v.isin(0.0, 1.0, 2.0))
+    ).limit(1).collect() if features else []
     if bad:
         raise ValueError(f"genotypes other than 0, 1 and 2, first for sample {bad[0]['sample']}")
     return typed.select("ord", "sample", *[F.col(f"`{c}`").cast("tinyint").alias(c) for c in features])
@@ -119,13 +136,19 @@ def phenotypes(df: DataFrame) -> DataFrame:
         raise ValueError("a phenotype table begins with sample and value")
     if bad := [c for c in columns[2:] if not c.startswith("loc")]:
         raise ValueError(f"not location columns: {bad[:20]}")
-    return (df if "ord" in df.columns else numbered(df)).select("ord", strip(F.col("sample")).alias("sample"), F.col("value").cast("double").alias("value"), *[F.col(f"`{c}`").cast("double").cast("int").alias(c) for c in columns[2:]])
+    return (df if "ord" in df.columns else numbered(df)).select(
+        "ord", strip(F.col("sample")).alias("sample"), F.col("value").cast("double").alias("value"),
+        *[F.col(f"`{c}`").cast("double").cast("int").alias(c) for c in columns[2:]]
+    )
 
 
 def importance(df: DataFrame) -> DataFrame:
     """ord, feature, importance_gain, importance_split."""
     require_columns(df, ["feature", "importance_gain", "importance_split"], "the importance table")
-    return (df if "ord" in df.columns else numbered(df)).select("ord", "feature", F.col("importance_gain").cast("double").alias("importance_gain"), F.col("importance_split").cast("double").alias("importance_split"))
+    return (df if "ord" in df.columns else numbered(df)).select(
+        "ord", "feature", F.col("importance_gain").cast("double").alias("importance_gain"),
+        F.col("importance_split").cast("double").alias("importance_split")
+    )
 
 
 def last_effects(df: DataFrame) -> DataFrame:
@@ -155,7 +178,9 @@ def sheet(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A sheet of a workbook, or a delimited or Parquet table by the ending of the path."""
     if path.lower().endswith((".xlsx", ".xls", ".xlsm")):
         return excel(spark, path, name)
-    return spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else text_table(spark, path, "\t" if path.lower().endswith(".tsv") else ",")
+    return spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else text_table(
+        spark, path, "\t" if path.lower().endswith(".tsv") else ","
+    )
 
 
 def phenotype_genotype(phenotype: DataFrame, genotype: DataFrame) -> DataFrame:

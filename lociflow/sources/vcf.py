@@ -34,14 +34,20 @@ def _alts(f: Column) -> Column:
 def first_alt(rows: DataFrame) -> DataFrame:
     """ord, chrom, pos, ref, alt with the first alternative allele, empty if there is none."""
     f = F.col("f")
-    out = rows.select("ord", standard_chrom(F.get(f, F.lit(0))).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("pos"), F.upper(F.get(f, F.lit(3))).alias("ref"), F.coalesce(F.get(_alts(f), F.lit(0)), F.lit("")).alias("alt"))
+    out = rows.select(
+        "ord", standard_chrom(F.get(f, F.lit(0))).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("pos"),
+        F.upper(F.get(f, F.lit(3))).alias("ref"), F.coalesce(F.get(_alts(f), F.lit(0)), F.lit("")).alias("alt")
+    )
     return out.where(F.col("chrom").isNotNull())
 
 
 def all_alts(rows: DataFrame) -> DataFrame:
     """ord, chrom, pos, ref, alt with a row for each alternative allele; no row at all is an error."""
     f = F.col("f")
-    out = rows.select("ord", standard_chrom(F.get(f, F.lit(0))).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("pos"), F.upper(F.get(f, F.lit(3))).alias("ref"), F.explode(_alts(f)).alias("alt")).where(F.col("chrom").isNotNull())
+    out = rows.select(
+        "ord", standard_chrom(F.get(f, F.lit(0))).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("pos"),
+        F.upper(F.get(f, F.lit(3))).alias("ref"), F.explode(_alts(f)).alias("alt")
+    ).where(F.col("chrom").isNotNull())
     if out.isEmpty():
         raise ValueError("no variant with an alternative allele on a numbered chromosome")
     return out
@@ -53,10 +59,16 @@ def calls(rows: DataFrame, names: list[str]) -> DataFrame:
     f = F.col("f")
     place = F.array_position(F.split(F.get(f, F.lit(8)), ":"), "GT")
     own = F.posexplode(F.slice(f, FIXED + 1, len(names)))
-    out = rows.where(F.size("f") > FIXED).select("ord", standard_chrom(F.get(f, F.lit(0))).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("pos"), place.cast("int").alias("place"), own.alias("i", "cell")).where(F.col("chrom").isNotNull())
+    out = rows.where(F.size("f") > FIXED).select(
+        "ord", standard_chrom(F.get(f, F.lit(0))).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("pos"),
+        place.cast("int").alias("place"), own.alias("i", "cell")
+    ).where(F.col("chrom").isNotNull())
     gt = F.when(F.col("place") > 0, F.try_element_at(F.split("cell", ":"), F.col("place")))
     name = F.array(*map(F.lit, names))
-    return out.select("ord", "chrom", "pos", F.element_at(name, F.col("i") + 1).alias("sample"), F.coalesce(gt, F.lit("./.")).alias("gt"))
+    return out.select(
+        "ord", "chrom", "pos", F.element_at(name, F.col("i") + 1).alias("sample"),
+        F.coalesce(gt, F.lit("./.")).alias("gt")
+    )
 
 
 def labelled(variants: DataFrame, sites: DataFrame, by_position: bool = False) -> DataFrame:
@@ -68,9 +80,14 @@ def labelled(variants: DataFrame, sites: DataFrame, by_position: bool = False) -
     kept = variants.join(sites.select(*keys).distinct(), keys, "left_semi")
     own = variant_type(F.col("ref"), F.col("alt"))
     if alleles or by_position:
-        last = sites.withColumn("__o", F.monotonically_increasing_id()).groupBy(*keys).agg(F.max_by("variant_type", "__o").alias("__label"))
+        last = sites.withColumn(
+            "__o", F.monotonically_increasing_id()
+        ).groupBy(*keys).agg(F.max_by("variant_type", "__o").alias("__label"))
         kept = kept.join(last, keys, "left").withColumn("variant_type", F.coalesce("__label", own)).drop("__label")
     else:
         kept = kept.withColumn("variant_type", own)
     kept = first_by(kept, ["chrom", "pos", "ref", "alt"], "ord")
-    return kept.select(allele_site_id(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alt")).alias("site_id"), "chrom", "pos", "ref", "alt", "variant_type")
+    return kept.select(
+        allele_site_id(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alt")).alias("site_id"), "chrom", "pos",
+        "ref", "alt", "variant_type"
+    )

@@ -13,21 +13,39 @@ from lociflow.sources import fasta, tables
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.integers(1, 2), st.integers(1, 300_000)), max_size=30), st.lists(st.tuples(st.integers(1, 2), st.integers(1, 300_000), st.integers(-2, 200_000)), max_size=20))
+@given(
+    st.lists(st.tuples(st.integers(1, 2), st.integers(1, 300_000)), max_size=30),
+    st.lists(st.tuples(st.integers(1, 2), st.integers(1, 300_000), st.integers(-2, 200_000)), max_size=20)
+)
 def test_stab_is_the_theta_join(spark, points, spans):
     p = spark.createDataFrame([(f"Chr{c}", x) for c, x in points], "chrom string, pos long")
-    q = spark.createDataFrame([(f"Chr{c}", s, s + n, i) for i, (c, s, n) in enumerate(spans)], "chrom string, start long, end long, k int")
+    q = spark.createDataFrame(
+        [(f"Chr{c}", s, s + n, i) for i, (c, s, n) in enumerate(spans)], "chrom string, start long, end long, k int"
+    )
     got = sorted(map(tuple, intervals.stab(p, q).select("chrom", "pos", "k").collect()))
-    assert got == sorted((f"Chr{c}", x, i) for c, x in points for i, (d, s, n) in enumerate(spans) if c == d and s <= x <= s + n)
+    assert got == sorted(
+        (f"Chr{c}", x, i) for c, x in points for i, (d, s, n) in enumerate(spans) if c == d and s <= x <= s + n
+    )
     left = intervals.stab(p, q, how="left")
-    assert left.where("k IS NULL").count() == sum(not any(c == d and s <= x <= s + n for d, s, n in spans) for c, x in points)
-    assert intervals.stab(p, q, how="left_semi").count() == sum(any(c == d and s <= x <= s + n for d, s, n in spans) for c, x in points)
+    assert left.where("k IS NULL").count() == sum(
+        not any(c == d and s <= x <= s + n for d, s, n in spans) for c, x in points
+    )
+    assert intervals.stab(p, q, how="left_semi").count() == sum(
+        any(c == d and s <= x <= s + n for d, s, n in spans) for c, x in points
+    )
 
 
 def test_site_selection(spark):
-    v = spark.createDataFrame([("Chr1", 5, "A", "C"), ("Chr1", 9, "A", "C"), ("Chr2", 5, "G", "T")], "chrom string, pos long, ref string, alt string")
-    g = spark.createDataFrame([("Chr1", 5, "h"), ("Chr1", 5, "y"), ("Chr2", 5, "h")], "chrom string, pos long, trait string")
-    q = spark.createDataFrame([("Chr1", 1, 9, " y "), ("Chr2", 5, 5, "y")], "chrom string, start long, end long, trait string")
+    v = spark.createDataFrame(
+        [("Chr1", 5, "A", "C"), ("Chr1", 9, "A", "C"), ("Chr2", 5, "G", "T")],
+        "chrom string, pos long, ref string, alt string"
+    )
+    g = spark.createDataFrame(
+        [("Chr1", 5, "h"), ("Chr1", 5, "y"), ("Chr2", 5, "h")], "chrom string, pos long, trait string"
+    )
+    q = spark.createDataFrame(
+        [("Chr1", 1, 9, " y "), ("Chr2", 5, 5, "y")], "chrom string, start long, end long, trait string"
+    )
     rows = lambda mode, **k: sorted((r.chrom, r.pos, r.qtl_trait, r.gwas_trait) for r in sites.select_sites(v, g, q, mode, **k).collect())
     assert rows("union") == [("Chr1", 5, "y", "h,y"), ("Chr1", 9, "y", ""), ("Chr2", 5, "y", "h")]
     assert rows("intersect") == [("Chr1", 5, "y", "y")]
@@ -37,26 +55,40 @@ def test_site_selection(spark):
 
 
 def test_qtl_and_gwas_rules(spark):
-    q = spark.createDataFrame([("1", "20", "10", "t", "3"), ("1", "1", "2", "t", "2"), ("x", "1", "2", "t", "9"), ("1", "a", "2", "t", "9")], "Chromosome string, start_pos string, end_pos string, Trait string, LOD string")
+    q = spark.createDataFrame(
+        [("1", "20", "10", "t", "3"), ("1", "1", "2", "t", "2"), ("x", "1", "2", "t", "9"), ("1", "a", "2", "t", "9")],
+        "Chromosome string, start_pos string, end_pos string, Trait string, LOD string"
+    )
     assert [tuple(r) for r in tables.qtl(q, min_lod=2.0).collect()] == [("Chr1", 10, 20, "t", "")]
-    g = spark.createDataFrame([("1", "5.7", None, "0.1"), ("1", "6", "t", "0.5"), ("1", "7", "t", "nan")], "Chromosome string, Position string, Trait string, pvalue string")
+    g = spark.createDataFrame(
+        [("1", "5.7", None, "0.1"), ("1", "6", "t", "0.5"), ("1", "7", "t", "nan")],
+        "Chromosome string, Position string, Trait string, pvalue string"
+    )
     assert [tuple(r) for r in tables.gwas(g, 0.5).collect()] == [("Chr1", 5, "nan")]
     with pytest.raises(ValueError):
         tables.gwas(g.drop("Trait"))
 
 
 def test_genes_are_clipped(spark):
-    g = spark.createDataFrame([("Chr1", 3, 9, "", "n", ""), ("Chr1", -9, -8, "x", "", ""), ("Chr1", 1, 2, " ", "", "")], "chrom string, start long, end long, id string, name string, parent string")
+    g = spark.createDataFrame(
+        [("Chr1", 3, 9, "", "n", ""), ("Chr1", -9, -8, "x", "", ""), ("Chr1", 1, 2, " ", "", "")],
+        "chrom string, start long, end long, id string, name string, parent string"
+    )
     assert [tuple(r) for r in sites.extend_genes(g, 5).collect()] == [("Chr1", 1, 14, "n")]
 
 
 def test_sample_names(spark):
     df = spark.createDataFrame(list(enumerate(["1", "Sample_01", "abc", "s2"])), "idx int, raw_sample string")
-    assert [r.sample for r in genotypes.standard_samples(df).orderBy("idx").collect()] == ["sample_1", "sample_1_2", "sample_3", "sample_2"]
+    assert [r.sample for r in genotypes.standard_samples(df).orderBy("idx").collect()] == [
+        "sample_1", "sample_1_2", "sample_3", "sample_2"
+    ]
 
 
 def test_last_record_counts(spark):
-    calls = spark.createDataFrame([("Chr1", 5, 1, "a", "0/1"), ("Chr1", 5, 2, "a", "1/1"), ("Chr1", 6, 3, "a", "1/1")], "chrom string, pos long, ord long, sample string, gt string")
+    calls = spark.createDataFrame(
+        [("Chr1", 5, 1, "a", "0/1"), ("Chr1", 5, 2, "a", "1/1"), ("Chr1", 6, 3, "a", "1/1")],
+        "chrom string, pos long, ord long, sample string, gt string"
+    )
     got = genotypes.long_genotypes(calls, calls.where("pos = 5")).collect()
     assert [(r.site_id, r.dosage) for r in got] == [("Chr1:5", 2)]
 
@@ -67,16 +99,23 @@ def test_combinations(spark):
     rows = df.collect()
     assert len(rows) == 9 == len({tuple(r.features) for r in rows})
     target = [r for r in rows if r.is_target]
-    assert [(r.combination_id, r.sample, list(r.features), r.mutated_features) for r in target] == [("original", "s", [2.0, 4.0, 2.0], "")]
+    assert [
+        (r.combination_id, r.sample, list(r.features), r.mutated_features) for r in target
+    ] == [("original", "s", [2.0, 4.0, 2.0], "")]
     assert simulate.combination_number([1, 2]) == 5
     other = next(r for r in rows if r.combination_id == "sim_000000")
     assert (other.mutated_feature_count, other.mutated_feature_genotypes) == (2, "Chr1:1:0;Chr1:2:0")
 
 
 def test_location_groups(spark):
-    rows = spark.createDataFrame([(1, 2.0, 0, 0), (2, 4.0, 1, 0), (3, 6.0, 0, 0), (4, 1.0, 1, 1)], "ord int, value double, loc_a int, loc_b int")
+    rows = spark.createDataFrame(
+        [(1, 2.0, 0, 0), (2, 4.0, 1, 0), (3, 6.0, 0, 0), (4, 1.0, 1, 1)], "ord int, value double, loc_a int, loc_b int"
+    )
     got = simulate.location_groups(rows, ["loc_a", "loc_b"]).orderBy("group_id").collect()
-    assert [(r.group_id, r.location_label, r.row_count, r.actual_value_mean) for r in got] == [("group_001", "location_group_001", 2, 4.0), ("group_002", "loc_a", 1, 4.0), ("group_003", "loc_a__loc_b", 1, 1.0)]
+    assert [(r.group_id, r.location_label, r.row_count, r.actual_value_mean) for r in got] == [
+        ("group_001", "location_group_001", 2, 4.0), ("group_002", "loc_a", 1, 4.0),
+        ("group_003", "loc_a__loc_b", 1, 1.0)
+    ]
 
 
 def test_scale_without_width(spark):
@@ -84,7 +123,10 @@ def test_scale_without_width(spark):
 
 
 def test_phenotype(spark):
-    sheet = spark.createDataFrame([("a", 1.0, 4.005, None, 9.0), ("b", None, None, 2.0, 9.0)], "sample string, SPY_2019_x double, SPY_2020_x double, SPY_2019_y double, TGW_2019_y double")
+    sheet = spark.createDataFrame(
+        [("a", 1.0, 4.005, None, 9.0), ("b", None, None, 2.0, 9.0)],
+        "sample string, SPY_2019_x double, SPY_2020_x double, SPY_2019_y double, TGW_2019_y double"
+    )
     got = sorted(map(tuple, phenotype.process_trait(sheet, "SPY").collect()))
     assert got == [("a", 2.502, 1, 0), ("b", 2.0, 0, 1)] or got == [("a", 2.503, 1, 0), ("b", 2.0, 0, 1)]
     with pytest.raises(ValueError):
@@ -132,7 +174,9 @@ def test_metrics_against_plain_python(spark):
 def test_labels(spark):
     rows = spark.createDataFrame([("SNV",), ("SNV",), ("MNV",), ("Deletion",)], "t string")
     out, task, names = labels.prepare_labels(rows, "t")
-    assert task == "multiclass" and names == ["Deletion", "MNV", "SNV"] and {(r.t, r.y) for r in out.collect()} == {("SNV", 2), ("MNV", 1), ("Deletion", 0)}
+    assert task == "multiclass" and names == ["Deletion", "MNV", "SNV"] and {(r.t, r.y) for r in out.collect()} == {
+        ("SNV", 2), ("MNV", 1), ("Deletion", 0)
+    }
     two = rows.where("t <> 'Deletion'")
     out, task, _ = labels.prepare_labels(two, "t")
     assert task == "binary" and {(r.t, r.y) for r in out.collect()} == {("SNV", 1), ("MNV", 0)}
@@ -154,7 +198,9 @@ def test_split_draws_as_choice_does():
     samples = [f"s{i}" for i in range(10)]
     rest = [s for s in samples if s not in ("s7", "s3")]
     want = ["s7", "s3", *np.random.default_rng(5).choice(np.array(rest, dtype=object), size=2, replace=False)]
-    assert splits.split_samples(samples, ["s7", "other", "s3", "s7"], 0.4, 5) == ([s for s in samples if s not in want], want)
+    assert splits.split_samples(
+        samples, ["s7", "other", "s3", "s7"], 0.4, 5
+    ) == ([s for s in samples if s not in want], want)
     assert splits.split_samples(samples, samples, 0.4)[0] == []
 
 
@@ -166,19 +212,33 @@ def test_places_equal_a_window_over_all_rows(spark):
         w = Window.partitionBy(*group).orderBy("x", "i") if group else Window.partitionBy(F.lit(0)).orderBy("x", "i")
         want = df.withColumn("n", F.row_number().over(w))
         got = places.numbered(df, "n", [F.shiftright("x", 5)], ["x", "i"], group)
-        assert sorted(map(repr, got.select("g", "x", "i", F.col("n").cast("int")).collect())) == sorted(map(repr, want.collect()))
+        assert sorted(
+            map(repr, got.select("g", "x", "i", F.col("n").cast("int")).collect())
+        ) == sorted(map(repr, want.collect()))
 
 
 def test_first_rows(spark):
-    df = spark.createDataFrame([("k", 2, None, {"a": 1}), ("k", 1, "x", None), (None, 5, "z", None), ("m", None, "n", None), ("m", 0, "o", None)], "key string, o int, v string, attrs map<string,int>")
+    df = spark.createDataFrame(
+        [
+            ("k", 2, None, {"a": 1}), ("k", 1, "x", None), (None, 5, "z", None), ("m", None, "n", None),
+            ("m", 0, "o", None)
+        ],
+        "key string, o int, v string, attrs map<string,int>"
+    )
     got = genotypes.first_by(df, ["key"], "o")
-    assert got.columns == df.columns and sorted((str(r.key), r.v) for r in got.collect()) == [("None", "z"), ("k", "x"), ("m", "n")]
+    assert got.columns == df.columns and sorted((str(r.key), r.v) for r in got.collect()) == [
+        ("None", "z"), ("k", "x"), ("m", "n")
+    ]
 
 
 def test_thresholds_of_any_scores(spark):
     rng = random.Random(6)
     rows = [(rng.randint(0, 1), rng.choice([-3.5, 0.0, 0.25, 0.2500001, 1.0, 7.0]), k % 2) for k in range(300)]
-    got = {(r.g, r.score): (r.tp, r.fp, r.pos, r.neg) for r in metrics.thresholds(spark.createDataFrame(rows, "y int, score double, g int"), group=["g"]).collect()}
+    got = {
+        (r.g, r.score): (r.tp, r.fp, r.pos, r.neg) for r in metrics.thresholds(
+            spark.createDataFrame(rows, "y int, score double, g int"), group=["g"]
+        ).collect()
+    }
     for g in (0, 1):
         own = [(y, s) for y, s, k in rows if k == g]
         for s in {s for _, s in own}:
@@ -187,11 +247,19 @@ def test_thresholds_of_any_scores(spark):
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.integers(1, 40), st.integers(1, 60), st.lists(st.tuples(st.integers(1, 130), st.integers(0, 130)), min_size=1, max_size=20))
+@given(
+    st.integers(1, 40), st.integers(1, 60),
+    st.lists(st.tuples(st.integers(1, 130), st.integers(0, 130)), min_size=1, max_size=20)
+)
 def test_windows_of_pieces_are_those_of_the_whole(spark, k, step, places_):
-    whole = spark.createDataFrame([("Chr1", "".join(random.Random(1).choices("ACGTacgt", k=125)))], "chrom string, seq string")
+    whole = spark.createDataFrame(
+        [("Chr1", "".join(random.Random(1).choices("ACGTacgt", k=125)))], "chrom string, seq string"
+    )
     seq = whole.first().seq
-    v = spark.createDataFrame([(i, "Chr1", p, seq[p - 1 : p - 1 + n], "T") for i, (p, n) in enumerate(places_)], "i int, chrom string, pos long, ref string, alt string")
+    v = spark.createDataFrame(
+        [(i, "Chr1", p, seq[p - 1 : p - 1 + n], "T") for i, (p, n) in enumerate(places_)],
+        "i int, chrom string, pos long, ref string, alt string"
+    )
     want = effects.allele_windows(v, whole, k).select("i", "ref_seq", "alt_seq").collect()
     got = effects.allele_windows(v, fasta.pieces(whole, step, k), k).select("i", "ref_seq", "alt_seq").collect()
     assert sorted(got) == sorted(want)
@@ -201,6 +269,8 @@ def test_windows_of_pieces_are_those_of_the_whole(spark, k, step, places_):
 
 def test_long_reference_alleles(spark):
     whole = spark.createDataFrame([("Chr1", "ACGT" * 2000)], "chrom string, seq string")
-    v = spark.createDataFrame([("Chr1", 900, ("ACGT" * 2000)[899:3899], "T")], "chrom string, pos long, ref string, alt string")
+    v = spark.createDataFrame(
+        [("Chr1", 900, ("ACGT" * 2000)[899:3899], "T")], "chrom string, pos long, ref string, alt string"
+    )
     got = effects.allele_windows(v, fasta.pieces(whole, 1000, 2000), 100).first()
     assert got.downstream_seq == ("ACGT" * 2000)[3899:3999] and len(got.upstream_seq) == 100

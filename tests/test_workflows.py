@@ -14,13 +14,19 @@ from lociflow.operators import splits
 from lociflow.plans import builder, classifier, phenotypes, simulator
 from lociflow.sources import config, fasta, gff, sinks, tables, vcf
 
-SEQ = {"chr1": "".join(random.Random(1).choices("ACGT", k=400)), "chr_2": "".join(random.Random(2).choices("acgt", k=300))}
+SEQ = {
+    "chr1": "".join(random.Random(1).choices("ACGT", k=400)), "chr_2": "".join(random.Random(2).choices("acgt", k=300))
+}
 
 
 @pytest.fixture(scope="module")
 def genome(tmp_path_factory):
     d = tmp_path_factory.mktemp("genome")
-    (d / "g.fa").write_text("".join(f">{n} some text\n{s[:70]}\n{s[70:]}\n" for n, s in SEQ.items()) + ">chr01 later\nAAAA\n>scaffold\nTTTT\n")
+    (d / "g.fa").write_text(
+        "".join(
+            f">{n} some text\n{s[:70]}\n{s[70:]}\n" for n, s in SEQ.items()
+        ) + ">chr01 later\nAAAA\n>scaffold\nTTTT\n"
+    )
     rng = random.Random(3)
     lines = ["##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\tS_2\tabc\tx1"]
     for name, seq in SEQ.items():
@@ -40,13 +46,22 @@ def genome(tmp_path_factory):
 
 
 def settings(d, out, **more):
-    return config.of(config.BuilderConfig, {"vcf_path": f"{d}/v.vcf", "fasta_path": f"{d}/g.fa", "gff3_path": f"{d}/a.gff3", "gwas_path": f"{d}/gwas.csv", "qtl_path": f"{d}/qtl.csv", "outdir": str(out), "k": 8, "split": True, "test_ratio": 0.4, **more})
+    return config.of(
+        config.BuilderConfig,
+        {
+            "vcf_path": f"{d}/v.vcf", "fasta_path": f"{d}/g.fa", "gff3_path": f"{d}/a.gff3",
+            "gwas_path": f"{d}/gwas.csv", "qtl_path": f"{d}/qtl.csv", "outdir": str(out), "k": 8, "split": True,
+            "test_ratio": 0.4, **more
+        }
+    )
 
 
 def test_readers(spark, genome):
     g = {r.chrom: r.seq for r in fasta.genome(fasta.read(spark, f"{genome}/g.fa")).collect()}
     assert g == {"Chr1": SEQ["chr1"], "Chr2": SEQ["chr_2"]}
-    p = fasta.pieces(fasta.genome(fasta.read(spark, f"{genome}/g.fa")), 100, 10).where("chrom = 'Chr1' AND piece = 1").first()
+    p = fasta.pieces(
+        fasta.genome(fasta.read(spark, f"{genome}/g.fa")), 100, 10
+    ).where("chrom = 'Chr1' AND piece = 1").first()
     assert (p.seq, p.seq_start, p.seq_len) == (SEQ["chr1"][90:210], 91, 400)
     rows = gff.read(spark, f"{genome}/a.gff3", "gene").orderBy("id").collect()
     assert [(r.id, r.name, r.start, r.end) for r in rows] == [("g1", "n1", 10, 120), ("g2", "g2", 1, 90)]
@@ -59,7 +74,9 @@ def test_builder_runs_and_resumes(spark, genome, tmp_path):
     assert sites.where("chrom = 'Chr1' AND pos = 22 AND gwas_trait = 'h'").count() >= 1
     assert {r.pos for r in sites.where("chrom = 'Chr2'").collect()} >= {10}
     calls = spark.read.parquet(f"{tmp_path}/stages/genotypes")
-    assert {r[0] for r in calls.select("sample").distinct().collect()} == {"sample_1", "sample_2", "sample_3", "sample_1_4"}
+    assert {r[0] for r in calls.select("sample").distinct().collect()} == {
+        "sample_1", "sample_2", "sample_3", "sample_1_4"
+    }
     wide = spark.read.parquet(out["genotype_sample_by_site"])
     assert wide.count() == 4 and len(wide.columns) == 1 + calls.select("site_id").distinct().count()
     genes = spark.read.parquet(f"{tmp_path}/stages/gene_features")
@@ -104,7 +121,10 @@ def test_cache_infers_once(spark, tmp_path):
 def test_classifier(spark, genome, tmp_path):
     rows = [x.split("\t") for x in (genome / "v.vcf").read_text().splitlines() if not x.startswith("#")]
     (tmp_path / "s.tsv").write_text("chr\tpos\tvariant_type\n" + "".join(f"{r[0]}\t{r[1]}\tt\n" for r in rows))
-    c = classifier.ClassifierConfig(f"{tmp_path}/s.tsv", f"{genome}/v.vcf", f"{genome}/g.fa", f"{tmp_path}/out", k=6, selected_classes=["SNV", "Insertion"], folds=2)
+    c = classifier.ClassifierConfig(
+        f"{tmp_path}/s.tsv", f"{genome}/v.vcf", f"{genome}/g.fa", f"{tmp_path}/out", k=6,
+        selected_classes=["SNV", "Insertion"], folds=2
+    )
     s = classifier.run(spark, c)
     assert s["task_type"] == "binary" and s["eval_mode"] == "cv" and 0 <= s["metrics"]["accuracy"]["mean"] <= 1
     assert spark.read.parquet(f"{tmp_path}/out/predictions.parquet").count() == s["rows"]
@@ -112,11 +132,28 @@ def test_classifier(spark, genome, tmp_path):
 
 def test_simulator(spark, tmp_path):
     sites = [f"Chr1:{i}" for i in range(1, 6)]
-    (tmp_path / "g.csv").write_text(",".join(["sample", *sites]) + "\n" + "".join(f"s{k}," + ",".join(str((k + i) % 3) for i in range(5)) + "\n" for k in range(4)))
+    (tmp_path / "g.csv").write_text(
+        ",".join(["sample", *sites]) + "\n" + "".join(
+            f"s{k}," + ",".join(str((k + i) % 3) for i in range(5)) + "\n" for k in range(4)
+        )
+    )
     (tmp_path / "p.csv").write_text("sample,value,loc_a,loc_b\ns1,3.5,1,0\ns1,4.5,1,0\ns1,2,0,1\ns2,1,1,0\n")
-    (tmp_path / "i.csv").write_text("feature,importance_gain,importance_split\nloc_a,99,1\n" + "".join(f"{s},{i},1\n" for i, s in enumerate(sites)))
-    (tmp_path / "e.csv").write_text("Chromosome,Position,site_id,var_effect\n" + "".join(f"Chr1,{i},{s},{i}.5\n" for i, s in enumerate(sites)) + "Chr1,1,Chr1:1,7\n")
-    c = config.of(config.SimulatorConfig, {"genotype_file": f"{tmp_path}/g.csv", "phenotype_file": f"{tmp_path}/p.csv", "feature_importance_file": f"{tmp_path}/i.csv", "variant_effect_file": f"{tmp_path}/e.csv", "sample_id": "s1", "outdir": f"{tmp_path}/out", "top_n": 2})
+    (tmp_path / "i.csv").write_text(
+        "feature,importance_gain,importance_split\nloc_a,99,1\n" + "".join(f"{s},{i},1\n" for i, s in enumerate(sites))
+    )
+    (tmp_path / "e.csv").write_text(
+        "Chromosome,Position,site_id,var_effect\n" + "".join(
+            f"Chr1,{i},{s},{i}.5\n" for i, s in enumerate(sites)
+        ) + "Chr1,1,Chr1:1,7\n"
+    )
+    c = config.of(
+        config.SimulatorConfig,
+        {
+            "genotype_file": f"{tmp_path}/g.csv", "phenotype_file": f"{tmp_path}/p.csv",
+            "feature_importance_file": f"{tmp_path}/i.csv", "variant_effect_file": f"{tmp_path}/e.csv",
+            "sample_id": "s1", "outdir": f"{tmp_path}/out", "top_n": 2
+        }
+    )
     ranked = simulator.run(spark, c, simulator.linear_model({sites[0]: 1.0, "loc_a": 5.0}))
     assert ranked.count() == 2 * (9 + 3)
     assert ranked.groupBy("group_id").agg(F.max("rank")).collect()[0][1] == 12
@@ -132,7 +169,10 @@ def test_flat_yaml(tmp_path, monkeypatch):
     import builtins
 
     real = builtins.__import__
-    monkeypatch.setattr(builtins, "__import__", lambda n, *a, **k: (_ for _ in ()).throw(ImportError()) if n == "yaml" else real(n, *a, **k))
+    monkeypatch.setattr(
+        builtins, "__import__", lambda n, *a,
+        **k: (_ for _ in ()).throw(ImportError()) if n == "yaml" else real(n, *a, **k)
+    )
     assert config.load_yaml(str(tmp_path / "c.yaml")) == {"a": 1, "b": "x: y", "c": True, "d": None, "e": 1.5}
 
 
@@ -143,7 +183,10 @@ def test_settings_are_checked(genome, tmp_path):
 
 
 def test_site_table_names(spark):
-    df = spark.createDataFrame([("1", "5", "a", "g", "t"), ("x", "5", "a", "g", "t"), ("1", "6", "", None, "")], "CHR string, Pos string, ref_allele string, alt_allele string, variant_type string")
+    df = spark.createDataFrame(
+        [("1", "5", "a", "g", "t"), ("x", "5", "a", "g", "t"), ("1", "6", "", None, "")],
+        "CHR string, Pos string, ref_allele string, alt_allele string, variant_type string"
+    )
     assert [tuple(r) for r in tables.site_table(df).collect()] == [("Chr1", 5, "A", "G", "t")]
     with pytest.raises(Exception, match="whole position"):
         tables.site_table(df.withColumn("Pos", F.lit("5.5"))).collect()
@@ -167,7 +210,9 @@ def test_phenotype_tables(spark, tmp_path):
 
 def test_command_line_over_file_over_defaults(tmp_path):
     (tmp_path / "c.yaml").write_text("vcf_path: v\nfasta_path: f\noutdir: o\nk: 7\nembedder: other\n")
-    args, c = cli.settings(["score", "--config", f"{tmp_path}/c.yaml", "--k", "9", "--embedder-options", "k=2", "half=true"])
+    args, c = cli.settings(
+        ["score", "--config", f"{tmp_path}/c.yaml", "--k", "9", "--embedder-options", "k=2", "half=true"]
+    )
     assert (c.vcf_path, c.k, c.embedder, c.embedder_options) == ("v", 9, "other", {"k": 2, "half": True})
     assert args.command == "score"
     # A flag at its default gives way to the file.
@@ -177,21 +222,36 @@ def test_command_line_over_file_over_defaults(tmp_path):
     with pytest.raises(ValueError, match="unknown"):
         (tmp_path / "d.yaml").write_text("nothing: 1\n")
         cli.settings(["score", "--config", f"{tmp_path}/d.yaml"])
-    _, b = cli.settings(["build", *[x for n in ("vcf", "fasta", "gff3", "gwas", "qtl") for x in (f"--{n}-path", n)], "--outdir", "o", "--gff3-feature", "gene", "mRNA", "--split", "--no-wide"])
+    _, b = cli.settings(
+        [
+            "build", *[x for n in ("vcf", "fasta", "gff3", "gwas", "qtl") for x in (f"--{n}-path", n)], "--outdir", "o",
+            "--gff3-feature", "gene", "mRNA", "--split", "--no-wide"
+        ]
+    )
     assert b.gff3_feature == ["gene", "mRNA"] and b.split and not b.wide and b.resume
 
 
 def test_command_runs(spark, tmp_path):
     (tmp_path / "s.csv").write_text("sample,SPY_2019_a,SPY_2020_a\nx,1,2\ny,,4\n")
-    cli.main(["phenotypes", "--sheet-file", f"{tmp_path}/s.csv", "--outdir", f"{tmp_path}/o", "--traits", "SPY", "--stamp", "d"])
+    cli.main(
+        [
+            "phenotypes", "--sheet-file", f"{tmp_path}/s.csv", "--outdir", f"{tmp_path}/o", "--traits", "SPY",
+            "--stamp", "d"
+        ]
+    )
     rows = tables.phenotypes(tables.text_table(spark, f"{tmp_path}/o/SPY_d.csv")).collect()
     assert sorted((r.sample, r.value, r.loc_a) for r in rows) == [("x", 1.5, 1), ("y", 4.0, 1)]
 
 
 def test_workbooks(spark, monkeypatch):
     seen = []
-    monkeypatch.setattr(pd, "read_excel", lambda path, sheet_name: seen.append((path, sheet_name)) or pd.DataFrame({"sample": ["a"], "SPY_2019_x": [1.0]}))
-    assert tables.sheet(spark, "b.XLSX", "triple_data").collect()[0].SPY_2019_x == 1.0 and seen == [("b.XLSX", "triple_data")]
+    monkeypatch.setattr(
+        pd, "read_excel", lambda path,
+        sheet_name: seen.append((path, sheet_name)) or pd.DataFrame({"sample": ["a"], "SPY_2019_x": [1.0]})
+    )
+    assert tables.sheet(
+        spark, "b.XLSX", "triple_data"
+    ).collect()[0].SPY_2019_x == 1.0 and seen == [("b.XLSX", "triple_data")]
 
 
 def test_split_files(spark, genome, tmp_path):
@@ -200,8 +260,12 @@ def test_split_files(spark, genome, tmp_path):
     for part, samples in meta["samples"].items():
         for name in ("genotype_012", "variant_effect_matrix", "gene_sequence_feature_matrix"):
             csv = tables.text_table(spark, out[f"{part}_{name}_csv"])
-            assert [r["sample"] for r in csv.collect()] == samples and csv.columns == spark.read.parquet(out[f"{part}_{name}_parquet"]).columns
-    assert meta["samples"]["test"] == splits.split_samples(["sample_1", "sample_2", "sample_3", "sample_1_4"], (), 0.4)[1]
+            assert [r["sample"] for r in csv.collect()] == samples and csv.columns == spark.read.parquet(
+                out[f"{part}_{name}_parquet"]
+            ).columns
+    assert meta["samples"]["test"] == splits.split_samples(
+        ["sample_1", "sample_2", "sample_3", "sample_1_4"], (), 0.4
+    )[1]
 
 
 def test_models_by_file(spark, tmp_path):
@@ -215,7 +279,12 @@ def test_models_by_file(spark, tmp_path):
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import LinearRegression
 
-    train = models.with_vector(spark.createDataFrame([([float(i), float(i * i % 7), float(i % 2)], 3.0 * i + i % 2) for i in range(20)], "features array<double>, y double"))
+    train = models.with_vector(
+        spark.createDataFrame(
+            [([float(i), float(i * i % 7), float(i % 2)], 3.0 * i + i % 2) for i in range(20)],
+            "features array<double>, y double"
+        )
+    )
     Pipeline(stages=[LinearRegression(featuresCol="x", labelCol="y")]).fit(train).write().save(f"{tmp_path}/model")
     rows = spark.createDataFrame([([5.0, 4.0], 1, "loc_a")], "features array<float>, loc_a int, location_label string")
     got = simulator.model_of(spark, f"{tmp_path}/model", False)(rows, ["a", "b"]).first()
@@ -239,7 +308,10 @@ def test_chart(spark, tmp_path):
 def test_classifier_matrices(spark, genome, tmp_path):
     rows = [x.split("\t") for x in (genome / "v.vcf").read_text().splitlines() if not x.startswith("#")]
     (tmp_path / "s.tsv").write_text("chr\tpos\tvariant_type\n" + "".join(f"{r[0]}\t{r[1]}\tt\n" for r in rows))
-    c = classifier.ClassifierConfig(f"{tmp_path}/s.tsv", f"{genome}/v.vcf", f"{genome}/g.fa", f"{tmp_path}/out", k=6, selected_classes=["SNV", "Insertion"], eval_mode="holdout", matrices=True)
+    c = classifier.ClassifierConfig(
+        f"{tmp_path}/s.tsv", f"{genome}/v.vcf", f"{genome}/g.fa", f"{tmp_path}/out", k=6,
+        selected_classes=["SNV", "Insertion"], eval_mode="holdout", matrices=True
+    )
     s = classifier.run(spark, c)
     load = lambda n: np.load(f"{tmp_path}/out/{n}.npy")
     ref, alt, diff, x = map(load, ("ref_embeddings", "alt_embeddings", "alt_minus_ref_embeddings", "features"))
@@ -247,7 +319,9 @@ def test_classifier_matrices(spark, genome, tmp_path):
     train, test = load("train_indices"), load("test_indices")
     assert sorted([*train, *test]) == list(range(s["rows"]))
     ids = sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/out/features.parquet").select("site_id").collect())
-    assert sorted(ids[i] for i in test) == sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/out/predictions.parquet").select("site_id").collect())
+    assert sorted(ids[i] for i in test) == sorted(
+        r[0] for r in spark.read.parquet(f"{tmp_path}/out/predictions.parquet").select("site_id").collect()
+    )
     assert json.loads((tmp_path / "out/feature_meta.json").read_text())["feature_dim"] == x.shape[1]
     assert sum(s["label_counts"].values()) == s["rows"]
 
