@@ -27,6 +27,12 @@ def signed(c: BuilderConfig) -> tuple[dict, dict]:
     }
 
 
+def _samples(spark: SparkSession, path: str) -> list[list[str]]:
+    """Names of the header and the names that samples go by, in order; as many as the header has."""
+    raw = spark.createDataFrame(list(enumerate(vcf.samples(spark, path))), "idx int, raw_sample string")
+    return [[r["raw_sample"], r["sample"]] for r in genotypes.standard_samples(raw).orderBy("idx").collect()]
+
+
 def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     """Runs the stages that are not done yet and returns the paths of the results."""
     stages = Stages(spark, c.outdir, *signed(c), c.resume)
@@ -75,10 +81,9 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
         ).select("chrom", "pos", "qtl_trait", "gwas_trait", "gene_id")
     )
 
-    raw = vcf.samples(spark, c.vcf_path)
-    names = genotypes.standard_samples(spark.createDataFrame(list(enumerate(raw)), "idx int, raw_sample string"))
-    mapping = names.orderBy("idx").collect()  # as many rows as the header has samples
-    order = [r["sample"] for r in mapping]
+    mapping = stages.note("samples", lambda: _samples(spark, c.vcf_path))
+    names = spark.createDataFrame([(i, *x) for i, x in enumerate(mapping)], "idx int, raw_sample string, sample string")
+    order = [sample for _, sample in mapping]
     csv("sample_mapping", names.orderBy("idx").select("raw_sample", "sample"))
     calls = stages.run("genotypes", lambda: genotypes.long_genotypes(vcf.calls(lines, order), in_gene))
 

@@ -26,6 +26,7 @@ class Stages:
         self.signature = hashlib.sha1(json.dumps(self.payload, sort_keys=True, default=str).encode()).hexdigest()
         state = self._load() if resume else {}
         self.done: dict[str, dict] = state.get("stages", {}) if state.get("run_signature") == self.signature else {}
+        self.notes: dict[str, object] = state.get("notes", {}) if self.done else {}
         self.fresh = False
 
     def _fs(self, path: str):
@@ -62,7 +63,7 @@ class Stages:
                 json.dumps(
                     {
                         "version": 1, "run_signature": self.signature, "signature_payload": self.payload,
-                        "stages": self.done
+                        "stages": self.done, "notes": self.notes
                     },
                     default=str
                 ).encode()
@@ -70,6 +71,14 @@ class Stages:
         )
         out.close()
 
+    def note(self, name: str, make: Callable[[], object]) -> object:
+        """A small value that belongs to the run, such as the samples' names: taken from the manifest, or made and put
+        there."""
+        if name not in self.notes:
+            self.notes[name] = make()
+            self._save()
+        return self.notes[name]
+
     def complete(self, name: str) -> bool:
         fs, p = self._fs(f"{self.folder}/stages/{name}/_SUCCESS")
         return not self.fresh and self.done.get(name, {}).get("completed", False) and bool(fs.exists(p))

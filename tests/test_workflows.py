@@ -91,6 +91,7 @@ def test_builder_runs_and_resumes(spark, genome, tmp_path):
     builder.run(spark, settings(genome, tmp_path))
     assert (tmp_path / "stages/initial_sites/_SUCCESS").stat().st_mtime_ns == stamp
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/stages/gene_features").collect())) == before
+    assert json.loads((tmp_path / "resume.json").read_text())["notes"]["samples"][3] == ["x1", "sample_1_4"]
 
 
 def test_all_variants_match_plain_python(spark, genome, tmp_path):
