@@ -298,7 +298,8 @@ def read_against(passages: DataFrame, window: int, n_tokens: int, pass_bytes: in
         shard.alias("shard"), "rid", "th", "start", "tokens", F.floor(shard / of_pass).cast("int").alias("pass")
     )
     dealt, spans = new_path(spark, "passages"), new_path(spark, "spans")
-    rows.repartition("pass", F.pmod(F.xxhash64("rid", "start"), F.lit(tasks))).write.partitionBy("pass").parquet(dealt)
+    rows = rows.repartition("pass", F.pmod(F.xxhash64("rid", "start"), F.lit(tasks)))
+    rows.sortWithinPartitions("pass", "shard").write.partitionBy("pass").parquet(dealt)
     spark.createDataFrame([], SPANS).write.parquet(spans)
     free_shuffles(spark)
     every = spark.read.schema("shard long, rid long, th int, start long, tokens binary, pass int").parquet(dealt)
