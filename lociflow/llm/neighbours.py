@@ -5,7 +5,8 @@ network learns to tell a vector's part from the vector. Every row is indexed und
 goes to the several parts that are most probable for it, as many as the sample needs for its recall and as its k
 neighbours need for room, and all rows found there are ranked by their exact distance. Parts are searched in blocks of
 rows and queries, so neither a part of any size nor a vector that a third of the table repeats gathers in one task.
-There are more parts the more rows there are, up to what the sample can tell apart.
+There are more parts the more rows there are, up to what the sample can tell apart; of a larger table each part is
+cut again in the same way, by a router that is fitted in a task on a bounded sample of that part alone.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take no part; vectors of another
 length than most are searched among those of their own length, all of them; components of any finite size are ranked
@@ -16,6 +17,7 @@ vectors one each; an empty table gives an empty result; other columns are not re
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lociflow.llm._stage import staged
+from lociflow.llm._stage import drop_stage, staged
 from lociflow.llm._text import in_batches, require
 
 #: The sample that partitions and classifier are fitted on has at most so many rows, those of the least hashes.
@@ -38,6 +40,8 @@ HIDDEN = 64
 #: Recall on the sample for which parts are added to a query's route.
 SAMPLE_RECALL = 0.95
 BLOCK_ROWS, BLOCK_QUERIES = 16_384, 2_048
+#: Numbers that a part's cells may take.
+WIDE = 1 << 10
 
 
 @dataclass
@@ -54,6 +58,8 @@ class Router:
     probes: int
     dim: int
     exponent: int = 0
+    #: Whether the rows are too many for the parts that the sample can tell apart.
+    deep: bool = False
 
     def parts(self, x: np.ndarray) -> np.ndarray:
         """Parts of each vector, the most probable first."""
@@ -62,6 +68,49 @@ class Router:
         return np.argsort(-(h @ self.w2 + self.b2), axis=1, kind="stable")
 
 
+@dataclass
+class Tree:
+    """The router of all rows, and those of the parts that are cut again. A cell is a part, or a part of it."""
+
+    top: Router
+    below: dict[int, Router]
+
+    def cells(self, x: np.ndarray) -> np.ndarray:
+        part = self.top.parts(x)[:, 0]
+        out = part * WIDE
+        for p, router in self.below.items():
+            at = np.flatnonzero(part == p)
+            if len(at):
+                out[at] += router.parts(x[at])[:, 0]
+        return out
+
+    def routes(self, x: np.ndarray, depth: int, whole: bool, size: dict[int, int], need: np.ndarray) -> list[list[int]]:
+        """The cells that each query visits: of its ``depth`` most probable parts the most probable cells, or with
+        ``whole`` all, and then further ones until they hold as many rows as it needs."""
+        order = self.top.parts(x)
+        inner: dict[int, np.ndarray] = {}
+        for p in np.unique(order[:, :depth]).tolist():
+            inner[p] = self.below[p].parts(x) if p in self.below else np.zeros((len(x), 1), np.int64)
+        out = []
+        for i, parts in enumerate(order.tolist()):
+            first, rest = [], []
+            for p in parts[:depth]:
+                cells = (inner[p][i] + p * WIDE).tolist()
+                cut = len(cells) if whole or p not in self.below else self.below[p].probes
+                first += cells[:cut]
+                rest += cells[cut:]
+            for p in parts[depth:]:
+                rest += range(p * WIDE, p * WIDE + (len(self.below[p].b2) if p in self.below else 1))
+            held = sum(size.get(c, 0) for c in first)
+            for c in rest:
+                if held >= need[i]:
+                    break
+                first.append(c)
+                held += size.get(c, 0)
+            out.append(first)
+        return out
+
+
 def usable(column: str, dim: int | None = None) -> Column:
     ok = F.expr(f"forall(`{column}`, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))") & F.expr(f"exists(`{column}`, x -> x <> 0)")
     return F.coalesce(ok if dim is None else ok & (F.size(column) == dim), F.lit(False))
@@ -172,16 +221,23 @@ def fit(
     lengths = vectors.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
     if not lengths:
         return None
-    dim = int(lengths[0]["dim"])
-    parts = parts or max(PARTS, int(lengths[0]["count"]) // PART_ROWS)
+    dim, wanted = int(lengths[0]["dim"]), int(lengths[0]["count"]) // PART_ROWS
     rows = vectors.where(F.size("vec") == dim).orderBy(
         F.xxhash64(F.lit(seed), "id"), "id"
     ).limit(fit_rows).select("vec").collect()
     x = np.unique(np.array([r[0] for r in rows], np.float64), axis=0)
-    n, e = len(x), exponent(x)
+    deep = parts is None and wanted > 2 * (len(x) // (4 * k))
+    router = learn(x, parts or max(PARTS, wanted), k, seed, SAMPLE_RECALL**0.5 if deep else SAMPLE_RECALL)
+    router.deep = deep
+    return router
+
+
+def learn(x: np.ndarray, parts: int, k: int, seed: int, recall_wanted: float) -> Router:
+    """The router of distinct vectors of one length, into as many parts as they can tell apart."""
+    n, e, dim = len(x), exponent(x), x.shape[1]
     x = np.ldexp(x, -e)
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
-    parts = max(1, min(parts, n // (4 * k)))
+    parts = max(1, min(parts, n // (4 * k), WIDE))
     if parts == 1:
         return Router(
             mean, scale, np.zeros((dim, HIDDEN)), np.zeros(HIDDEN), np.zeros((HIDDEN, 1)), np.zeros(1), 1, dim, e
@@ -198,10 +254,36 @@ def fit(
     # How far down a vector's route its neighbours' parts stand.
     depth = np.take_along_axis(place, order[:, 0][graph], 1)
     recall = np.array([(depth < p).mean() for p in range(1, parts + 1)])
-    router.probes = int(np.argmax(recall >= SAMPLE_RECALL)) + 1 if recall.max() >= SAMPLE_RECALL else parts
+    router.probes = int(np.argmax(recall >= recall_wanted)) + 1 if recall.max() >= recall_wanted else parts
     return router
 
 
+def fit_below(index: DataFrame, size: dict[int, int], k: int, seed: int) -> dict[int, Router]:
+    """Routers of the cells (part) of more than two times ``PART_ROWS`` rows, each fitted in a task on a sample of
+    about ``FIT_ROWS`` of its rows: those of the least hashes."""
+    large = {p: n for p, n in size.items() if p >= 0 and n > 2 * PART_ROWS}
+    if not large:
+        return {}
+    share = F.create_map(*[F.lit(x) for p, n in large.items() for x in (p, min(1.0, FIT_ROWS / n))])
+    place = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = index.where(F.col("part").isin(list(large))).where(place < share[F.col("part")]).select("part", "vec")
+
+    def run(rows: pa.Table) -> pa.Table:
+        p = rows.column("part")[0].as_py()
+        x = np.unique(_matrix(rows.column("vec").combine_chunks()), axis=0)
+        router = learn(x, large[p] // PART_ROWS, k, seed, SAMPLE_RECALL**0.5)
+        return pa.table([pa.array([p], pa.int32()), pa.array([pickle.dumps(router)], pa.binary())], ["part", "router"])
+
+    # A router for each part, of which the sample allows FIT_ROWS / (4 * k) at most.
+    found = sample.groupBy("part").applyInArrow(run, "part int, router binary").collect()
+    return {r["part"] // WIDE: pickle.loads(r["router"]) for r in found}  # noqa: S301
+
+
+def _counts(index: DataFrame) -> dict[int, int]:
+    """Rows of each cell; there are (FIT_ROWS / (4 * k)) ** 2 learned cells at most."""
+    return {r["part"]: r["count"] for r in index.where("part >= 0").groupBy("part").count().collect()}
+
+
 def _matrix(col: pa.Array) -> np.ndarray:
     flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 0))
@@ -215,24 +297,21 @@ def _by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Reco
             yield dim, b if (size == dim).all() else b.filter(pa.array(size == dim))
 
 
-def _route(batches: Iterator[pa.RecordBatch], router: Router) -> Iterator[pa.RecordBatch]:
-    """Each row's part; rows of another length are a part of their own, numbered by that length below 0."""
+def _route(batches: Iterator[pa.RecordBatch], tree: Tree) -> Iterator[pa.RecordBatch]:
+    """Each row's cell; rows of another length are a cell of their own, numbered by that length below 0."""
     for dim, b in _by_length(batches):
-        part = router.parts(_matrix(b.column(1)))[:, 0].astype(np.int32) if dim == router.dim else np.full(len(b), -dim, np.int32)
+        part = tree.cells(_matrix(b.column(1))).astype(np.int32) if dim == tree.top.dim else np.full(len(b), -dim, np.int32)
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(part)], ["id", "vec", "part"])
 
 
 def _ask(
-    batches: Iterator[pa.RecordBatch], router: Router, depth: int, size: np.ndarray, k: int
+    batches: Iterator[pa.RecordBatch], tree: Tree, depth: int, whole: bool, size: dict[int, int], k: int
 ) -> Iterator[pa.RecordBatch]:
-    """The parts that each query (id, vec, own) visits: ``depth``, and more until they hold k rows besides the query's
-    own."""
+    """The cells that each query (id, vec, own) visits, which hold k rows besides the query's own if there are."""
     for dim, b in _by_length(batches):
-        if dim == router.dim:
-            order = router.parts(_matrix(b.column(1)))
-            own = b.column(2).to_numpy(zero_copy_only=False)
-            enough = (np.cumsum(size[order], 1) < (own + k)[:, None]).sum(1) + 1
-            parts = [o[:n] for o, n in zip(order.tolist(), np.maximum(enough, depth).tolist(), strict=True)]
+        if dim == tree.top.dim:
+            need = b.column(2).to_numpy(zero_copy_only=False) + k
+            parts = tree.routes(_matrix(b.column(1)), depth, whole, size, need)
         else:
             parts = [[-dim]] * len(b)
         yield pa.RecordBatch.from_arrays(
@@ -291,25 +370,29 @@ def search(
     if router is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     depth = min(probes or router.probes, router.b2.shape[0])
-    index = staged(
-        clean.select("id", "vec").transform(
-            in_batches, lambda it: _route(it, router), "id long, vec array<double>, part int"
-        ),
+    place = lambda rows, tree: staged(
+        rows.select("id", "vec").transform(in_batches, lambda it: _route(it, tree), "id long, vec array<double>, part int"),
         "index"
     )
-    size = np.zeros(router.b2.shape[0], np.int64)
-    for r in index.where("part >= 0").groupBy("part").count().collect():  # a row for each learned part
-        size[r["part"]] = r["count"]
+    tree = Tree(router, {})
+    index = place(clean, tree)
+    size = _counts(index)
+    if router.deep and (below := fit_below(index, size, k, seed)):
+        tree, coarse = Tree(router, below), index
+        index = place(coarse, tree)
+        size = _counts(index)
+        drop_stage(coarse)
     repeated = index.groupBy("id").agg(F.count("*").alias("own")).where("own > 1")
     asks = clean.where("asks").select("id", "vec").distinct().join(repeated, "id", "left").select(
         "id", "vec", F.coalesce("own", F.lit(1)).alias("own")
     )
     asked = asks.transform(
-        in_batches, lambda it: _ask(it, router, depth, size, k), "id long, vec array<double>, parts array<int>"
+        in_batches,
+        lambda it: _ask(it, tree, depth, probes is not None, size, k), "id long, vec array<double>, parts array<int>"
     )
     asked = asked.select("id", "vec", F.xxhash64("vec").alias("ask"), F.explode("parts").alias("part"))
     asked = staged(asked, "asked")
-    # Blocks of each part: at most FIT_ROWS / (4 * k) learned parts, and one for each other length of vectors.
+    # Blocks of each cell: at most (FIT_ROWS / (4 * k)) ** 2 learned cells, and one for each other length of vectors.
     n_rows = index.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("row_blocks"))
     n_asked = asked.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("query_blocks"))
     blocks = F.broadcast(n_rows.join(n_asked, "part").select("part", "row_blocks", "query_blocks"))

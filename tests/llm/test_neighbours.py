@@ -127,3 +127,33 @@ def test_clustered_vectors_prune(spark, monkeypatch):
     d[np.arange(len(d)), np.arange(0, 6000, 50)] = np.inf
     near = {(q * 50, v) for q, row in enumerate(np.argsort(d, 1)[:, :10].tolist()) for v in row}
     assert len({(q, v) for q, _, v, _ in got} & near) >= 0.9 * len(near)
+
+
+def test_parts_are_cut_again(spark, monkeypatch):
+    """More rows than the sample has parts for: cells of cells, with the same recall, from under half of the rows."""
+    monkeypatch.setattr(neighbours, "FIT_ROWS", 480)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 60)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(40, 12))[rng.integers(0, 40, 8000)] * 5 + rng.normal(size=(8000, 12)) * 0.5
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(9000, [1.0, 2.0])]
+    seen, real, fit = [], neighbours.fit_below, neighbours.fit
+    monkeypatch.setattr(neighbours, "fit", lambda v, p, k, s: fit(v, p, k, s, 480))
+    monkeypatch.setattr(neighbours, "fit_below", lambda *a: seen.append(real(*a)) or seen[-1])
+    got = found(spark, rows, F.col("vec_id") % 50 == 0)
+    assert len(seen[0]) > 4 and all(len(r.b2) > 1 for r in seen[0].values())
+    d = ((x[::50, None] - x[None]) ** 2).sum(2)
+    d[np.arange(len(d)), np.arange(0, 8000, 50)] = np.inf
+    near = {(q * 50, v) for q, row in enumerate(np.argsort(d, 1)[:, :10].tolist()) for v in row}
+    assert len({(q, v) for q, _, v, _ in got} & near) >= 0.9 * len(near) and len(got) == 10 * len(d)
+    exact = found(spark, rows, F.col("vec_id") % 50 == 0, probes=1000)
+    assert {(q, v) for q, _, v, _ in exact} == near
+
+
+def test_routes_visit_further_cells():
+    """Of the parts visited the probable cells come first, then their others, then those of further parts."""
+    plain = lambda n, probes: neighbours.Router(np.zeros(1), np.ones(1), np.zeros((1, 1)), np.zeros(1), np.zeros((1, n)), -np.arange(n, dtype=float), probes, 1)
+    tree, w = neighbours.Tree(plain(3, 1), {0: plain(3, 1), 2: plain(2, 1)}), neighbours.WIDE
+    size = {0: 1, 1: 2, 2: 3, w: 4, 2 * w: 5, 2 * w + 1: 6}
+    routes = lambda need, depth=1, whole=False: tree.routes(np.zeros((1, 1)), depth, whole, size, np.array([need]))[0]
+    assert routes(1) == [0] and routes(2) == [0, 1] and routes(7) == [0, 1, 2, w] and routes(99) == [0, 1, 2, w, 2 * w, 2 * w + 1]
+    assert routes(1, 2) == [0, w] and routes(1, 1, True) == [0, 1, 2]
