@@ -35,16 +35,16 @@ REMOVE, COMPARE, SINGLY = 0, 1, 2
 BLOCK_ROWS = 400_000
 
 ENTRY = [
-    ("gram", np.uint64), ("body", np.uint64), ("doc", np.int64), ("th", np.int32), ("start", np.uint32),
+    ("gram", np.uint64), ("body", np.uint64), ("doc", np.int64), ("th", np.int64), ("start", np.uint32),
     ("count", np.uint16), ("flag", np.uint8)
 ]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """rid, th, text: the row's key and its text."""
+    """rid, th, text: the row's key and its text. 64 bits, as all rows may lack an id or share one."""
     require(docs, "doc_id", "text")
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("rid"), F.hash("text").alias("th"), "text"
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("rid"), F.xxhash64("text").alias("th"), "text"
     )
 
 
@@ -173,7 +173,7 @@ def settle(blocks: DataFrame, rule: Settle) -> DataFrame:
                 )
 
     return by_bucket(blocks.select("bucket", "block")).transform(
-        in_batches, run, "rid long, th int, value long, gram long"
+        in_batches, run, "rid long, th long, value long, gram long"
     )
 
 

@@ -426,7 +426,8 @@ def prefix_pairs(sets: DataFrame) -> DataFrame:
     rows = sets.select("node", "comp", "tokens").transform(
         in_batches, _explode, "node long, comp long, n long, token long"
     )
-    df = rows.groupBy("token").agg(F.count("*").alias("df"))
+    # Written, so that the rows of a token that many sets hold meet a plain table and Spark may split their partition.
+    df = staged(rows.groupBy("token").agg(F.count("*").alias("df")), "frequencies")
     ranked = rows.join(df, "token").groupBy("node", "comp", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order")
     )
@@ -482,7 +483,7 @@ def grouped(docs: DataFrame, n: int = N, percent: int = 75, all_pairs: int = ALL
     which is null for an empty set."""
     if percent < 75:
         raise ValueError("the partition scheme covers similarities of 75 percent and more")
-    rows = anchors.keyed(docs).withColumn("th", F.xxhash64("text"))  # 32 bits are few for the texts of all null ids
+    rows = anchors.keyed(docs)
     dealt = buckets(docs)
     members = staged(
         rows.transform(in_batches, lambda it: _members(it, n), "rid long, th long, n long, node long, bits binary"),

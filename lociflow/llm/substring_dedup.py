@@ -7,10 +7,11 @@ a window covers is removed.
 
 The reference of this operator is the corpus itself, so it grows with it. It is dealt to shards of about
 ``SHARD_TOKENS`` words by the minimisers of its passages, and a passage can only match in the shard of its own
-minimiser. A pass builds the automata of some shards in tasks, checks that they are no larger than ``PASS_BYTES``
-together, or cuts them into parts that are, broadcasts them, and streams the passages of those shards, which are
-written apart from the others; then the next pass begins. So what is broadcast at a time is bounded, each passage is
-read in one pass, and the passes grow in number with the reference.
+minimiser. Where all automata together are known to take no more than ``broadcast_bytes``, they are built in tasks,
+broadcast, and the passages are streamed against them wherever they lie. A larger reference is not broadcast: each
+shard's passages go to one task, which builds the shard's automaton and streams them against it, shard after shard.
+Either way the number of jobs is fixed, a task holds the automaton of a shard at a time, and nothing that grows with
+the corpus goes through the driver.
 
 What goes before is only combined ahead of the shuffle: runs of windows with one and the same text settle among
 themselves which document is the smallest, and a minimiser that has one text in all documents needs no automaton, as
@@ -36,13 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.llm import _anchors as anchors
-from lociflow.llm._stage import drop_stage, free_shuffles, new_path, shuffle_partitions, staged
+from lociflow.llm._stage import drop_stage, free_shuffles, staged
 from lociflow.llm._text import MUL, WordHashes, in_batches, mix, small_batches, spans_union
 
 WINDOW = 13
 GRAM = 5
-#: Words of a shard, about; bytes of automata that are broadcast at once; bytes that a word's states take at most.
-SHARD_TOKENS, PASS_BYTES, TOKEN_BYTES = 25_000, 96 << 20, 64
+#: Words of a shard, about; bytes of automata that may be broadcast; bytes that a word's states take at most.
+SHARD_TOKENS, BROADCAST_BYTES, TOKEN_BYTES = 25_000, 96 << 20, 64
 
 
 class SuffixAutomaton:
@@ -230,7 +231,7 @@ def _passages(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
                     pa.array(c, t) for c,
                     t in zip(
                         zip(*rows, strict=True),
-                        (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True
+                        (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True
                     )
                 ],
                 ["gram", "rid", "th", "start", "count", "tokens"]
@@ -258,83 +259,90 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close()
 
 
-def _stream(batches: Iterator[pa.RecordBatch], automata: dict[int, Frozen], window: int) -> Iterator[pa.RecordBatch]:
-    """Spans of the passages (shard, rid, th, start, tokens) whose windows have a smaller owner."""
+def _spans(
+    automaton: Frozen, rid: np.ndarray, th: np.ndarray, start: np.ndarray, tokens: list[bytes], window: int
+) -> pa.RecordBatch:
+    """Spans of passages of one shard whose windows have a smaller owner."""
+    ends = np.zeros(len(tokens) + 1, np.int64)
+    np.cumsum([len(t) // 8 for t in tokens], out=ends[1:])
+    row, place, owner = automaton.owners(np.frombuffer(b"".join(tokens), np.uint64), ends, window)
+    gone = owner < rid[row]
+    row, place = row[gone], place[gone]
+    o = np.lexsort((place, row))
+    row, place = row[o], place[o]
+    first = np.flatnonzero(anchors.groups(row, place - np.arange(len(place))))
+    count = np.diff(np.append(first, len(row)))
+    src = row[first]
+    value = anchors.pack(start[src] + place[first], count, anchors.REMOVE)
+    return pa.RecordBatch.from_arrays([pa.array(rid[src]), pa.array(th[src]), pa.array(value)], ["rid", "th", "value"])
+
+
+def _columns(b: pa.RecordBatch) -> list[np.ndarray]:
+    """shard, rid, th and start of passages."""
+    return [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+
+
+def _stream(batches: Iterator[pa.RecordBatch], automata: dict[int, bytes], window: int) -> Iterator[pa.RecordBatch]:
+    """Passages (shard, rid, th, start, tokens) in any order against automata that the task has."""
     for b in batches:
-        shards, rid, th, start = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        tokens = b.column(4)
+        shards, rid, th, start = _columns(b)
         for k in np.unique(shards).tolist():
             at = np.flatnonzero(shards == k)
-            own = tokens.take(pa.array(at)).to_pylist()
-            ends = np.zeros(len(own) + 1, np.int64)
-            np.cumsum([len(t) // 8 for t in own], out=ends[1:])
-            row, place, owner = automata[k].owners(np.frombuffer(b"".join(own), np.uint64), ends, window)
-            gone = owner < rid[at][row]
-            row, place = row[gone], place[gone]
-            if not len(row):
-                continue
-            o = np.lexsort((place, row))
-            row, place = row[o], place[o]
-            first = np.flatnonzero(anchors.groups(row, place - np.arange(len(place))))
-            count = np.diff(np.append(first, len(row)))
-            src = at[row[first]]
-            value = anchors.pack(start[src] + place[first], count, anchors.REMOVE)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rid[src]), pa.array(th[src]), pa.array(value)], ["rid", "th", "value"]
-            )
-
+            own = b.column(4).take(pa.array(at)).to_pylist()
+            yield _spans(Frozen(automata[k]), rid[at], th[at], start[at], own, window)
+
+
+def _shard_by_shard(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Passages (shard, rid, th, start, tokens), a shard after the other: builds its automaton and streams them."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]] = []
+    shard = None
+
+    def finish() -> pa.RecordBatch:
+        rid, th, start = (np.concatenate([h[i] for h in held]) for i in range(3))
+        tokens = [t for h in held for t in h[3]]
+        sam, once = SuffixAutomaton(), {}
+        for t, r in zip(tokens, rid.tolist(), strict=True):
+            once[t] = min(r, once.get(t, r))
+        for t, r in once.items():
+            sam.add(np.frombuffer(t, np.uint64).tolist(), r)
+        sam.close()
+        return _spans(Frozen(sam.freeze()), rid, th, start, tokens, window)
 
-def read_against(passages: DataFrame, window: int, n_tokens: int, pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """rid, th, value: the spans that automata of all passages (gram, rid, th, start, tokens) remove from each. What is
-    held at once is bounded by ``pass_bytes``."""
+    for b in batches:
+        shards, rid, th, start = _columns(b)
+        cut = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1).tolist(), len(b)]
+        for i, j in zip(cut, cut[1:], strict=False):
+            if i == j:
+                continue
+            if held and shards[i] != shard:
+                yield finish()
+                held = []
+            shard = shards[i]
+            held.append((rid[i:j], th[i:j], start[i:j], b.column(4).slice(i, j - i).to_pylist()))
+    if held:
+        yield finish()
+
+
+def read_against(passages: DataFrame, window: int, n_tokens: int, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """rid, th, value: the spans that automata of all passages (gram, rid, th, start, tokens) remove from each.
+    ``n_tokens`` is how many words the passages have; it bounds what the automata take."""
     spark = passages.sparkSession
     shards = max(1, -(-n_tokens // SHARD_TOKENS))
-    of_pass = max(1, pass_bytes // (SHARD_TOKENS * TOKEN_BYTES))
-    passes = -(-shards // of_pass)
     shard = F.pmod(F.xxhash64("gram"), F.lit(shards))
-    # Files of one pass stand together; rows of a pass are dealt to as many tasks as there are for each.
-    tasks = max(1, shuffle_partitions(spark) // passes)
-    rows = passages.select(
-        shard.alias("shard"), "rid", "th", "start", "tokens", F.floor(shard / of_pass).cast("int").alias("pass")
+    rows = passages.select(shard.alias("shard"), "rid", "th", "start", "tokens")
+    if n_tokens * TOKEN_BYTES > broadcast_bytes:
+        dealt = rows.repartition("shard").sortWithinPartitions("shard")
+        return dealt.transform(in_batches, lambda it: _shard_by_shard(it, window), SPANS)
+    rows = staged(rows, "passages")
+    once = rows.groupBy("shard", "tokens").agg(F.min("rid").alias("rid"))
+    built = once.repartition("shard").sortWithinPartitions("shard").transform(
+        in_batches, _build, "shard long, automaton binary"
     )
-    dealt, spans = new_path(spark, "passages"), new_path(spark, "spans")
-    rows = rows.repartition("pass", F.pmod(F.xxhash64("rid", "start"), F.lit(tasks)))
-    rows.sortWithinPartitions("pass", "shard").write.partitionBy("pass").parquet(dealt)
-    spark.createDataFrame([], SPANS).write.parquet(spans)
-    free_shuffles(spark)
-    every = spark.read.schema("shard long, rid long, th int, start long, tokens binary, pass int").parquet(dealt)
-    for k in range(passes):
-        own = every.where(F.col("pass") == k).select("shard", "rid", "th", "start", "tokens")
-        once = own.groupBy("shard", "tokens").agg(F.min("rid").alias("rid"))
-        built = once.repartition("shard").sortWithinPartitions("shard").transform(
-            in_batches, _build, "shard long, automaton binary"
-        )
-        built = staged(built, "automata", "none")  # made side by side, then taken one by one
-        part: dict[int, bytes] = {}
-        for r in built.toLocalIterator():
-            if part and sum(map(len, part.values())) + len(r["automaton"]) > pass_bytes:
-                _one_pass(own, part, window, spans)
-                part = {}
-            part[r["shard"]] = bytes(r["automaton"])
-        _one_pass(own, part, window, spans)
-        drop_stage(built)
-        free_shuffles(spark)
-    return spark.read.schema(SPANS).parquet(spans)
-
-
-def _one_pass(own: DataFrame, part: dict[int, bytes], window: int, spans: str) -> None:
-    if not part:
-        return
-    shared = own.sparkSession.sparkContext.broadcast(part)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _stream(batches, {k: Frozen(x) for k, x in shared.value.items()}, window)
-
-    own.where(F.col("shard").isin(list(part))).transform(in_batches, run, SPANS).write.mode("append").parquet(spans)
-    shared.destroy()
+    automata = spark.sparkContext.broadcast({r["shard"]: bytes(r["automaton"]) for r in built.collect()})
+    return rows.transform(in_batches, lambda it: _stream(it, automata.value, window), SPANS)
 
 
-SPANS = "rid long, th int, value long"
+SPANS = "rid long, th long, value long"
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -365,10 +373,12 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
 
 
 def dedup(
-    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int = anchors.SPLIT, pass_bytes: int = PASS_BYTES
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int = anchors.SPLIT,
+    broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """doc_id, n_words, n_removed, spans (removed words, half-open) and kept (the remaining words, joined by one
-    space). ``pass_bytes`` bounds what is broadcast at a time."""
+    space). Automata that may take more than ``broadcast_bytes`` are not broadcast; ``split`` is the number of texts
+    of a minimiser from which its windows are compared one by one. Neither changes the result."""
     if not 1 <= gram <= window:
         raise ValueError("gram must lie between 1 and window")
     rows = anchors.keyed(docs)
@@ -385,7 +395,7 @@ def dedup(
     )
     passages = anchors.with_texts(rows, asked, "inner").transform(
         in_batches, lambda it: _passages(it, window),
-        "gram long, rid long, th int, start long, count int, tokens binary"
+        "gram long, rid long, th long, start long, count int, tokens binary"
     )
     # How many words they have: a run of n windows has window - 1 more; asked one by one, each has all its own.
     n, singly = F.shiftright("value", 4).bitwiseAND(F.lit(0xFFFFF)), anchors.kind() == anchors.SINGLY
@@ -393,7 +403,7 @@ def dedup(
         F.sum(F.when(singly, n * window).otherwise(n + window - 1))
     ).first()[0] or 0
     free_shuffles(docs.sparkSession)
-    matched = read_against(passages, window, int(words), pass_bytes)
+    matched = read_against(passages, window, int(words), broadcast_bytes)
     gone = staged(
         found.where(anchors.kind() == anchors.REMOVE).select("rid", "th", "value").unionByName(matched), "gone"
     )

@@ -93,7 +93,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], window: int, gram: int, singly:
     """The suffixes to compare: their minimiser, what stands left of it (reversed) and right of it; with
     ``singly`` each window of the runs by itself, as the suffix that begins with it."""
     types = (
-        pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()
+        pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()
     )
     split = byte_tokens()
     for part, texts in small_batches(batches):
@@ -216,7 +216,7 @@ def _bucket(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
             (rows[i][3], rows[i][4], (rows[i][5] + w) << 24 | c << 4 | anchors.REMOVE) for i, w, c in got if rows[i][8]
         ]
         return pa.RecordBatch.from_arrays(
-            [pa.array([x[j] for x in out], t) for j, t in enumerate((pa.int64(), pa.int32(), pa.int64()))],
+            [pa.array([x[j] for x in out], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int64()))],
             ["rid", "th", "value"]
         )
 
@@ -265,7 +265,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
         anchors.settle(anchors.index(rows, byte_tokens, window, gram, _combine), lambda e: _settle(e, split)), "strings"
     )
     free_shuffles(docs.sparkSession)
-    schema = "head binary, left binary, right binary, rid long, th int, start long, count int, at int, test boolean"
+    schema = "head binary, left binary, right binary, rid long, th long, start long, count int, at int, test boolean"
 
     def contexts(kind: int) -> DataFrame:
         asked = anchors.per_document(found.where(anchors.kind().bitwiseAND(F.lit(3)) == kind), "asked")
@@ -276,7 +276,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
     suffixes = staged(contexts(anchors.COMPARE), "suffixes", "zstd")
     free_shuffles(docs.sparkSession)
     buckets = suffixes.repartitionByRange(shuffle_partitions(docs.sparkSession), "head").sortWithinPartitions("head")
-    repeated = buckets.transform(in_batches, lambda it: _bucket(it, window), "rid long, th int, value long")
+    repeated = buckets.transform(in_batches, lambda it: _bucket(it, window), "rid long, th long, value long")
     gone = found.where(anchors.kind() == anchors.REMOVE).select("rid", "th", "value").unionByName(repeated)
     if not found.where(anchors.kind().bitwiseAND(F.lit(3)) == anchors.SINGLY).isEmpty():
         # Windows around a minimiser with too many texts for one bucket: an aggregation, combined before its shuffle.

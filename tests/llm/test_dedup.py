@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,18 +215,58 @@ def test_matching_statistics_against_all_substrings(window):
     assert {(r, i): o for r, i, o in zip(*(a.tolist() for a in got), strict=True)} == want
 
 
-@pytest.mark.parametrize(("shard_tokens", "pass_bytes"), [(50, 1), (50, 20_000), (1000, 1 << 20)])
-def test_passes_of_any_size(spark, monkeypatch, shard_tokens, pass_bytes):
-    """Many shards and passes, automata that exceed a pass, and all in one pass give the same."""
+@pytest.mark.parametrize(("shard_tokens", "broadcast_bytes"), [(50, 0), (50, 1 << 20), (1000, 0), (1000, 1 << 20)])
+def test_shards_of_any_size(spark, monkeypatch, shard_tokens, broadcast_bytes):
+    """Many shards or few, broadcast or dealt to tasks: the same result, from as many jobs."""
     monkeypatch.setattr(substring_dedup, "SHARD_TOKENS", shard_tokens)
     monkeypatch.setattr(substring_dedup, "TOKEN_BYTES", 40)
     rows = documents(5, 30)
-    got = substring_dedup.dedup(frame(spark, rows), 6, 3, pass_bytes=pass_bytes).select(
+    got = substring_dedup.dedup(frame(spark, rows), 6, 3, broadcast_bytes=broadcast_bytes).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256)
     ).collect()
     assert multiset(got) == removed_words(rows, 6)
 
 
+def test_eight_shards_in_two_tasks():
+    """Shards follow each other in a task; each is held alone, and a batch may end within one."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for shard in range(8):
+        base = rng.integers(1, 1 << 62, 30, dtype=np.uint64)
+        rows += [(shard, 10 - k, k, 100 * k, base[k : k + 20].tobytes()) for k in range(4)]
+    schema = pa.schema([(n, pa.int64()) for n in ("shard", "rid", "th", "start")] + [("tokens", pa.binary())])
+    table = pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+    got = []
+    for half in (table.slice(0, 16), table.slice(16)):
+        for out in substring_dedup._shard_by_shard(iter(half.to_batches(max_chunksize=3)), 5):
+            got += zip(*(c.to_pylist() for c in out.columns), strict=True)
+    # The passage after one's own has a smaller id and covers all of its windows but the first.
+    assert sorted(got) == sorted((rid, th, (start + 1) << 24 | 15 << 4) for _, rid, th, start, _ in rows if rid > 7)
+
+
+def same_hash(spark):
+    """Two texts of many words whose 32-bit hashes agree."""
+    words = F.concat_ws(" ", *[F.format_string(f"w{k}x%d", F.col("id")) for k in range(40)])
+    texts = spark.range(200_000).select("id", F.hash(words).alias("h"), words.alias("t"))
+    pair = texts.groupBy("h").agg(F.collect_list("t").alias("ts")).where(F.size("ts") > 1).first()
+    return pair.ts[:2]
+
+
+def test_texts_of_one_short_hash(spark):
+    """Null ids and one id with several texts: what repeats nowhere stays, whatever its hash."""
+    a, b = same_hash(spark)
+    rows = [(1, a, *[None] * 6), (None, a, *[None] * 6), (None, b, *[None] * 6), (1, b + " end", *[None] * 6)]
+    got = substring_dedup.dedup(frame(spark, rows)).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))
+    assert multiset(got.collect()) == removed_words(rows, 13)
+    rows = rows[:3] + [(1, "c " + b[::-1], *[None] * 6)]
+    got = substring_dedup.dedup(frame(spark, rows)).collect()
+    assert [r.n_removed for r in got if r.kept == b] == [0]
+    got = suffix_dedup.dedup(frame(spark, rows)).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)
+    ).collect()
+    assert multiset(got) == removed_bytes(rows, 200)
+
+
 def test_keep_one_with_clashing_names(spark):
     names = ["rid", "th", "k", "__id", "__n", "c1", "root"]
     docs = frame(spark, documents()).drop("rid")
