@@ -1,7 +1,8 @@
 """Personal data: fixed forms, and further identifiers by bootstrapped contextual extraction.
 
 The fixed forms (e-mail and IP addresses, card and phone numbers) seed the search. Where a seed stands, the words
-around it make lexical patterns: the two words before it, and the words on either side. Strings that look like an
+around it make lexical patterns: the two words before it, and the words on either side, whole words of any length (of
+the word that it stands in, what lies before or after it). Strings that look like an
 identifier but have none of the fixed forms are candidates with patterns of their own. Spark scores the graph of
 patterns and instances in rounds: a pattern is as good as the part of its instances that are known, an instance
 is accepted when good patterns agree on it, and accepted instances count as known in the next round, in which
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.llm._stage import staged
-from lociflow.llm._text import in_batches, require, small_batches, spans_union
+from lociflow.llm._text import Rolling, in_batches, mix, require, small_batches, spans_union
 
 #: The base kinds in the order of the digest.
 KINDS = ("email", "ip", "card", "phone")
@@ -136,20 +137,35 @@ def candidates(text: bytes, base: list[tuple[int, int, int]]) -> list[tuple[int,
     return out
 
 
-def _norm(words: list[bytes]) -> bytes:
-    return b" ".join(w.lower() for w in words)
-
-
-def patterns(text: bytes, start: int, end: int) -> list[int]:
-    """Hashes of the lexical patterns around a span."""
-    left = text[max(0, start - 120) : start].split()[-2:]
-    right = text[end : end + 60].split()[:1]
-    out = []
-    if len(left) == 2:
-        out.append(b"L " + _norm(left))
-    if left and right:
-        out.append(b"B " + _norm([left[-1]]) + b" _ " + _norm(right))
-    return [xxhash.xxh3_64_intdigest(p) - (1 << 63) for p in out]
+#: A random number for each byte, and whether it is white space.
+_BYTE = np.random.default_rng(9).integers(0, 1 << 63, 256, dtype=np.uint64)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+#: Odd multipliers that tell the words of a pattern apart, for those before a span and those on either side.
+_BEFORE, _AROUND = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
+
+
+def patterns(text: bytes, spans: list[tuple[int, int, int]]) -> list[list[int]]:
+    """Hashes of the lexical patterns around each span (start, kind, end), in time that grows with the text however
+    long its words are."""
+    raw = np.frombuffer(text.lower(), np.uint8)
+    space = np.concatenate([[True], _SPACE[raw], [True]])
+    starts, ends = np.flatnonzero(space[:-2] & ~space[1:-1]), np.flatnonzero(~space[1:-1] & space[2:]) + 1
+    roll = Rolling(_BYTE[raw])
+    start, end = (np.array([s[i] for s in spans], np.int64) for i in (0, 2))
+    last = np.searchsorted(starts, start, "left") - 1  # the word before the span, or the one that it stands in
+    after = np.searchsorted(ends, end, "right")
+    has_last, has_two, has_after = last >= 0, last >= 1, after < len(ends)
+    starts, ends = np.append(starts, 0), np.append(ends, 0)  # for places without a word, which are not used
+    one = roll.of(starts[last], np.maximum(starts[last], np.minimum(ends[last], start)))
+    two = roll.of(starts[last - 1], np.maximum(starts[last - 1], ends[last - 1]))
+    right = roll.of(np.minimum(np.maximum(starts[after], end), ends[after]), ends[after])
+    before = mix(two * _BEFORE + one).view(np.int64).tolist()
+    around = mix(one * _AROUND + right).view(np.int64).tolist()
+    return [
+        [b] * two_ + [a] * both for b, a, two_, both in zip(
+            before, around, has_two.tolist(), (has_last & has_after).tolist(), strict=True
+        )
+    ]
 
 
 def code_point_spans(text: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -182,8 +198,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             points = code_point_spans(t, both)
             bases.append([{"start": s, "kind": k, "end": e} for s, k, e in points[: len(base)]])
             rows = []
-            for i, ((s, k, e), (ps, _, pe)) in enumerate(zip(both, points, strict=True)):
-                if p := patterns(t, s, e):
+            own = patterns(t, both) if both else []
+            for i, ((s, k, e), (ps, _, pe), p) in enumerate(zip(both, points, own, strict=True)):
+                if p:
                     rows.append(
                         {
                             "start": ps, "end": pe, "kind": k, "seed": i < len(base),
@@ -211,14 +228,19 @@ def bootstrap(
     # Patterns that no seed supports often enough at first may become supported by accepted instances; those that
     # hold a single instance never can.
     wide = edges.groupBy("kind", "pattern").agg(F.count("*").alias("n")).where(F.col("n") > support)
-    edges = staged(edges.join(wide.select("kind", "pattern"), ["kind", "pattern"]), "graph")
+    # What is joined to the graph is written first: the values of a pattern that much of the table holds then meet a
+    # plain table, and Spark may split their partition.
+    wide = staged(wide.select("kind", "pattern"), "patterns")
+    edges = staged(edges.join(wide, ["kind", "pattern"]), "graph")
     known = edges.where("seed").select("kind", "value").distinct().withColumn("score", F.lit(1.0))
     for _ in range(rounds):
         scored = edges.join(known, ["kind", "value"], "left")
         good = scored.groupBy("kind", "pattern").agg(
             (F.sum(F.coalesce("score", F.lit(0.0))) / (F.count("*") + 1)).alias("p"), F.count("score").alias("hits")
         )
-        good = good.where((F.col("hits") >= support) & (F.col("p") >= pattern_score)).select("kind", "pattern", "p")
+        good = staged(
+            good.where((F.col("hits") >= support) & (F.col("p") >= pattern_score)).select("kind", "pattern", "p"), "good"
+        )
         reached = edges.where(~F.col("seed")).join(good, ["kind", "pattern"]).groupBy("kind", "value").agg(
             (1 - F.exp(F.sum(F.log(1 - F.col("p"))))).alias("score")
         ).where(F.col("score") >= instance_score)

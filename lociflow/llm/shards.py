@@ -13,6 +13,11 @@ of the kept versions names, but for those in a registered folder, until that is
 
 All paths go through Hadoop's file systems, so the table may lie in any store that Spark reads and writes.
 
+The manifest also holds the table's schema. An arrival may bring new columns, which widen it: rows that came before
+read null there, in merges too. Columns that an arrival lacks are null in its rows. Names are told apart as Spark does
+it, without regard to case, and keep their first spelling. A column of another type than the table's is refused before
+anything is written. The first arrival settles the schema, an empty one too.
+
 Edge cases: an empty arrival commits a version without shards; columns may be null or have any names; texts of any
 length are moved as they are; of shards of one size the one with the least path is merged first; repeated rows are kept;
 a job that dies leaves files that no manifest names, and may be run again.
@@ -37,7 +42,7 @@ TARGET_BYTES = 128 << 20
 FAN_IN = 4
 #: Sizes within this factor belong to one tier.
 TIER = 4
-#: Runs that are merged in one job, each by a task of its own.
+#: Runs that are merged in one job, each by a task of its own; further runs are merged by further jobs.
 MOST_RUNS = 256
 #: Age from which the folder of a writer that has not signed off counts as left by a dead one.
 EXPIRES_S = 7 * 24 * 3600
@@ -58,6 +63,20 @@ class Conflict(RuntimeError):
     """Another writer has committed this version."""
 
 
+def widened(schema: T.StructType | None, arrival: T.StructType) -> T.StructType:
+    """The table's schema with the arrival's new columns at its end, all of them nullable."""
+    fields = list(schema.fields) if schema else []
+    have = {f.name.lower(): f for f in fields}
+    for f in arrival:
+        old = have.get(f.name.lower())
+        if old is None:
+            have[f.name.lower()] = f
+            fields.append(T.StructField(f.name, f.dataType, True))
+        elif old.dataType != f.dataType:
+            raise TypeError(f"column {f.name}: {f.dataType.simpleString()}, the table has {old.dataType.simpleString()}")
+    return T.StructType(fields)
+
+
 class ShardTable:
     def __init__(self, spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES, fan_in: int = FAN_IN) -> None:
         self.spark, self.path, self.target, self.fan_in = spark, path.rstrip("/"), target_bytes, fan_in
@@ -84,24 +103,33 @@ class ShardTable:
         )
 
     def shards(self, version: int | None = None) -> list[Shard]:
+        return self._manifest(version)[0]
+
+    def schema(self, version: int | None = None) -> T.StructType | None:
+        """None before the first arrival."""
+        return self._manifest(version)[1]
+
+    def _manifest(self, version: int | None = None) -> tuple[list[Shard], T.StructType | None]:
         version = self.version() if version is None else version
         if not version:
-            return []
+            return [], None
         stream = self._fs.open(self._path(f"{self.path}/manifests/v{version:012d}.json"))
         try:
             text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return [Shard(**s) for s in json.loads(text)["shards"]]
+        held = json.loads(text)
+        return [Shard(**s) for s in held["shards"]], T.StructType.fromJson(held["schema"])
 
-    def _commit(self, base: int, shards: list[Shard], what: str) -> int:
+    def _commit(self, base: int, shards: list[Shard], schema: T.StructType, what: str) -> int:
         version = base + 1
         final = self._path(f"{self.path}/manifests/v{version:012d}.json")
         beside = self._path(f"{self.path}/manifests/.{uuid.uuid4().hex}")
         out = self._fs.create(beside, False)
-        out.write(
-            bytearray(json.dumps({"version": version, "what": what, "shards": [asdict(s) for s in shards]}).encode())
-        )
+        manifest = {
+            "version": version, "what": what, "schema": schema.jsonValue(), "shards": [asdict(s) for s in shards]
+        }
+        out.write(bytearray(json.dumps(manifest).encode()))
         out.close()
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self._conf)
         none = self._jvm.org.apache.hadoop.fs.Options.Rename.NONE
@@ -125,12 +153,17 @@ class ShardTable:
     def _end(self, folder: str) -> None:
         self._fs.delete(self._path(f"{self.path}/writers/{folder.rsplit('/', 1)[1]}"), False)
 
-    def _update(self, what: str, edit: Callable[[list[Shard]], list[Shard]], tries: int = 100) -> int:
-        """Commits edit(live shards) upon the newest version, again where another writer was first."""
+    def _update(
+        self, what: str, edit: Callable[[list[Shard]], list[Shard]], arrival: T.StructType | None = None,
+        tries: int = 100
+    ) -> int:
+        """Commits edit(live shards), and a schema with the arrival's columns, upon the newest version, again where
+        another writer was first."""
         for _ in range(tries):
             base = self.version()
+            live, schema = self._manifest(base)
             try:
-                return self._commit(base, edit(self.shards(base)), what)
+                return self._commit(base, edit(live), widened(schema, arrival or T.StructType()), what)
             except Conflict:
                 continue
         raise Conflict(f"{tries} other writers were first")
@@ -139,15 +172,18 @@ class ShardTable:
         """Adds rows as new shards, one for each task, and commits them. ``arrival`` names the column that tells several
         arrivals apart and is not stored: they are written by one job, and each is committed as a version of its own,
         in order."""
+        schema = T.StructType([f for f in rows.schema if f.name != arrival])
+        widened(self.schema(), schema)  # refuses another type before anything is written
         folder = self._begin()
         writer = rows.write.option("compression", "zstd")
         (writer.partitionBy(arrival) if arrival else writer).parquet(folder)
-        schema = T.StructType([f for f in rows.schema if f.name != arrival])
         inner = [d for d, _ in self._list(folder) if "=" in d.rsplit("/", 1)[1]] if arrival else [folder]
         added = self._written(folder, inner, schema)
         version = self.version()
         for name in sorted(inner, key=lambda d: (len(d), d)) or [folder]:
-            version = self._update("append", lambda live, new=added.get(name, []): live + [s for s in new if s.rows])
+            version = self._update(
+                "append", lambda live, new=added.get(name, []): live + [s for s in new if s.rows], schema
+            )
         self._end(folder)
         return version
 
@@ -189,17 +225,16 @@ class ShardTable:
         runs = [r for r in runs if len(r) > 1]
         return runs or [r for r in self._packed(small) if len(r) > 1] * everything
 
-    def compact(self, everything: bool = False, most_rounds: int = 20) -> int:
+    def compact(self, everything: bool = False) -> int:
         """Merges until no run is left; commits one version for each round, whose runs are tasks of one job: each reads
-        its shards and writes one file."""
-        for _ in range(most_rounds):
-            live = self.shards()
+        its shards and writes one file. Each round leaves fewer shards, so the rounds come to an end."""
+        while True:
+            live, schema = self._manifest()
             runs = self.plan(live, everything)[:MOST_RUNS]
             if not runs:
-                break
+                return self.version()
             folder = self._begin()
-            self._merge(runs, folder, self.spark.read.parquet(live[0].path).schema)
-            schema = self.spark.read.parquet(live[0].path).schema
+            self._merge(runs, folder, schema)
             merged = self._written(folder, [folder], schema)[folder]
             if [m.rows for m in merged] != [sum(s.rows for s in r) for r in runs]:
                 raise RuntimeError("a merge lost rows")
@@ -215,7 +250,6 @@ class ShardTable:
 
             self._update("compact", edit)
             self._end(folder)
-        return self.version()
 
     def _merge(self, runs: list[list[Shard]], folder: str, schema: T.StructType) -> None:
         reads = [self.spark.read.schema(schema).parquet(*[s.path for s in r]).coalesce(1) for r in runs]
@@ -259,11 +293,11 @@ class ShardTable:
                 self._fs.delete(self._path(p), False)
         return gone
 
-    def read(self, version: int | None = None, schema: T.StructType | None = None) -> DataFrame:
-        shards = self.shards(version)
+    def read(self, version: int | None = None) -> DataFrame:
+        """All rows of a version under its schema; columns that a row's arrival lacked are null."""
+        shards, schema = self._manifest(version)
         if not shards:
             return self.spark.createDataFrame([], schema or T.StructType())
-        schema = schema or self.spark.read.parquet(shards[0].path).schema
         return self.spark.read.schema(schema).parquet(*[s.path for s in shards])
 
 
@@ -297,7 +331,7 @@ def compacted(docs: DataFrame, arrivals: int = 8, target_bytes: int = TARGET_BYT
         [(s.path.rpartition("/data/")[2], i, s.level, s.rows) for i, s in enumerate(live)],
         f"{place}_of string, {shard} int, {level} int, {rows_in} long"
     )
-    rows = table.read(schema=docs.schema).withColumn(place, F.substring_index("_metadata.file_path", "/data/", -1))
+    rows = table.read().withColumn(place, F.substring_index("_metadata.file_path", "/data/", -1))
     names = F.broadcast(names) if len(live) <= MOST_BROADCAST else names
     return rows.join(
         names, F.col(place) == F.col(f"{place}_of"), "left"

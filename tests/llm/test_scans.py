@@ -169,7 +169,7 @@ def plain_bootstrap(texts):
         base = sorted(pii.base_spans(raw))
         for spans, seed in ((base, True), (pii.candidates(raw, base), False)):
             for s, k, e in spans:
-                left, right = raw[max(0, s - 120) : s].split()[-2:], raw[e : e + 60].split()[:1]
+                left, right = raw[:s].split()[-2:], raw[e:].split()[:1]
                 own = [b"L " + b" ".join(left).lower()] * (len(left) == 2)
                 own += [b"B " + left[-1].lower() + b" _ " + right[0].lower()] if left and right else []
                 if own:
@@ -202,6 +202,19 @@ def plain_bootstrap(texts):
     return sorted((i, s, e) for i, s, e, k, seed, value, _ in seen if not seed and (k, value) in new)
 
 
+def test_long_neighbours_are_whole_words(spark):
+    """Words of 200 bytes that end alike are different words; one long word with many spans takes linear time."""
+    near = ["x" * 200 + "end", "y" * 200 + "end"]
+    texts = [f"go {near[0]} +1 212 555 {1000 + i} {near[0]}" for i in range(30)] + [
+        f"go {near[0]} 0212 555 9999 {near[0]}", f"go {near[1]} 0212 555 8888 {near[1]}"
+    ]
+    got = {r.doc_id: r.spans for r in pii.find(frame(spark, rows_of(texts))).collect()}
+    assert got[30].startswith("found:") and got[31] == ""
+    text = b",".join([b"123456789"] * 100_000)
+    began = time.time()
+    assert len(pii.patterns(text, pii.candidates(text, []))) > 50_000 and time.time() - began < 10
+
+
 def test_found_spans_against_plain_loops(spark):
     """Contexts that several identifiers share, some with strings of no fixed form, and some that mislead."""
     import random

@@ -38,7 +38,7 @@ def test_one_of_two_writers_wins(spark, tmp_path):
     t = table(spark, tmp_path)
     t.append(frame(spark, documents(1, 20)).coalesce(1))
     with pytest.raises(shards.Conflict):
-        t._commit(0, [], "late")
+        t._commit(0, [], t.schema(), "late")
     assert t.version() == 1 and len(t.shards()) == 1
 
 
@@ -153,3 +153,56 @@ def test_a_merge_of_removed_shards_is_dropped(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(shards.ShardTable, "_merge", late)
     t.compact(everything=True)
     assert t.read().count() == sum(len(documents(s, 20)) for s in range(3))
+
+
+def test_arrivals_with_other_columns(spark, tmp_path):
+    """New columns widen the table and outlive compaction and vacuum; another type is refused."""
+    t = table(spark, tmp_path, fan_in=2)
+    t.append(spark.createDataFrame([(1, "a")], "id long, v string").coalesce(1))
+    t.append(spark.createDataFrame([(2, "b", "x")], "ID long, v string, extra string").coalesce(1))
+    t.append(spark.createDataFrame([("y", 3, [1.5])], "Extra string, id long, `a b` array<double>").coalesce(1))
+    want = [(1, "a", None, None), (2, "b", "x", None), (3, None, "y", [1.5])]
+
+    def held():
+        rows = t.read()
+        assert rows.columns == ["id", "v", "extra", "a b"]
+        return multiset(rows.collect())
+
+    assert held() == multiset(want)
+    assert t.read(1).columns == ["id", "v"] and t.read(2).columns == ["id", "v", "extra"]
+    t.compact(everything=True)
+    assert len(t.shards()) == 1 and held() == multiset(want)
+    assert t.vacuum() >= 3 and held() == multiset(want)
+    before = t.version()
+    with pytest.raises(TypeError, match="extra"):
+        t.append(spark.createDataFrame([(4, 7)], "id long, extra int"))
+    assert t.version() == before and t.vacuum() == 0 and held() == multiset(want)
+    t.append(spark.createDataFrame([], "id long, late date"))
+    assert t.read().columns == ["id", "v", "extra", "a b", "late"] and t.read().count() == 3
+
+
+def test_two_writers_bring_columns(spark, tmp_path, monkeypatch):
+    """The one that commits later widens the other's schema."""
+    t, other = table(spark, tmp_path), table(spark, tmp_path)
+    commit, first = shards.ShardTable._commit, []
+
+    def late(self, *a):
+        if self is t and not first:
+            first.append(1)
+            other.append(spark.createDataFrame([(1, "o")], "id long, theirs string").coalesce(1))
+        return commit(self, *a)
+
+    monkeypatch.setattr(shards.ShardTable, "_commit", late)
+    t.append(spark.createDataFrame([(2, "m")], "id long, mine string").coalesce(1))
+    assert t.read().columns == ["id", "theirs", "mine"]
+    assert multiset(t.read().collect()) == multiset([(1, "o", None), (2, None, "m")])
+
+
+def test_more_runs_than_one_round_takes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shards, "MOST_RUNS", 1)
+    t = table(spark, tmp_path, target_bytes=2200, fan_in=2)
+    t.append(spark.range(0, 30, 1, 30))
+    assert len(t.shards()) == 30
+    t.compact(everything=True)
+    assert t.plan(t.shards(), everything=True) == [] and t.version() > 5
+    assert sorted(r.id for r in t.read().collect()) == list(range(30))
