@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociflow.llm import (
-    jaccard, mixing, neighbours, pii, quality, secret_scan, shards, spm, substring_dedup, suffix_dedup,
+    jaccard, mixing, negatives, neighbours, pii, quality, secret_scan, shards, spm, substring_dedup, suffix_dedup,
 )
 
 
@@ -76,6 +76,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.col("label").cast("long")
+    table = table.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.mine(table, F.col("vec_id") % 50 == 0)
+
+
 OP1_SQL = r"""
 WITH s AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -116,7 +123,7 @@ SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(si
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mixing, op2_suffix_dedup, op3_secrets, op4_jaccard_join, op5_neighbours, op6_sharding, op7_quality,
-        op8_sentencepiece, op9_pii, op10_substring_dedup
+        op8_sentencepiece, op9_pii, op10_substring_dedup, op11_hard_negatives
     )
 }
 OP6_SQL = """
@@ -188,7 +195,26 @@ SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::
 FROM d LEFT JOIN o USING (doc_id)
 """
 
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 SQL: dict[str, str] = {
     "op1_mixing": OP1_SQL, "op4_jaccard_join": OP4_SQL, "op6_sharding": OP6_SQL, "op7_quality": OP7_SQL,
-    "op10_substring_dedup": OP10_SQL
+    "op10_substring_dedup": OP10_SQL, "op11_hard_negatives": OP11_SQL
 }
