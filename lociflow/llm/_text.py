@@ -21,6 +21,11 @@ from lociflow.llm._stage import ship
 #: The word pattern and the white space it leaves out.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of terms (ASCII letters, lower-cased, digits, and all bytes beyond ASCII); the others become spaces.
+_TERM = bytes(
+    c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
+)
+
 #: Odd multiplier of the polynomial hashes modulo 2**64, and its inverse.
 MUL = 0x9E3779B97F4A7C15
 INV = pow(MUL, -1, 1 << 64)
@@ -61,6 +66,12 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), names
 
 
+def term_bytes(text: bytes) -> list[bytes]:
+    """Terms of a text: maximal runs of ASCII letters and digits and of all characters beyond ASCII, only A-Z
+    lower-cased."""
+    return text.translate(_TERM).split()
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

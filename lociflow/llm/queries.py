@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lociflow.llm import (
     jaccard, mixing, negatives, neighbours, pii, quality, secret_scan, shards, spm, substring_dedup, suffix_dedup,
+    toxicity,
 )
 
 
@@ -83,6 +84,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table, F.col("vec_id") % 50 == 0)
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 OP1_SQL = r"""
 WITH s AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -123,7 +128,8 @@ SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(si
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mixing, op2_suffix_dedup, op3_secrets, op4_jaccard_join, op5_neighbours, op6_sharding, op7_quality,
-        op8_sentencepiece, op9_pii, op10_substring_dedup, op11_hard_negatives
+        op8_sentencepiece, op9_pii, op10_substring_dedup, op11_hard_negatives,
+        op12_toxicity
     )
 }
 OP6_SQL = """
