@@ -38,8 +38,8 @@ BITS, FACTORS = 18, 8
 #: Labelled documents that the machine is fitted on, about.
 FIT_ROWS = 20_000
 FOLDS = 5
-LEAST_DOCS, LEAST_Z = 3, 4.0
-EPOCHS, BATCH, RATE, FACTOR_RATE, SHRINK, SPREAD = 15, 64, 0.2, 0.1, 1e-3, 0.02
+LEAST_DOCS, LEAST_Z = 3, 5.0
+EPOCHS, BATCH, RATE, FACTOR_RATE, SHRINK, FACTOR_SHRINK, SPREAD = 15, 64, 0.2, 0.05, 1e-3, 2e-2, 0.02
 #: Toxic and all documents that are taken as seen before the first label.
 PRIOR = (1, 10)
 
@@ -140,7 +140,7 @@ def fit_rows(
             real = own < m
             own, gw, gv, v = own[real], gw[real], gv[real], v[real]
             gw = gw + SHRINK * model.weight[own]
-            gv = gv + SHRINK * v
+            gv = gv + FACTOR_SHRINK * v
             seen_w[own] += gw * gw
             seen_v[own] += gv * gv
             seen_b += g.sum() ** 2
