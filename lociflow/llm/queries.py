@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociflow.llm import (
-    jaccard, mixing, negatives, neighbours, pii, quality, secret_scan, shards, spm, substring_dedup, suffix_dedup,
-    toxicity,
+    jaccard, mixing, negatives, neighbours, pii, quality, ranked_search, secret_scan, shards, spm, substring_dedup,
+    suffix_dedup, toxicity,
 )
 
 
@@ -88,6 +88,10 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 OP1_SQL = r"""
 WITH s AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -129,7 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mixing, op2_suffix_dedup, op3_secrets, op4_jaccard_join, op5_neighbours, op6_sharding, op7_quality,
         op8_sentencepiece, op9_pii, op10_substring_dedup, op11_hard_negatives,
-        op12_toxicity
+        op12_toxicity, op13_ranked_search
     )
 }
 OP6_SQL = """
@@ -220,7 +224,31 @@ WITH v AS (
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
 """
 
+OP13_SQL = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, w, len(w)::BIGINT AS n FROM t WHERE len(w) > 0
+), a AS (
+  SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM d
+), p AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL
+), f AS (
+  SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*)::BIGINT AS df FROM p GROUP BY term), a
+), q AS (
+  SELECT item_id, term, count(*)::BIGINT AS k FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+  ) GROUP BY ALL
+), s AS (
+  SELECT item_id, d.r, doc_id, sum(k * w.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // l))))::BIGINT AS score
+  FROM q JOIN f w USING (term) JOIN p USING (term) JOIN d ON d.r = p.r, a GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
 SQL: dict[str, str] = {
     "op1_mixing": OP1_SQL, "op4_jaccard_join": OP4_SQL, "op6_sharding": OP6_SQL, "op7_quality": OP7_SQL,
-    "op10_substring_dedup": OP10_SQL, "op11_hard_negatives": OP11_SQL
+    "op10_substring_dedup": OP10_SQL, "op11_hard_negatives": OP11_SQL,
+    "op13_ranked_search": OP13_SQL
 }
