@@ -57,14 +57,32 @@ def variant_effects(variants: DataFrame, genome: DataFrame, k: int, embed: Embed
     )
 
 
+def stretches(intervals: DataFrame, genome: DataFrame, start: str, end: str, *keys: str) -> DataFrame:
+    """keys and seq: the bases of each interval (chrom, start, end; closed, cut at the sequence's ends), put together in
+    order from the pieces that it touches. Intervals on chromosomes that the genome lacks are dropped."""
+    step = genome.schema["piece"].metadata["step"]
+    lengths = genome.where("piece = 0").select("chrom", "seq_len")
+    held = lambda p: F.floor((F.greatest(F.lit(1), F.least(p, F.col("seq_len"))) - 1) / step)
+    wanted = intervals.select("chrom", *keys, F.col(start).alias("__start"), F.col(end).alias("__end")).join(lengths, "chrom")
+    low, high = F.greatest(F.lit(1), F.col("__start")), F.least(F.col("__end"), F.col("seq_len"))
+    touched = F.sequence(held(low), F.greatest(held(low), held(high)))
+    rows = wanted.withColumn("piece", F.explode(touched)).join(genome.drop("seq_len"), ["chrom", "piece"])
+    a = F.greatest(low, F.col("piece") * step + 1)
+    b = F.least(high, (F.col("piece") + 1) * step)
+    part = F.when(
+        a <= b, F.substring("seq", (a - F.col("seq_start") + 1).cast("int"), (b - a + 1).cast("int"))
+    ).otherwise("")
+    joined = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("piece", part.alias("part")))).alias("__parts"))
+    return joined.select(*keys, F.array_join(F.transform("__parts", lambda x: x["part"]), "").alias("seq"))
+
+
 def gene_sequences(gene_sites: DataFrame, genotypes: DataFrame, genome: DataFrame) -> DataFrame:
     """gene_id, sample, ref_seq, seq: of every gene the sequence of each sample that carries a variant in it, with the
-    sample's variants put in. The others have the reference's; no row is made for them."""
+    sample's variants put in. The others have the reference's; no row is made for them. ``genome`` is in pieces."""
     genes = first_by(
         gene_sites.select("gene_id", "chrom", "gene_start", "gene_end"), ["gene_id"], "chrom", "gene_start", "gene_end"
-    ).join(genome, "chrom")
-    cut = F.substring("seq", F.col("gene_start").cast("int"), (F.col("gene_end") - F.col("gene_start") + 1).cast("int"))
-    genes = genes.select("gene_id", "gene_start", cut.alias("ref_seq"))
+    )
+    genes = stretches(genes, genome, "gene_start", "gene_end", "gene_id", "gene_start").withColumnRenamed("seq", "ref_seq")
     own = first_by(gene_sites, ["gene_id", "pos"], "ref", "alt").select(
         "gene_id", "pos", "ref", "alt", site_id(F.col("chrom"), F.col("pos")).alias("site_id")
     )

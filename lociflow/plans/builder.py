@@ -40,7 +40,7 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     lines = vcf.lines(
         spark, c.vcf_path, spark.sparkContext.defaultParallelism if c.vcf_path.endswith((".gz", ".bgz")) else None
     )
-    genome = fasta.genome(fasta.read(spark, c.fasta_path))
+    genome = fasta.read_pieces(spark, c.fasta_path, overlap=max(fasta.OVERLAP, 4 * c.k + 1_000))
     out: dict[str, str] = {}
 
     def csv(name: str, rows: DataFrame) -> None:
@@ -58,8 +58,7 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
 
     # One row for each position; gene sites are among them, so effects are computed once for both.
     single = first_by(chosen, ["chrom", "pos"], "ref", "alt")
-    windows_genome = fasta.pieces(genome, overlap=max(2_000, 4 * c.k + 1_000))
-    effect = stages.run("all_site_variant_effects", lambda: effects.variant_effects(single, windows_genome, c.k, embed))
+    effect = stages.run("all_site_variant_effects", lambda: effects.variant_effects(single, genome, c.k, embed))
     csv("all_site_variant_effect", sites.in_order(effect.select("chrom", "pos", "site_id", "var_effect")))
 
     found = gff.intervals(
@@ -139,7 +138,7 @@ def score_all_variants(
     options: Mapping | None = None
 ) -> DataFrame:
     """Effects of every alternative allele of a VCF file, written as CSV and Parquet."""
-    genome = fasta.pieces(fasta.genome(fasta.read(spark, fasta_path)), overlap=max(2_000, 4 * k + 1_000))
+    genome = fasta.read_pieces(spark, fasta_path, overlap=max(fasta.OVERLAP, 4 * k + 1_000))
     found = effects.variant_effects(
         vcf.all_alts(vcf.lines(spark, vcf_path)), genome, k,
         CachedEmbedder(embedder, f"{outdir}/embeddings", **(options or {}))

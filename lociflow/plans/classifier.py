@@ -44,7 +44,7 @@ def sequences(spark: SparkSession, c: ClassifierConfig) -> DataFrame:
     """site_id, variant_type, alleles and windows of the variants that the site table asks for."""
     wanted = tables.site_table(tables.text_table(spark, c.tsv_path, "\t"))
     found = vcf.labelled(vcf.all_alts(vcf.lines(spark, c.vcf_path)), wanted, c.label_by_position)
-    genome = fasta.pieces(fasta.genome(fasta.read(spark, c.fasta_path)), overlap=max(2_000, 4 * c.k + 1_000))
+    genome = fasta.read_pieces(spark, c.fasta_path, overlap=max(fasta.OVERLAP, 4 * c.k + 1_000))
     return effects.allele_windows(found, genome, c.k)
 
 

@@ -315,11 +315,11 @@ def built_gene_features(spark, sf):
 
 @query(_GENE_MATRIX + "z AS (SELECT 1) SELECT gene_id, sample, ref_seq, seq FROM sq WHERE (gene_id, sample) IN (SELECT (gene_id, sample) FROM gv JOIN d USING (c, pos) WHERE dosage > 0)")
 def gene_sequences(spark, sf):
-    """The sequences of the samples that carry a variant of a gene."""
+    """The sequences of the samples that carry a variant of a gene, put together from pieces shorter than most genes."""
     c, _ = _built(spark, sf)
     stage = lambda name: spark.read.parquet(f"{c.outdir}/stages/{name}")
     return effects.gene_sequences(
-        stage("gene_sites"), stage("genotypes"), fasta.genome(fasta.read(spark, c.fasta_path))
+        stage("gene_sites"), stage("genotypes"), fasta.read_pieces(spark, c.fasta_path, 16, 4, range_bytes=1000)
     )
 
 
@@ -397,9 +397,14 @@ def vcf_calls(spark, sf):
 
 @query(_BASE + "z AS (SELECT 1) SELECT 'Chr' || c AS chrom, length(seq) AS seq_len, sha1(seq) AS seq_sha1 FROM g")
 def fasta_genome(spark, sf):
-    """Of the records of one chromosome the first."""
-    got = fasta.genome(fasta.read(spark, f"{_files(spark, sf)}/g.fa"))
-    return got.select("chrom", F.length("seq").cast("long").alias("seq_len"), F.sha1("seq").alias("seq_sha1"))
+    """Of the records of one chromosome the first, read by ranges that cut lines and headers and put together again from
+    its pieces."""
+    got = fasta.read_pieces(spark, f"{_files(spark, sf)}/g.fa", 50, 20, range_bytes=997)
+    core = F.col("piece") * 50 + 1
+    part = F.substring("seq", (core - F.col("seq_start") + 1).cast("int"), F.lit(50))
+    whole = got.groupBy("chrom", "seq_len").agg(F.sort_array(F.collect_list(F.struct("piece", part.alias("part")))).alias("p"))
+    seq = F.array_join(F.transform("p", lambda x: x["part"]), "")
+    return whole.select("chrom", "seq_len", F.sha1(seq).alias("seq_sha1"))
 
 
 _LONG_REF = _BASE + f"x AS (SELECT p, w.c, slot * 4 + 2 AS pos, substr(seq, (slot * 4 + 2)::INT, (1 + p % 90)::INT) AS ref, 'T' AS alt, seq FROM w JOIN g USING (c)), y AS (SELECT p, ref, alt, {_window_sql('pos - 12', 'pos - 1', 'seq')} AS up, {_window_sql('pos + length(ref)', 'pos + length(ref) + 11', 'seq')} AS down FROM x)"
@@ -408,15 +413,13 @@ _LONG_REF = _BASE + f"x AS (SELECT p, w.c, slot * 4 + 2 AS pos, substr(seq, (slo
 @query(_LONG_REF + " SELECT p, up || ref || down AS ref_seq, up || alt || down AS alt_seq FROM y")
 def piecewise_windows(spark, sf):
     """Reference alleles of up to 90 bases over pieces of 50 that reach 20 over their ends."""
-    whole = _once(spark, sf, "genome", lambda: fasta.genome(fasta.read(spark, f"{_files(spark, sf)}/g.fa")))
+    genome = fasta.read_pieces(spark, f"{_files(spark, sf)}/g.fa", 50, 20, range_bytes=1500)
     v = _words(spark, sf).select(
         "p", F.concat(F.lit("Chr"), F.col("c")).alias("chrom"), (F.col("slot") * 4 + 2).alias("pos"),
-        F.lit("T").alias("alt")
+        F.lit("T").alias("alt"), (F.col("slot") * 4 + 2 + F.col("p") % 90).alias("end")
     )
-    v = v.join(whole, "chrom").withColumn(
-        "ref", F.expr("substring(seq, cast(pos as int), cast(1 + p % 90 as int))")
-    ).drop("seq")
-    return effects.allele_windows(v, fasta.pieces(whole, 50, 20), 12).select("p", "ref_seq", "alt_seq")
+    refs = effects.stretches(v, genome, "pos", "end", "p").withColumnRenamed("seq", "ref")
+    return effects.allele_windows(v.join(refs, "p").drop("end"), genome, 12).select("p", "ref_seq", "alt_seq")
 
 
 _TABLE = [f"Chr{c}:{p}" for c in range(1, 6) for p in range(1, 41)]

@@ -1,5 +1,7 @@
+import gzip
 import json
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -10,7 +12,7 @@ from lociflow import __main__ as cli
 from lociflow.embed import registry
 from lociflow.embed.cache import CachedEmbedder
 from lociflow.ml import models
-from lociflow.operators import splits
+from lociflow.operators import effects, splits
 from lociflow.plans import builder, classifier, phenotypes, simulator
 from lociflow.sources import config, fasta, gff, sinks, tables, vcf
 
@@ -57,11 +59,9 @@ def settings(d, out, **more):
 
 
 def test_readers(spark, genome):
-    g = {r.chrom: r.seq for r in fasta.genome(fasta.read(spark, f"{genome}/g.fa")).collect()}
-    assert g == {"Chr1": SEQ["chr1"], "Chr2": SEQ["chr_2"]}
-    p = fasta.pieces(
-        fasta.genome(fasta.read(spark, f"{genome}/g.fa")), 100, 10
-    ).where("chrom = 'Chr1' AND piece = 1").first()
+    p = fasta.read_pieces(spark, f"{genome}/g.fa", 100, 10)
+    assert sorted((r.chrom, r.piece) for r in p.collect()) == [("Chr1", i) for i in range(4)] + [("Chr2", i) for i in range(3)]
+    p = p.where("chrom = 'Chr1' AND piece = 1").first()
     assert (p.seq, p.seq_start, p.seq_len) == (SEQ["chr1"][90:210], 91, 400)
     rows = gff.read(spark, f"{genome}/a.gff3", "gene").orderBy("id").collect()
     assert [(r.id, r.name, r.start, r.end) for r in rows] == [("g1", "n1", 10, 120), ("g2", "g2", 1, 90)]
@@ -335,3 +335,66 @@ def test_longest_input_of_a_model():
     assert registry.max_tokens(Thing(model_max_length=10**30), Thing(config=Thing(max_position_embeddings=512))) == 512
     assert registry.max_tokens(Thing(model_max_length=100), Thing(config=Thing())) == 100
     assert registry.max_tokens(Thing(), Thing()) is None
+
+
+def plain_pieces(texts, step, overlap):
+    """Pieces of FASTA texts by splitting them into lines."""
+    records = []
+    for text in texts:
+        first = True
+        for line in text.split("\n"):
+            if line.startswith(">"):
+                records.append([line[1:].split(None, 1)[0] if line[1:2].strip() else "", ""])
+                first = False
+            elif not first:
+                records[-1][1] += "".join(line.split())
+    out, seen = [], set()
+    for name, seq in records:
+        m = re.fullmatch(r"(?i)chr_?0*([0-9]+)|0*([0-9]+)", name)
+        if m and (chrom := f"Chr{m[1] or m[2]}") not in seen:
+            seen.add(chrom)
+            for i in range(max(1, -(-len(seq) // step))):
+                low = max(0, i * step - overlap)
+                out.append((chrom, i, seq[low : (i + 1) * step + overlap], low + 1, len(seq)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size", [5, 61, 1 << 20])
+def test_pieces_from_ranges_of_any_size(spark, tmp_path, monkeypatch, size):
+    """Ranges that cut headers, lines and records; one line of a whole chromosome; empty records; a later record of a name;
+    signs within headers; files with and without a line's end; a compressed one."""
+    rng = random.Random(size)
+    say = lambda n: "".join(rng.choices("ACGTacgtN", k=n))
+    first = f"stray\n>chr1 a > b\n{say(33)}\n{say(33)}\r\n\n{say(5)}\n>chr2\n>chr3 empty before\n{say(90)}\n> no name\nACGT\n>chr01 later\nAAAA"
+    second = f">scaffold\nTTT\n>4\n{say(1)}\n>5\n{say(40)}\n>chr2 later\nCC\n>6"
+    if size > 1 << 16:
+        second += f"\n{say(3_000_000)}\n>7 long\n{say(10)}"
+    third = f">chr8\n{say(70)}\n>chr1\nGG\n"
+    d = tmp_path / "fa"
+    d.mkdir()
+    (d / "a.fa").write_bytes(first.encode())
+    (d / "b.fa").write_bytes(second.encode())
+    (d / "c.fa.gz").write_bytes(gzip.compress(third.encode()))
+    (d / "_SUCCESS").write_text("x")
+    step, overlap = (20, 5) if size < 1 << 16 else (100_000, 2_000)
+    got = fasta.read_pieces(spark, str(d), step, overlap, range_bytes=size)
+    want = plain_pieces([first, second, third], step, overlap)
+    assert sorted(map(tuple, got.collect())) == want
+    assert max(len(r[2]) for r in want) <= step + 2 * overlap
+
+
+def test_stretches_over_pieces(spark, genome):
+    whole = fasta.read_pieces(spark, f"{genome}/g.fa", 16, 4)
+    n = {"Chr1": 400, "Chr2": 300}
+    rows = [("Chr1", a, b) for a, b in ((1, 1), (1, 400), (10, 58), (16, 17), (390, 420), (401, 500), (-5, 3), (17, 16))]
+    rows += [("Chr2", 295, 300), ("Chr9", 1, 5)]
+    got = effects.stretches(
+        spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, chrom string, s long, e long"), whole, "s", "e", "i"
+    )
+    seqs = {"Chr1": SEQ["chr1"], "Chr2": SEQ["chr_2"]}
+    want = {i: seqs[c][max(0, a - 1) : max(0, min(b, n[c]))] for i, (c, a, b) in enumerate(rows) if c in n}
+    assert {r.i: r.seq for r in got.collect()} == want
+
+
+def test_an_empty_folder_has_no_pieces(spark, tmp_path):
+    assert fasta.read_pieces(spark, str(tmp_path)).count() == 0
