@@ -13,7 +13,7 @@ from lociflow.functions.names import site_id
 from lociflow.operators import effects, genotypes, sites, splits
 from lociflow.operators.genotypes import first_by
 from lociflow.plans.resume import Stages
-from lociflow.sources import fasta, gff, sinks, tables, vcf
+from lociflow.sources import bgzf, fasta, gff, sinks, tables, vcf
 from lociflow.sources.config import BuilderConfig
 
 #: Settings that do not change what a stage holds.
@@ -37,9 +37,7 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     """Runs the stages that are not done yet and returns the paths of the results."""
     stages = Stages(spark, c.outdir, *signed(c), c.resume)
     embed = CachedEmbedder(c.embedder, f"{c.outdir}/embeddings", **(c.embedder_options or {}))
-    lines = vcf.lines(
-        spark, c.vcf_path, spark.sparkContext.defaultParallelism if c.vcf_path.endswith((".gz", ".bgz")) else None
-    )
+    lines = vcf.lines(spark, c.vcf_path, spark.sparkContext.defaultParallelism)
     genome = fasta.read_pieces(spark, c.fasta_path, overlap=max(fasta.OVERLAP, 4 * c.k + 1_000))
     out: dict[str, str] = {}
 
@@ -84,7 +82,16 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     names = spark.createDataFrame([(i, *x) for i, x in enumerate(mapping)], "idx int, raw_sample string, sample string")
     order = [sample for _, sample in mapping]
     csv("sample_mapping", names.orderBy("idx").select("raw_sample", "sample"))
-    calls = stages.run("genotypes", lambda: genotypes.long_genotypes(vcf.calls(lines, order), in_gene))
+
+    def called() -> DataFrame:
+        """Of a block-gzip file only the ranges with sites in genes are read again."""
+        own = lines
+        if bgzf.is_blocked(spark, c.vcf_path):
+            known = stages.run("variant_index", lambda: vcf.index(spark, c.vcf_path))
+            own = vcf.lines_at(spark, c.vcf_path, in_gene, known)
+        return genotypes.long_genotypes(vcf.calls(own, order), in_gene)
+
+    calls = stages.run("genotypes", called)
 
     gene_effect = effect.join(
         in_gene.select(site_id(F.col("chrom"), F.col("pos")).alias("site_id")).distinct(), "site_id", "left_semi"

@@ -20,7 +20,7 @@ from lociflow.plans import builder, classifier, phenotypes, simulator
 from lociflow.queries import (
     _AREA, _MEANS, _MULTI, _SCORED, _calls, _importance, _long, _multi, _scored, _sheet, _t, _text, _window_sql, query,
 )
-from lociflow.sources import config, fasta, gff, sinks, tables, vcf, workspace
+from lociflow.sources import bgzf, config, fasta, gff, sinks, tables, vcf, workspace
 
 # --- files -----------------------------------------------------------------------------------------------------
 
@@ -395,6 +395,35 @@ def vcf_calls(spark, sf):
     return vcf.calls(vcf.lines(spark, path), vcf.samples(spark, path)).select("chrom", "pos", "sample", "gt")
 
 
+def _blocked(spark: SparkSession, sf: str) -> str:
+    """The variants as a block-gzip file of small blocks."""
+    rows = spark.read.text(f"{_files(spark, sf)}/v.vcf")
+    return _once(spark, sf, "blocked", lambda: bgzf.save(rows, f"{workspace.folder(spark, 'blocked')}.vcf.gz", 4_000))
+
+
+_CALLS = f"SELECT 'Chr' || c AS chrom, pos, [{', '.join(repr(x) for x in RAW_SAMPLES)}][i + 1] AS sample, CASE WHEN p % 11 = 0 THEN './.' ELSE {list(GTS)}[((p + 3 * i + z + dup) % 8)::INT + 1] END AS gt FROM r, i"
+
+
+@query(_BASE + f"i AS (SELECT unnest(range({len(SAMPLES)})) AS i) {_CALLS}")
+def vcf_block_calls(spark, sf):
+    """All genotypes of a block-gzip file, by tasks that each read some blocks."""
+    path = _blocked(spark, sf)
+    rows = vcf.calls(vcf.lines(spark, path, range_bytes=3_000), vcf.samples(spark, path))
+    return rows.select("chrom", "pos", "sample", "gt")
+
+
+@query(_BASE + f"i AS (SELECT unnest(range({len(SAMPLES)})) AS i) SELECT * FROM ({_CALLS}) WHERE (chrom, pos) IN (SELECT ('Chr' || c, slot * 4 + 2) FROM w WHERE z = 7)")
+def vcf_region_calls(spark, sf):
+    """Genotypes at the sites of the parts of one size: only ranges that the index has such a site in are read."""
+    path = _blocked(spark, sf)
+    sites = _words(spark, sf).where("z = 7").select(
+        F.concat(F.lit("Chr"), F.col("c")).alias("chrom"), (F.col("slot") * 4 + 2).alias("pos")
+    )
+    known = vcf.index(spark, path, 2_000)
+    rows = vcf.calls(vcf.lines_at(spark, path, sites, known, 2_000), vcf.samples(spark, path))
+    return rows.join(sites.distinct(), ["chrom", "pos"], "left_semi").select("chrom", "pos", "sample", "gt")
+
+
 @query(_BASE + "z AS (SELECT 1) SELECT 'Chr' || c AS chrom, length(seq) AS seq_len, sha1(seq) AS seq_sha1 FROM g")
 def fasta_genome(spark, sf):
     """Of the records of one chromosome the first, read by ranges that cut lines and headers and put together again from

@@ -51,17 +51,27 @@ def unpacked(text: str) -> list[Range]:
     return [Range(*r) for r in json.loads(text)]
 
 
-def opened(path: str):
-    """A file at any place that Arrow knows, for reading at random."""
+def _system(path: str):
     from pyarrow.fs import FileSystem, LocalFileSystem
 
     scheme, colon, rest = path.partition(":")
     if not colon or scheme == "file":
-        return LocalFileSystem().open_input_file("/" + (rest if colon else path).lstrip("/"))
-    system, inner = FileSystem.from_uri(path)
+        return LocalFileSystem(), "/" + (rest if colon else path).lstrip("/")
+    return FileSystem.from_uri(path)
+
+
+def opened(path: str):
+    """A file at any place that Arrow knows, for reading at random."""
+    system, inner = _system(path)
     return system.open_input_file(inner)
 
 
+def created(path: str):
+    """A new file there, for writing."""
+    system, inner = _system(path)
+    return system.open_output_stream(inner)
+
+
 def chunks(file, start: int, end: int) -> Iterator[bytes]:
     file.seek(start)
     while start < end:

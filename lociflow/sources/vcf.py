@@ -1,4 +1,6 @@
-"""Variant call files as text: plain or gzip. A .gz file is one task, so rows are dealt out after it is read."""
+"""Variant call files as text: plain, gzip, or block-gzip. The last is read by many tasks at once, and an index of its
+ranges lets a reader that knows its sites leave out the others; a gzip file is one task, so its rows are dealt out after it
+is read."""
 
 from __future__ import annotations
 
@@ -8,23 +10,77 @@ from pyspark.sql import functions as F
 from lociflow.functions.genotype import variant_type
 from lociflow.functions.names import allele_site_id, standard_chrom
 from lociflow.operators.genotypes import first_by
+from lociflow.operators.intervals import stab
+from lociflow.sources import bgzf, ranges
 
 FIXED = 9
+#: Compressed bytes of a range that the index knows by itself.
+INDEXED_BYTES = 1 << 20
 
 
-def lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """ord and the tab-separated fields of every record."""
-    rows = spark.read.text(path).withColumn("ord", F.monotonically_increasing_id())
+def _rows(
+    spark: SparkSession, path: str, parts: list[ranges.Range] | None = None, range_bytes: int = ranges.RANGE_BYTES
+) -> DataFrame:
+    """ord and value of every line; of a block-gzip file only of the given ranges."""
+    if parts is not None or bgzf.is_blocked(spark, path):
+        parts = ranges.cut(ranges.files(spark, path), range_bytes) if parts is None else parts
+        return bgzf.read(spark, parts, range_bytes)
+    return spark.read.text(path).withColumn("ord", F.monotonically_increasing_id())
+
+
+def _fields(rows: DataFrame) -> DataFrame:
     rows = rows.where(~F.col("value").startswith("#") & (F.col("value") != ""))
-    return (rows.repartition(partitions) if partitions else rows).select("ord", F.split("value", "\t").alias("f"))
+    return rows.select("ord", F.split("value", "\t").alias("f"))
+
+
+def lines(
+    spark: SparkSession, path: str, partitions: int | None = None, range_bytes: int = ranges.RANGE_BYTES
+) -> DataFrame:
+    """ord and the tab-separated fields of every record. A block-gzip file is read by a task for each ``range_bytes``; what
+    one task must read is dealt out to ``partitions``."""
+    rows = _rows(spark, path, None, range_bytes)
+    dealt = partitions and path.endswith((".gz", ".bgz")) and not bgzf.is_blocked(spark, path)
+    return _fields(rows.repartition(partitions) if dealt else rows)
+
+
+def index(spark: SparkSession, path: str, range_bytes: int = INDEXED_BYTES) -> DataFrame:
+    """no, chrom, low, high: of each range of a block-gzip file and each standard chromosome in it the least and greatest
+    position."""
+    f = F.col("f")
+    rows = _fields(bgzf.read(spark, ranges.cut(ranges.files(spark, path), range_bytes))).select(
+        F.shiftright("ord", bgzf.PLACE_BITS).alias("no"), standard_chrom(F.get(f, F.lit(0))).alias("chrom"),
+        F.get(f, F.lit(1)).cast("long").alias("pos")
+    )
+    return rows.where(F.col("chrom").isNotNull()).groupBy("no", "chrom").agg(
+        F.min("pos").alias("low"), F.max("pos").alias("high")
+    )
+
+
+def ranges_at(
+    spark: SparkSession, path: str, sites: DataFrame, known: DataFrame, range_bytes: int = INDEXED_BYTES
+) -> list[ranges.Range]:
+    """The ranges of a block-gzip file that may hold a site (chrom, pos), by its index."""
+    points = sites.select("chrom", "pos").distinct()
+    found = stab(points, known, start="low", end="high").select("no").distinct()
+    wanted = {r.no for r in found.collect()}  # no more than the driver has cut
+    return [r for r in ranges.cut(ranges.files(spark, path), range_bytes) if r.no in wanted]
+
+
+def lines_at(
+    spark: SparkSession, path: str, sites: DataFrame, known: DataFrame, range_bytes: int = INDEXED_BYTES
+) -> DataFrame:
+    """The records of the ranges that may hold a site: all of its sites' records, and some of others."""
+    return _fields(_rows(spark, path, ranges_at(spark, path, sites, known, range_bytes)))
 
 
 def samples(spark: SparkSession, path: str) -> list[str]:
-    """Sample names in the order of the header."""
-    head = spark.read.text(path).where(F.col("value").startswith("#CHROM")).limit(1).collect()
+    """Sample names in the order of the header, which stands in the first file's first range."""
+    found = ranges.files(spark, path)
+    first = ranges.cut(found[:1])[:1] if found and bgzf.is_blocked(spark, path) else None
+    head = _rows(spark, path, first).where(F.col("value").startswith("#CHROM")).limit(1).collect()
     if not head:
         raise ValueError(f"{path} has no header line")
-    return head[0][0].rstrip("\r\n").split("\t")[FIXED:]
+    return head[0].value.rstrip("\r\n").split("\t")[FIXED:]
 
 
 def _alts(f: Column) -> Column:

@@ -14,7 +14,7 @@ from lociflow.embed.cache import CachedEmbedder
 from lociflow.ml import models
 from lociflow.operators import effects, splits
 from lociflow.plans import builder, classifier, phenotypes, simulator
-from lociflow.sources import config, fasta, gff, sinks, tables, vcf
+from lociflow.sources import bgzf, config, fasta, gff, ranges, sinks, tables, vcf
 
 SEQ = {
     "chr1": "".join(random.Random(1).choices("ACGT", k=400)), "chr_2": "".join(random.Random(2).choices("acgt", k=300))
@@ -398,3 +398,67 @@ def test_stretches_over_pieces(spark, genome):
 
 def test_an_empty_folder_has_no_pieces(spark, tmp_path):
     assert fasta.read_pieces(spark, str(tmp_path)).count() == 0
+
+
+def blocked(path, text, size):
+    """A block-gzip file with blocks of so many bytes."""
+    path.write_bytes(b"".join(bgzf.block(text[i : i + size]) for i in range(0, len(text), size)) + bgzf.block(b""))
+    return str(path)
+
+
+@pytest.mark.parametrize(("block", "cut"), [(7, 5), (7, 40), (50, 100), (50, 1), (1000, 1 << 20), (65280, 3000)])
+def test_lines_of_blocks_cut_anywhere(tmp_path, block, cut):
+    """Every line once and in order, for blocks and ranges that cut lines, lines of several blocks, and no line's end."""
+    rng = random.Random(block)
+    for end in (b"", b"\n", b"\n\n"):
+        rows = [bytes(rng.choices(b"ab\x1f\x8b\x08\x04\r", k=rng.choice([0, 1, 3, 20, 90]))) for _ in range(60)] + [b"x"]
+        text = b"\n".join(rows) + end
+        path = blocked(tmp_path / "x.gz", text, block)
+        assert gzip.decompress((tmp_path / "x.gz").read_bytes()) == text
+        size = (tmp_path / "x.gz").stat().st_size
+        got = []
+        with ranges.opened(path) as f:
+            for r in ranges.cut([(path, size)], cut):
+                got += bgzf.lines(f, r)
+        assert got == text.split(b"\n")[: -1 if end else None]
+
+
+def test_damaged_blocks_are_an_error(tmp_path):
+    path = blocked(tmp_path / "x.gz", b"line\n" * 100, 50)
+    data = bytearray((tmp_path / "x.gz").read_bytes())
+    data[len(bgzf.block(b"line\n" * 10)) - 6] ^= 1
+    (tmp_path / "x.gz").write_bytes(bytes(data))
+    with ranges.opened(path) as f, pytest.raises(ValueError, match="damaged"):
+        list(bgzf.lines(f, ranges.Range(0, path, 0, len(data), len(data))))
+
+
+def test_block_gzip_variants(spark, genome, tmp_path):
+    """The same rows as from plain text, by several tasks; by an index, only ranges with wanted sites are read."""
+    text = (genome / "v.vcf").read_bytes()
+    path = blocked(tmp_path / "v.vcf.gz", text, 300)
+    assert bgzf.is_blocked(spark, path) and not bgzf.is_blocked(spark, f"{genome}/v.vcf")
+    assert vcf.samples(spark, path) == ["s1", "S_2", "abc", "x1"]
+    rows = vcf.lines(spark, path, range_bytes=500)
+    assert rows.rdd.getNumPartitions() > 3
+    plain = [r.f for r in vcf.lines(spark, f"{genome}/v.vcf").orderBy("ord").collect()]
+    assert [r.f for r in rows.orderBy("ord").collect()] == plain
+    known = vcf.index(spark, path, 500).cache()
+    n = len(ranges.cut(ranges.files(spark, path), 500))
+    sites = spark.createDataFrame([("Chr1", 22), ("Chr1", 23), ("Chr2", 10), ("Chr9", 1)], "chrom string, pos long")
+    read = vcf.ranges_at(spark, path, sites, known, 500)
+    assert 0 < len(read) <= 2 < n
+    names = vcf.samples(spark, path)
+    at = vcf.calls(vcf.lines_at(spark, path, sites, known, 500), names).join(sites, ["chrom", "pos"], "left_semi")
+    want = vcf.calls(vcf.lines(spark, f"{genome}/v.vcf"), names).join(sites, ["chrom", "pos"], "left_semi")
+    key = lambda df: sorted(df.select("chrom", "pos", "sample", "gt").collect())
+    assert key(at) == key(want) and len(key(at)) == 8
+    assert vcf.lines_at(spark, path, sites.where("pos = 1"), known, 500).count() == 0
+
+
+def test_builder_over_block_gzip(spark, genome, tmp_path):
+    path = blocked(tmp_path / "v.vcf.gz", (genome / "v.vcf").read_bytes(), 400)
+    plain = builder.run(spark, settings(genome, tmp_path / "a"))
+    packed = builder.run(spark, settings(genome, tmp_path / "b", vcf_path=path))
+    for name in ("genotype_sample_by_site", "gene_feature_sample_by_gene"):
+        a, b = (spark.read.parquet(x[name]) for x in (plain, packed))
+        assert a.columns == b.columns and sorted(a.collect()) == sorted(b.collect())
