@@ -180,7 +180,7 @@ _GT = "CASE (o_orderkey % 8)::INT WHEN 0 THEN '0/0' WHEN 1 THEN '0/1' WHEN 2 THE
 _DOSE = "CASE (o_orderkey % 8)::INT WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 0 WHEN 4 THEN 0 WHEN 5 THEN 2 WHEN 6 THEN 1 ELSE 1 END"
 _CALLS = f"SELECT o_orderkey AS ord, 'Chr' || (o_custkey % 5 + 1) AS chrom, o_custkey % 40 + 1 AS pos, 'sample_' || (o_orderkey % 9 + 1) AS sample, {_DOSE} AS dose FROM orders"
 _LONG = f"SELECT chrom || ':' || pos AS site_id, sample, arg_max(dose, ord)::TINYINT AS dosage FROM ({_CALLS}) GROUP BY chrom, pos, sample"
-_EFFECT = "SELECT 'Chr' || (p_partkey % 5 + 1) || ':' || (p_partkey % 40 + 1) AS site_id, max(p_retailprice / 1000.0::DOUBLE) AS var_effect FROM part WHERE p_size > 5 GROUP BY 1"
+_EFFECT = "SELECT 'Chr' || (p_partkey % 5 + 1) || ':' || (p_partkey % 35 + 1) AS site_id, max(p_retailprice / 1000.0::DOUBLE) AS var_effect FROM part GROUP BY 1"
 
 
 def _gt():
@@ -202,10 +202,10 @@ def _long(spark, sf):
 
 
 def _effects(spark, sf):
-    p = _t(spark, sf, "part").where("p_size > 5")
-    return p.groupBy(
+    # Some sites of the genotypes have no part, so no effect.
+    return _t(spark, sf, "part").groupBy(
         F.concat(
-            F.lit("Chr"), _text_of(F.col("p_partkey") % 5 + 1), F.lit(":"), _text_of(F.col("p_partkey") % 40 + 1)
+            F.lit("Chr"), _text_of(F.col("p_partkey") % 5 + 1), F.lit(":"), _text_of(F.col("p_partkey") % 35 + 1)
         ).alias("site_id")
     ).agg(F.max(F.col("p_retailprice") / F.lit(1000.0)).alias("var_effect"))
 
@@ -448,7 +448,9 @@ def top_features(spark, sf):
 
 _FEATURES = [f"Chr{i}:{10 * i}" for i in range(1, 7)]
 _MUTABLE = [_FEATURES[3], _FEATURES[0], _FEATURES[4], _FEATURES[1]]
-_BASE = {f: i % 3 for i, f in enumerate(_FEATURES)}
+#: The base sample is the customer of the least key.
+_FIRST = "(SELECT min(c_custkey) FROM customer)"
+_BASE = {f: f"(({_FIRST} + {i}) % 3)" for i, f in enumerate(_FEATURES)}
 _EFFECTS = {f: 0.25 * (i + 1) for i, f in enumerate(_FEATURES)}
 
 
@@ -456,7 +458,8 @@ def _combo_sql() -> str:
     n = len(_MUTABLE)
     d = [f"((id // {3 ** (n - 1 - i)}) % 3)" for i in range(n)]
     own = [_BASE[f] for f in _MUTABLE]
-    target = sum(g * 3 ** (n - 1 - i) for i, g in enumerate(own))
+    target = "(" + " + ".join(f"{g} * {3 ** (n - 1 - i)}" for i, g in enumerate(own)) + ")"
+    name = f"'s' || {_FIRST}"
     changed = [f"({x} <> {o})" for x, o in zip(d, own, strict=True)]
     listed = "list_filter([" + ", ".join(
         f"CASE WHEN {c} THEN '{f}' END" for c, f in zip(changed, _MUTABLE, strict=True)
@@ -465,20 +468,22 @@ def _combo_sql() -> str:
         f"CASE WHEN {c} THEN '{f}:' || ({x}) END" for c, f, x in zip(changed, _MUTABLE, d, strict=True)
     ) + "], lambda x: x IS NOT NULL)"
     total = " + ".join(f"{_EFFECTS[f]}::DOUBLE * {d[_MUTABLE.index(f)] if f in _MUTABLE else _BASE[f]}" for f in _FEATURES)
-    return f"""SELECT CASE WHEN id = {target} THEN 's1' ELSE 's1_sim_' || lpad(id::VARCHAR, 6, '0') END AS sample, CASE WHEN id = {target} THEN 'original' ELSE 'sim_' || lpad(id::VARCHAR, 6, '0') END AS combination_id, id = {target} AS is_target, 's1' AS source_sample, CASE WHEN id = {target} THEN 'original' ELSE 'simulated' END AS source_type, len({listed})::INT AS mutated_feature_count, array_to_string({listed}, ';') AS mutated_features, array_to_string({pairs}, ';') AS mutated_feature_genotypes, {total} AS total FROM (SELECT range AS id FROM range({3**n}))"""
+    return f"""SELECT CASE WHEN id = {target} THEN {name} ELSE {name} || '_sim_' || lpad(id::VARCHAR, 6, '0') END AS sample, CASE WHEN id = {target} THEN 'original' ELSE 'sim_' || lpad(id::VARCHAR, 6, '0') END AS combination_id, id = {target} AS is_target, {name} AS source_sample, CASE WHEN id = {target} THEN 'original' ELSE 'simulated' END AS source_type, len({listed})::INT AS mutated_feature_count, array_to_string({listed}, ';') AS mutated_features, array_to_string({pairs}, ';') AS mutated_feature_genotypes, {total} AS total FROM (SELECT range AS id FROM range({3**n}))"""
 
 
 def _total():
     return F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double"))
 
 
-def _combos(spark):
-    return simulate.combinations(spark, _BASE, "s1", _FEATURES, _MUTABLE, _EFFECTS)
+def _combos(spark, sf):
+    first = _t(spark, sf, "customer").agg(F.min("c_custkey")).first()[0]
+    base = {f: (first + i) % 3 for i, f in enumerate(_FEATURES)}
+    return simulate.combinations(spark, base, f"s{first}", _FEATURES, _MUTABLE, _EFFECTS)
 
 
 @query(_combo_sql())
 def combos(spark, sf):
-    return _combos(spark).withColumn("total", _total()).drop("features")
+    return _combos(spark, sf).withColumn("total", _total()).drop("features")
 
 
 _OBS = "SELECT c_custkey AS ord, 's' || c_custkey AS sample, " + ", ".join(f'((c_custkey + {i}) % 3)::TINYINT AS f{i}' for i in range(6)) + " FROM customer"
@@ -502,7 +507,7 @@ def observed_weighted(spark, sf):
 
 @query(f"SELECT sample, combination_id, total FROM ({_combo_sql()}) UNION ALL SELECT * FROM ({_OBS_SQL})")
 def combined_frame(spark, sf):
-    return _combos(spark).unionByName(_observed(spark, sf)).select("sample", "combination_id", _total().alias("total"))
+    return _combos(spark, sf).unionByName(_observed(spark, sf)).select("sample", "combination_id", _total().alias("total"))
 
 
 _LOCROWS = "SELECT o_orderkey AS ord, o_totalprice AS value, (o_orderstatus = 'F')::INT AS loc_f, (o_orderpriority IN ('1-URGENT', '2-HIGH'))::INT AS loc_hi FROM orders"
@@ -533,7 +538,7 @@ def loc_cross_rank(spark, sf):
     from lociflow.plans.simulator import linear_model
 
     model = linear_model(dict.fromkeys(_FEATURES, 1.0) | {"loc_f": 0.5, "loc_hi": -0.25})
-    scored = model(_combos(spark).crossJoin(F.broadcast(_groups(spark, sf))), _FEATURES)
+    scored = model(_combos(spark, sf).crossJoin(F.broadcast(_groups(spark, sf))), _FEATURES)
     return simulate.rank_predictions(scored).select("group_id", "combination_id", "predicted_phenotype", "rank")
 
 

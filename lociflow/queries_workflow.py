@@ -130,7 +130,7 @@ def _write_files(spark: SparkSession, sf: str) -> str:
 
     p = _words(spark, sf)
     trait = F.when(F.col("z") % 3 == 0, "A").when(F.col("z") % 3 == 1, "N").otherwise(" R ")
-    gwas = p.where("z < 30").select(
+    gwas = p.select(
         F.when(F.col("p") % 17 == 0, "scaffold").otherwise(F.concat(F.lit("chr"), F.col("c"))).alias("Chromosome"),
         (F.col("slot") * 4 + 2).alias("Position"), F.trim(trait).alias("Trait"), (F.col("z") / 100).alias("pvalue")
     )
@@ -263,13 +263,17 @@ def built_gene_site_effects(spark, sf):
     return out.select("site_id", F.round(F.col("var_effect").cast("double"), 6).alias("var_effect"))
 
 
-@query(
-    "SELECT unnest([" + ", ".join(
-        f"{{'raw_sample': '{a}', 'sample': '{b}'}}" for a, b in zip(RAW_SAMPLES, SAMPLES, strict=True)
-    ) + "], recursive := true)"
-)
+_PAIRS = ", ".join(f"('{a}', '{b}')" for a, b in zip(RAW_SAMPLES, SAMPLES, strict=True))
+
+
+@query(_GENES + f"z AS (SELECT 1) SELECT raw_sample, sample, count(*) AS sites, sum(dosage)::BIGINT AS alleles FROM (VALUES {_PAIRS}) AS m(raw_sample, sample) JOIN d USING (sample) GROUP BY ALL")
 def built_samples(spark, sf):
-    return _csv(spark, _built(spark, sf)[1]["sample_mapping"])
+    """The sample mapping with what the genotypes hold of each sample under its new name."""
+    out = _built(spark, sf)[1]
+    calls = _long_of(spark.read.parquet(out["genotype_sample_by_site"]), "sample", "site_id", "dosage", "tinyint")
+    return _csv(spark, out["sample_mapping"]).join(calls, "sample").groupBy("raw_sample", "sample").agg(
+        F.count("*").alias("sites"), F.sum("dosage").cast("long").alias("alleles")
+    )
 
 
 @query(_GENES + f"z AS (SELECT 1) SELECT {_SITE}, sample, dosage FROM d")
@@ -721,7 +725,7 @@ def _simulated(spark: SparkSession, sf: str) -> str:
             ),
             f"{d}/g.csv"
         )
-        seen = o.where(F.col("o_custkey") == m).orderBy("o_orderkey").coalesce(1)
+        seen = o.orderBy("o_orderkey").coalesce(1)
         sinks.save_csv(
             seen.select(
                 F.concat(F.lit("s"), "o_custkey").alias("sample"), F.col("o_totalprice").alias("value"),
