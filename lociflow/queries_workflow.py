@@ -16,7 +16,7 @@ from lociflow.embed.cache import CachedEmbedder
 from lociflow.functions import names
 from lociflow.ml import metrics, models
 from lociflow.operators import checks, effects, genotypes, simulate, splits
-from lociflow.plans import builder, classifier, phenotypes, simulator
+from lociflow.plans import builder, classifier, phenotypes, resume, simulator
 from lociflow.queries import (
     _AREA, _MEANS, _MULTI, _SCORED, _calls, _importance, _long, _multi, _scored, _sheet, _t, _text, _window_sql, query,
 )
@@ -321,7 +321,7 @@ def built_gene_features(spark, sf):
 def gene_sequences(spark, sf):
     """The sequences of the samples that carry a variant of a gene, put together from pieces shorter than most genes."""
     c, _ = _built(spark, sf)
-    stage = lambda name: spark.read.parquet(f"{c.outdir}/stages/{name}")
+    stage = lambda name: resume.stage(spark, c.outdir, name)
     return effects.gene_sequences(
         stage("gene_sites"), stage("genotypes"), fasta.read_pieces(spark, c.fasta_path, 16, 4, range_bytes=1000)
     )
@@ -349,7 +349,7 @@ def resumed_sites(spark, sf):
     before = builder.Stages(spark, c.outdir, *builder.signed(c)).done
     builder.run(spark, replace(c, wide=False, split=False))
     again = sum(before.get(k) != v for k, v in builder.Stages(spark, c.outdir, *builder.signed(c)).done.items())
-    return spark.read.parquet(f"{c.outdir}/stages/initial_sites").withColumn("made_again", F.lit(again))
+    return resume.stage(spark, c.outdir, "initial_sites").withColumn("made_again", F.lit(again))
 
 
 @query(_BASE + f"al AS (SELECT c, pos, ref, unnest(alts) AS alt FROM r), ae AS {_effect_sql('al')} SELECT {_NAME}, {_SITE}, var_effect FROM ae")

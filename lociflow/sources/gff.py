@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lociflow.functions.attributes import attributes, labels
 from lociflow.functions.names import standard_chrom, strip
+from lociflow.sources import files
 
 #: The fields of a record.
 FIELDS = ("seqid", "source", "type", "start", "end", "score", "strand", "phase", "attributes")
@@ -49,14 +50,10 @@ def read_cached(
     spark: SparkSession, path: str, wanted: str | Sequence[str] = "gene", cache: str | None = None,
     force_rebuild: bool = False
 ) -> DataFrame:
-    """read from a Parquet copy of the records, by default beside the file, that is made anew when the file has
-    changed or is asked to."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
-    copy = f"{cache or path + '.records'}/{status.getLen()}-{status.getModificationTime()}"
-    done = jvm.org.apache.hadoop.fs.Path(f"{copy}/_SUCCESS")
-    if force_rebuild or not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+    """read from a Parquet copy of the records, by default beside the file, that is made anew when the file, or any file
+    of the folder, has changed or is asked to. A copy counts once it is whole."""
+    copy = f"{cache or path.rstrip('/') + '.records'}/{files.signature(spark, path)['digest']}"
+    if force_rebuild or not files.exists(spark, f"{copy}/_SUCCESS"):
         records(spark.read.text(path)).write.mode("overwrite").parquet(copy)
     return features(spark.read.parquet(copy), wanted)
 

@@ -1,7 +1,9 @@
 import gzip
 import json
+import os
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -13,7 +15,7 @@ from lociflow.embed import registry
 from lociflow.embed.cache import CachedEmbedder
 from lociflow.ml import models
 from lociflow.operators import effects, splits
-from lociflow.plans import builder, classifier, phenotypes, simulator
+from lociflow.plans import builder, classifier, phenotypes, resume, simulator
 from lociflow.sources import bgzf, config, fasta, gff, ranges, sinks, tables, vcf
 
 SEQ = {
@@ -70,27 +72,28 @@ def test_readers(spark, genome):
 
 def test_builder_runs_and_resumes(spark, genome, tmp_path):
     out = builder.run(spark, settings(genome, tmp_path))
-    sites = spark.read.parquet(f"{tmp_path}/stages/initial_sites")
+    sites = resume.stage(spark, str(tmp_path), "initial_sites")
     assert sites.where("chrom = 'Chr1' AND pos = 22 AND gwas_trait = 'h'").count() >= 1
     assert {r.pos for r in sites.where("chrom = 'Chr2'").collect()} >= {10}
-    calls = spark.read.parquet(f"{tmp_path}/stages/genotypes")
+    calls = resume.stage(spark, str(tmp_path), "genotypes")
     assert {r[0] for r in calls.select("sample").distinct().collect()} == {
         "sample_1", "sample_2", "sample_3", "sample_1_4"
     }
     wide = spark.read.parquet(out["genotype_sample_by_site"])
     assert wide.count() == 4 and len(wide.columns) == 1 + calls.select("site_id").distinct().count()
-    genes = spark.read.parquet(f"{tmp_path}/stages/gene_features")
+    genes = resume.stage(spark, str(tmp_path), "gene_features")
     assert genes.count() == 4 * genes.select("gene_id").distinct().count() and genes.where("value > 0").count() > 0
     meta = json.loads((tmp_path / "splits/split_meta.json").read_text())
     assert len(meta["samples"]["test"]) == 2 and len(meta["samples"]["train_val"]) == 2
     before = sorted(map(tuple, genes.collect()))
-    stamp = (tmp_path / "stages/initial_sites/_SUCCESS").stat().st_mtime_ns
+    held = lambda name: json.loads((tmp_path / "resume.json").read_text())["stages"][name]["outputs"][0]
+    first = held("initial_sites")
     builder.run(spark, settings(genome, tmp_path))
-    assert (tmp_path / "stages/initial_sites/_SUCCESS").stat().st_mtime_ns == stamp
-    (tmp_path / "stages/gene_sites/_SUCCESS").unlink()
+    assert held("initial_sites") == first
+    Path(held("gene_sites"), "_SUCCESS").unlink()
     builder.run(spark, settings(genome, tmp_path))
-    assert (tmp_path / "stages/initial_sites/_SUCCESS").stat().st_mtime_ns == stamp
-    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/stages/gene_features").collect())) == before
+    assert held("initial_sites") == first
+    assert sorted(map(tuple, resume.stage(spark, str(tmp_path), "gene_features").collect())) == before
     assert json.loads((tmp_path / "resume.json").read_text())["notes"]["samples"][3] == ["x1", "sample_1_4"]
 
 
@@ -462,3 +465,63 @@ def test_builder_over_block_gzip(spark, genome, tmp_path):
     for name in ("genotype_sample_by_site", "gene_feature_sample_by_gene"):
         a, b = (spark.read.parquet(x[name]) for x in (plain, packed))
         assert a.columns == b.columns and sorted(a.collect()) == sorted(b.collect())
+
+
+def chain(spark, folder, source, log, die=None):
+    """Three stages, each the one before and a row more; dies as the stage named is made."""
+    stages = resume.Stages(spark, folder, {"a": 1}, {"in": source})
+
+    def make(name, before):
+        def rows():
+            log.append(name)
+            if name == die:
+                raise KeyboardInterrupt
+            return before.unionByName(spark.createDataFrame([(name,)], "v string"))
+
+        return stages.run(name, rows)
+
+    one = make("one", spark.read.text(source).withColumnRenamed("value", "v"))
+    return sorted(r.v for r in make("three", make("two", one)).collect())
+
+
+def test_a_run_that_dies_leaves_no_stale_stage(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    source, out, log = str(tmp_path / "in"), str(tmp_path / "out"), []
+    (tmp_path / "in/a.txt").write_text("x\n")
+    (tmp_path / "in/b.txt").write_text("y\n")
+    want = ["one", "three", "two", "x", "y"]
+    assert chain(spark, out, source, log) == want and chain(spark, out, source, log) == want
+    assert log == ["one", "two", "three"]
+    # Dies between the output of a stage and the manifest: the stage runs again, no half is read.
+    Path(resume.stage(spark, out, "two").inputFiles()[0].removeprefix("file:")).parent.joinpath("_SUCCESS").unlink()
+    save = resume.Stages._save
+    monkeypatch.setattr(resume.Stages, "_save", lambda self: save(self) if "two" not in self.done else 1 / 0)
+    log.clear()
+    with pytest.raises(ZeroDivisionError):
+        chain(spark, out, source, log)
+    monkeypatch.setattr(resume.Stages, "_save", save)
+    # Dies after a stage was made again: the later one of the run before is not taken.
+    with pytest.raises(KeyboardInterrupt):
+        chain(spark, out, source, log, die="three")
+    assert log == ["two", "two", "three"]
+    assert chain(spark, out, source, log) == want and log == ["two", "two", "three", "three"]
+    assert all(len(list(p.iterdir())) == 1 for p in (tmp_path / "out/stages").iterdir())
+    # A file is replaced inside the folder by one of the same size and name.
+    log.clear()
+    (tmp_path / "in/b.txt").write_text("z\n")
+    os.utime(tmp_path / "in/b.txt", (1, 1))
+    assert chain(spark, out, source, log) == ["one", "three", "two", "x", "z"] and log == ["one", "two", "three"]
+
+
+def test_a_replaced_part_is_read_again(spark, tmp_path):
+    """Annotation as a folder: its copy follows each file in it."""
+    d = tmp_path / "a.gff3"
+    d.mkdir()
+    line = "chr1\tx\tgene\t{}\t9\t.\t+\t.\tID=g{}\n"
+    (d / "part-0").write_text(line.format(5, 1))
+    (d / "part-1").write_text(line.format(6, 2))
+    starts = lambda: sorted(r.start for r in gff.read_cached(spark, str(d), cache=str(tmp_path / "c")).collect())
+    assert starts() == [5, 6]
+    (d / "part-0").write_text(line.format(7, 1))
+    os.utime(d / "part-0", (5, 5))
+    assert starts() == [6, 7]
