@@ -6,12 +6,10 @@ only fixed numbers of values ever reach the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-#: Bins of a score between 0 and 1.
-BINS = 4096
+from lociflow.operators.places import accumulated
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -26,32 +24,18 @@ def confusion_counts(rows: DataFrame, y: str = "y", pred: str = "pred") -> DataF
 
 
 def thresholds(rows: DataFrame, y: str = "y", score: str = "score", group: list[str] | None = None) -> DataFrame:
-    """score, tp, fp, pos, neg of every distinct score: what lies at or above it, and the totals.
+    """score, tp, fp, pos, neg of every distinct score: what lies at or above it, and the totals. Rows without a score or
+    a label count nowhere.
 
-    The scores are counted before they are ordered, and ordered within bins of 1 / BINS; only the counts of the bins
-    are added up in one place."""
+    The scores, of any range, are counted before they are ordered, and added up by stretches of their order."""
     group = group or []
-    per = rows.groupBy(*group, F.col(score).alias("score")).agg(
+    per = rows.where(F.col(score).isNotNull() & F.col(y).isNotNull()).groupBy(*group, F.col(score).alias("score")).agg(
         F.sum(F.col(y).cast("long")).alias("p_here"), F.count("*").alias("__n")
     )
-    per = per.select(
-        *group, "score", "p_here", (F.col("__n") - F.col("p_here")).alias("n_here"),
-        F.floor(F.col("score") * BINS).alias("__bin")
-    )
-    bins = per.groupBy(*group, "__bin").agg(F.sum("p_here").alias("__p"), F.sum("n_here").alias("__q"))
-    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    above = whole.orderBy(F.desc("__bin")).rowsBetween(Window.unboundedPreceding, -1)
-    over = lambda c: F.coalesce(F.sum(c).over(above), F.lit(0))
-    bins = bins.select(
-        *group, "__bin", over("__p").alias("__tp"), over("__q").alias("__fp"), F.sum("__p").over(whole).alias("pos"),
-        F.sum("__q").over(whole).alias("neg")
-    )
-    down = Window.partitionBy(*group, "__bin").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    per = per.withColumn("__tp_here", F.sum("p_here").over(down)).withColumn("__fp_here", F.sum("n_here").over(down))
-    out = per.join(bins, [*group, "__bin"])
+    per = per.select(*group, "score", "p_here", (F.col("__n") - F.col("p_here")).alias("n_here"))
+    out = accumulated(per, {"tp": "p_here", "fp": "n_here"}, [F.desc("score")], group)
     return out.select(
-        *group, "score", (F.col("__tp") + F.col("__tp_here")).alias("tp"),
-        (F.col("__fp") + F.col("__fp_here")).alias("fp"), "p_here", "n_here", "pos", "neg"
+        *group, "score", "tp", "fp", "p_here", "n_here", F.col("tp_all").alias("pos"), F.col("fp_all").alias("neg")
     )
 
 

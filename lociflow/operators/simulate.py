@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lociflow.operators.places import numbered
+from lociflow.operators.places import numbered, placed
 
 #: Fixed value: the genotypes of a site.
 GENOTYPES = (0, 1, 2)
@@ -141,10 +141,10 @@ def location_groups(rows: DataFrame, locations: Sequence[str], ordinal: str = "o
 
 
 def rank_predictions(predicted: DataFrame, descending: bool = True, group: str | None = "group_id") -> DataFrame:
-    """predicted with ``rank`` from 1 within each group; ties go by combination."""
+    """predicted with ``rank`` from 1 within each group; ties go by combination. A group is ranked by as many tasks as it
+    fills."""
     by = F.desc("predicted_phenotype") if descending else F.asc("predicted_phenotype")
-    w = Window.partitionBy(group) if group else Window.partitionBy(F.lit(0))
-    return predicted.withColumn("rank", F.row_number().over(w.orderBy(by, "combination_id", "sample")).cast("long"))
+    return placed(predicted, "rank", [by, F.col("combination_id"), F.col("sample")], [group] if group else [])
 
 
 def scale(value: Column, low: Column, high: Column, to_low: float, to_high: float) -> Column:

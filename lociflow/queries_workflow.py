@@ -776,12 +776,15 @@ def simulated_summary(spark, sf):
 
 @query(_sim_sql() + "SELECT group_id, count(*) AS points, count(*) FILTER (is_target) AS targets FROM rk GROUP BY 1")
 def simulated_chart(spark, sf):
-    """Points of each group's chart, and among them the target."""
+    """Points that the cells of each group's chart count, and among them the target."""
     out = _simulated(spark, sf)
     files = spark.read.option("wholetext", True).text(f"{out}/group_*.svg").select(
         F.regexp_extract("_metadata.file_path", r"(group_[0-9]+)\.svg", 1).alias("group_id"), "value"
     )
-    drawn = F.regexp_count("value", F.lit('r="[25]"')).cast("long")
-    return files.select(
-        "group_id", drawn.alias("points"), F.regexp_count("value", F.lit('r="5"')).cast("long").alias("targets")
+    counted = lambda size: F.aggregate(
+        F.regexp_extract_all("value", F.lit(f'r="{size}" [^>]*data-n="([0-9]+)"')), F.lit(0).cast("long"),
+        lambda total, x: total + x.cast("long")
     )
+    return files.select("group_id", counted("[25]").alias("points"), counted("5").alias("targets"))
+
+

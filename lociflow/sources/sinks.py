@@ -148,34 +148,49 @@ def ticks(low: float, high: float, n: int = 5) -> list[float]:
 KINDS = {"observed": "#2a7f62", "simulated": "#7f8c9b", "original": "#c0392b"}
 
 
+#: Side of a cell of the chart, in its own units.
+CELL = 2
+
+
+def cells(ranked: DataFrame, low: float, high: float, n: int, width: int, height: int, margin: int) -> DataFrame:
+    """x, y, kind, n of the cells of the chart that hold points: every point counts in one, the target as a kind of its
+    own. There are no more than cells of the chart for each kind, however many points."""
+    from lociflow.operators.simulate import scale
+
+    x = scale(F.col("rank").cast("double"), F.lit(1.0), F.lit(float(n)), margin, width - margin)
+    y = scale(F.col("predicted_phenotype"), F.lit(low), F.lit(high), height - margin, margin)
+    middle = lambda c: (F.floor(c / CELL) * CELL + CELL / 2).cast("double")
+    known = F.when(F.col("source_type").isin(*KINDS), F.col("source_type")).otherwise("simulated")
+    kind = F.when(F.col("is_target"), "original").when(known == "original", "simulated").otherwise(known)
+    return ranked.groupBy(middle(x).alias("x"), middle(y).alias("y"), kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
 def scatter_svg(
     ranked: DataFrame, title: str, path: str, width: int = 900, height: int = 520, margin: int = 60,
     most: int | None = None
 ) -> None:
-    """Predicted phenotype by rank as an SVG, with ticks, a legend and the target's label. Coordinates are computed in
-    Spark. By default every point is drawn; ``most`` thins them out to about so many, evenly by rank, but never the
-    first, the last, the observed ones or the target."""
-    from lociflow.operators.simulate import scale
-
+    """Predicted phenotype by rank as an SVG, with ticks, a legend and the target's label. Spark counts the points in the
+    cells of a grid; a cell is drawn once, with the number of its points (data-n) and the stronger the more they are.
+    ``most`` thins the points out to about so many before, evenly by rank, but never the first, the last, the observed
+    ones or the target."""
     n, low, high = ranked.agg(F.count("*"), F.min("predicted_phenotype"), F.max("predicted_phenotype")).first()
     if not n:
         raise ValueError("nothing to draw")
     low, high = float(low), float(high)
+    target = ranked.where("is_target").select("rank", "predicted_phenotype").first()
     if most:
         step = max(1, n // most)
         ranked = ranked.where(
             (F.col("rank") % step == 0) | F.col("is_target") | F.col("rank").isin(1, n) | (F.col("source_type") == "observed")
         )
-    x = scale(F.col("rank").cast("double"), F.lit(1.0), F.lit(float(n)), margin, width - margin)
-    y = scale(F.col("predicted_phenotype"), F.lit(low), F.lit(high), height - margin, margin)
-    shown = ranked.select(
-        F.round(x, 2).alias("x"), F.round(y, 2).alias("y"), "is_target", "source_type", "rank", "predicted_phenotype"
-    )
     body, mark = [], ""
-    for p in shown.orderBy("is_target", "x").toLocalIterator():
-        body.append(f'<circle cx="{p.x}" cy="{p.y}" r="{5 if p.is_target else 2}" fill="{KINDS["original"] if p.is_target else KINDS.get(p.source_type, KINDS["simulated"])}"/>')
-        if p.is_target:
-            mark = f'<text x="{p.x + 8}" y="{p.y - 8}">target: rank {p["rank"]}, {p.predicted_phenotype:.4g}</text>'
+    found = cells(ranked, low, high, n, width, height, margin).collect()
+    for p in sorted(found, key=lambda p: (p.kind == "original", p.x, p.y, p.kind)):
+        own = p.kind == "original"
+        strength = 1.0 if own else round(min(1.0, 0.35 + 0.1 * p.n.bit_length()), 2)
+        body.append(f'<circle cx="{p.x:g}" cy="{p.y:g}" r="{5 if own else 2}" fill="{KINDS[p.kind]}" fill-opacity="{strength}" data-n="{p.n}"/>')
+        if own and target:
+            mark = f'<text x="{p.x + 8:g}" y="{p.y - 8:g}">target: rank {target["rank"]}, {target.predicted_phenotype:.4g}</text>'
     place = lambda v, a, b, p, q: (p + q) / 2 if a == b else p + (v - a) / (b - a) * (q - p)
     axes = [f'<path d="M{margin} {margin}V{height - margin}H{width - margin}" fill="none" stroke="#333"/>']
     for v in ticks(1, n):

@@ -217,6 +217,36 @@ def test_places_equal_a_window_over_all_rows(spark):
         ) == sorted(map(repr, want.collect()))
 
 
+def test_places_by_splitters(spark):
+    """One group over eight tasks, small ones, none; ties, nulls and equal rows."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["a"] * 9 + ["b", None]), rng.choice([None, *range(50)]), i) for i in range(600)]
+    df = spark.createDataFrame([*rows, *rows[:5]], "g string, x long, i long")
+    for group, parts in (([], 8), (["g"], 8), (["g"], None), ([], 1)):
+        order = [F.desc("x"), F.col("i")]
+        w = (Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))).orderBy(*order)
+        want = df.withColumn("n", F.row_number().over(w).cast("long"))
+        got = places.placed(df, "n", order, group, parts)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        up = w.rowsBetween(Window.unboundedPreceding, 0)
+        per = df.groupBy(*group, "x").agg(F.count("*").alias("k"))
+        w = (Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0)))
+        up = w.orderBy(F.desc("x")).rowsBetween(Window.unboundedPreceding, 0)
+        want = per.withColumn("s", F.sum("k").over(up)).withColumn("s_all", F.sum("k").over(w))
+        got = places.accumulated(per, {"s": "k"}, [F.desc("x")], group, parts)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    held = places._stretches(df.where("g = 'a'"), [F.col("x"), F.col("i")], ["g"], 8)
+    sizes = [r["count"] for r in held.groupBy("__part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 3 * min(sizes)
+
+
+def test_rows_without_a_score_count_nowhere(spark):
+    rows = spark.createDataFrame([(1, 0.9), (0, 0.4), (1, None), (1, 0.3), (None, 0.2)], "y int, score double")
+    got = sorted(map(tuple, metrics.thresholds(rows).select("score", "tp", "fp", "pos", "neg").collect()))
+    assert got == [(0.3, 2, 1, 2, 1), (0.4, 1, 1, 2, 1), (0.9, 1, 0, 2, 1)]
+    assert metrics.areas(rows).first().roc_auc == 0.5
+
+
 def test_first_rows(spark):
     df = spark.createDataFrame(
         [
