@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociflow.embed.cache import CachedEmbedder
-from lociflow.functions.names import site_id
-from lociflow.operators import effects, genotypes, sites, splits
+from lociflow.functions.names import chrom_order, site_id
+from lociflow.operators import blocks, effects, genotypes, sites, splits
 from lociflow.operators.genotypes import first_by
 from lociflow.plans.resume import Stages
 from lociflow.sources import bgzf, fasta, gff, sinks, tables, vcf
@@ -104,24 +104,22 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
     )
 
     if c.wide or c.split:
-        columns = [
-            r[0] for r in sites.in_order(calls.select("site_id", "chrom", "pos").distinct()).select("site_id").collect()
-        ]
-        gene_names = sorted(r[0] for r in features.select("gene_id").distinct().collect())
-        out["genotype_site_by_sample"] = sinks.save_matrix(
-            calls, "site_id", "sample", "dosage", order, f"{c.outdir}/genotype_site_by_sample", 0
-        )[1]
-        out["genotype_sample_by_site"] = sinks.save_matrix(
-            calls, "sample", "site_id", "dosage", columns, f"{c.outdir}/genotype_sample_by_site", 0
-        )[1]
-        out["variant_effect_sample_by_site"] = sinks.save_matrix(
-            matrix, "sample", "site_id", "value", columns, f"{c.outdir}/variant_effect_sample_by_site", 0.0
-        )[1]
-        out["gene_feature_sample_by_gene"] = sinks.save_matrix(
-            features, "sample", "gene_id", "value", gene_names, f"{c.outdir}/gene_feature_sample_by_gene", 0.0
-        )[1]
+        by_sample = names.select(F.col("sample").alias("name"), F.col("idx").cast("long").alias("no"))
+        by_site = blocks.index(
+            calls.select("site_id", "chrom", "pos"), "site_id", [chrom_order(F.col("chrom")), F.col("chrom"), F.col("pos")]
+        )
+        by_gene = blocks.index(features.select("gene_id"), "gene_id")
+        made = {
+            name: sinks.save_matrix(rows, row, column, value, rows_by, columns_by, f"{c.outdir}/{name}", fill)
+            for name, rows, row, column, value, rows_by, columns_by, fill in (
+                ("genotype_site_by_sample", calls, "site_id", "sample", "dosage", by_site, by_sample, 0),
+                ("genotype_sample_by_site", calls, "sample", "site_id", "dosage", by_sample, by_site, 0),
+                ("variant_effect_sample_by_site", matrix, "sample", "site_id", "value", by_sample, by_site, 0.0),
+                ("gene_feature_sample_by_gene", features, "sample", "gene_id", "value", by_sample, by_gene, 0.0),
+            )
+        }
+        out |= {name: f"{c.outdir}/{name}.parquet" for name in made}
     if c.split:
-        by_sample = lambda stem: spark.read.parquet(out[stem])
         isolated = []
         if c.isolated_samples_path:
             isolated = [
@@ -131,9 +129,9 @@ def run(spark: SparkSession, c: BuilderConfig) -> dict[str, str]:
                 raise ValueError(f"isolated samples that the variants lack: {unknown[:20]}")
         train, test = splits.split_samples(order, isolated, c.test_ratio, c.seed)
         matrices = {
-            "genotype_012": by_sample("genotype_sample_by_site"),
-            "variant_effect_matrix": by_sample("variant_effect_sample_by_site"),
-            "gene_sequence_feature_matrix": by_sample("gene_feature_sample_by_gene"),
+            "genotype_012": made["genotype_sample_by_site"],
+            "variant_effect_matrix": made["variant_effect_sample_by_site"],
+            "gene_sequence_feature_matrix": made["gene_feature_sample_by_gene"],
         }
         meta = {"split_test_ratio": c.test_ratio, "split_random_state": c.seed, "isolated_samples": isolated}
         out |= sinks.save_splits(matrices, train, test, f"{c.outdir}/splits", meta)

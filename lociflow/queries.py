@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from lociflow.functions import attributes, genotype, names, sequence, vectors
 from lociflow.ml import labels, metrics
 from lociflow.operators.places import numbered
-from lociflow.operators import effects, genotypes, intervals, phenotype, simulate, sites, splits
-from lociflow.sources import tables, vcf
+from lociflow.operators import blocks, effects, genotypes, intervals, phenotype, simulate, sites, splits
+from lociflow.sources import tables, vcf, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -235,9 +235,14 @@ _COLUMNS = [f"Chr{c}:{p}" for c in range(1, 6) for p in range(1, 41)]
 
 @query(f"SELECT sample, {', '.join(f'''coalesce(max(dosage) FILTER (site_id = '{s}'), 0)::TINYINT AS \"{s}\"''' for s in _COLUMNS)} FROM ({_LONG}) GROUP BY sample")
 def geno_transpose(spark, sf):
-    return genotypes.wide(_long(spark, sf), ["sample"], "site_id", "dosage", _COLUMNS, 0).select(
-        "sample", *[F.col(f"`{s}`").cast("tinyint").alias(s) for s in _COLUMNS]
-    )
+    """A row for each sample and a column for each site, put together from blocks of 64 columns."""
+    long = _long(spark, sf)
+    columns = spark.createDataFrame(list(enumerate(_COLUMNS)), "no long, name string")
+    made = blocks.write(
+        long, "sample", "site_id", "dosage", blocks.index(long.select("sample"), "sample"), columns,
+        workspace.folder(spark, "transposed"), 0, width=64
+    )
+    return spark.read.parquet(made.save_parquet(f"{made.folder}/wide"))
 
 
 @query("SELECT o_custkey, arg_min(o_totalprice, o_orderkey) AS first_price, arg_max(o_totalprice, o_orderkey) AS last_price FROM orders GROUP BY 1")

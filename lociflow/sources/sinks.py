@@ -11,8 +11,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.operators.genotypes import wide
-from lociflow.operators.splits import subset
+from lociflow.operators import blocks
+from lociflow.operators.blocks import Blocks
 
 log = logging.getLogger("lociflow")
 
@@ -52,10 +52,14 @@ def try_parquet(rows: DataFrame, path: str) -> bool:
 
 
 def save_matrix(
-    rows: DataFrame, key: str, name: str, value: str, names: Sequence[str], stem: str, fill=None
-) -> tuple[str, str]:
-    """A long table as a matrix with a row for each key and a column for each name."""
-    return save_dual(wide(rows, [key], name, value, names, fill), stem)
+    cells: DataFrame, row: str, column: str, value: str, rows: DataFrame, columns: DataFrame, stem: str, fill=None
+) -> Blocks:
+    """A long table as a matrix in blocks (stem.blocks), and from them stem.csv and stem.parquet. ``rows`` and ``columns``
+    (name, no) are every row and column in order."""
+    out = blocks.write(cells, row, column, value, rows, columns, f"{stem}.blocks", fill)
+    out.save_csv(f"{stem}.csv")
+    out.save_parquet(f"{stem}.parquet")
+    return out
 
 
 def save_vectors(rows: DataFrame, column: str, order: str, path: str) -> None:
@@ -74,15 +78,16 @@ def _save_array(values: np.ndarray, path: str) -> None:
 
 
 def save_splits(
-    tables: Mapping[str, DataFrame], train: Sequence[str], test: Sequence[str], folder: str, meta: Mapping
+    tables: Mapping[str, Blocks], train: Sequence[str], test: Sequence[str], folder: str, meta: Mapping
 ) -> dict[str, str]:
     """Each matrix with a row for each sample as train_val_NAME and test_NAME, rows in the order of the lists, in both
     formats; and split_meta.json."""
     out = {}
     for part, samples in (("train_val", train), ("test", test)):
-        for name, rows in tables.items():
-            csv, parquet = save_dual(subset(rows, samples), f"{folder}/{part}_{name}")
-            out |= {f"{part}_{name}_csv": csv, f"{part}_{name}_parquet": parquet}
+        for name, matrix in tables.items():
+            stem = f"{folder}/{part}_{name}"
+            out[f"{part}_{name}_csv"] = matrix.save_csv(f"{stem}.csv", samples)
+            out[f"{part}_{name}_parquet"] = matrix.save_parquet(f"{stem}.parquet", samples)
     out["split_meta_json"] = f"{folder}/split_meta.json"
     save_json({**meta, "samples": {"train_val": list(train), "test": list(test)}}, out["split_meta_json"])
     return out

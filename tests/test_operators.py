@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lociflow.ml import labels, metrics
-from lociflow.operators import effects, genotypes, intervals, phenotype, places, simulate, sites, splits
+from lociflow.operators import blocks, effects, genotypes, intervals, phenotype, places, simulate, sites, splits
 from lociflow.sources import fasta, tables
 
 
@@ -247,6 +247,54 @@ def test_rows_without_a_score_count_nowhere(spark):
     assert metrics.areas(rows).first().roc_auc == 0.5
 
 
+def _csv_rows(spark, path):
+    return [tuple(r) for r in spark.read.option("header", True).csv(path).collect()]
+
+
+@pytest.mark.parametrize("width", [1, 3, 1000])
+def test_blocks(spark, tmp_path, width):
+    """Any width of stretches; cells, rows and columns without a value; names that CSV must quote."""
+    rng = random.Random(width)
+    rows, columns = ["b", 'a "q", x', "c", "none"], [f"s{i}" for i in range(10)] + ["no, one"]
+    cells = {(r, c): rng.randrange(100) for r in rows[:3] for c in columns[:10] if rng.random() < 0.7}
+    long = spark.createDataFrame([(*k, v) for k, v in cells.items()] + [(*next(iter(cells)), next(iter(cells.values())))], "r string, c string, v int")
+    names = lambda xs: spark.createDataFrame(list(enumerate(xs)), "no long, name string")
+    made = blocks.write(long, "r", "c", "v", names(rows), names(columns), f"{tmp_path}/m", 7, width)
+    assert (made.n_rows, made.n_columns) == (4, 11)
+    want = [(r, *[cells.get((r, c), 7) for c in columns]) for r in rows]
+    wide = spark.read.parquet(made.save_parquet(f"{tmp_path}/p"))
+    assert wide.columns == ["r", *columns] and sorted(map(tuple, wide.collect())) == sorted(want)
+    assert _csv_rows(spark, made.save_csv(f"{tmp_path}/c")) == [tuple(map(str, r)) for r in want]
+    assert (tmp_path / "c").exists() and spark.read.option("header", True).csv(f"{tmp_path}/c").columns == ["r", *columns]
+    some = [want[2], want[0]]
+    assert _csv_rows(spark, made.save_csv(f"{tmp_path}/d", ["c", "b"])) == [tuple(map(str, r)) for r in some]
+    assert sorted(map(tuple, made.cells().collect())) == sorted((r[0], c, x) for r in want for c, x in zip(columns, r[1:], strict=True))
+    got = made.part((1, 3), (2, 4)).collect()
+    assert {r.no for r in got} == {1, 2} and {r.stretch for r in got} == set(range(2 // width, 3 // width + 1))
+    with pytest.raises(KeyError, match="zz"):
+        made.lines(["zz"])
+    twice = spark.createDataFrame([("b", "s0", 1), ("b", "s0", 2)], "r string, c string, v int")
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        blocks.write(twice, "r", "c", "v", names(rows), names(columns), f"{tmp_path}/t", 0, width)
+
+
+def test_a_matrix_of_200000_columns(spark, tmp_path):
+    """No plan has a column for each of them."""
+    n = 200_000
+    long = spark.range(n).select(
+        F.explode(F.array(F.lit("a"), F.lit("b"))).alias("r"), F.concat(F.lit("c"), "id").alias("c"), (F.col("id") % 7).alias("v")
+    ).where("r = 'a' OR v = 3")
+    columns = blocks.index(long.select("c", F.substring("c", 2, 9).cast("long").alias("by")), "c", [F.col("by")])
+    made = blocks.write(long, "r", "c", "v", blocks.index(long.select("r"), "r"), columns, f"{tmp_path}/m", 0)
+    assert (made.n_rows, made.n_columns) == (2, n)
+    head, a, b = [r.value.split(",") for r in spark.read.text(made.save_csv(f"{tmp_path}/c")).collect()]
+    assert head == ["r", *[f"c{i}" for i in range(n)]]
+    assert a == ["a", *[str(i % 7) for i in range(n)]] and b == ["b", *[str(3 * (i % 7 == 3)) for i in range(n)]]
+    held = spark.read.parquet(made.save_parquet(f"{tmp_path}/p"))
+    assert held.columns == ["r", "place", "stretch", "cells"] and held.count() == 2 * n // blocks.WIDTH
+    assert made.part((0, 1), (5000, 6000)).count() == 1
+
+
 def test_first_rows(spark):
     df = spark.createDataFrame(
         [
