@@ -34,7 +34,8 @@ _MADE: dict[tuple[str, str, str], object] = {}
 
 
 def _once(spark: SparkSession, sf: str, name: str, make):
-    """What several queries of a session share."""
+    """What several queries of a session share: a run of a workflow, whose files each of them reads. A second call of a
+    query reads them too; clearing ``_MADE`` makes the next one run the workflow again."""
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _MADE:
         _MADE[key] = make()
