@@ -343,6 +343,22 @@ def built_splits(spark, sf):
     )
 
 
+@query(_GENE_MATRIX + f"tot AS (SELECT 'variant_effect_matrix' AS name, sample, round(sum(dosage * var_effect), 2) AS total, count(*) AS cells FROM d JOIN e USING (c, pos) GROUP BY ALL UNION ALL SELECT 'gene_sequence_feature_matrix', sample, round(sum(round({_distance('seq', 'ref_seq')}, 6)), 2), count(*) FROM sq GROUP BY ALL UNION ALL SELECT 'genotype_012', sample, sum(dosage)::DOUBLE, count(*) FROM d GROUP BY ALL) SELECT * FROM tot")
+def built_split_matrices(spark, sf):
+    """Each sample's row of each split matrix, whichever part it is in."""
+    out = _built(spark, sf)[1]
+    rows = []
+    for name in ("genotype_012", "variant_effect_matrix", "gene_sequence_feature_matrix"):
+        for part in ("train_val", "test"):
+            table = spark.read.parquet(out[f"{part}_{name}_parquet"])
+            long = _long_of(table, "sample", "name", "value", "double")
+            rows.append(long.select(F.lit(name).alias("name"), "sample", "value"))
+    whole = rows[0]
+    for r in rows[1:]:
+        whole = whole.unionByName(r)
+    return whole.groupBy("name", "sample").agg(F.round(F.sum("value"), 2).alias("total"), F.count("*").alias("cells"))
+
+
 @query(_BASE + "z AS (SELECT 1) SELECT 'Chr' || c AS chrom, pos, ref, alt, qtl_trait, gwas_trait, 0 AS made_again FROM st")
 def resumed_sites(spark, sf):
     """A second run takes every stage from the first: none is made again."""
