@@ -544,11 +544,11 @@ _TESTED = "greatest(count(*) FILTER (c_nationkey = 3), ceil(count(*) * 0.2::DOUB
 @query(f"SELECT 'test' AS split, count(*) FILTER (c_nationkey = 3) AS isolated, {_TESTED}::BIGINT AS samples FROM customer UNION ALL SELECT 'train_val', 0, (count(*) - {_TESTED})::BIGINT FROM customer")
 def sample_split(spark, sf):
     """How many samples of each part there are, and how many of them were set apart."""
-    c = {r["c_name"]: r["c_nationkey"] == 3 for r in _t(spark, sf, "customer").orderBy("c_custkey").select("c_name", "c_nationkey").collect()}
-    train, test = splits.split_samples(list(c), [k for k, v in c.items() if v], 0.2)
-    return spark.createDataFrame(
-        [(name, sum(c[s] for s in part), len(set(part))) for name, part in (("test", test), ("train_val", train))],
-        "split string, isolated long, samples long"
+    rows = _t(spark, sf, "customer").select("c_custkey", (F.col("c_nationkey") == 3).alias("apart"))
+    counts = splits.split_rows(rows, "c_custkey", "apart", 0.2).groupBy("split").agg(
+        F.count_if("apart").alias("isolated"), F.count("*").alias("samples")
+    both = spark.createDataFrame([("test",), ("train_val",)], "split string").join(counts, "split", "left")
+    return both.select("split", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("isolated", "samples")])
     )
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lociflow.ml import labels, metrics
 from lociflow.operators import blocks, effects, genotypes, intervals, phenotype, places, simulate, sites, splits
-from lociflow.sources import fasta, tables
+from lociflow.sources import fasta, ranges, tables
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -352,3 +353,17 @@ def test_long_reference_alleles(spark):
     )
     got = effects.allele_windows(v, fasta.pieces(whole, 1000, 2000), 100).first()
     assert got.downstream_seq == ("ACGT" * 2000)[3899:3999] and len(got.upstream_seq) == 100
+
+
+def test_split_rows_of_any_number(spark):
+    rows = spark.range(30_000).withColumn("apart", F.when(F.col("id") % 1000 == 7, True))
+    for ratio, tested in ((0.2, 6_000), (0.0005, 30)):
+        got = {r.split: r for r in splits.split_rows(rows, "id", "apart", ratio).groupBy("split").agg(
+            F.count("*").alias("n"), F.count_if("apart").alias("own")
+        ).collect()}
+        assert (got["test"].n, got["test"].own, got["train_val"].own) == (tested, 30, 0)
+        assert got["train_val"].n == 30_000 - tested
+    names = [f"s{i}" for i in range(60_000)]
+    began = time.process_time()
+    train, test = splits.split_samples(names, names[:20_000], 0.5)
+    assert (len(train), len(test)) == (30_000, 30_000) and time.process_time() - began < 5
