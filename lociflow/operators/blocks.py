@@ -7,9 +7,11 @@ be of any width.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +83,12 @@ class Blocks:
         require_known(wanted, rows, "name", "samples without rows", KeyError)
         return rows.join(wanted, "name")
 
+    def stretches(self) -> DataFrame:
+        """stretch and the names of its columns in order."""
+        held = self.table("columns").groupBy(F.floor(F.col("no") / self.width).alias("stretch"))
+        held = held.agg(F.sort_array(F.collect_list(F.struct("no", "name"))).alias("__names"))
+        return held.select("stretch", F.transform("__names", lambda x: x["name"]).alias("names"))
+
     def lines(self, names: Sequence[str] | None = None) -> DataFrame:
         """place and value: the lines of the matrix as CSV, the header before all others."""
         text = F.array_join(F.transform("cells", lambda x: x.cast("string")), ",", "")
@@ -88,12 +96,9 @@ class Blocks:
         body = self.chosen(names).join(body, "no").select(
             "place", F.concat_ws(",", _quoted(F.col("name")), "line").alias("value")
         )
-        head = self.table("columns").groupBy(F.floor(F.col("no") / self.width).alias("stretch")).agg(
-            F.sort_array(F.collect_list(F.struct("no", _quoted(F.col("name")).alias("name")))).alias("__names")
-        )
-        head = head.select(
+        head = self.stretches().select(
             F.lit(-1).cast("long").alias("place"), "stretch",
-            F.array_join(F.transform("__names", lambda x: x["name"]), ",").alias("segment")
+            F.array_join(F.transform("names", _quoted), ",").alias("segment")
         )
         head = _joined(head, "place").select("place", F.concat(_quoted(F.lit(self.key)), F.lit(","), "line").alias("value"))
         return head.unionByName(body)
@@ -105,12 +110,13 @@ class Blocks:
 
     def save_parquet(self, path: str, names: Sequence[str] | None = None) -> str:
         """A table with a column for each name up to ``MOST_COLUMNS``; of a wider matrix the rows in their stretches (name,
-        place, stretch, cells)."""
+        place, stretch, cells), and beside it the columns' names in theirs (stretch, names)."""
         rows = self.chosen(names)
         held = self.table("blocks").join(rows, "no")
         if self.n_columns > MOST_COLUMNS:
             held = held.select(F.col("name").alias(self.key), "place", "stretch", "cells")
             held.sort("place", "stretch").write.mode("overwrite").parquet(path)
+            self.stretches().write.mode("overwrite").parquet(names_path(path))
             return path
         columns = [r.name for r in self.table("columns").orderBy("no").collect()]  # no more than MOST_COLUMNS
         parts = F.sort_array(F.collect_list(F.struct("stretch", "cells")))
@@ -122,6 +128,44 @@ class Blocks:
         return path
 
 
+def names_path(path: str) -> str:
+    """Where the columns' names of a matrix in stretches are."""
+    return f"{path.rstrip('/').removesuffix('.parquet')}.columns.parquet"
+
+
+def long_parquet(spark: SparkSession, path: str, key: str, name: str, value: str, kind: str) -> DataFrame:
+    """key, name, value of every cell of a matrix that ``save_parquet`` wrote, however wide."""
+    table = spark.read.parquet(path)
+    if table.columns != [key, "place", "stretch", "cells"]:
+        cells = [F.col(f"`{c}`").cast(kind).alias(c) for c in table.columns if c != key]
+        return table.unpivot([key], cells, name, value)
+    held = table.join(spark.read.parquet(names_path(path)), "stretch")
+    flat = held.select(key, F.explode(F.arrays_zip(F.col("names").alias("n"), F.col("cells").alias("v"))).alias("x"))
+    return flat.select(key, F.col("x.n").alias(name), F.col("x.v").cast(kind).alias(value))
+
+
+def _fields(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for line in b.column(0).to_pylist():
+            row = next(csv.reader([line], escapechar="\\", doublequote=False))
+            for at in range(1, len(row), most):
+                part = row[at : at + most]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row[0]]), pa.array([(at - 1) // most], pa.int64()), pa.array([part], pa.list_(pa.string()))],
+                    ["key", "stretch", "cells"]
+                )
+
+
+def long_csv(spark: SparkSession, path: str, key: str, name: str, value: str, kind: str) -> DataFrame:
+    """key, name, value of every cell of a matrix that ``save_csv`` wrote, however wide: its columns are no schema's. Names
+    hold no line ends."""
+    rows = spark.read.text(path).mapInArrow(lambda b: _fields(b, WIDTH), "key string, stretch long, cells array<string>")
+    head = rows.where(F.col("key") == key).select("stretch", F.col("cells").alias("names"))
+    held = rows.where(F.col("key") != key).join(head, "stretch")
+    flat = held.select("key", F.explode(F.arrays_zip(F.col("names").alias("n"), F.col("cells").alias("v"))).alias("x"))
+    return flat.select(F.col("key").alias(key), F.col("x.n").alias(name), F.col("x.v").cast(kind).alias(value))
+
+
 def write(
     cells: DataFrame, row: str, column: str, value: str, rows: DataFrame, columns: DataFrame, folder: str, fill=None,
     width: int = WIDTH

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from lociflow.embed.cache import CachedEmbedder
 from lociflow.functions import names
 from lociflow.ml import metrics, models
-from lociflow.operators import checks, effects, genotypes, simulate, splits
+from lociflow.operators import blocks, checks, effects, genotypes, simulate, splits
+from lociflow.operators.places import placed
 from lociflow.plans import builder, classifier, phenotypes, resume, simulator
 from lociflow.queries import (
     _AREA, _MEANS, _MULTI, _SCORED, _calls, _importance, _long, _multi, _scored, _sheet, _t, _text, _window_sql, query,
@@ -292,11 +293,13 @@ def built_genotypes_by_site(spark, sf):
 
 @query(_GENES + f"z AS (SELECT 1) SELECT {_SITE}, sample, round(dosage * var_effect, 4) AS value FROM d JOIN e USING (c, pos)")
 def built_effect_matrix(spark, sf):
-    out = _long_of(
-        spark.read.parquet(_built(spark, sf)[1]["variant_effect_sample_by_site"]), "sample", "site_id", "value",
-        "double"
-    )
-    return out.withColumn("value", F.round("value", 4))
+    """The products with each effect rounded to six places first, as the effects' own table states them."""
+    out = _built(spark, sf)[1]
+    rows = blocks.long_parquet(spark, out["variant_effect_sample_by_site"], "sample", "site_id", "value", "double")
+    calls = blocks.long_parquet(spark, out["genotype_sample_by_site"], "sample", "site_id", "dosage", "tinyint")
+    rounded = F.col("dosage") * F.round(F.col("value") / F.nullif("dosage", F.lit(0)), 6)
+    value = F.when(F.col("dosage") == 0, F.col("value")).otherwise(rounded)
+    return rows.join(calls, ["sample", "site_id"]).select("sample", "site_id", F.round(value, 4).alias("value"))
 
 
 _GENE_MATRIX = _GENES + f"""

@@ -367,3 +367,20 @@ def test_split_rows_of_any_number(spark):
     began = time.process_time()
     train, test = splits.split_samples(names, names[:20_000], 0.5)
     assert (len(train), len(test)) == (30_000, 30_000) and time.process_time() - began < 5
+
+
+def test_wide_matrices_are_read_in_long_form(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(blocks, "MOST_COLUMNS", 4)
+    cells = [(f"r{i}", f"c,{j}\"" if j == 3 else f"c{j}", i * 10 + j) for i in range(3) for j in range(7)]
+    rows = spark.createDataFrame(cells, "r string, c string, v int")
+    made = blocks.write(
+        rows, "r", "c", "v", blocks.index(rows.select("r"), "r"), blocks.index(rows.select("c"), "c"), f"{tmp_path}/m", width=3
+    )
+    for read, path in (
+        (blocks.long_parquet, made.save_parquet(f"{tmp_path}/w.parquet")), (blocks.long_csv, made.save_csv(f"{tmp_path}/w.csv"))
+    ):
+        assert sorted(map(tuple, read(spark, path, "r", "c", "v", "int").collect())) == sorted(cells)
+    monkeypatch.setattr(blocks, "MOST_COLUMNS", 7)
+    path = made.save_parquet(f"{tmp_path}/n.parquet", ["r2", "r0"])
+    some = sorted(c for c in cells if c[0] != "r1")
+    assert sorted(map(tuple, blocks.long_parquet(spark, path, "r", "c", "v", "int").collect())) == some
