@@ -315,9 +315,8 @@ sq AS (SELECT gene_id, sample, any_value(ref_seq) AS ref_seq, string_agg(x, '' O
 
 @query(_GENE_MATRIX + f"z AS (SELECT 1) SELECT gene_id, sample, round({_distance('seq', 'ref_seq')}, 6) AS value FROM sq")
 def built_gene_features(spark, sf):
-    out = _long_of(
-        spark.read.parquet(_built(spark, sf)[1]["gene_feature_sample_by_gene"]), "sample", "gene_id", "value", "double"
-    )
+    path = _built(spark, sf)[1]["gene_feature_sample_by_gene"]
+    out = blocks.long_parquet(spark, path, "sample", "gene_id", "value", "double")
     return out.withColumn("value", F.round("value", 6))
 
 
