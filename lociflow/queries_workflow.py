@@ -280,9 +280,8 @@ def built_samples(spark, sf):
 
 @query(_GENES + f"z AS (SELECT 1) SELECT {_SITE}, sample, dosage FROM d")
 def built_genotypes(spark, sf):
-    return _long_of(
-        spark.read.parquet(_built(spark, sf)[1]["genotype_sample_by_site"]), "sample", "site_id", "dosage", "tinyint"
-    )
+    path = _built(spark, sf)[1]["genotype_sample_by_site"]
+    return blocks.long_parquet(spark, path, "sample", "site_id", "dosage", "tinyint")
 
 
 @query(_GENES + f"z AS (SELECT 1) SELECT {_SITE}, sample, dosage FROM d")
