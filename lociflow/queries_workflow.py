@@ -351,8 +351,7 @@ def built_split_matrices(spark, sf):
     rows = []
     for name in ("genotype_012", "variant_effect_matrix", "gene_sequence_feature_matrix"):
         for part in ("train_val", "test"):
-            table = spark.read.parquet(out[f"{part}_{name}_parquet"])
-            long = _long_of(table, "sample", "name", "value", "double")
+            long = blocks.long_parquet(spark, out[f"{part}_{name}_parquet"], "sample", "name", "value", "double")
             rows.append(long.select(F.lit(name).alias("name"), "sample", "value"))
     whole = rows[0]
     for r in rows[1:]:
