@@ -333,10 +333,10 @@ def gene_sequences(spark, sf):
 def built_splits(spark, sf):
     """Both parts of the genotype matrix, one read as CSV and one as Parquet, hold all of it between them."""
     out = _built(spark, sf)[1]
-    train, test = _csv(spark, out["train_val_genotype_012_csv"]), spark.read.parquet(out["test_genotype_012_parquet"])
-    rows = _long_of(train, "sample", "site_id", "dosage", "int").withColumn("tested", F.lit(0)).unionByName(
-        _long_of(test, "sample", "site_id", "dosage", "int").withColumn("tested", F.lit(1))
-    )
+    columns = ("sample", "site_id", "dosage", "int")
+    train = blocks.long_csv(spark, out["train_val_genotype_012_csv"], *columns)
+    test = blocks.long_parquet(spark, out["test_genotype_012_parquet"], *columns)
+    rows = train.withColumn("tested", F.lit(0)).unionByName(test.withColumn("tested", F.lit(1)))
     tested = F.count_distinct(F.when(F.col("tested") == 1, F.col("sample"))).cast("int")
     return rows.agg(
         F.lit("genotype_012").alias("name"), F.count("*").alias("cells"), F.sum("dosage").cast("double").alias("total"),
