@@ -13,6 +13,21 @@ from lociflow.functions.vectors import l2
 from lociflow.operators.genotypes import first_by
 
 Embed = Callable[[DataFrame], DataFrame]
+#: Bases that a slice of a piece holds, beside those that it reaches over its ends.
+SLICE = 1_024
+
+
+def _slices(genome: DataFrame, step: int, k: int) -> DataFrame:
+    """chrom, slice, seq, seq_start: pieces cut up so that a variant meets few bases besides its own; each slice reaches
+    k bases over its ends."""
+    core = F.greatest(F.lit(1), F.least(F.col("seq_len") - F.col("piece") * step, F.lit(step)))
+    rows = genome.withColumn("__j", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((core - 1) / SLICE))))
+    start = F.greatest(F.lit(1), F.col("piece") * step + F.col("__j") * SLICE + 1 - k)
+    return rows.select(
+        "chrom", (F.col("piece") * -(-step // SLICE) + F.col("__j")).alias("slice"),
+        F.substring("seq", (start - F.col("seq_start") + 1).cast("int"), F.lit(SLICE + 2 * k)).alias("seq"),
+        start.cast("long").alias("seq_start")
+    )
 
 
 def allele_windows(variants: DataFrame, genome: DataFrame, k: int) -> DataFrame:
@@ -30,14 +45,15 @@ def allele_windows(variants: DataFrame, genome: DataFrame, k: int) -> DataFrame:
         if meta["overlap"] < k:
             raise ValueError(f"pieces that reach {meta['overlap']} bases over their ends are too short for windows of {k}")
         lengths = genome.where("piece = 0").select("chrom", "seq_len")
-        held = lambda p: F.floor(F.greatest(F.lit(0), F.least(p, F.col("seq_len")) - 1) / meta["step"])
+        step, place = meta["step"], lambda p: F.greatest(F.lit(0), F.least(p, F.col("seq_len")) - 1)
+        held = lambda p: F.floor(place(p) / step) * -(-step // SLICE) + F.floor(place(p) % step / SLICE)
         whole = {"seq_len": F.col("seq_len"), "seq_start": F.col("seq_start")}
-        parts = genome.drop("seq_len")
+        parts = _slices(genome, step, k)
         up, down = flanks(F.col("seq"), F.col("pos"), F.col("ref"), k, **whole)
-        out = variants.join(lengths, "chrom").withColumn("piece", held(F.col("pos"))).join(parts, ["chrom", "piece"])
-        out = out.withColumn("upstream_seq", up).drop("seq", "piece", "seq_start")
-        out = out.withColumn("piece", held(F.col("pos") + F.length("ref"))).join(parts, ["chrom", "piece"])
-        out = out.withColumn("downstream_seq", down).drop("seq", "piece", "seq_start", "seq_len")
+        out = variants.join(F.broadcast(lengths), "chrom").withColumn("slice", held(F.col("pos"))).join(parts, ["chrom", "slice"])
+        out = out.withColumn("upstream_seq", up).drop("seq", "slice", "seq_start")
+        out = out.withColumn("slice", held(F.col("pos") + F.length("ref"))).join(parts, ["chrom", "slice"])
+        out = out.withColumn("downstream_seq", down).drop("seq", "slice", "seq_start", "seq_len")
     return out.withColumn(
         "ref_seq", F.concat("upstream_seq", "ref", "downstream_seq")
     ).withColumn("alt_seq", F.concat("upstream_seq", "alt", "downstream_seq"))

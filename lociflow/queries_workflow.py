@@ -79,21 +79,20 @@ def _files(spark: SparkSession, sf: str) -> str:
 def _write_files(spark: SparkSession, sf: str) -> str:
     d = workspace.folder(spark, "genome")
     w = _words(spark, sf)
-    whole = w.groupBy("c").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("p", "word"))), lambda x: x["word"]), ""
-        ).alias("seq")
-    )
-    head = F.format_string(">chr_%02d made of parts\n", "c")
-    cut = F.array_join(
-        F.transform(
-            F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / 70)),
-            lambda i: F.col("seq").substr(i * 70 + 1, F.lit(70))
-        ),
-        "\n"
-    )
-    more = spark.createDataFrame([(99, ">1 later\nAAAA"), (100, ">scaffold\nTTTT")], "c long, value string")
-    _text_file(whole.select("c", F.concat(head, cut).alias("value")).unionByName(more), "c").write.text(f"{d}/g.fa")
+    # Blocks of 35 words are two lines of 70 letters, so no chromosome is ever a row.
+    ranked = placed(w.select("c", "p", "word"), "n", ["p"], ["c"]).withColumn("block", F.floor((F.col("n") - 1) / 35))
+    letters = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "word"))), lambda x: x["word"]), "")
+    pairs = ranked.groupBy("c", "block").agg(letters.alias("seq"))
+    cut = F.concat_ws("\n", F.substring("seq", 1, 70), F.when(F.length("seq") > 70, F.substring("seq", 71, 70)))
+    heads = w.select("c", F.lit(-1).cast("long").alias("block")).distinct()
+    more = spark.createDataFrame(
+        [(99, 0, ">1 later\nAAAA"), (100, 0, ">scaffold\nTTTT")], "c long, block long, value string"
+    )
+    _text_file(
+        heads.select("c", "block", F.format_string(">chr_%02d made of parts", "c").alias("value")).unionByName(
+            pairs.select("c", "block", cut.alias("value"))
+        ).unionByName(more), "c", "block"
+    ).write.text(f"{d}/g.fa")
 
     r = _records(spark, sf)
     gts = F.array(*map(F.lit, GTS))
@@ -547,9 +546,9 @@ def sample_split(spark, sf):
     rows = _t(spark, sf, "customer").select("c_custkey", (F.col("c_nationkey") == 3).alias("apart"))
     counts = splits.split_rows(rows, "c_custkey", "apart", 0.2).groupBy("split").agg(
         F.count_if("apart").alias("isolated"), F.count("*").alias("samples")
+    )
     both = spark.createDataFrame([("test",), ("train_val",)], "split string").join(counts, "split", "left")
     return both.select("split", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("isolated", "samples")])
-    )
 
 
 # --- embeddings, classes, predictions ---------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from lociflow.sources import ranges
 from lociflow.sources.ranges import Range
@@ -102,27 +102,15 @@ def lines(file, r: Range) -> Iterator[bytes]:
         yield last
 
 
-class Group(InputPartition):
-    """Ranges that one task reads."""
-
-    def __init__(self, members: list[Range]) -> None:
-        self.members = members
-
-
 class _Reader(DataSourceReader):
     def __init__(self, options) -> None:
         self.ranges = ranges.unpacked(options["ranges"])
         self.size = int(options["taskbytes"])
 
-    def partitions(self) -> list[Group]:
-        held: list[list[Range]] = []
-        for r in self.ranges:
-            if not held or sum(x.end - x.start for x in held[-1]) + r.end - r.start > self.size:
-                held.append([])
-            held[-1].append(r)
-        return [Group(x) for x in held] or [Group([])]
+    def partitions(self) -> list[ranges.Group]:
+        return ranges.grouped(self.ranges, self.size)
 
-    def read(self, group: Group) -> Iterator[pa.RecordBatch]:
+    def read(self, group: ranges.Group) -> Iterator[pa.RecordBatch]:
         for r in group.members:
             with ranges.opened(r.path) as file:
                 order, text, size = [], [], 0

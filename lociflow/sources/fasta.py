@@ -180,17 +180,19 @@ class _Reader(DataSourceReader):
     def __init__(self, options) -> None:
         self.ranges = ranges.unpacked(options["ranges"])
         self.states = json.loads(options["states"]) if "states" in options else None
+        self.task_bytes = options["taskbytes"]
         self.step, self.overlap = int(options.get("step", STEP)), int(options.get("overlap", OVERLAP))
 
-    def partitions(self) -> list[Range]:
-        return self.ranges
+    def partitions(self) -> list[ranges.Group]:
+        return ranges.grouped(self.ranges, int(self.task_bytes))
 
-    def read(self, r: Range) -> Iterator[pa.RecordBatch]:
-        with ranges.opened(r.path) as file:
-            if self.states is None:
-                yield from _count(file, r)
-            else:
-                yield from _cut(file, r, self.states[r.no], self.step, self.overlap)
+    def read(self, group: ranges.Group) -> Iterator[pa.RecordBatch]:
+        for r in group.members:
+            with ranges.opened(r.path) as file:
+                if self.states is None:
+                    yield from _count(file, r)
+                else:
+                    yield from _cut(file, r, self.states[r.no], self.step, self.overlap)
 
 
 class FastaRanges(DataSource):
@@ -242,7 +244,10 @@ def read_pieces(
         return spark.createDataFrame(
             [], "chrom string, piece long, seq string, seq_start long, seq_len long"
         ).withMetadata("piece", {"step": step, "overlap": overlap})
-    source = spark.read.format("fasta_ranges").option("ranges", ranges.packed(parts))
+    # Small ranges are read together, as many tasks as Spark runs a few times over.
+    size = sum(r.end - r.start for r in parts)
+    task_bytes = min(ranges.RANGE_BYTES, max(range_bytes, size // (4 * spark.sparkContext.defaultParallelism)))
+    source = spark.read.format("fasta_ranges").option("ranges", ranges.packed(parts)).option("taskbytes", str(task_bytes))
     counts = source.load()
     # One row for each range goes to the driver; the records stay.
     last = F.max_by("bases", "k")

@@ -51,6 +51,26 @@ def unpacked(text: str) -> list[Range]:
     return [Range(*r) for r in json.loads(text)]
 
 
+class Group(InputPartition):
+    """Ranges that one task reads."""
+
+    def __init__(self, members: list[Range]) -> None:
+        self.members = members
+
+
+def grouped(parts: list[Range], size: int) -> list[Group]:
+    """Ranges in their order, together as long as they take no more than ``size`` bytes."""
+    held: list[list[Range]] = []
+    taken = 0
+    for r in parts:
+        if not held or taken + r.end - r.start > size:
+            held.append([])
+            taken = 0
+        held[-1].append(r)
+        taken += r.end - r.start
+    return [Group(x) for x in held] or [Group([])]
+
+
 def _system(path: str):
     from pyarrow.fs import FileSystem, LocalFileSystem
 

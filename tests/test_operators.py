@@ -384,3 +384,25 @@ def test_wide_matrices_are_read_in_long_form(spark, tmp_path, monkeypatch):
     path = made.save_parquet(f"{tmp_path}/n.parquet", ["r2", "r0"])
     some = sorted(c for c in cells if c[0] != "r1")
     assert sorted(map(tuple, blocks.long_parquet(spark, path, "r", "c", "v", "int").collect())) == some
+
+
+def test_windows_over_slices_of_pieces(spark, monkeypatch):
+    monkeypatch.setattr(effects, "SLICE", 7)
+    seq = "".join("ACGT"[(i * i + i // 3) % 4] for i in range(203))
+    whole = spark.createDataFrame([("Chr1", seq)], "chrom string, seq string")
+    v = spark.createDataFrame(
+        [("Chr1", p, seq[p - 1 : p - 1 + n], "T") for p in range(1, 204) for n in (1, 9, 60) if p - 1 + n <= 203],
+        "chrom string, pos long, ref string, alt string"
+    )
+    want = effects.allele_windows(v, whole, 5)
+    cut = effects._slices(fasta.pieces(whole, 50, 6), 50, 5)
+    assert cut.agg(F.max(F.length("seq"))).first()[0] <= 17 and cut.count() >= 203 // 7
+    got = effects.allele_windows(v, fasta.pieces(whole, 50, 6), 5)
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_small_ranges_are_read_together():
+    parts = ranges.cut([("/a", 1000)], 10)
+    groups = ranges.grouped(parts, 250)
+    assert len(groups) == 4 and [r for g in groups for r in g.members] == parts
+    assert len(ranges.grouped(parts, 10)) == 100
