@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def percent_decode(c: Column) -> Column:
     return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
 
 
+def _once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c) with c evaluated once, however often it stands in what is made of it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def attributes(c: Column) -> Column:
     """Map of an attribute text. Items are ``key=value`` or ``key value``; a key that comes again has the sorted
     set of all its comma-separated values."""
@@ -25,20 +32,23 @@ def attributes(c: Column) -> Column:
             percent_decode(F.regexp_replace(strip(F.substring(x, cut(x) + 1, F.length(x))), r'^"+|"+$', "")).alias("v")
         )
     )
-    pairs = F.filter(pairs, lambda p: p["k"] != "")
 
-    def merged(k: Column) -> Column:
-        values = F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"])
-        filled = F.filter(values, lambda v: v != "")
-        parts = F.array_sort(
-            F.array_distinct(F.filter(F.flatten(F.transform(filled, lambda v: F.split(v, ","))), lambda v: v != ""))
+    def merged(pairs: Column, k: Column) -> Column:
+        filled = F.transform(F.filter(pairs, lambda p: (p["k"] == k) & (p["v"] != "")), lambda p: p["v"])
+        parts = lambda f: F.array_sort(
+            F.array_distinct(F.filter(F.flatten(F.transform(f, lambda v: F.split(v, ","))), lambda v: v != ""))
         )
-        return F.when(F.size(filled) == 0, "").when(
-            F.size(filled) == 1, F.get(filled, F.lit(0))
-        ).otherwise(F.array_join(parts, ","))
+        return _once(
+            filled, lambda f: F.when(F.size(f) == 0, "").when(F.size(f) == 1, F.get(f, F.lit(0))).otherwise(
+                F.array_join(parts(f), ",")
+            )
+        )
+
+    def mapped(pairs: Column) -> Column:
+        keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+        return _once(keys, lambda ks: F.map_from_arrays(ks, F.transform(ks, lambda k: merged(pairs, k))))
 
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    made = F.map_from_arrays(keys, F.transform(keys, merged))
+    made = _once(F.filter(pairs, lambda p: p["k"] != ""), mapped)
     return F.when(c.isNull(), F.create_map().cast("map<string,string>")).otherwise(made)
 
 

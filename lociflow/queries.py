@@ -321,8 +321,8 @@ def gff_attrs(spark, sf):
         F.lit("ID="), _text("event_id"), F.lit("; Name="), F.col("event_type"), F.lit(";tag="), high, F.lit(";tag="),
         low, F.lit(',;note "e%20'), _text("event_id"), F.lit('+x";junk')
     )
-    a = attributes.attributes(text)
-    return _t(spark, sf, "events").select(
+    a = F.col("attrs")
+    return _t(spark, sf, "events").withColumn("attrs", attributes.attributes(text)).select(
         "event_id", attributes.labels(a)[1].alias("name"), a["tag"].alias("tags"), a["note"].alias("note")
     )
 
