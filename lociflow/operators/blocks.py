@@ -105,8 +105,9 @@ class Blocks:
 
     def save_csv(self, path: str, names: Sequence[str] | None = None) -> str:
         """One file, as its readers ask, its rows in order."""
-        self.lines(names).orderBy("place").select("value").coalesce(1).write.mode("overwrite").text(path)
-        return path
+        from lociflow.sources import sinks
+
+        return sinks.save_lines(self.lines(names).orderBy("place"), path)
 
     def save_parquet(self, path: str, names: Sequence[str] | None = None) -> str:
         """A table with a column for each name up to ``MOST_COLUMNS``; of a wider matrix the rows in their stretches (name,

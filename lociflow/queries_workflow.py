@@ -68,8 +68,8 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("dup", F.lit(0)).unionByName(again)
 
 
-def _text_file(rows: DataFrame, *order: str) -> DataFrame:
-    return rows.orderBy(*order).select("value").coalesce(1)
+def _text_file(rows: DataFrame, path: str, *order: str) -> None:
+    sinks.save_lines(rows.orderBy(*order), path)
 
 
 def _files(spark: SparkSession, sf: str) -> str:
@@ -91,8 +91,8 @@ def _write_files(spark: SparkSession, sf: str) -> str:
     _text_file(
         heads.select("c", "block", F.format_string(">chr_%02d made of parts", "c").alias("value")).unionByName(
             pairs.select("c", "block", cut.alias("value"))
-        ).unionByName(more), "c", "block"
-    ).write.text(f"{d}/g.fa")
+        ).unionByName(more), f"{d}/g.fa", "c", "block"
+    )
 
     r = _records(spark, sf)
     gts = F.array(*map(F.lit, GTS))
@@ -115,7 +115,7 @@ def _write_files(spark: SparkSession, sf: str) -> str:
     lines = spark.createDataFrame(top, "p long, dup int, value string").unionByName(
         r.select("p", "dup", line.alias("value"))
     )
-    _text_file(lines, "p", "dup").write.text(f"{d}/v.vcf")
+    _text_file(lines, f"{d}/v.vcf", "p", "dup")
 
     s = _t(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("s"), "s_name", F.col("s_nationkey").cast("long").alias("n")
@@ -126,8 +126,8 @@ def _write_files(spark: SparkSession, sf: str) -> str:
     again = again.withColumn("value", F.replace("value", F.lit("Name=gene"), F.lit("Name=again")))
     note = spark.createDataFrame([(-1, "", "##gff-version 3")], "s long, kind string, value string")
     _text_file(
-        note.unionByName(gene("gene", 0)).unionByName(again).unionByName(gene("mRNA", 2)), "s", "kind"
-    ).write.text(f"{d}/a.gff3")
+        note.unionByName(gene("gene", 0)).unionByName(again).unionByName(gene("mRNA", 2)), f"{d}/a.gff3", "s", "kind"
+    )
 
     p = _words(spark, sf)
     trait = F.when(F.col("z") % 3 == 0, "A").when(F.col("z") % 3 == 1, "N").otherwise(" R ")
@@ -732,7 +732,7 @@ rk AS (SELECT group_id, row_count, combination_id, sample, is_target, total + sh
 def _simulated(spark: SparkSession, sf: str) -> str:
     def make():
         d = workspace.folder(spark, "simulated")
-        c, o = _t(spark, sf, "customer").orderBy("c_custkey").coalesce(1), _t(spark, sf, "orders")
+        c, o = _t(spark, sf, "customer").orderBy("c_custkey"), _t(spark, sf, "orders")
         m = o.agg(F.min("o_custkey")).first()[0]
         sinks.save_csv(
             c.select(
@@ -741,7 +741,7 @@ def _simulated(spark: SparkSession, sf: str) -> str:
             ),
             f"{d}/g.csv"
         )
-        seen = o.orderBy("o_orderkey").coalesce(1)
+        seen = o.orderBy("o_orderkey")
         sinks.save_csv(
             seen.select(
                 F.concat(F.lit("s"), "o_custkey").alias("sample"), F.col("o_totalprice").alias("value"),

@@ -5,8 +5,11 @@ from __future__ import annotations
 import hashlib
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
+from lociflow.sources import ranges
+
 
 def _at(spark: SparkSession, path: str):
     """The file system of a path, and the path with its scheme."""
@@ -74,3 +77,36 @@ def delete_others(spark: SparkSession, folder: str, keep: str) -> None:
     for s in fs.listStatus(p):
         if s.getPath().getName() != keep:
             fs.delete(s.getPath(), True)
+
+
+def join(spark: SparkSession, folders: list[str], path: str, name: str) -> str:
+    """A folder with one file, put together by a task from the parts in some folders, in the order of the folders and of
+    the parts' names. The bytes are passed on as they are read; the folders go."""
+    parts = [p for f in folders for p, _ in ranges.files(spark, _at(spark, f)[1].toString())]
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
+    fs.mkdirs(p)
+    beside = f"{p.toString()}/.{name}"
+
+    def write(batches):
+        import uuid
+
+        own = f"{beside}.{uuid.uuid4().hex}"
+        with ranges.created(own) as out:
+            for b in batches:
+                for part in b.column(0).to_pylist():
+                    with ranges.opened(part) as file:
+                        for data in ranges.chunks(file, 0, file.size()):
+                            out.write(data)
+        yield pa.RecordBatch.from_arrays([pa.array([own])], ["path"])
+
+    listed = spark.createDataFrame([(i, x) for i, x in enumerate(parts)], "no int, path string")
+    made = listed.coalesce(1).sortWithinPartitions("no").select("path").mapInArrow(write, "path string").collect()[0].path
+    of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    if not fs.rename(of(made), of(p, name)):
+        raise OSError(f"{made} could not be renamed")
+    fs.create(of(p, "_SUCCESS"), True).close()
+    for f in folders:
+        at, folder = _at(spark, f)
+        at.delete(folder, True)
+    return path

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+import uuid
 from collections.abc import Mapping, Sequence
 from pathlib import Path
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lociflow.operators import blocks
 from lociflow.operators.blocks import Blocks
+from lociflow.sources import files
 
 log = logging.getLogger("lociflow")
 
@@ -31,8 +33,21 @@ def get_logger(file: str | None = None, level: str = "INFO") -> logging.Logger:
 
 
 def save_csv(rows: DataFrame, path: str, sep: str = ",") -> str:
-    rows.coalesce(1).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
-    return path
+    """One file with a header in a folder. All tasks write; rows that are in order stay so."""
+    spark = rows.sparkSession
+    parts = f"{path.rstrip('/')}.parts-{uuid.uuid4().hex[:12]}"
+    head = spark.createDataFrame([tuple(rows.columns)], ", ".join(f"c{i} string" for i in range(len(rows.columns))))
+    head.coalesce(1).write.option("sep", sep).csv(f"{parts}.head")
+    rows.write.option("header", False).option("sep", sep).csv(f"{parts}.rows")
+    return files.join(spark, [f"{parts}.head", f"{parts}.rows"], path, "part-00000.csv")
+
+
+def save_lines(rows: DataFrame, path: str) -> str:
+    """Text (value) as one file in a folder, written by all tasks; rows that are in order stay so."""
+    spark = rows.sparkSession
+    parts = f"{path.rstrip('/')}.parts-{uuid.uuid4().hex[:12]}"
+    rows.select("value").write.text(parts)
+    return files.join(spark, [parts], path, "part-00000.txt")
 
 
 def save_dual(rows: DataFrame, stem: str) -> tuple[str, str]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lociflow.ml import labels, metrics
 from lociflow.operators import blocks, effects, genotypes, intervals, phenotype, places, simulate, sites, splits
-from lociflow.sources import fasta, ranges, tables
+from lociflow.sources import fasta, ranges, sinks, tables
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -406,3 +406,25 @@ def test_small_ranges_are_read_together():
     groups = ranges.grouped(parts, 250)
     assert len(groups) == 4 and [r for g in groups for r in g.members] == parts
     assert len(ranges.grouped(parts, 10)) == 100
+
+
+def test_one_csv_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.concat(F.lit('a,"'), "id").alias("v, w"))
+    ordered = rows.repartition(7).withColumn("n", F.col("k").cast("int")).orderBy("n").select("k", "v, w")
+    path = sinks.save_csv(ordered, f"{tmp_path}/t.csv")
+    parts = [p.name for p in (tmp_path / "t.csv").iterdir() if p.name[0] not in "._"]
+    assert parts == ["part-00000.csv"] and [p.name for p in tmp_path.iterdir()] == ["t.csv"]
+    assert len((tmp_path / "t.csv" / parts[0]).read_text().splitlines()) == 1001
+    got = [tuple(r) for r in tables.text_table(spark, path).collect()]
+    assert got == [(str(i), f'a,"{i}') for i in range(1000)]
+    assert sinks.save_csv(ordered.limit(0), path) == path and tables.text_table(spark, path).columns == ["k", "v, w"]
+
+
+def test_a_plan_does_not_repeat_attributes(spark):
+    from lociflow.functions import attributes
+
+    rows = spark.createDataFrame([("ID=a;tag=y,x;tag=z;note=%20",)], "t string")
+    made = rows.select(attributes.attributes(F.col("t")).alias("m"))
+    assert made.first().m == {"ID": "a", "tag": "x,y,z", "note": " "}
+    plan = made._jdf.queryExecution().analyzed().toString()
+    assert plan.count("try_url_decode") == 1
