@@ -21,13 +21,15 @@ def _slices(genome: DataFrame, step: int, k: int) -> DataFrame:
     """chrom, slice, seq, seq_start: pieces cut up so that a variant meets few bases besides its own; each slice reaches
     k bases over its ends."""
     core = F.greatest(F.lit(1), F.least(F.col("seq_len") - F.col("piece") * step, F.lit(step)))
-    rows = genome.withColumn("__j", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((core - 1) / SLICE))))
-    start = F.greatest(F.lit(1), F.col("piece") * step + F.col("__j") * SLICE + 1 - k)
-    return rows.select(
-        "chrom", (F.col("piece") * -(-step // SLICE) + F.col("__j")).alias("slice"),
-        F.substring("seq", (start - F.col("seq_start") + 1).cast("int"), F.lit(SLICE + 2 * k)).alias("seq"),
-        start.cast("long").alias("seq_start")
+    start = lambda j: F.greatest(F.lit(1), F.col("piece") * step + j * SLICE + 1 - k).cast("long")
+    cut = lambda j: F.struct(
+        (F.col("piece") * -(-step // SLICE) + j).alias("slice"),
+        F.substring("seq", (start(j) - F.col("seq_start") + 1).cast("int"), F.lit(SLICE + 2 * k)).alias("seq"),
+        start(j).alias("seq_start")
     )
+    # The pieces themselves are not repeated for each slice.
+    every = F.transform(F.sequence(F.lit(0).cast("long"), F.floor((core - 1) / SLICE)), cut)
+    return genome.select("chrom", F.explode(every).alias("__s")).select("chrom", "__s.*")
 
 
 def allele_windows(variants: DataFrame, genome: DataFrame, k: int) -> DataFrame:
