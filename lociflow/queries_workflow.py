@@ -439,7 +439,10 @@ def vcf_region_calls(spark, sf):
     sites = _words(spark, sf).where("z = 7").select(
         F.concat(F.lit("Chr"), F.col("c")).alias("chrom"), (F.col("slot") * 4 + 2).alias("pos")
     )
-    known = vcf.index(spark, path, 2_000)
+    # Written, as the plan that looks up the sites reads it twice.
+    at = workspace.folder(spark, "index")
+    vcf.index(spark, path, 2_000).write.parquet(at)
+    known = spark.read.parquet(at)
     rows = vcf.calls(vcf.lines_at(spark, path, sites, known, 2_000), vcf.samples(spark, path))
     return rows.join(sites.distinct(), ["chrom", "pos"], "left_semi").select("chrom", "pos", "sample", "gt")
 

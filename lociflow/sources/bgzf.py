@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,12 +44,12 @@ def _head(file, at: int) -> bytes:
     return file.read(256)
 
 
-def first_block(file, start: int, size: int) -> int:
-    """Where the first block at or after start begins; size if there is none."""
+def first_block(file, start: int, size: int, end: int | None = None) -> int:
+    """Where the first block at or after start begins; size if there is none, or none that begins before end."""
     if not start:
         return 0
     file.seek(start)
-    data = file.read(2 * MOST)
+    data = file.read(2 * MOST if end is None else min(2 * MOST, end - start + len(MAGIC) - 1))
     at = data.find(MAGIC)
     while at >= 0:
         found = block_size(_head(file, start + at))
@@ -79,7 +80,7 @@ def lines(file, r: Range) -> Iterator[bytes]:
     """The lines of a range. All ranges but a file's first leave what comes before their first line's end to the one
     before, which reads on to it."""
     drop, rest, at = r.start > 0, b"", -1
-    for at, data in blocks(file, first_block(file, r.start, r.size), r.end, r.path):
+    for at, data in blocks(file, first_block(file, r.start, r.size, r.end), r.end, r.path):
         rest += data
         if drop:
             end = rest.find(b"\n")
@@ -110,19 +111,24 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[ranges.Group]:
         return ranges.grouped(self.ranges, self.size)
 
+    def __getstate__(self) -> dict:
+        """A task is sent its own ranges alone."""
+        return self.__dict__ | {"ranges": []}
+
     def read(self, group: ranges.Group) -> Iterator[pa.RecordBatch]:
-        for r in group.members:
-            with ranges.opened(r.path) as file:
-                order, text, size = [], [], 0
-                for i, line in enumerate(lines(file, r)):
-                    order.append(r.no << PLACE_BITS | i)
-                    text.append(line.removesuffix(b"\r").decode("utf-8", "replace"))
-                    size += len(line)
-                    if size > BATCH_BYTES:
-                        yield _batch(order, text)
-                        order, text, size = [], [], 0
-                if order:
-                    yield _batch(order, text)
+        order, text, size = [], [], 0
+        for path, members in groupby(group.members, lambda r: r.path):
+            with ranges.opened(path) as file:
+                for r in members:
+                    for i, line in enumerate(lines(file, r)):
+                        order.append(r.no << PLACE_BITS | i)
+                        text.append(line.removesuffix(b"\r").decode("utf-8", "replace"))
+                        size += len(line)
+                        if size > BATCH_BYTES:
+                            yield _batch(order, text)
+                            order, text, size = [], [], 0
+        if order:
+            yield _batch(order, text)
 
 
 def _batch(order: list[int], text: list[str]) -> pa.RecordBatch:
@@ -157,9 +163,12 @@ def is_blocked(spark: SparkSession, path: str) -> bool:
     return bool(found)
 
 
-def read(spark: SparkSession, parts: list[Range], task_bytes: int = ranges.RANGE_BYTES) -> DataFrame:
-    """ord and value of the lines of some ranges; a task reads ranges of ``task_bytes`` together."""
+def read(spark: SparkSession, parts: list[Range]) -> DataFrame:
+    """ord and value of the lines of some ranges. Small ranges are read together, as many tasks as Spark runs a few times
+    over; no task is given more than ``ranges.RANGE_BYTES`` of them."""
     spark.dataSource.register(BlockLines)
+    size = sum(r.end - r.start for r in parts)
+    task_bytes = min(ranges.RANGE_BYTES, size // (4 * spark.sparkContext.defaultParallelism))
     source = spark.read.format("block_lines").option("ranges", ranges.packed(parts))
     return source.option("taskbytes", str(task_bytes)).load()
 

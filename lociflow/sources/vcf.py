@@ -24,7 +24,7 @@ def _rows(
     """ord and value of every line; of a block-gzip file only of the given ranges."""
     if parts is not None or bgzf.is_blocked(spark, path):
         parts = ranges.cut(ranges.files(spark, path), range_bytes) if parts is None else parts
-        return bgzf.read(spark, parts, range_bytes)
+        return bgzf.read(spark, parts)
     return spark.read.text(path).withColumn("ord", F.monotonically_increasing_id())
 
 
@@ -36,8 +36,8 @@ def _fields(rows: DataFrame) -> DataFrame:
 def lines(
     spark: SparkSession, path: str, partitions: int | None = None, range_bytes: int = ranges.RANGE_BYTES
 ) -> DataFrame:
-    """ord and the tab-separated fields of every record. A block-gzip file is read by a task for each ``range_bytes``; what
-    one task must read is dealt out to ``partitions``."""
+    """ord and the tab-separated fields of every record. A block-gzip file is read in ranges of ``range_bytes``, small
+    ones together; what one task must read is dealt out to ``partitions``."""
     rows = _rows(spark, path, None, range_bytes)
     dealt = partitions and path.endswith((".gz", ".bgz")) and not bgzf.is_blocked(spark, path)
     return _fields(rows.repartition(partitions) if dealt else rows)

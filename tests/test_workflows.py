@@ -1,4 +1,5 @@
 import gzip
+import io
 import json
 import os
 import random
@@ -458,6 +459,32 @@ def test_block_gzip_variants(spark, genome, tmp_path):
     assert vcf.lines_at(spark, path, sites.where("pos = 1"), known, 500).count() == 0
 
 
+def test_small_ranges_of_blocks_are_read_by_many_tasks(spark, tmp_path):
+    """As many tasks as Spark runs a few times over, whatever the ranges' size; none reads far beyond its ranges."""
+    text = b"".join(b"chr1\t%d\t.\tA\tC\n" % i for i in range(1, 4001))
+    path = blocked(tmp_path / "v.vcf.gz", text, 300)
+    found = ranges.files(spark, path)
+    size = found[0][1]
+    for cut in (20, 500):
+        parts = ranges.cut(found, cut)
+        rows = bgzf.read(spark, parts)
+        assert 8 <= rows.rdd.getNumPartitions() <= 40
+        assert b"".join(r.value.encode() + b"\n" for r in rows.orderBy("ord").collect()) == text
+    assert vcf.lines(spark, path, range_bytes=20).rdd.getNumPartitions() <= 40
+
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            data = super().read(n)
+            Counted.taken += len(data)
+            return data
+
+    file = Counted((tmp_path / "v.vcf.gz").read_bytes())
+    assert sum(len(list(bgzf.lines(file, r))) for r in ranges.cut(found, 500)) == 4000
+    assert Counted.taken < 12 * size
+
+
 def test_builder_over_block_gzip(spark, genome, tmp_path):
     path = blocked(tmp_path / "v.vcf.gz", (genome / "v.vcf").read_bytes(), 400)
     plain = builder.run(spark, settings(genome, tmp_path / "a"))
