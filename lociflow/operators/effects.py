@@ -77,20 +77,26 @@ def variant_effects(variants: DataFrame, genome: DataFrame, k: int, embed: Embed
 
 def stretches(intervals: DataFrame, genome: DataFrame, start: str, end: str, *keys: str) -> DataFrame:
     """keys and seq: the bases of each interval (chrom, start, end; closed, cut at the sequence's ends), put together in
-    order from the pieces that it touches. Intervals on chromosomes that the genome lacks are dropped."""
+    order from the slices of pieces that it touches. Intervals on chromosomes that the genome lacks are dropped."""
     step = genome.schema["piece"].metadata["step"]
     lengths = genome.where("piece = 0").select("chrom", "seq_len")
-    held = lambda p: F.floor((F.greatest(F.lit(1), F.least(p, F.col("seq_len"))) - 1) / step)
-    wanted = intervals.select("chrom", *keys, F.col(start).alias("__start"), F.col(end).alias("__end")).join(lengths, "chrom")
+    slices = -(-step // SLICE)
+    place = lambda p: F.greatest(F.lit(1), F.least(p, F.col("seq_len"))) - 1
+    held = lambda p: F.floor(place(p) / step) * slices + F.floor(place(p) % step / SLICE)
+    wanted = intervals.select("chrom", *keys, F.col(start).alias("__start"), F.col(end).alias("__end")).join(
+        F.broadcast(lengths), "chrom"
+    )
     low, high = F.greatest(F.lit(1), F.col("__start")), F.least(F.col("__end"), F.col("seq_len"))
     touched = F.sequence(held(low), F.greatest(held(low), held(high)))
-    rows = wanted.withColumn("piece", F.explode(touched)).join(genome.drop("seq_len"), ["chrom", "piece"])
-    a = F.greatest(low, F.col("piece") * step + 1)
-    b = F.least(high, (F.col("piece") + 1) * step)
+    # An interval meets slices, never whole pieces, which may be a hundred times as long.
+    rows = wanted.withColumn("slice", F.explode(touched)).join(_slices(genome, step, 0), ["chrom", "slice"])
+    piece = F.floor(F.col("slice") / slices)
+    a = F.greatest(low, F.col("seq_start"))
+    b = F.least(high, F.col("seq_start") + SLICE - 1, (piece + 1) * step)
     part = F.when(
         a <= b, F.substring("seq", (a - F.col("seq_start") + 1).cast("int"), (b - a + 1).cast("int"))
     ).otherwise("")
-    joined = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("piece", part.alias("part")))).alias("__parts"))
+    joined = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("slice", part.alias("part")))).alias("__parts"))
     return joined.select(*keys, F.array_join(F.transform("__parts", lambda x: x["part"]), "").alias("seq"))
 
 
