@@ -267,15 +267,15 @@ def read_pieces(
     records = records.groupBy("chrom").agg(F.min(F.struct("no", "k", size)).alias("r")).select("chrom", "r.*")
     parts_of = source.option("states", json.dumps(states)).option("step", str(step)).option("overlap", str(overlap)).load()
     made = parts_of.groupBy("no", "k", "piece").agg(F.sort_array(F.collect_list(F.struct("at", "bases"))).alias("parts"))
+    # Joined before they meet the records: a reader's own expressions on a piece then never join it again.
+    made = made.select("no", "k", "piece", F.array_join(F.transform("parts", lambda x: x["bases"]), "").alias("seq"))
     # Every piece of a wanted record by its own key: a chromosome's pieces are dealt to all tasks. A record without bases
     # has one empty piece.
     last_piece = F.floor((F.greatest("seq_len", F.lit(1)) - 1) / step)
     wanted = records.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)))
     start = F.greatest(F.lit(1), F.col("piece") * step + 1 - overlap)
     out = wanted.join(made, ["no", "k", "piece"], "left").select(
-        "chrom", "piece",
-        F.coalesce(F.array_join(F.transform("parts", lambda x: x["bases"]), ""), F.lit("")).alias("seq"),
-        start.cast("long").alias("seq_start"), "seq_len"
+        "chrom", "piece", F.coalesce("seq", F.lit("")).alias("seq"), start.cast("long").alias("seq_start"), "seq_len"
     )
     return out.withMetadata("piece", {"step": step, "overlap": overlap})
 
