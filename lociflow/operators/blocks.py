@@ -183,17 +183,23 @@ def write(
     held = held.join(rows.select(F.col("name").alias("__row"), "no"), "__row").join(
         columns.select(F.col("name").alias("__column"), F.col("no").alias("__c")), "__column"
     )
+    # Cells are sorted, never searched for one another: the work on a block grows with its width, not with its square.
     packed = held.groupBy("no", F.floor(F.col("__c") / width).alias("stretch")).agg(
-        F.map_from_entries(
-            F.array_distinct(F.collect_list(F.struct((F.col("__c") % width).cast("int").alias("i"), "__value")))
-        ).alias("__map")
+        F.sort_array(F.collect_list(F.struct((F.col("__c") % width).cast("int").alias("i"), "__value"))).alias("__all")
     )
+    once = F.filter("__all", lambda x, j: ~x.eqNullSafe(F.get("__all", j - 1)))
+    packed = packed.select("no", "stretch", F.map_from_entries(once).alias("__map"))
     last = max(0, (n_columns - 1) // width)
     every = rows.select("no", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("stretch"))
     size = F.least(F.lit(width), F.lit(n_columns) - F.col("stretch") * width).cast("int")
     places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
-    cell = lambda i: F.coalesce(F.try_element_at(F.col("__map"), i), F.lit(fill).cast(kind))
-    out = every.join(packed, ["no", "stretch"], "left").select("no", "stretch", F.transform(places, cell).alias("cells"))
+    known = F.coalesce(F.map_keys("__map"), F.array().cast("array<int>"))
+    lacking = F.transform(
+        F.array_except(places, known), lambda i: F.struct(i.alias("key"), F.lit(None).cast(kind).alias("value"))
+    )
+    whole = F.sort_array(F.when(F.col("__map").isNull(), lacking).otherwise(F.concat(F.map_entries("__map"), lacking)))
+    filled = F.transform(whole, lambda x: F.coalesce(x["value"], F.lit(fill).cast(kind)))
+    out = every.join(packed, ["no", "stretch"], "left").select("no", "stretch", filled.alias("cells"))
     # Rows in order, so that a reader of some rows or stretches skips the others by the files' own statistics.
     out.repartitionByRange("no", "stretch").sortWithinPartitions("no", "stretch").write.mode("overwrite").parquet(
         f"{folder}/blocks"

@@ -428,3 +428,40 @@ def test_a_plan_does_not_repeat_attributes(spark):
     assert made.first().m == {"ID": "a", "tag": "x,y,z", "note": " "}
     plan = made._jdf.queryExecution().analyzed().toString()
     assert plan.count("try_url_decode") == 1
+
+
+def test_work_on_a_block_is_not_the_square_of_its_width(spark, tmp_path):
+    took = []
+    for n in (4_000, 4_000, 40_000):
+        cells = spark.range(n).select(F.lit("a").alias("r"), F.concat(F.lit("c"), "id").alias("c"), (F.col("id") % 7).alias("v"))
+        columns = spark.range(n + 9).select(F.concat(F.lit("c"), "id").alias("name"), F.col("id").alias("no"))
+        rows = spark.createDataFrame([("a", 0), ("b", 1)], "name string, no long")
+        began = time.time()
+        made = blocks.write(cells.unionByName(cells), "r", "c", "v", rows, columns, f"{tmp_path}/{len(took)}", 5, 100_000)
+        took.append(time.time() - began)
+        a, b = [r.cells for r in made.table("blocks").orderBy("no").collect()]
+        assert a == [i % 7 for i in range(n)] + [5] * 9 and b == [5] * (n + 9)
+    assert took[2] < 6 * took[1]
+
+
+@pytest.mark.parametrize(("size", "step"), [(7, 50), (7, 16), (7, 7), (1_024, 50)])
+def test_intervals_meet_slices_of_pieces(spark, monkeypatch, size, step):
+    monkeypatch.setattr(effects, "SLICE", size)
+    seq = "".join("ACGT"[(i * i + i // 3) % 4] for i in range(203))
+    whole = fasta.pieces(spark.createDataFrame([("Chr1", seq)], "chrom string, seq string"), step, 6)
+    rows = [("Chr1", a, a + n) for a in range(-3, 210, 3) for n in (0, 1, 6, 49, 120)]
+    got = effects.stretches(
+        spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, chrom string, s long, e long"), whole, "s", "e", "i"
+    )
+    want = {i: seq[max(0, a - 1) : max(0, b)] for i, (_, a, b) in enumerate(rows)}
+    assert {r.i: r.seq for r in got.collect()} == want
+    joins = [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x]
+    assert any("slice" in x for x in joins) and not any("piece" in x for x in joins)
+
+
+def test_a_piece_is_not_joined_again_for_each_slice(spark, tmp_path):
+    (tmp_path / "g.fa").write_text(">chr1\n" + "ACGT" * 50 + "\n")
+    genome = fasta.read_pieces(spark, f"{tmp_path}/g.fa", 50, 6)
+    plan = effects._slices(genome, 50, 5)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert any("array_join" in x for x in plan)
+    assert not any("array_join" in x and "Generate explode" in x for x in plan)
