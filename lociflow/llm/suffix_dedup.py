@@ -89,40 +89,43 @@ def _settle(e: dict[str, np.ndarray], split: int = anchors.SPLIT) -> dict[str, n
     return joined | {"value": anchors.pack(joined["start"], joined["count"], joined["kind"])}
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], window: int, gram: int, singly: bool) -> Iterator[pa.RecordBatch]:
-    """The suffixes to compare: their minimiser, what stands left of it (reversed) and right of it; with
-    ``singly`` each window of the runs by itself, as the suffix that begins with it."""
+def _contexts(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """The suffixes to compare: their minimiser, what stands left of it (reversed) and right of it; of runs to be
+    compared singly each window by itself, as the suffix that begins with it."""
     types = (
-        pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()
+        pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(),
+        pa.bool_()
     )
     split = byte_tokens()
     for part, texts in small_batches(batches):
         cols = [part.column(part.schema.get_field_index(c)).to_pylist() for c in ("rid", "th", "asked")]
         rows: list[tuple] = []
         for rid, th, asked, text in zip(*cols, texts, strict=True):
-            grams = np.zeros(0, np.uint64) if singly else Rolling(split([text])[0]).grams(gram) >> np.uint64(LOW_BITS)
             values = np.array(asked, np.int64)
             start, count, kind = anchors.unpack(values)
+            grams = np.zeros(0, np.uint64)
+            if ((kind & 3) == anchors.COMPARE).any():
+                grams = Rolling(split([text])[0]).grams(gram) >> np.uint64(LOW_BITS)
             for s, c, k in zip(start.tolist(), count.tolist(), kind.tolist(), strict=True):
-                if not singly:
+                if k & 3 == anchors.COMPARE:
                     # The minimiser lies in the first and in the last window of the run: the leftmost least gram.
                     a = s + c - 1 + int(np.argmin(grams[s + c - 1 : s + window - gram + 1]))
                     rows.append(
                         (
                             text[a : a + gram], text[s:a][::-1], text[a + gram : s + c - 1 + window], rid, th, s, c,
-                            a - s, k < 4
+                            a - s, k < 4, False
                         )
                     )
                 else:
                     rows += [
                         (
-                            text[w : w + gram], b"", text[w + gram : w + window], rid, th, w, 1, 0, k < 4
+                            text[w : w + gram], b"", text[w + gram : w + window], rid, th, w, 1, 0, k < 4, True
                         ) for w in range(s, s + c)
                     ]
         for i in range(0, len(rows), 20_000):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows[i : i + 20_000], strict=True), types, strict=True)],
-                ["head", "left", "right", "rid", "th", "start", "count", "at", "test"]
+                ["head", "left", "right", "rid", "th", "start", "count", "at", "test", "singly"]
             )
 
 
@@ -266,24 +269,19 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int =
     )
     free_shuffles(docs.sparkSession)
     schema = "head binary, left binary, right binary, rid long, th long, start long, count int, at int, test boolean"
-
-    def contexts(kind: int) -> DataFrame:
-        asked = anchors.per_document(found.where(anchors.kind().bitwiseAND(F.lit(3)) == kind), "asked")
-        return anchors.with_texts(rows, asked, "inner").transform(
-            in_batches, lambda it: _contexts(it, window, gram, kind == anchors.SINGLY), schema
-        )
-
-    suffixes = staged(contexts(anchors.COMPARE), "suffixes", "zstd")
+    # One pass over the texts for both ways of comparing: texts are dealt out here and at the end, no third time.
+    asked = anchors.per_document(found.where(anchors.kind().bitwiseAND(F.lit(3)) != anchors.REMOVE), "asked")
+    contexts = anchors.with_texts(rows, asked, "inner").transform(
+        in_batches, lambda it: _contexts(it, window, gram), f"{schema}, singly boolean"
+    )
+    suffixes = staged(contexts, "suffixes", "zstd")
     free_shuffles(docs.sparkSession)
-    buckets = suffixes.repartitionByRange(shuffle_partitions(docs.sparkSession), "head").sortWithinPartitions("head")
+    buckets = suffixes.where("NOT singly").drop("singly").repartitionByRange(shuffle_partitions(docs.sparkSession), "head").sortWithinPartitions("head")
     repeated = buckets.transform(in_batches, lambda it: _bucket(it, window), "rid long, th long, value long")
     gone = found.where(anchors.kind() == anchors.REMOVE).select("rid", "th", "value").unionByName(repeated)
     if not found.where(anchors.kind().bitwiseAND(F.lit(3)) == anchors.SINGLY).isEmpty():
         # Windows around a minimiser with too many texts for one bucket: an aggregation, combined before its shuffle.
-        single = staged(
-            contexts(anchors.SINGLY).select(F.concat("head", "right").alias("bytes"), "rid", "th", "start", "test"),
-            "single-windows", "zstd"
-        )
+        single = suffixes.where("singly").select(F.concat("head", "right").alias("bytes"), "rid", "th", "start", "test")
         twice = single.groupBy("bytes").agg(
             F.sum(F.when(F.col("test"), 1).otherwise(2)).alias("n")
         ).where("n > 1").select("bytes")

@@ -282,3 +282,13 @@ def test_blocks_of_a_common_token(spark, monkeypatch):
     want = multiset(jaccard.join(frame(spark, rows), all_pairs=2).collect())
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 2)
     assert multiset(jaccard.join(frame(spark, rows), all_pairs=2).collect()) == want
+
+
+def test_texts_are_dealt_out_twice(spark, monkeypatch):
+    """Once for both ways of comparing and once for the cut, where every minimiser is compared singly too."""
+    dealt = []
+    own = suffix_dedup.anchors.with_texts
+    monkeypatch.setattr(suffix_dedup.anchors, "with_texts", lambda *a: dealt.append(1) or own(*a))
+    docs = spark.createDataFrame([(i, f"{i}abcdefghijklmnop{i}") for i in range(5)], "doc_id long, text string")
+    got = suffix_dedup.dedup(docs, 12, 8, 0).select("doc_id", "n_removed").collect()
+    assert sorted(map(tuple, got)) == [(i, 16) for i in range(5)] and len(dealt) == 2
