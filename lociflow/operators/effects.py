@@ -11,12 +11,21 @@ from lociflow.functions.names import site_id
 from lociflow.functions.sequence import apply_variants, flanks
 from lociflow.functions.vectors import l2
 from lociflow.operators.genotypes import first_by
+from lociflow.sources import workspace
 
 Embed = Callable[[DataFrame], DataFrame]
 #: Bases that a slice of a piece holds, beside those that it reaches over its ends.
 SLICE = 1_024
 
 
+def _written(rows: DataFrame, name: str) -> DataFrame:
+    """rows from a copy on disk: what embeds them and what joins the vectors to them then reads the copy, where each would
+    otherwise read the genome and put the sequences together again."""
+    path = workspace.folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def _slices(genome: DataFrame, step: int, k: int) -> DataFrame:
     """chrom, slice, seq, seq_start: pieces cut up so that a variant meets few bases besides its own; each slice reaches
     k bases over its ends."""
@@ -64,7 +73,8 @@ def allele_windows(variants: DataFrame, genome: DataFrame, k: int) -> DataFrame:
 def variant_effects(variants: DataFrame, genome: DataFrame, k: int, embed: Embed) -> DataFrame:
     """chrom, pos, ref, alt, site_id, var_effect. ``embed`` maps (seq) to (seq, embedding); each distinct sequence
     is embedded once."""
-    windows = allele_windows(variants, genome, k)
+    windows = allele_windows(variants, genome, k).select("chrom", "pos", "ref", "alt", "ref_seq", "alt_seq")
+    windows = _written(windows, "windows")
     vectors = embed(windows.select(F.explode(F.array("ref_seq", "alt_seq")).alias("seq")).distinct())
     out = windows.join(
         vectors.select(F.col("seq").alias("ref_seq"), F.col("embedding").alias("__r")), "ref_seq"
@@ -121,7 +131,8 @@ def gene_sequences(gene_sites: DataFrame, genotypes: DataFrame, genome: DataFram
 def gene_features(sequences: DataFrame, genes: DataFrame, samples: DataFrame, embed: Embed) -> DataFrame:
     """gene_id, sample, value of every gene and sample: distance of the sample's sequence from the reference; 0 if they
     are equal or the sample has none in ``sequences``."""
-    changed = sequences.where(F.col("seq") != F.col("ref_seq"))
+    changed = sequences.where(F.col("seq") != F.col("ref_seq")).select("gene_id", "sample", "ref_seq", "seq")
+    changed = _written(changed, "sequences")
     vectors = embed(changed.select(F.explode(F.array("ref_seq", "seq")).alias("seq")).distinct())
     moved = changed.join(vectors.select("seq", F.col("embedding").alias("__s")), "seq").join(
         vectors.select(F.col("seq").alias("ref_seq"), F.col("embedding").alias("__r")), "ref_seq"

@@ -465,3 +465,34 @@ def test_a_piece_is_not_joined_again_for_each_slice(spark, tmp_path):
     plan = effects._slices(genome, 50, 5)._jdf.queryExecution().optimizedPlan().toString().split("\n")
     assert any("array_join" in x for x in plan)
     assert not any("array_join" in x and "Generate explode" in x for x in plan)
+
+
+def test_effects_put_their_sequences_together_once(spark):
+    """Embedding them and joining the vectors to them read what was put together, not the genome again."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        def each(batches):
+            for b in batches:
+                passed.add(b.num_rows)
+                yield b
+
+        return rows.mapInArrow(each, rows.schema)
+
+    embed = lambda seqs: seqs.distinct().select("seq", F.array(F.length("seq").cast("float")).alias("embedding"))
+    genome = fasta.pieces(spark.createDataFrame([("Chr1", "ACGTACGTACGT")], "chrom string, seq string"), 5, 4)
+    variants = spark.createDataFrame(
+        [("Chr1", 3, "G", "GTT"), ("Chr1", 9, "A", "C")], "chrom string, pos long, ref string, alt string"
+    )
+    found = effects.variant_effects(counted(variants), genome, 3, embed)
+    assert sorted((r.site_id, r.var_effect) for r in found.collect()) == [("Chr1:3", 2.0), ("Chr1:9", 0.0)]
+    assert passed.value == 2
+
+    sequences = spark.createDataFrame(
+        [("g", "a", "ACGT", "AC"), ("g", "b", "ACGT", "ACGT")], "gene_id string, sample string, ref_seq string, seq string"
+    )
+    genes = spark.createDataFrame([("g",), ("h",)], "gene_id string")
+    samples = spark.createDataFrame([("a",), ("b",)], "sample string")
+    features = effects.gene_features(counted(sequences), genes, samples, embed)
+    assert sorted(map(tuple, features.collect())) == [("g", "a", 2.0), ("g", "b", 0.0), ("h", "a", 0.0), ("h", "b", 0.0)]
+    assert passed.value == 4
